@@ -372,4 +372,167 @@ def catalog() -> dict[str, Query]:
         "i8_drift_report": i8_drift_report,
         "i10_drift_summary": i10_drift_summary,
         "i12_target_drift": i12_target_drift,
+        **more_catalog(),
+    }
+
+
+# ---- sources / sinks / feature store --------------------------------------
+
+def a5_csv_roundtrip(spark, sf):
+    """Panel -> CSV sink -> CSV scan with an explicit schema."""
+    from ..session import scratch_path
+    from ..sources.files import read_csv_panel, write_csv
+    path = scratch_path(spark, "panel_csv")
+    p = I.panel(spark, sf)
+    write_csv(p, path)
+    back = read_csv_panel(spark, path, schema=p.schema)
+    return back.select("symbol", "ts", _r("price", 5).alias("price"), "volume",
+                       _r("volatility", 5).alias("volatility"))
+
+
+def _store_with_versions(spark, sf):
+    from ..session import scratch_path
+    from .store import FeatureStore
+    store = FeatureStore(spark, scratch_path(spark, "feature_store"))
+    p = I.panel(spark, sf)
+    for v in ("v1", "v2", "v3"):
+        store.save(build_feature_set(p, v), name=f"sentiment_{v}", description=f"features {v}")
+    return store
+
+
+def a6_a7_feature_store_roundtrip(spark, sf):
+    """Save v3 to the partitioned store, load it back by name (partition
+    pruning) and return it rounded like ``i4_features_v3``."""
+    from ..session import scratch_path
+    from .store import FeatureStore
+    store = FeatureStore(spark, scratch_path(spark, "feature_store"))
+    store.save(build_feature_set(I.panel(spark, sf), "v3"), name="sentiment_v3")
+    fs = store.load("sentiment_v3")
+    return _round_features(fs.df)
+
+
+def a9_a11_registry(spark, sf):
+    """Registry listing after saving v1-v3 (SQL over the registry view)."""
+    store = _store_with_versions(spark, sf)
+    return store.query().select("feature_set_name", "version", "num_features", "num_samples",
+                                "date_range_start", "date_range_end")
+
+
+def _round_features(df):
+    cols = []
+    for c in df.columns:
+        if c in ("ts", LABEL_COL) or (c.endswith("_Volume") and not c.startswith("ratio_")):
+            cols.append(F.col(c))
+        elif c.startswith("ratio_") or c.endswith("_ret_pct"):
+            cols.append(_r(c, 8).alias(c))
+        else:
+            cols.append(_r(c, 5).alias(c))
+    return df.select(*cols)
+
+
+# ---- streaming --------------------------------------------------------------
+
+def m1_windowed_monitoring(spark, sf):
+    """Hourly windows per event type behind a 1-hour watermark, compared with
+    the reference statistics; rows of every window the watermark finalized."""
+    from ..streaming.monitor import run_windowed_monitoring
+    out = run_windowed_monitoring(spark, f"{sf.rstrip('/')}/events.parquet")
+    w = spark.read.parquet(out)
+    return w.select("window_start", "window_end", "symbol", "n", _r("mean", 8).alias("mean"),
+                    _r("std", 8).alias("std"), _r("mean_shift", 8).alias("mean_shift"), "alert")
+
+
+def m2_live_labels(spark, sf):
+    """Events labelled on the stream by per-type mean +- std of the
+    reference; counts per type and label."""
+    from ..streaming.monitor import run_live_labels
+    out = run_live_labels(spark, f"{sf.rstrip('/')}/events.parquet")
+    return spark.read.parquet(out).groupBy("symbol", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- monitoring suite, alerts ------------------------------------------------
+
+def _monitoring_parts(spark, sf):
+    from ..operators.panel import list_symbols, to_wide
+    from ..session import materialize
+    p = I.panel(spark, sf)
+    syms = list_symbols(p)
+    wide = to_wide(p, syms).join(I.market(spark, sf), "ts")
+    lab = add_sentiment(wide, "Target_Price", LABEL_COL)
+    wide_s = I.sides(lab)
+    cols = [c for c in wide.columns if c != "ts"]
+    feats = materialize(D.numeric_drift(I.drift_long(spark, sf)))
+    tgt = materialize(D.target_drift(_label_sides(spark, sf), LABEL_COL))
+    return wide_s, cols, feats, tgt, f"{syms[0]}_Price"
+
+
+def i16_test_suite(spark, sf):
+    from .monitoring import test_suite
+    wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
+    return test_suite(wide_s, cols, feats, tgt, key, "Target_Price")
+
+
+def i17_alerts(spark, sf):
+    from .monitoring import alerts, test_suite
+    wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
+    suite = test_suite(wide_s, cols, feats, tgt, key, "Target_Price")
+    return alerts(D.drift_summary(feats, tgt), D.dataset_drift(feats), suite)
+
+
+def i11_dataset_drift(spark, sf):
+    feats = D.numeric_drift(I.drift_long(spark, sf))
+    return D.dataset_drift(feats)
+
+
+# ---- models -------------------------------------------------------------------
+
+def _sweep(spark, sf):
+    from ..session import materialize
+    from .models import sweep
+    p = I.panel(spark, sf)
+    sets = [build_feature_set(p, v) for v in ("v1", "v2", "v3")]
+    return materialize(sweep(spark, sets), ("model_sweep", sf))
+
+
+def j18_model_sweep(spark, sf):
+    """3 feature versions x 2 tasks; MLlib candidates selected on validation,
+    scored on the last 20 % of dates."""
+    return _sweep(spark, sf)
+
+
+def j19_leaderboard(spark, sf):
+    from .models import leaderboard
+    return leaderboard(_sweep(spark, sf))
+
+
+def e20_experiment_stats(spark, sf):
+    from .models import experiment_stats
+    return experiment_stats(_sweep(spark, sf))
+
+
+def j17_feature_importance(spark, sf):
+    """Top-20 native importances of a random forest on v3 (classification)."""
+    from .models import _pipeline, feature_importance, prepare
+    from pyspark.ml.classification import RandomForestClassifier
+    fs = build_feature_set(I.panel(spark, sf), "v3")
+    p = prepare(fs, "classification")
+    model = _pipeline(p, RandomForestClassifier(numTrees=100, seed=42)).fit(p.train)
+    rows = [(i + 1, f, v) for i, (f, v) in enumerate(feature_importance(model, p.features))]
+    return spark.createDataFrame(rows, "rank int, feature string, importance double")
+
+
+def more_catalog() -> dict[str, Query]:
+    return {
+        "a5_csv_roundtrip": a5_csv_roundtrip,
+        "a6_a7_feature_store_roundtrip": a6_a7_feature_store_roundtrip,
+        "a9_a11_registry": a9_a11_registry,
+        "m1_windowed_monitoring": m1_windowed_monitoring,
+        "m2_live_labels": m2_live_labels,
+        "i11_dataset_drift": i11_dataset_drift,
+        "i16_test_suite": i16_test_suite,
+        "i17_alerts": i17_alerts,
+        "j18_model_sweep": j18_model_sweep,
+        "j19_leaderboard": j19_leaderboard,
+        "e20_experiment_stats": e20_experiment_stats,
+        "j17_feature_importance": j17_feature_importance,
     }

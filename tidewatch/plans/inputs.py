@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.panel import densify, list_symbols, to_wide
 from ..operators.ranks import dense_rank_of
 from ..operators.split import chronological_split
+from ..session import materialize
 from ..sources.tables import daily_panel, market_series
 
 # Fixed parameters of the reference pipeline.
@@ -16,7 +17,9 @@ SEED = 42
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_panel(spark, sf)
+    """The daily panel, built once per application and checkpointed: it is
+    symbols x days rows however large the orders table is."""
+    return materialize(daily_panel(spark, sf), ("daily_panel", sf))
 
 
 def wide_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +54,7 @@ def drift_long(spark: SparkSession, sf: str) -> DataFrame:
     long = p.select("ts", F.explode(parts).alias("x")).select("x.feature", "ts", "x.value")
     tgt = market_series(p).select(F.lit("Target_Price").alias("feature"), "ts",
                                   F.col("Target_Price").alias("value"))
-    return sides(long.unionByName(tgt))
+    return materialize(sides(long.unionByName(tgt)), ("drift_long", sf))
 
 
 def persistence_forecast(spark: SparkSession, sf: str) -> DataFrame:

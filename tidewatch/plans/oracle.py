@@ -367,6 +367,30 @@ def oracle() -> dict[str, str]:
         f"SELECT '{v}' AS version, count(*) AS n_rows, count(*) FILTER (WHERE Target_Value IS NOT NULL) "
         f"AS n_target, count(*) FILTER (WHERE Target_Value IS NOT NULL AND {cond}) AS n_complete, "
         f"CAST({len(feats)} AS BIGINT) AS n_features FROM fs) x_{v}" for v, cte, feats, cond in parts)
+    q["a5_csv_roundtrip"] = q["a1_panel_daily"]
+    q["a6_a7_feature_store_roundtrip"] = q["i4_features_v3"]
+    q["a9_a11_registry"] = _with(PANEL, MARKET) + " UNION ALL ".join(
+        f"SELECT 'sentiment_{v}' AS feature_set_name, '{v}' AS version, CAST({n} AS BIGINT) AS "
+        "num_features, count(*) AS num_samples, CAST(min(ts) AS VARCHAR) AS date_range_start, "
+        "CAST(max(ts) AS VARCHAR) AS date_range_end FROM market"
+        for v, n in (("v1", 15), ("v2", 25), ("v3", 45)))
+    q["m1_windowed_monitoring"] = """WITH ref AS (
+  SELECT event_type AS symbol, avg(value) AS ref_mean FROM events GROUP BY event_type),
+w AS (
+  SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+         event_type AS symbol, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS std
+  FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3),
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT window_start, window_end, w.symbol, n, round(mean + {OFF8}, 8) AS mean,
+       round(std + {OFF8}, 8) AS std,
+       round(abs((mean - ref_mean) / NULLIF(ref_mean, 0)) + {OFF8}, 8) AS mean_shift,
+       coalesce(abs((mean - ref_mean) / NULLIF(ref_mean, 0)) > 0.01, false) AS alert
+FROM w LEFT JOIN ref ON w.symbol = ref.symbol CROSS JOIN wm WHERE window_end <= wm.wm"""
+    q["m2_live_labels"] = """WITH ref AS (
+  SELECT event_type AS symbol, avg(value) AS mu, stddev_samp(value) AS sigma FROM events
+  GROUP BY event_type)
+SELECT e.event_type AS symbol, """ + label_sql("e.value") + """ AS label, count(*) AS n
+FROM events e LEFT JOIN ref ON e.event_type = ref.symbol GROUP BY 1, 2"""
     for k, v in q.items():
         q[k] = v.replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q

@@ -75,3 +75,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidewatch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_MATERIALIZED: dict[tuple, object] = {}
+
+
+def materialize(df, key: tuple | None = None):
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Used for small derived frames (panels: symbols x days) that several
+    downstream jobs read, so the large scan/join behind them runs once and a
+    lost executor never forces a recomputation from the raw tables.  With a
+    ``key`` the result is reused within the application.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if key is not None:
+        full = (spark.sparkContext.applicationId,) + tuple(key)
+        hit = _MATERIALIZED.get(full)
+        if hit is not None:
+            return hit
+    out = df.checkpoint(eager=True)
+    if key is not None:
+        _MATERIALIZED[full] = out
+    return out
