@@ -487,11 +487,16 @@ def i11_dataset_drift(spark, sf):
 # ---- models -------------------------------------------------------------------
 
 def _sweep(spark, sf):
-    from ..session import materialize
+    """Smoke-run sweep (seeded, small tree and iteration counts; the library
+    defaults are the reference's 100 trees / 1000 / 500 iterations)."""
+    from ..session import cached
     from .models import sweep
-    p = I.panel(spark, sf)
-    sets = [build_feature_set(p, v) for v in ("v1", "v2", "v3")]
-    return materialize(sweep(spark, sets), ("model_sweep", sf))
+
+    def build():
+        p = I.panel(spark, sf)
+        sets = [build_feature_set(p, v) for v in ("v1", "v2", "v3")]
+        return sweep(spark, sets, quick=True)
+    return cached(spark, ("model_sweep", sf), build)
 
 
 def j18_model_sweep(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.panel import densify, list_symbols, to_wide
 from ..operators.ranks import dense_rank_of
 from ..operators.split import chronological_split
-from ..session import materialize
+from ..session import cached, materialize
 from ..sources.tables import daily_panel, market_series
 
 # Fixed parameters of the reference pipeline.
@@ -19,7 +19,7 @@ SEED = 42
 def panel(spark: SparkSession, sf: str) -> DataFrame:
     """The daily panel, built once per application and checkpointed: it is
     symbols x days rows however large the orders table is."""
-    return materialize(daily_panel(spark, sf), ("daily_panel", sf))
+    return cached(spark, ("daily_panel", sf), lambda: daily_panel(spark, sf))
 
 
 def wide_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,6 +42,10 @@ def sides(df: DataFrame, ts: str = "ts", frac: float = TRAIN_FRAC) -> DataFrame:
 
 
 def drift_long(spark: SparkSession, sf: str) -> DataFrame:
+    return cached(spark, ("drift_long", sf), lambda: _drift_long(spark, sf))
+
+
+def _drift_long(spark: SparkSession, sf: str) -> DataFrame:
     """``(feature, ts, value, side)``: every panel metric per symbol plus the
     market target, reference = first 80 % of dates, current = the rest."""
     p = panel(spark, sf)
@@ -54,7 +58,7 @@ def drift_long(spark: SparkSession, sf: str) -> DataFrame:
     long = p.select("ts", F.explode(parts).alias("x")).select("x.feature", "ts", "x.value")
     tgt = market_series(p).select(F.lit("Target_Price").alias("feature"), "ts",
                                   F.col("Target_Price").alias("value"))
-    return materialize(sides(long.unionByName(tgt)), ("drift_long", sf))
+    return sides(long.unionByName(tgt))
 
 
 def persistence_forecast(spark: SparkSession, sf: str) -> DataFrame:

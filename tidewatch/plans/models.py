@@ -143,17 +143,29 @@ def train_and_select(p: Prepared, quick: bool = False):
     else:
         stats = p.train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(p.label_col).alias("s")).first()
         cands = regression_candidates(stats["n"], stats["s"], quick)
-    trials, best = [], (None, None, None)
-    for name, est in cands.items():
+    train = p.train.persist()
+
+    def fit(item):
+        name, est = item
         t0 = time.perf_counter()
         try:
-            model = _pipeline(p, est).fit(p.train)
+            model = _pipeline(p, est).fit(train)
             val = _score(p.task, model.transform(p.val))
-            trials.append((name, val, time.perf_counter() - t0, "ok"))
-            if better(p.task, val, best[1]):
-                best = (name, val, model)
+            return (name, val, time.perf_counter() - t0, "ok"), model
         except Exception as e:  # noqa: BLE001 - a failing candidate is recorded, not fatal
-            trials.append((name, None, time.perf_counter() - t0, f"FAILED: {e}"[:200]))
+            return (name, None, time.perf_counter() - t0, f"FAILED: {e}"[:200]), None
+
+    # Candidates are independent Spark jobs: fit them concurrently, like
+    # CrossValidator(parallelism=...).
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(cands)) as pool:
+        results = list(pool.map(fit, cands.items()))
+    trials, best = [], (None, None, None)
+    for trial, model in results:       # candidate order decides ties
+        trials.append(trial)
+        if model is not None and better(p.task, trial[1], best[1]):
+            best = (trial[0], trial[1], model)
+    train.unpersist()
     return best, trials
 
 

@@ -80,22 +80,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _MATERIALIZED: dict[tuple, object] = {}
 
 
-def materialize(df, key: tuple | None = None):
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+def cached(spark, key: tuple, build):
+    """Return the materialized frame stored under ``key`` for this
+    application, building (and checkpointing) it on first use only."""
+    full = (spark.sparkContext.applicationId,) + tuple(key)
+    hit = _MATERIALIZED.get(full)
+    if hit is None:
+        hit = materialize(build())
+        _MATERIALIZED[full] = hit
+    return hit
+
 
-    Used for small derived frames (panels: symbols x days) that several
-    downstream jobs read, so the large scan/join behind them runs once and a
-    lost executor never forces a recomputation from the raw tables.  With a
-    ``key`` the result is reused within the application.
+def materialize(df, key: tuple | None = None):
+    """Cut lineage by writing a Parquet table into the shared folder named by
+    ``spark.checkpoint.dir`` and reading it back.
+
+    Used for small derived frames (panels: symbols x days, per-feature
+    statistics) that several downstream jobs read, so the large scan/join
+    behind them runs once and a lost executor never forces a recomputation
+    from the raw tables.  Unlike ``checkpoint()`` without caching, the plan
+    runs once; the read-back carries file sizes, so AQE can size-check a
+    broadcast of it.  With a ``key`` the result is reused in the application.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     if key is not None:
         full = (spark.sparkContext.applicationId,) + tuple(key)
         hit = _MATERIALIZED.get(full)
         if hit is not None:
             return hit
-    out = df.checkpoint(eager=True)
+    path = scratch_path(spark, "mat")
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
     if key is not None:
         _MATERIALIZED[full] = out
     return out
