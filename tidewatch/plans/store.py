@@ -75,8 +75,8 @@ class FeatureStore:
              .partitionBy("version", "set_name").parquet(self._data(root)))
             written.append(self._data(root))
         # registry row from one aggregate over the written partition
-        stored = self.spark.read.parquet(self._data(self.roots[0])).where(
-            (F.col("version") == fs.version) & (F.col("set_name") == name))
+        stored = self.spark.read.parquet(
+            f"{self._data(self.roots[0])}/version={fs.version}/set_name={name}")
         row = stored.agg(F.count(F.lit(1)).alias("n"), F.min(fs.ts).alias("lo"),
                          F.max(fs.ts).alias("hi")).first()
         reg = self.spark.createDataFrame([(
@@ -115,8 +115,11 @@ class FeatureStore:
             raise FileNotFoundError(f"feature set {name!r} is not registered")
         meta = json.loads(reg[0]["features_json"])
         root = self._read_root()
-        df = self.spark.read.parquet(self._data(root)).where(
-            (F.col("version") == reg[0]["version"]) & (F.col("set_name") == name))
+        # Read only this set's partition folder: sets of different versions
+        # have different columns, and listing/merging every set's schema
+        # would grow with the store.
+        part = f"{self._data(root)}/version={reg[0]['version']}/set_name={name}"
+        df = self.spark.read.option("basePath", self._data(root)).parquet(part)
         feats = meta["features"]
         return FeatureSet(version=reg[0]["version"], df=df.select("ts", *feats, TARGET_VALUE, LABEL_COL),
                           features=feats)
