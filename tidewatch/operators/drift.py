@@ -161,3 +161,23 @@ def ref_cur_comparison(long: DataFrame, group: str = "feature") -> DataFrame:
     """Mean, std and mean change % per feature for the two sides."""
     m = moment_stats(long, group)
     return m.select(group, "ref_mean", "curr_mean", "ref_std", "curr_std", "mean_shift_pct")
+
+
+def binned_distance(long: DataFrame, n_bins: int = 10, group: str = "feature",
+                    value: str = "value", side: str = "side") -> DataFrame:
+    """Serving-skew distance per feature: L-infinity distance between the
+    reference and current shares of ``n_bins`` equal-width bins spanning the
+    reference range (values outside it are clamped into the end bins)."""
+    from ..functions.scalar import width_bin
+    src = long.where(F.col(value).isNotNull())
+    rng = src.where(F.col(side) == REF).groupBy(group).agg(
+        F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    b = width_bin(F.col(value), F.col("_lo"), F.col("_hi"), n_bins)
+    counts = (src.join(rng, group).groupBy(group, b.alias("bin"))
+              .agg(F.count_if(F.col(side) == REF).alias("r"),
+                   F.count_if(F.col(side) == CUR).alias("c")))
+    tot = counts.groupBy(group).agg(F.sum("r").alias("_rt"), F.sum("c").alias("_ct"))
+    shares = counts.join(tot, group).select(
+        group, "bin", F.abs(F.try_divide(F.col("r"), F.col("_rt")) -
+                            F.try_divide(F.col("c"), F.col("_ct"))).alias("gap"))
+    return shares.groupBy(group).agg(F.max("gap").alias("linf_distance"))

@@ -17,6 +17,7 @@ from ..operators.features import LABEL_COL, TARGET_VALUE, build_feature_set, ser
 from ..operators.panel import list_symbols, numeric_columns
 from ..operators.ranks import exact_quantiles
 from ..operators.target import add_sentiment, threshold_stats
+from ..session import materialize
 from ..sources.tables import read_table
 from . import inputs as I
 
@@ -206,9 +207,20 @@ def f5_chrono_split(spark, sf):
 # ---- drift ----------------------------------------------------------------
 
 def _label_sides(spark, sf):
-    """Market target labelled by its own mean +- std, split into sides."""
-    lab = add_sentiment(I.market(spark, sf), "Target_Price", LABEL_COL)
-    return I.sides(lab.select("ts", F.col("Target_Price").alias(TARGET_VALUE), LABEL_COL))
+    """Market target labelled by its own mean +- std, split into sides
+    (one row per date; materialized once per application)."""
+    from ..session import cached
+
+    def build():
+        lab = add_sentiment(I.market(spark, sf), "Target_Price", LABEL_COL)
+        return I.sides(lab.select("ts", F.col("Target_Price").alias(TARGET_VALUE), LABEL_COL))
+    return cached(spark, ("label_sides", sf), build)
+
+
+def _numeric_drift(spark, sf):
+    """Per-feature drift rows with p-values (one row per feature)."""
+    from ..session import cached
+    return cached(spark, ("numeric_drift", sf), lambda: D.numeric_drift(I.drift_long(spark, sf)))
 
 
 def d1_category_alignment(spark, sf):
@@ -245,13 +257,13 @@ def i19_ref_cur_comparison(spark, sf):
 
 
 def i8_drift_report(spark, sf):
-    return D.numeric_drift(I.drift_long(spark, sf)).select(
+    return _numeric_drift(spark, sf).select(
         "feature", "ks_statistic", "ks_pvalue", "mw_pvalue", "cohens_d", "drift_detected")
 
 
 def i10_drift_summary(spark, sf):
-    feats = D.numeric_drift(I.drift_long(spark, sf))
-    tgt = D.target_drift(_label_sides(spark, sf), LABEL_COL)
+    feats = _numeric_drift(spark, sf)
+    tgt = materialize(D.target_drift(_label_sides(spark, sf), LABEL_COL))
     return D.drift_summary(feats, tgt)
 
 
@@ -373,6 +385,7 @@ def catalog() -> dict[str, Query]:
         "i10_drift_summary": i10_drift_summary,
         "i12_target_drift": i12_target_drift,
         **more_catalog(),
+        **extra_catalog(),
     }
 
 
@@ -454,14 +467,13 @@ def m2_live_labels(spark, sf):
 
 def _monitoring_parts(spark, sf):
     from ..operators.panel import list_symbols, to_wide
-    from ..session import materialize
     p = I.panel(spark, sf)
     syms = list_symbols(p)
     wide = to_wide(p, syms).join(I.market(spark, sf), "ts")
     lab = add_sentiment(wide, "Target_Price", LABEL_COL)
     wide_s = I.sides(lab)
     cols = [c for c in wide.columns if c != "ts"]
-    feats = materialize(D.numeric_drift(I.drift_long(spark, sf)))
+    feats = _numeric_drift(spark, sf)
     tgt = materialize(D.target_drift(_label_sides(spark, sf), LABEL_COL))
     return wide_s, cols, feats, tgt, f"{syms[0]}_Price"
 
@@ -480,8 +492,7 @@ def i17_alerts(spark, sf):
 
 
 def i11_dataset_drift(spark, sf):
-    feats = D.numeric_drift(I.drift_long(spark, sf))
-    return D.dataset_drift(feats)
+    return D.dataset_drift(_numeric_drift(spark, sf))
 
 
 # ---- models -------------------------------------------------------------------
@@ -541,3 +552,118 @@ def more_catalog() -> dict[str, Query]:
         "e20_experiment_stats": e20_experiment_stats,
         "j17_feature_importance": j17_feature_importance,
     }
+
+
+# ---- more inventory items -------------------------------------------------------
+
+def i20_serving_skew(spark, sf, threshold: float = 0.01):
+    """Per event type: L-infinity distance between value-bin shares of the
+    first 80 % of event days (reference) and the rest; alert above 0.01."""
+    from ..sources.tables import events_series
+    ev = events_series(spark, sf)
+    long = I.sides(ev.select(F.col("symbol").alias("feature"), F.to_date("ts").alias("day"),
+                             "value"), ts="day")
+    d = D.binned_distance(long, n_bins=10)
+    return d.select("feature", _r("linf_distance", 10).alias("linf_distance"),
+                    (F.col("linf_distance") > threshold).alias("alert"))
+
+
+def e18_column_summary(spark, sf):
+    """Per side and wide-panel column: count, missing, mean, min, max and
+    distinct values, in one aggregate per side."""
+    w = I.sides(I.wide_panel(spark, sf))
+    cols = [c for c in w.columns if c not in ("ts", "side")]
+    long = S.long_values(w, cols, key_cols=["side"])
+    return long.groupBy("side", "column").agg(
+        F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("missing"),
+        _r(F.avg("value"), 5).alias("mean"), _r(F.min("value"), 5).alias("min"),
+        _r(F.max("value"), 5).alias("max"), F.count_distinct("value").alias("n_unique"))
+
+
+def a2_holdout_pair(spark, sf):
+    """Reference and current holdouts written as two CSV files and scanned
+    back as one long frame with ``side``; rows and date range per side."""
+    from ..session import scratch_path
+    from ..sources.files import read_holdout_pair, write_csv
+    w = I.sides(I.wide_panel(spark, sf)).withColumnRenamed("ts", "Date")
+    ref_p, cur_p = scratch_path(spark, "holdout_ref"), scratch_path(spark, "holdout_cur")
+    write_csv(w.where(F.col("side") == "ref").drop("side"), ref_p)
+    write_csv(w.where(F.col("side") == "cur").drop("side"), cur_p)
+    schema = w.drop("side").schema
+    pair = read_holdout_pair(spark, ref_p, cur_p, "Date", schema)
+    return pair.groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.to_date(F.min("Date")).alias("min_date"),
+                                    F.to_date(F.max("Date")).alias("max_date"))
+
+
+def i21_monitoring_run(spark, sf):
+    """End-to-end monitoring run: drift, target drift, suite and alerts are
+    appended to result tables (JSON lines, stamped with the run time); the
+    run summary row is returned."""
+    from ..session import scratch_path
+    from ..sources.files import write_results
+    from .monitoring import alerts, stamp, suite_summary, test_suite
+    wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
+    suite = materialize(test_suite(wide_s, cols, feats, tgt, key, "Target_Price"))
+    summary = materialize(D.drift_summary(feats, tgt))
+    al = alerts(summary, D.dataset_drift(feats), suite)
+    root = scratch_path(spark, "monitoring")
+    for name, df in (("drift", feats), ("target_drift", tgt), ("suite", suite), ("alerts", al)):
+        write_results(stamp(df), f"{root}/{name}")
+    ss = suite_summary(suite)
+    n_alerts = spark.read.json(f"{root}/alerts").count()
+    return summary.select("features_tested", "features_with_drift", "drift_percentage",
+                          "overall_drift_detected",
+                          ss.select("passed").scalar().alias("tests_passed"),
+                          ss.select("total").scalar().alias("tests_total"),
+                          F.lit(n_alerts).alias("alerts"))
+
+
+def j20_batch_scoring(spark, sf):
+    """Train (smoke size), save the pipeline, look up the latest model for
+    (version, task) in a model registry, score the test dates with the
+    whole pipeline and decode labels; classification report of the result.
+    The regression model's output is labelled by the same thresholds (J16)."""
+    from datetime import datetime
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import IndexToString
+    from ..session import scratch_path
+    from .models import _pipeline, load_latest_model, prepare, save_model
+    fs = build_feature_set(I.panel(spark, sf), "v1")
+    p = prepare(fs, "classification")
+    model = _pipeline(p, RandomForestClassifier(numTrees=20, seed=42)).fit(p.train)
+    path = scratch_path(spark, "model_v1_classification")
+    save_model(model, path)
+    reg = spark.createDataFrame([("v1", "classification", path, datetime.now())],
+                                "version string, task string, path string, created_at timestamp")
+    loaded = load_latest_model(reg, "v1", "classification")
+    pred = loaded.transform(p.test)
+    labels = list(loaded.stages[2].labelsArray[0])
+    pred = IndexToString(inputCol="prediction", outputCol="pred_label", labels=labels).transform(pred)
+    return S.classification_report(S.confusion(pred, LABEL_COL, "pred_label"))
+
+
+def j16_regression_as_sentiment(spark, sf):
+    """Regression predictions labelled fear/stable/greed with the training
+    thresholds and compared with the true labels (classification report)."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from .models import _pipeline, prepare
+    fs = build_feature_set(I.panel(spark, sf), "v1")
+    p = prepare(fs, "regression")
+    model = _pipeline(p, RandomForestRegressor(numTrees=20, seed=42)).fit(p.train)
+    pred = model.transform(p.test)
+    mu, sigma = threshold_stats(p.train, TARGET_VALUE)
+    from ..functions.scalar import threshold_label
+    pred = pred.withColumn("pred_label", threshold_label(F.col("prediction"), mu, sigma))
+    return S.classification_report(S.confusion(pred, LABEL_COL, "pred_label"))
+
+
+def extra_catalog() -> dict[str, Query]:
+    return {
+        "i20_serving_skew": i20_serving_skew,
+        "e18_column_summary": e18_column_summary,
+        "a2_holdout_pair": a2_holdout_pair,
+        "i21_monitoring_run": i21_monitoring_run,
+        "j20_batch_scoring": j20_batch_scoring,
+        "j16_regression_as_sentiment": j16_regression_as_sentiment,
+    }

@@ -391,6 +391,31 @@ FROM w LEFT JOIN ref ON w.symbol = ref.symbol CROSS JOIN wm WHERE window_end <=
   GROUP BY event_type)
 SELECT e.event_type AS symbol, """ + label_sql("e.value") + """ AS label, count(*) AS n
 FROM events e LEFT JOIN ref ON e.event_type = ref.symbol GROUP BY 1, 2"""
+    q["i20_serving_skew"] = """WITH ev AS (
+  SELECT event_type AS feature, CAST(ts AS DATE) AS day, value FROM events),
+d AS (SELECT day, row_number() OVER (ORDER BY day) AS rk, count(*) OVER () AS nd
+      FROM (SELECT DISTINCT day FROM ev) x),
+s AS (SELECT ev.*, CASE WHEN rk <= floor(nd * 0.8) THEN 'ref' ELSE 'cur' END AS side
+      FROM ev JOIN d ON ev.day = d.day WHERE value IS NOT NULL),
+rng AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM s WHERE side = 'ref' GROUP BY feature),
+b AS (SELECT s.feature, s.side, CASE WHEN hi > lo THEN least(greatest(CAST(floor(10 * (value - lo)
+        / (hi - lo)) AS BIGINT) + 1, 1), 10) ELSE 1 END AS bin FROM s JOIN rng ON s.feature = rng.feature),
+c AS (SELECT feature, bin, count(*) FILTER (WHERE side = 'ref') AS r,
+             count(*) FILTER (WHERE side = 'cur') AS c FROM b GROUP BY feature, bin),
+t AS (SELECT feature, sum(r) AS rt, sum(c) AS ct FROM c GROUP BY feature),
+g AS (SELECT c.feature, abs(CAST(r AS DOUBLE) / rt - CAST(c AS DOUBLE) / ct) AS gap
+      FROM c JOIN t ON c.feature = t.feature)
+SELECT feature, round(max(gap) + {OFF10}, 10) AS linf_distance, max(gap) > 0.01 AS alert
+FROM g GROUP BY feature"""
+    q["e18_column_summary"] = _with(PANEL, WIDE, SIDES) + " UNION ALL ".join(
+        f"SELECT side, '{c}' AS \"column\", count(\"{c}\") AS count, "
+        f"count(*) - count(\"{c}\") AS missing, round(avg(\"{c}\") + {{OFF5}}, 5) AS mean, "
+        f"round(CAST(min(\"{c}\") AS DOUBLE) + {{OFF5}}, 5) AS min, "
+        f"round(CAST(max(\"{c}\") AS DOUBLE) + {{OFF5}}, 5) AS max, "
+        f"count(DISTINCT \"{c}\") AS n_unique FROM wide w JOIN sides s ON w.ts = s.ts GROUP BY side"
+        for c in WIDE_COLS)
+    q["a2_holdout_pair"] = _with(PANEL, SIDES) + \
+        "SELECT side, count(*) AS n_rows, min(ts) AS min_date, max(ts) AS max_date FROM sides GROUP BY side"
     for k, v in q.items():
         q[k] = v.replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q
