@@ -103,9 +103,11 @@ def value_counts(df: DataFrame, col: str, by: list[str] | None = None,
     by = by or []
     src = df if keep_null else df.where(F.col(col).isNotNull())
     counts = src.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
-    # share within the group; the grouped frame is small (groups x labels)
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(w))
+    if by:
+        # share within the group; the grouped frame is small (groups x labels)
+        return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
+    total = src.select(F.count(F.lit(1))).scalar()
+    return counts.withColumn("share", F.col("n") / total)
 
 
 # ---- E7/E8 histograms -----------------------------------------------------
