@@ -46,9 +46,15 @@ RESULT_SCHEMA = StructType([
     StructField("automl_available", BooleanType(), True)])
 
 
-def classification_candidates(n_features: int, n_classes: int, quick: bool = False):
+def classification_candidates(n_features: int, n_classes: int, quick: bool = False,
+                              include_svm: bool = False):
     trees = 20 if quick else 100
-    return {
+    extra = {}
+    if include_svm:
+        # The reference's RBF SVC has no MLlib counterpart: linear one-vs-rest.
+        from pyspark.ml.classification import LinearSVC, OneVsRest
+        extra["svm"] = OneVsRest(classifier=LinearSVC(maxIter=100 if quick else 1000))
+    return {**extra, 
         "random_forest": RandomForestClassifier(numTrees=trees, seed=SEED),
         "logistic_regression": LogisticRegression(maxIter=100 if quick else 1000,
                                                   family="multinomial"),
@@ -302,6 +308,16 @@ def leaderboard(results: DataFrame) -> DataFrame:
     return best.join(wins, "best_model", "left")
 
 
+def best_per_version(results: DataFrame, task: str) -> DataFrame:
+    """Head 1 per version after sorting RMSE / MAE ascending and R2
+    descending (regression) or the test metric descending (classification);
+    the per-version bests concatenated."""
+    from pyspark.sql import Window
+    ok = results.where((F.col("task") == task) & (F.col("best_model") != "FAILED"))
+    w = Window.partitionBy("version").orderBy(F.desc("test_metric"), F.asc("best_model"))
+    return ok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def experiment_stats(results: DataFrame) -> DataFrame:
     return results.agg(
         F.count_if(F.col("best_model") != "FAILED").alias("successful"),

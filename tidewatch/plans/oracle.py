@@ -94,7 +94,7 @@ def _off(n: int) -> str:
     return f"CAST('{1.2345678912 * 10 ** -(n + 3)!r}' AS DOUBLE)"
 
 
-OFF5, OFF8, OFF10 = _off(5), _off(8), _off(10)
+OFF3, OFF5, OFF8, OFF10 = _off(3), _off(5), _off(8), _off(10)
 
 
 def label_sql(v: str, mu: str = "mu", sigma: str = "sigma") -> str:
@@ -119,7 +119,7 @@ WIDE = "wide AS (SELECT ts, " + ", ".join(
 WIDE_COLS = [n for _, n in _wide_cols(METRICS)]
 
 
-def _feature_cte(version: str) -> tuple[str, list[str]]:
+def _feature_cte(version: str, cross: bool = False) -> tuple[str, list[str]]:
     """CTE ``fs`` with the unrounded feature set and its feature list."""
     metrics = METRICS + [("ret_pct", "Price_ret_pct")]
     if version in ("v2", "v3"):
@@ -140,6 +140,14 @@ def _feature_cte(version: str) -> tuple[str, list[str]]:
                     ratio_exprs.append(
                         f'CAST("{a}" AS DOUBLE) / (NULLIF(CAST("{b}" AS DOUBLE), 0) + CAST(1e-9 AS DOUBLE)) AS "{name}"')
                     feats.append(name)
+    if version == "v3" and cross:
+        for a in SYMBOLS:
+            for b in SYMBOLS:
+                pa, vb = f"{a}_Price", f"{b}_Volatility"
+                name = f"ratio_{pa}_over_{vb}"
+                ratio_exprs.append(
+                    f'CAST("{pa}" AS DOUBLE) / (NULLIF(CAST("{vb}" AS DOUBLE), 0) + CAST(1e-9 AS DOUBLE)) AS "{name}"')
+                feats.append(name)
     feats = sorted(set(feats))
     sel = ", ".join([f'w."{c}"' for c, in [(n,) for _, n in _wide_cols(metrics)]] + ratio_exprs)
     fs = (f"fs AS (SELECT w.ts, {sel}, m.Target_Price AS Target_Value, "
@@ -416,6 +424,10 @@ FROM g GROUP BY feature"""
         for c in WIDE_COLS)
     q["a2_holdout_pair"] = _with(PANEL, SIDES) + \
         "SELECT side, count(*) AS n_rows, min(ts) AS min_date, max(ts) AS max_date FROM sides GROUP BY side"
+    cte_x, feats_x = _feature_cte("v3", cross=True)
+    cross_cols = [c for c in feats_x if "_over_" in c and c.endswith("_Volatility")]
+    q["h4_cross_ratios"] = _with(PANEL, MARKET, TH, cte_x) + "SELECT ts, " + ", ".join(
+        f'round("{c}" + {{OFF3}}, 3) AS "{c}"' for c in cross_cols) + " FROM fs"
     for k, v in q.items():
-        q[k] = v.replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
+        q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q

@@ -86,9 +86,20 @@ class FeatureStore:
             "active")], REGISTRY_SCHEMA)
         for root in self.roots:
             reg.write.mode("append").parquet(self._registry(root))
+            # metadata document next to the data (counts, features, date range)
+            reg.select("feature_set_name", "version", "created_at", "num_features", "num_samples",
+                       F.struct(F.col("date_range_start").alias("start"),
+                                F.col("date_range_end").alias("end")).alias("date_range"),
+                       F.from_json("features_json", "features array<string>, "
+                                   "target_columns array<string>").alias("meta")) \
+                .write.mode("append").json(f"{root}/metadata")
         return {"name": name, "data": written}
 
     # -- read ----------------------------------------------------------------
+    def metadata(self) -> DataFrame:
+        """Metadata documents (JSON) of every saved set."""
+        return self.spark.read.json(f"{self._read_root()}/metadata")
+
     def registry(self) -> DataFrame:
         root = self._read_root()
         if not _exists(self.spark, self._registry(root)):
