@@ -65,3 +65,11 @@ def test_ks_and_mann_whitney_statistics_brute_force(spark):
     m1, m2 = np.mean(ref), np.mean(cur)
     sp = math.sqrt((59 * np.var(ref, ddof=1) + 44 * np.var(cur, ddof=1)) / 103)
     assert math.isclose(st.cohens_d, (m2 - m1) / sp, rel_tol=1e-9)
+
+
+def test_single_window_path_equals_blocked(spark, data):
+    rows, df = data
+    auto = {(r.g, r.v): (r.n_cum, r.n_total) for r in cumulative_counts(df, ["g"], "v").collect()}
+    blocked = {(r.g, r.v): (r.n_cum, r.n_total)
+               for r in cumulative_counts(df, ["g"], "v", n_blocks=6).collect()}
+    assert auto == blocked

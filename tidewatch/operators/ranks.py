@@ -13,6 +13,10 @@ the mid-ranks of the Mann-Whitney test (I6):
    exact offset of each block from a window over the tiny
    ``groups x blocks`` totals frame.
 
+When Catalyst's size estimate of the input is small (see
+``SINGLE_WINDOW_MAX_BYTES``) steps 2-3 collapse into one window per group,
+which saves five shuffle stages; a task then holds a bounded amount.
+
 No group is ever sorted in one task, the result is exact, and the plan is
 deterministic (boundaries become data, not driver literals).
 """
@@ -23,11 +27,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCKS = 64
+# Inputs whose optimizer size estimate is below this are ranked with one
+# window per group: a task then holds at most this much (and spills).
+SINGLE_WINDOW_MAX_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (from file sizes and projections;
+    conservative after aggregations).  None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
+        return None
+
+
+def choose_blocks(df: DataFrame, n_blocks: int | None) -> int:
+    if n_blocks is not None:
+        return n_blocks
+    est = estimated_bytes(df)
+    return 1 if est is not None and est <= SINGLE_WINDOW_MAX_BYTES else DEFAULT_BLOCKS
 
 
 def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
                       weights: dict[str, Column] | None = None,
-                      n_blocks: int = DEFAULT_BLOCKS, accuracy: int = 10000) -> DataFrame:
+                      n_blocks: int | None = None, accuracy: int = 10000) -> DataFrame:
     """One row per distinct ``(group, value)`` with, for every weight ``w``:
     ``w`` (sum at that value), ``w_cum`` (running sum up to and including the
     value) and ``w_total`` (group total).  NULL values are dropped.
@@ -40,9 +63,19 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
         out = cumulative_counts(df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
                                 n_blocks, accuracy)
         return out.drop("_g")
+    n_blocks = choose_blocks(df, n_blocks)
     src = df.where(F.col(value_col).isNotNull())
     keyed = src.groupBy(*group_cols, value_col).agg(
         *[F.sum(expr).cast("long").alias(name) for name, expr in weights.items()])
+    names = list(weights)
+    if n_blocks <= 1:
+        # size-checked small input: one window partition per group
+        wr = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(
+            Window.unboundedPreceding, 0)
+        wt = Window.partitionBy(*group_cols)
+        return keyed.select(*group_cols, value_col, *names,
+                            *[F.sum(n).over(wr).alias(f"{n}_cum") for n in names],
+                            *[F.sum(n).over(wt).alias(f"{n}_total") for n in names])
 
     probs = [i / n_blocks for i in range(1, n_blocks)]
     if probs:
@@ -56,7 +89,6 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
     else:
         blocked = keyed.withColumn("_block", F.lit(0))
 
-    names = list(weights)
     totals = blocked.groupBy(*group_cols, "_block").agg(
         *[F.sum(n).alias(f"_bt_{n}") for n in names])
     wb = Window.partitionBy(*group_cols).orderBy("_block")
@@ -77,7 +109,7 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
 
 
 def dense_rank_of(df: DataFrame, group_cols: list[str], value_col: str,
-                  n_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+                  n_blocks: int | None = None) -> DataFrame:
     """``(group, value, rank, n_distinct)``: 1-based rank among the distinct
     values of each group (e.g. the position of a date in the calendar)."""
     cum = cumulative_counts(df.select(*group_cols, value_col).distinct(), group_cols,
@@ -87,7 +119,7 @@ def dense_rank_of(df: DataFrame, group_cols: list[str], value_col: str,
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: list[float], n_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+                    probs: list[float], n_blocks: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``,
     DuckDB ``quantile_cont``, Spark ``percentile``), computed without
     gathering any group into one buffer.

@@ -97,7 +97,9 @@ class Prepared:
 def prepare(fs: FeatureSet, task: str) -> Prepared:
     """Split and impute (medians fitted on the training rows only)."""
     label = LABEL_COL if task == "classification" else TARGET_VALUE
-    base = fs.df.where(F.col(label).isNotNull())
+    # The feature frame (one row per date) is written once; the split's rank
+    # and hash passes then read the table instead of re-running the features.
+    base = materialize(fs.df.where(F.col(label).isNotNull()))
     split = materialize(three_way_split(base, "ts", LABEL_COL if task == "classification" else None,
                                         TEST_FRAC, VAL_FRAC, SEED))
     train = split.where(F.col("split") == "train")
@@ -182,7 +184,7 @@ def evaluate(p: Prepared, model: PipelineModel) -> DataFrame:
         labels = model.stages[2].labelsArray[0]
         pred = IndexToString(inputCol="prediction", outputCol="pred_label",
                              labels=list(labels)).transform(pred)
-        return S.classification_summary(S.confusion(pred, p.label_col, "pred_label"))
+        return S.classification_summary(materialize(S.confusion(pred, p.label_col, "pred_label")))
     return S.regression_metrics(pred, "label", "prediction")
 
 
