@@ -67,7 +67,7 @@ def f3_f4_moving_averages(spark, sf):
 
 def _feature_query(version):
     def q(spark, sf):
-        fs = build_feature_set(I.panel(spark, sf), version)
+        fs = I.feature_set(spark, sf, version)
         cols = []
         for c in fs.df.columns:
             if c in ("ts", LABEL_COL) or (c.endswith("_Volume") and not c.startswith("ratio_")):
@@ -169,7 +169,7 @@ def e14_classification_report(spark, sf):
 
 
 def _feature_sides(spark, sf, version="v3"):
-    fs = build_feature_set(I.panel(spark, sf), version)
+    fs = I.feature_set(spark, sf, version)
     return fs, I.sides(fs.df)
 
 
@@ -301,7 +301,7 @@ def i13_dummy_baseline(spark, sf):
 def i15_quality_report(spark, sf):
     """Per column of the v1 feature frame: missing count/share and exact
     5 % / 95 % quantiles; plus the label pattern share as its own row."""
-    fs = build_feature_set(I.panel(spark, sf), "v1")
+    fs = I.feature_set(spark, sf, "v1")
     df = fs.df
     cols = [c for c in numeric_columns(df)]
     mc = S.missing_counts(df, cols)
@@ -329,7 +329,7 @@ def b8_dropna_counts(spark, sf):
     (no column null) on each feature version."""
     out = None
     for v in ("v1", "v2", "v3"):
-        fs = build_feature_set(I.panel(spark, sf), v)
+        fs = I.feature_set(spark, sf, v)
         df = fs.df
         row = df.agg(
             F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows"),
@@ -410,7 +410,7 @@ def _store_with_versions(spark, sf):
     store = FeatureStore(spark, scratch_path(spark, "feature_store"))
     p = I.panel(spark, sf)
     for v in ("v1", "v2", "v3"):
-        store.save(build_feature_set(p, v), name=f"sentiment_{v}", description=f"features {v}")
+        store.save(I.feature_set(spark, sf, v), name=f"sentiment_{v}", description=f"features {v}")
     return store
 
 
@@ -420,7 +420,7 @@ def a6_a7_feature_store_roundtrip(spark, sf):
     from ..session import scratch_path
     from .store import FeatureStore
     store = FeatureStore(spark, scratch_path(spark, "feature_store"))
-    store.save(build_feature_set(I.panel(spark, sf), "v3"), name="sentiment_v3")
+    store.save(I.feature_set(spark, sf, "v3"), name="sentiment_v3")
     fs = store.load("sentiment_v3")
     return _round_features(fs.df)
 
@@ -506,7 +506,7 @@ def _sweep(spark, sf):
 
     def build():
         p = I.panel(spark, sf)
-        sets = [build_feature_set(p, v) for v in ("v1", "v2", "v3")]
+        sets = [I.feature_set(spark, sf, v) for v in ("v1", "v2", "v3")]
         return sweep(spark, sets, quick=True)
     return cached(spark, ("model_sweep", sf), build)
 
@@ -531,7 +531,7 @@ def j17_feature_importance(spark, sf):
     """Top-20 native importances of a random forest on v3 (classification)."""
     from .models import _pipeline, feature_importance, prepare
     from pyspark.ml.classification import RandomForestClassifier
-    fs = build_feature_set(I.panel(spark, sf), "v3")
+    fs = I.feature_set(spark, sf, "v3")
     p = prepare(fs, "classification")
     model = _pipeline(p, RandomForestClassifier(numTrees=100, seed=42)).fit(p.train)
     rows = [(i + 1, f, v) for i, (f, v) in enumerate(feature_importance(model, p.features))]
@@ -630,7 +630,7 @@ def j20_batch_scoring(spark, sf):
     from pyspark.ml.feature import IndexToString
     from ..session import scratch_path
     from .models import _pipeline, load_latest_model, prepare, save_model
-    fs = build_feature_set(I.panel(spark, sf), "v1")
+    fs = I.feature_set(spark, sf, "v1")
     p = prepare(fs, "classification")
     model = _pipeline(p, RandomForestClassifier(numTrees=20, seed=42)).fit(p.train)
     path = scratch_path(spark, "model_v1_classification")
@@ -649,7 +649,7 @@ def j16_regression_as_sentiment(spark, sf):
     thresholds and compared with the true labels (classification report)."""
     from pyspark.ml.regression import RandomForestRegressor
     from .models import _pipeline, prepare
-    fs = build_feature_set(I.panel(spark, sf), "v1")
+    fs = I.feature_set(spark, sf, "v1")
     p = prepare(fs, "regression")
     model = _pipeline(p, RandomForestRegressor(numTrees=20, seed=42)).fit(p.train)
     pred = model.transform(p.test)
@@ -689,14 +689,14 @@ def g3_best_of_version(spark, sf):
 def j13_budgeted_search(spark, sf, budget_sec: float = 30.0):
     """Seeded random search over forests until the time budget is spent."""
     from .models import budgeted_search, prepare
-    p = prepare(build_feature_set(I.panel(spark, sf), "v2"), "classification")
+    p = prepare(I.feature_set(spark, sf, "v2"), "classification")
     return budgeted_search(p, budget_sec=budget_sec, max_trials=6)
 
 
 def j21_cross_validation(spark, sf):
     """5-fold cross-validated accuracy of a forest on v1."""
     from .models import cross_validate, prepare
-    p = prepare(build_feature_set(I.panel(spark, sf), "v1"), "classification")
+    p = prepare(I.feature_set(spark, sf, "v1"), "classification")
     return spark.createDataFrame([("v1", "classification", 5, cross_validate(p, 5))],
                                  "version string, task string, folds int, cv_accuracy double")
 

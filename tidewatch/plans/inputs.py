@@ -23,8 +23,27 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wide_panel(spark: SparkSession, sf: str) -> DataFrame:
-    p = panel(spark, sf)
-    return to_wide(p, list_symbols(p))
+    """One row per date, ``{SYMBOL}_{Metric}`` columns (materialized once)."""
+    def build():
+        p = panel(spark, sf)
+        return to_wide(p, list_symbols(p))
+    return cached(spark, ("wide_panel", sf), build)
+
+
+def feature_set(spark: SparkSession, sf: str, version: str):
+    """The v1/v2/v3 feature set, materialized once per application (one row
+    per date; every report and model reads the table)."""
+    from ..operators.features import FeatureSet, build_feature_set
+    holder = {}
+
+    def build():
+        fs = build_feature_set(panel(spark, sf), version)
+        holder["features"] = fs.features
+        return fs.df
+    df = cached(spark, ("feature_set", sf, version), build)
+    feats = holder.get("features") or [c for c in df.columns
+                                        if c not in ("ts", "Target_Value", "Market_Sentiment")]
+    return FeatureSet(version=version, df=df, features=feats)
 
 
 def dense_panel(spark: SparkSession, sf: str) -> DataFrame:
