@@ -73,3 +73,16 @@ def test_single_window_path_equals_blocked(spark, data):
     blocked = {(r.g, r.v): (r.n_cum, r.n_total)
                for r in cumulative_counts(df, ["g"], "v", n_blocks=6).collect()}
     assert auto == blocked
+
+
+def test_features_invariant_to_partitioning(spark):
+    from tidewatch.operators.features import series_features
+    rnd = random.Random(11)
+    rows = [(s, d, None if rnd.random() < 0.2 else float(rnd.randint(1, 50)))
+            for s in "abc" for d in range(80)]
+    df = spark.createDataFrame(rows, "symbol string, ts int, price double")
+    one = {(r.symbol, r.ts): (r.ret_pct, r.ma7, r.ma30)
+           for r in series_features(df.repartition(1)).collect()}
+    many = {(r.symbol, r.ts): (r.ret_pct, r.ma7, r.ma30)
+            for r in series_features(df.repartition(8, "ts")).collect()}
+    assert one == many

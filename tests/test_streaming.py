@@ -32,3 +32,32 @@ def test_live_labels_cover_every_event(spark, tmp_path):
     assert {r.label for r in lab.select("label").distinct().collect()} <= {"fear", "stable", "greed"}
     ref = reference_stats(spark.read.parquet(path)).collect()
     assert len(ref) == 5
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
+    """Two files, one micro-batch each: the second holds one on-time row and
+    one row older than the watermark; only the on-time row is counted."""
+    import datetime as dt
+    from tidewatch.streaming.monitor import event_stream, windowed_stats
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    src = tmp_path / "events"
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    first = [(i, t0 + dt.timedelta(minutes=10 * i), "a", 1.0) for i in range(30)]  # 5 hours
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(str(src / "b1"))
+    late = [(100, t0 + dt.timedelta(minutes=5), "a", 50.0),            # far behind watermark
+            (101, t0 + dt.timedelta(hours=5, minutes=30), "a", 2.0)]   # on time
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(str(src / "b2"))
+    files = sorted(str(p) for p in src.rglob("*.parquet"))
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    import shutil
+    for i, f in enumerate(files):
+        shutil.copy(f, flat / f"part-{i}.parquet")
+    stream = event_stream(spark, str(flat), spark.read.parquet(files[0]).schema,
+                          max_files_per_trigger=1)
+    q = (windowed_stats(stream).writeStream.outputMode("append").format("parquet")
+         .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = {r.window_start: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert rows[t0] == 6          # the late row for 00:00-01:00 was dropped
