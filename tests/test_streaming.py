@@ -35,29 +35,36 @@ def test_live_labels_cover_every_event(spark, tmp_path):
 
 
 def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
-    """Two files, one micro-batch each: the second holds one on-time row and
-    one row older than the watermark; only the on-time row is counted."""
+    """Three files, one micro-batch each.  Spark filters late rows with the
+    watermark of the previous batch, so the late row comes one batch after
+    the watermark has moved: 5 h of data, then an on-time row, then a row
+    older than the watermark.  Only the on-time rows are counted."""
     import datetime as dt
+    import os
+    import shutil
     from tidewatch.streaming.monitor import event_stream, windowed_stats
     schema = "event_id long, ts timestamp_ntz, event_type string, value double"
-    src = tmp_path / "events"
     t0 = dt.datetime(2024, 1, 1, 0, 0)
-    first = [(i, t0 + dt.timedelta(minutes=10 * i), "a", 1.0) for i in range(30)]  # 5 hours
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(str(src / "b1"))
-    late = [(100, t0 + dt.timedelta(minutes=5), "a", 50.0),            # far behind watermark
-            (101, t0 + dt.timedelta(hours=5, minutes=30), "a", 2.0)]   # on time
-    spark.createDataFrame(late, schema).coalesce(1).write.parquet(str(src / "b2"))
-    files = sorted(str(p) for p in src.rglob("*.parquet"))
+    batches = [[(i, t0 + dt.timedelta(minutes=10 * i), "a", 1.0) for i in range(30)],  # 5 hours
+               [(101, t0 + dt.timedelta(hours=5, minutes=30), "a", 2.0)],               # on time
+               [(100, t0 + dt.timedelta(minutes=5), "a", 50.0)]]                        # late
     flat = tmp_path / "flat"
     flat.mkdir()
-    import shutil
-    for i, f in enumerate(files):
+    for i, rows in enumerate(batches):
+        d = tmp_path / f"b{i}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(d))
+        f = next(d.glob("*.parquet"))
         shutil.copy(f, flat / f"part-{i}.parquet")
-    stream = event_stream(spark, str(flat), spark.read.parquet(files[0]).schema,
+        # The file source orders files by modification time: make it explicit.
+        os.utime(flat / f"part-{i}.parquet", (1_700_000_000 + 100 * i,) * 2)
+    stream = event_stream(spark, str(flat), spark.read.parquet(str(flat / "part-0.parquet")).schema,
                           max_files_per_trigger=1)
     q = (windowed_stats(stream).writeStream.outputMode("append").format("parquet")
          .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for s in p["stateOperators"])
     rows = {r.window_start: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert rows[t0] == 6          # the late row for 00:00-01:00 was dropped
+    assert dropped == 1
