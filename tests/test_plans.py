@@ -49,3 +49,17 @@ def test_feature_store_load_prunes_partitions(spark, tmp_path):
     files = fs.df.inputFiles()
     assert files and all("set_name=b" in f for f in files)
     assert fs.df.count() == p.select("ts").distinct().count()
+
+
+def test_bounded_broadcast_only_below_the_bound(spark):
+    from tidewatch.session import bounded_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = events_series(spark, SF01)
+        ref = ev.groupBy("symbol").agg(F.avg("value").alias("m"))
+        small = _plan(ev.join(bounded_broadcast(ref, max_rows=100), "symbol"))
+        big = _plan(ev.join(bounded_broadcast(ref, max_rows=2), "symbol"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big

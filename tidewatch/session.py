@@ -114,3 +114,20 @@ def materialize(df, key: tuple | None = None):
     if key is not None:
         _MATERIALIZED[full] = out
     return out
+
+
+# Largest frame (rows) shipped to every executor by a forced broadcast.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else
+    ``df`` unchanged (Spark then shuffles both sides on the key).
+
+    Meant for small derived frames (one row per symbol, per feature) that
+    are already materialized; the check is one count that stops reading
+    after ``max_rows + 1`` rows.
+    """
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

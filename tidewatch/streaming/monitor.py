@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalar import threshold_label
-from ..session import scratch_path
+from ..session import bounded_broadcast, materialize, scratch_path
 
 # Fixed values of the monitoring set-up: hourly windows, drift threshold.
 WINDOW = "1 hour"
@@ -44,7 +44,9 @@ def event_stream(spark: SparkSession, path: str, schema: StructType,
 
 
 def reference_stats(static_events: DataFrame) -> DataFrame:
-    """Per-symbol mean / std / count over the static reference data."""
+    """Per-symbol mean / std / count over the static reference data.  The
+    stream jobs materialize it once, so micro-batches never rescan the
+    static table."""
     ev = static_events.select(F.col("event_type").alias("symbol"), "value")
     return ev.groupBy("symbol").agg(F.avg("value").alias("ref_mean"),
                                     F.stddev_samp("value").alias("ref_std"),
@@ -64,8 +66,9 @@ def windowed_stats(stream: DataFrame, window: str = WINDOW, watermark: str = WAT
 
 def with_alerts(windows: DataFrame, ref: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """Relative mean shift of each window against the reference; alert
-    when it exceeds ``threshold``.  The reference has one row per symbol."""
-    j = windows.join(F.broadcast(ref), "symbol", "left")
+    when it exceeds ``threshold``.  The reference has one row per symbol:
+    broadcast when its size is within the bound, else a shuffled join."""
+    j = windows.join(bounded_broadcast(ref), "symbol", "left")
     shift = F.abs(F.try_divide(F.col("mean") - F.col("ref_mean"), F.col("ref_mean")))
     return j.select("window_start", "window_end", "symbol", "n", "mean", "std",
                     shift.alias("mean_shift"),
@@ -77,7 +80,7 @@ def run_windowed_monitoring(spark: SparkSession, events_path: str, out: str | No
     """Start M1; with ``available_now`` wait for it to finish and return the
     output path.  Windows are emitted when the watermark passes their end."""
     schema = spark.read.parquet(events_path).schema
-    ref = reference_stats(spark.read.parquet(events_path))
+    ref = materialize(reference_stats(spark.read.parquet(events_path)))
     out = out or scratch_path(spark, "m1_windows")
     checkpoint = checkpoint or scratch_path(spark, "m1_checkpoint")
     wins = windowed_stats(event_stream(spark, events_path, schema))
@@ -92,8 +95,9 @@ def run_windowed_monitoring(spark: SparkSession, events_path: str, out: str | No
 
 def live_labels(stream: DataFrame, ref: DataFrame) -> DataFrame:
     """Label each event by its symbol's reference mean +- std (stateless
-    stream-static join against a broadcast per-symbol frame)."""
-    j = stream.join(F.broadcast(ref), "symbol", "left")
+    stream-static join against the per-symbol frame, broadcast when its
+    size is within the bound)."""
+    j = stream.join(bounded_broadcast(ref), "symbol", "left")
     return j.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), "value",
                     threshold_label(F.col("value"), F.col("ref_mean"), F.col("ref_std"))
                     .alias("label"))
@@ -102,7 +106,7 @@ def live_labels(stream: DataFrame, ref: DataFrame) -> DataFrame:
 def run_live_labels(spark: SparkSession, events_path: str, out: str | None = None,
                     checkpoint: str | None = None) -> str:
     schema = spark.read.parquet(events_path).schema
-    ref = reference_stats(spark.read.parquet(events_path))
+    ref = materialize(reference_stats(spark.read.parquet(events_path)))
     out = out or scratch_path(spark, "m2_labels")
     checkpoint = checkpoint or scratch_path(spark, "m2_checkpoint")
     q = (live_labels(event_stream(spark, events_path, schema), ref).writeStream
