@@ -387,6 +387,7 @@ def catalog() -> dict[str, Query]:
         **more_catalog(),
         **extra_catalog(),
         **last_catalog(),
+        **request_catalog(),
     }
 
 
@@ -705,3 +706,44 @@ def last_catalog() -> dict[str, Query]:
     return {"h4_cross_ratios": h4_cross_ratios, "g3_best_of_version": g3_best_of_version,
             "j13_budgeted_search": j13_budgeted_search,
             "j21_cross_validation": j21_cross_validation}
+
+
+# ---- scoring requests (nested JSON documents) ------------------------------
+
+def _request_docs(spark, sf, version="v2"):
+    """Write the ``version`` feature rows as scoring requests
+    ``{"instances": [...]}``, one document per month, and return the folder.
+
+    A month holds at most 31 dates, so each collected group is bounded;
+    ``partitionBy(month)`` puts one document in each file, the layout the
+    multi-line JSON reader expects."""
+    from ..session import scratch_path
+    fs = I.feature_set(spark, sf, version)
+    inst = F.struct(F.col("ts"), *[F.col(c) for c in fs.features])
+    docs = (fs.df.groupBy(F.date_format("ts", "yyyy-MM").alias("month"))
+            .agg(F.collect_list(inst).alias("instances")))
+    path = scratch_path(spark, "requests")
+    docs.write.partitionBy("month").option("ignoreNullFields", False).json(path)
+    return path, fs.features
+
+
+def a13_request_scan(spark, sf):
+    """Requests read back with the multi-line JSON reader, one row per
+    instance, rounded like ``i3_features_v2`` (without target and label)."""
+    from ..sources.files import read_requests
+    path, feats = _request_docs(spark, sf, "v2")
+    req = read_requests(spark, path)
+    return _round_features(req.select(F.to_date("ts").alias("ts"), *feats))
+
+
+def b13_request_schema_check(spark, sf):
+    """v2 requests checked against the v3 feature list: the ratio features
+    are missing, ``ts`` is extra (rows ``column, problem``)."""
+    from ..sources.files import read_requests, request_schema_check
+    path, _ = _request_docs(spark, sf, "v2")
+    return request_schema_check(read_requests(spark, path), I.feature_set(spark, sf, "v3").features)
+
+
+def request_catalog() -> dict[str, Query]:
+    return {"a13_request_scan": a13_request_scan,
+            "b13_request_schema_check": b13_request_schema_check}

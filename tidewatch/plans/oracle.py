@@ -428,6 +428,16 @@ FROM g GROUP BY feature"""
     cross_cols = [c for c in feats_x if "_over_" in c and c.endswith("_Volatility")]
     q["h4_cross_ratios"] = _with(PANEL, MARKET, TH, cte_x) + "SELECT ts, " + ", ".join(
         f'round("{c}" + {{OFF3}}, 3) AS "{c}"' for c in cross_cols) + " FROM fs"
+    cte_2, feats_2 = _feature_cte("v2")
+    q["a13_request_scan"] = _with(PANEL, MARKET, TH, cte_2) + "SELECT ts, " + ", ".join(
+        _round_feature(c) for c in feats_2) + " FROM fs"
+    q["b13_request_schema_check"] = """WITH segs AS (
+  SELECT DISTINCT c.c_mktsegment AS s FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+kinds AS (SELECT * FROM (VALUES ('Price'), ('Volume')) k(kind))
+SELECT 'ratio_' || a.s || '_' || kind || '_over_' || b.s || '_' || kind AS "column",
+       'missing' AS problem
+FROM segs a JOIN segs b ON a.s < b.s CROSS JOIN kinds
+UNION ALL SELECT 'ts' AS "column", 'extra' AS problem"""
     for k, v in q.items():
         q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q
