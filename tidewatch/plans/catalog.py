@@ -388,6 +388,7 @@ def catalog() -> dict[str, Query]:
         **extra_catalog(),
         **last_catalog(),
         **request_catalog(),
+        **document_catalog(),
     }
 
 
@@ -499,17 +500,26 @@ def i11_dataset_drift(spark, sf):
 
 # ---- models -------------------------------------------------------------------
 
-def _sweep(spark, sf):
+def _sweep_parts(spark, sf):
     """Smoke-run sweep (seeded, small tree and iteration counts; the library
-    defaults are the reference's 100 trees / 1000 / 500 iterations)."""
+    defaults are the reference's 100 trees / 1000 / 500 iterations): the run
+    rows and the candidate rows, both materialized once per application."""
     from ..session import cached
     from .models import sweep
+    holder = {}
 
     def build():
-        p = I.panel(spark, sf)
         sets = [I.feature_set(spark, sf, v) for v in ("v1", "v2", "v3")]
-        return sweep(spark, sets, quick=True)
-    return cached(spark, ("model_sweep", sf), build)
+        res, trials = sweep(spark, sets, quick=True, with_trials=True)
+        holder["trials"] = trials
+        return res
+    res = cached(spark, ("model_sweep", sf), build)
+    trials = cached(spark, ("model_trials", sf), lambda: holder["trials"])
+    return res, trials
+
+
+def _sweep(spark, sf):
+    return _sweep_parts(spark, sf)[0]
 
 
 def j18_model_sweep(spark, sf):
@@ -747,3 +757,37 @@ def b13_request_schema_check(spark, sf):
 def request_catalog() -> dict[str, Query]:
     return {"a13_request_scan": a13_request_scan,
             "b13_request_schema_check": b13_request_schema_check}
+
+
+# ---- nested result documents -------------------------------------------------
+
+def _documents_path(spark, sf):
+    """Run documents (run fields + ``candidates`` array) written as JSON
+    lines to the shared folder; returns the path and the schema."""
+    from ..session import scratch_path
+    from ..sources.files import write_results
+    from .models import result_documents
+    docs = result_documents(*_sweep_parts(spark, sf))
+    path = scratch_path(spark, "run_documents")
+    write_results(docs, path, mode="overwrite")
+    return path, docs.schema
+
+
+def a14_result_documents(spark, sf):
+    """Result-document sink and scan: one nested document per run."""
+    path, schema = _documents_path(spark, sf)
+    back = spark.read.schema(schema).json(path)
+    return back.select("version", "task", "best_model", "status",
+                       F.size("candidates").alias("n_candidates"))
+
+
+def h6_flatten_candidates(spark, sf):
+    """Nested run documents flattened to one row per candidate."""
+    from .models import flatten_candidates
+    path, schema = _documents_path(spark, sf)
+    return flatten_candidates(spark.read.schema(schema).json(path))
+
+
+def document_catalog() -> dict[str, Query]:
+    return {"a14_result_documents": a14_result_documents,
+            "h6_flatten_candidates": h6_flatten_candidates}

@@ -45,6 +45,12 @@ RESULT_SCHEMA = StructType([
     StructField("duration_sec", DoubleType(), True), StructField("status", StringType(), True),
     StructField("automl_available", BooleanType(), True)])
 
+TRIAL_SCHEMA = StructType([
+    StructField("version", StringType(), False), StructField("task", StringType(), False),
+    StructField("position", LongType(), False), StructField("model", StringType(), True),
+    StructField("val_metric", DoubleType(), True), StructField("duration_sec", DoubleType(), True),
+    StructField("status", StringType(), True)])
+
 
 def classification_candidates(n_features: int, n_classes: int, quick: bool = False,
                               include_svm: bool = False):
@@ -204,18 +210,45 @@ def run_experiment(fs: FeatureSet, task: str, quick: bool = False) -> tuple:
 
 
 def sweep(spark, feature_sets: list[FeatureSet], tasks=("classification", "regression"),
-          quick: bool = False) -> DataFrame:
-    """Versions x tasks; each run recorded (failures as ``FAILED`` rows)."""
-    rows = []
+          quick: bool = False, with_trials: bool = False):
+    """Versions x tasks; each run recorded (failures as ``FAILED`` rows).
+    With ``with_trials`` also every candidate of every run (``TRIAL_SCHEMA``)."""
+    rows, trial_rows = [], []
     for fs in feature_sets:
         for task in tasks:
             try:
-                row, _, _ = run_experiment(fs, task, quick)
+                row, trials, _ = run_experiment(fs, task, quick)
             except Exception:  # noqa: BLE001
-                row = (fs.version, task, "FAILED", len(fs.features), None, None, None, None,
-                       None, None, None, "FAILED", False)
+                row, trials = (fs.version, task, "FAILED", len(fs.features), None, None, None,
+                               None, None, None, None, "FAILED", False), []
             rows.append(row)
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+            trial_rows += [(fs.version, task, i, *t) for i, t in enumerate(trials)]
+    results = spark.createDataFrame(rows, RESULT_SCHEMA)
+    if with_trials:
+        return results, spark.createDataFrame(trial_rows, TRIAL_SCHEMA)
+    return results
+
+
+def result_documents(results: DataFrame, trials: DataFrame) -> DataFrame:
+    """One nested document per run: the run's fields plus
+    ``candidates: array<struct>`` in candidate order.  A run has a handful
+    of candidates, so each collected group is bounded."""
+    cand = F.struct("position", "model", "val_metric", "duration_sec", "status")
+    docs = trials.groupBy("version", "task").agg(
+        F.array_sort(F.collect_list(cand)).alias("candidates"))
+    return results.join(docs, ["version", "task"], "left")
+
+
+def flatten_candidates(docs: DataFrame) -> DataFrame:
+    """Nested documents -> one row per candidate (``explode_outer`` keeps
+    runs without candidates as one row with NULL candidate fields)."""
+    return (docs.select("version", "task", "best_model",
+                        F.explode_outer("candidates").alias("c"))
+            .select("version", "task", F.col("c.position").alias("position"),
+                    F.col("c.model").alias("model"), F.col("c.val_metric").alias("val_metric"),
+                    F.col("c.status").alias("status"),
+                    F.coalesce(F.col("c.model") == F.col("best_model"), F.lit(False))
+                    .alias("is_best")))
 
 
 def feature_importance(model: PipelineModel, features: list[str], top: int = 20) -> list:
