@@ -389,6 +389,7 @@ def catalog() -> dict[str, Query]:
         **last_catalog(),
         **request_catalog(),
         **document_catalog(),
+        **ranking_catalog(),
     }
 
 
@@ -791,3 +792,27 @@ def h6_flatten_candidates(spark, sf):
 def document_catalog() -> dict[str, Query]:
     return {"a14_result_documents": a14_result_documents,
             "h6_flatten_candidates": h6_flatten_candidates}
+
+
+# ---- multi-key ranking -------------------------------------------------------
+
+def g2_forecaster_ranking(spark, sf):
+    """Moving-average forecasters of each series ranked inside the series
+    by RMSE ascending, MAE ascending, R^2 descending (name breaks ties).
+    The window partitions by symbol and holds one row per forecaster."""
+    from pyspark.sql import Window
+    f = series_features(I.dense_panel(spark, sf))
+    fc = f.select("symbol", "price", F.explode(F.array(
+        F.struct(F.lit("ma7").alias("forecaster"), F.col("ma7").alias("pred")),
+        F.struct(F.lit("ma30").alias("forecaster"), F.col("ma30").alias("pred")))).alias("x"))
+    m = S.regression_metrics(fc.select("symbol", "price", "x.*"), "price", "pred",
+                             by=["symbol", "forecaster"])
+    w = Window.partitionBy("symbol").orderBy(F.asc("rmse"), F.asc("mae"), F.desc("r2"),
+                                             F.asc("forecaster"))
+    return m.select("symbol", "forecaster", "n", _r("mae", 5).alias("mae"),
+                    _r("rmse", 5).alias("rmse"), _r("r2", 8).alias("r2"),
+                    F.row_number().over(w).cast("long").alias("rank"))
+
+
+def ranking_catalog() -> dict[str, Query]:
+    return {"g2_forecaster_ranking": g2_forecaster_ranking}

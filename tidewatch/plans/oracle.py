@@ -438,6 +438,17 @@ SELECT 'ratio_' || a.s || '_' || kind || '_over_' || b.s || '_' || kind AS "colu
        'missing' AS problem
 FROM segs a JOIN segs b ON a.s < b.s CROSS JOIN kinds
 UNION ALL SELECT 'ts' AS "column", 'extra' AS problem"""
+    q["g2_forecaster_ranking"] = _with(PANEL, DENSE) + """,
+fc AS (SELECT symbol, 'ma7' AS forecaster, price, ma7 AS pred FROM feat
+       UNION ALL SELECT symbol, 'ma30' AS forecaster, price, ma30 AS pred FROM feat),
+m AS (SELECT symbol, forecaster, count(*) AS n, avg(abs(pred - price)) AS mae,
+             sqrt(avg((pred - price) * (pred - price))) AS rmse,
+             1.0 - sum((pred - price) * (pred - price)) / (var_pop(price) * count(*)) AS r2
+      FROM fc WHERE price IS NOT NULL AND pred IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY rmse, mae, r2 DESC, forecaster)
+             AS rk FROM m)
+SELECT symbol, forecaster, n, round(mae + {OFF5}, 5) AS mae, round(rmse + {OFF5}, 5) AS rmse,
+       round(r2 + {OFF8}, 8) AS r2, rk AS rank FROM r"""
     for k, v in q.items():
         q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q
