@@ -63,3 +63,21 @@ def test_feature_groups(spark, tmp_path):
     assert g == {"Price": ["A_Price_ret_pct"], "derived_indicators": ["ratio_A_over_B"]}
     empty = files.read_feature_metadata(spark, str(tmp_path / "none.csv"))
     assert empty.count() == 0 and empty.columns == ["Category", "Feature"]
+
+
+def test_dual_location_save_and_ordered_load(spark, tmp_path):
+    """Save writes every root; load prefers the chosen root and falls back
+    to the next one that holds a registry."""
+    from tidewatch.operators.features import build_feature_set
+    from tidewatch.plans.store import FeatureStore
+    from tidewatch.sources.tables import daily_panel
+    a, b, empty = str(tmp_path / "local"), str(tmp_path / "remote"), str(tmp_path / "missing")
+    fs = build_feature_set(daily_panel(spark, "/root/testdata/sf0.001"), "v1")
+    out = FeatureStore(spark, [a, b]).save(fs, name="s1")
+    assert out["data"] == [f"{a}/data", f"{b}/data"]
+    for root in (a, b):
+        assert spark.read.parquet(f"{root}/registry").count() == 1
+    assert FeatureStore(spark, [a, b], prefer=1)._read_root() == b
+    fallback = FeatureStore(spark, [empty, a], prefer=0)
+    assert fallback._read_root() == a
+    assert fallback.load("s1").df.count() == fs.df.count()
