@@ -27,15 +27,88 @@ LABEL_COL = "Market_Sentiment"
 
 
 def series_features(long_df: DataFrame, value: str = "price", ma_windows=MA_WINDOWS,
-                    part: str = "symbol", order: str = "ts") -> DataFrame:
+                    part: str = "symbol", order: str = "ts",
+                    block_rows: int | None = None) -> DataFrame:
     """Adds ``ret_pct`` (forward-filled lag-1 percent return) and ``ma{n}``
-    (mean of the last n rows, NULLs skipped, at least one value)."""
+    (mean of the last n rows, NULLs skipped, at least one value).
+
+    Small inputs (Catalyst size estimate within the single-window bound) use
+    one window partition per series.  Larger inputs, or an explicit
+    ``block_rows``, use :func:`series_features_blocked`, so a long or hot
+    series is never sorted in one task.
+    """
+    from .ranks import SINGLE_WINDOW_MAX_BYTES, estimated_bytes
+    if block_rows is None:
+        est = estimated_bytes(long_df)
+        if est is None or est > SINGLE_WINDOW_MAX_BYTES:
+            block_rows = DEFAULT_BLOCK_ROWS
+    if block_rows is not None:
+        return series_features_blocked(long_df, value, ma_windows, part, order, block_rows)
     w = Window.partitionBy(part).orderBy(order)
     filled = long_df.withColumn(
         "_ff", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    extra = [pct_change(F.col("_ff"), F.lag("_ff", 1).over(w)).alias("ret_pct")]
-    extra += [F.avg(value).over(w.rowsBetween(-(n - 1), 0)).alias(f"ma{n}") for n in ma_windows]
-    return filled.select(*long_df.columns, *extra)
+    return filled.select(*long_df.columns, *_feature_exprs(value, "_ff", w, ma_windows))
+
+
+def _feature_exprs(value: str, ff: str, w, ma_windows):
+    out = [pct_change(F.col(ff), F.lag(ff, 1).over(w)).alias("ret_pct")]
+    out += [F.avg(value).over(w.rowsBetween(-(n - 1), 0)).alias(f"ma{n}") for n in ma_windows]
+    return out
+
+
+# Rows per block of the blocked series path (plus the halo rows copied in).
+DEFAULT_BLOCK_ROWS = 1_000_000
+
+
+def series_features_blocked(long_df: DataFrame, value: str = "price", ma_windows=MA_WINDOWS,
+                            part: str = "symbol", order: str = "ts",
+                            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Same result as the single-window path, computed in bounded blocks.
+
+    1. Exact position of every row in its series (``dense_rank_of``: a
+       blocked prefix sum, no global sort in one task); ``(part, order)``
+       must be unique, as in a densified panel.  The ranked frame is
+       materialized once.
+    2. Block = position // ``block_rows``; the last ``halo`` rows of each
+       block (halo = longest moving window - 1, at least 1 for the lag) are
+       also copied into the next block.
+    3. Forward fill across blocks: each block's last non-NULL value, carried
+       forward by a window over the small ``series x blocks`` frame.
+    4. Windows partitioned by ``(part, block)`` over own + halo rows; only
+       own rows are kept.
+    """
+    from ..session import materialize
+    from .ranks import dense_rank_of
+    halo = max([n - 1 for n in ma_windows] + [1])
+    if block_rows <= halo:
+        raise ValueError(f"block_rows must exceed the halo of {halo} rows")
+    pos = dense_rank_of(long_df.select(part, order), [part], order).select(
+        part, order, (F.col("rank") - 1).alias("_pos"))
+    # written once to the shared checkpoint folder: both the halo copies and
+    # the per-block carry read it, and the (large) input runs once
+    ranked = materialize(long_df.join(pos, [part, order]))
+    blk = F.floor(F.col("_pos") / block_rows).cast("long")
+    in_halo_of_next = (F.col("_pos") % block_rows) >= (block_rows - halo)
+    copies = F.when(in_halo_of_next, F.array(
+        F.struct(blk.alias("_blk"), F.lit(False).alias("_halo")),
+        F.struct((blk + 1).alias("_blk"), F.lit(True).alias("_halo")))).otherwise(
+        F.array(F.struct(blk.alias("_blk"), F.lit(False).alias("_halo"))))
+    spread = ranked.select("*", F.explode(copies).alias("_c")).select(
+        *long_df.columns, "_pos", "_c._blk", "_c._halo")
+
+    # last non-NULL value of each block, carried into the following blocks
+    last_in_block = ranked.groupBy(part, blk.alias("_blk")).agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_pos"))).alias("_last"))
+    wb = Window.partitionBy(part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_block.select(part, "_blk", F.last("_last", ignorenulls=True).over(wb)
+                                 .alias("_carry"))
+
+    w = Window.partitionBy(part, "_blk").orderBy("_pos")
+    local_ff = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    filled = (spread.join(carry, [part, "_blk"], "left")
+              .withColumn("_ff", F.coalesce(local_ff, F.col("_carry"))))
+    out = filled.select(*long_df.columns, "_halo", *_feature_exprs(value, "_ff", w, ma_windows))
+    return out.where(~F.col("_halo")).drop("_halo")
 
 
 def pair_ratio_columns(cols: list[str], strict: bool = True):
