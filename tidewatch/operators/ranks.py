@@ -36,7 +36,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (from file sizes and projections;
     conservative after aggregations).  None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        # py4j returns the Scala BigInt as a Python int; str() covers both
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
         return None
 

@@ -8,7 +8,14 @@ from ..operators import drift as D
 from ..operators.features import series_features
 from ..operators.panel import densify, list_symbols
 from ..operators.split import chronological_split
-from ..sources.tables import lineitem_panel
+from ..session import cached
+from ..sources.tables import lineitem_panel as _lineitem_panel
+
+
+def lineitem_panel(spark, sf):
+    """Brands x ship days, built once per application and materialized (the
+    scan + join + partial aggregation of lineitem runs once)."""
+    return cached(spark, ("lineitem_panel", sf), lambda: _lineitem_panel(spark, sf))
 
 
 def lineitem_features(spark, sf):
