@@ -223,6 +223,13 @@ def _numeric_drift(spark, sf):
     return cached(spark, ("numeric_drift", sf), lambda: D.numeric_drift(I.drift_long(spark, sf)))
 
 
+def _target_drift(spark, sf):
+    """Chi-square target drift row (with p-value), materialized once."""
+    from ..session import cached
+    return cached(spark, ("target_drift", sf),
+                  lambda: D.target_drift(_label_sides(spark, sf), LABEL_COL))
+
+
 def d1_category_alignment(spark, sf):
     return D.category_alignment(_label_sides(spark, sf), LABEL_COL)
 
@@ -263,7 +270,7 @@ def i8_drift_report(spark, sf):
 
 def i10_drift_summary(spark, sf):
     feats = _numeric_drift(spark, sf)
-    tgt = materialize(D.target_drift(_label_sides(spark, sf), LABEL_COL))
+    tgt = _target_drift(spark, sf)
     return D.drift_summary(feats, tgt)
 
 
@@ -475,10 +482,12 @@ def _monitoring_parts(spark, sf):
     syms = list_symbols(p)
     wide = to_wide(p, syms).join(I.market(spark, sf), "ts")
     lab = add_sentiment(wide, "Target_Price", LABEL_COL)
-    wide_s = I.sides(lab)
+    # one row per date; every check of the suite reads it: materialize once
+    from ..session import cached
+    wide_s = cached(spark, ("monitoring_wide", sf), lambda: I.sides(lab))
     cols = [c for c in wide.columns if c != "ts"]
     feats = _numeric_drift(spark, sf)
-    tgt = materialize(D.target_drift(_label_sides(spark, sf), LABEL_COL))
+    tgt = _target_drift(spark, sf)
     return wide_s, cols, feats, tgt, f"{syms[0]}_Price"
 
 

@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 from ..operators import drift as D
 from ..operators.features import LABEL_COL
 
@@ -51,7 +53,8 @@ def test_suite(wide: DataFrame, cols: list[str], feature_drift: DataFrame,
     Dataset checks compare the current side with the reference side (not
     worse); drift checks use the per-feature flags; mean-in-sigma and value
     range use the reference statistics of the key feature / target."""
-    prof = _side_profile(wide, cols)
+    # two rows (ref, cur); eight scalar subqueries read it, so write it once
+    prof = materialize(_side_profile(wide, cols))
     r = prof.where(F.col("side") == "ref").select(*[F.col(c).alias(f"r_{c}") for c in prof.columns])
     c = prof.where(F.col("side") == "cur").select(*[F.col(x).alias(f"c_{x}") for x in prof.columns])
     ref = wide.where(F.col("side") == "ref")
