@@ -63,3 +63,23 @@ def test_bounded_broadcast_only_below_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small
     assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+
+
+def test_size_estimate_drives_the_window_path(spark):
+    """The optimizer's size estimate is read (not None), small inputs take
+    the one-window path, and a size beyond the bound takes the blocked one."""
+    from tidewatch.operators import ranks
+    from tidewatch.operators.features import series_features
+    est = ranks.estimated_bytes(spark.read.parquet(f"{SF01}/orders.parquet"))
+    assert isinstance(est, int) and est > 0
+    small = spark.range(100).select((F.col("id") % 3).alias("symbol"),
+                                    F.col("id").alias("ts"), F.col("id").cast("double").alias("price"))
+    assert ranks.choose_blocks(small, None) == 1
+    assert "_blk" not in _plan(series_features(small))
+    old = ranks.SINGLE_WINDOW_MAX_BYTES
+    try:
+        ranks.SINGLE_WINDOW_MAX_BYTES = 0
+        assert ranks.choose_blocks(small, None) == ranks.DEFAULT_BLOCKS
+        assert "_blk" in _plan(series_features(small))
+    finally:
+        ranks.SINGLE_WINDOW_MAX_BYTES = old
