@@ -76,3 +76,59 @@ def test_drift_summary_no_drift(spark):
     assert s.features_tested == 1 and s.features_with_drift == 0
     assert s.drift_percentage == 0.0 and s.overall_drift_detected is False
     assert s.data_quality_score == 100.0
+
+
+# The feature lists recorded by the reference for v1 / v2 / v3
+# (20 / 30 / 50 names; v2 adds the moving averages, v3 the ratios).
+RECORDED_V1 = ["BAMLH0A0HYM2", "CPIAUCSL", "DGS10", "GLD_Price_ret_pct", "GLD_Volatility",
+               "GLD_Volume", "HOUST", "HYG_Price_ret_pct", "HYG_Volatility", "HYG_Volume",
+               "QQQ_Price_ret_pct", "QQQ_Volatility", "QQQ_Volume", "SPY_Price_ret_pct",
+               "SPY_Volatility", "SPY_Volume", "TLT_Price_ret_pct", "TLT_Volatility",
+               "TLT_Volume", "UMCSENT"]
+RECORDED_V2_EXTRA = ["GLD_Price_ma30", "GLD_Price_ma7", "HYG_Price_ma30", "HYG_Price_ma7",
+                     "QQQ_Price_ma30", "QQQ_Price_ma7", "SPY_Price_ma30", "SPY_Price_ma7",
+                     "TLT_Price_ma30", "TLT_Price_ma7"]
+RECORDED_V3_EXTRA = [
+    "ratio_GLD_Price_over_HYG_Price", "ratio_GLD_Price_over_TLT_Price",
+    "ratio_GLD_Volume_over_HYG_Volume", "ratio_GLD_Volume_over_TLT_Volume",
+    "ratio_HYG_Price_over_TLT_Price", "ratio_HYG_Volume_over_TLT_Volume",
+    "ratio_QQQ_Price_over_GLD_Price", "ratio_QQQ_Price_over_HYG_Price",
+    "ratio_QQQ_Price_over_TLT_Price", "ratio_QQQ_Volume_over_GLD_Volume",
+    "ratio_QQQ_Volume_over_HYG_Volume", "ratio_QQQ_Volume_over_TLT_Volume",
+    "ratio_SPY_Price_over_GLD_Price", "ratio_SPY_Price_over_HYG_Price",
+    "ratio_SPY_Price_over_QQQ_Price", "ratio_SPY_Price_over_TLT_Price",
+    "ratio_SPY_Volume_over_GLD_Volume", "ratio_SPY_Volume_over_HYG_Volume",
+    "ratio_SPY_Volume_over_QQQ_Volume", "ratio_SPY_Volume_over_TLT_Volume"]
+
+
+def test_feature_names_from_the_reference_wide_table(spark):
+    """T7: a wide table with the reference's columns gives exactly the
+    recorded 20 / 30 / 50 features; returns forward-fill a gap."""
+    import datetime as dt
+    from tidewatch.operators.features import build_feature_set_from_wide
+    tickers = ["SPY", "QQQ", "GLD", "HYG", "TLT"]
+    macro = ["CPIAUCSL", "HOUST", "BAMLH0A0HYM2", "DGS10", "UMCSENT"]
+    cols = ["ts"] + [f"{t}_{m}" for t in tickers for m in ("Price", "Volume", "Volatility")] \
+        + ["VIX_Price"] + macro
+    rows = []
+    for i in range(70):
+        r = [dt.date(2024, 1, 1) + dt.timedelta(days=i)]
+        for k, _ in enumerate(tickers):
+            r += [100.0 + k + (i % 9) if (k, i) != (0, 5) else None, 1000 + 10 * k + i, 0.1 + 0.01 * (i % 5)]
+        r += [15.0 + (i % 13)] + [float(j + i % 3) for j in range(len(macro))]
+        rows.append(tuple(r))
+    schema = ", ".join(["ts date"] + [f"{c} {'bigint' if c.endswith('_Volume') else 'double'}"
+                                      for c in cols[1:]])
+    wide = spark.createDataFrame(rows, schema)
+    fs = {v: build_feature_set_from_wide(wide, v) for v in ("v1", "v2", "v3")}
+    assert sorted(fs["v1"].features) == sorted(RECORDED_V1)
+    assert sorted(fs["v2"].features) == sorted(RECORDED_V1 + RECORDED_V2_EXTRA)
+    assert sorted(fs["v3"].features) == sorted(RECORDED_V1 + RECORDED_V2_EXTRA + RECORDED_V3_EXTRA)
+    got = {r.ts: r.SPY_Price_ret_pct for r in fs["v1"].df.collect()}
+    price = [r[1] for r in rows]
+    ff = []
+    for p in price:
+        ff.append(p if p is not None else ff[-1])
+    for i, r in enumerate(rows):
+        exp = None if i == 0 else (ff[i] / ff[i - 1] - 1) * 100
+        assert (exp is None and got[r[0]] is None) or abs(got[r[0]] - exp) < 1e-9

@@ -147,8 +147,7 @@ def build_feature_set(panel: DataFrame, version: str = "v3", symbols: list[str]
     ratios among key symbols (+ price/volatility ratios if ``cross_ratios``).
     Target = daily market level, labelled fear/stable/greed at mean +- std.
     """
-    if version not in ("v1", "v2", "v3"):
-        raise ValueError(f"unknown feature version {version!r}")
+    _check_version(version)
     symbols = symbols or list_symbols(panel)
     metrics = ["price", "volume", "volatility", "ret_pct"]
     if version in ("v2", "v3"):
@@ -156,19 +155,68 @@ def build_feature_set(panel: DataFrame, version: str = "v3", symbols: list[str]
     long_f = series_features(densify(panel, symbols), ma_windows=ma_windows)
     wide = to_wide(long_f, symbols, metrics=tuple(metrics))
     wide = wide.join(market_series(panel, TARGET_COL), "ts")
+    return _select_features(wide, version, key_symbols or symbols, TARGET_COL, cross_ratios,
+                            strict_ratios, thresholds_from)
+
+
+def build_feature_set_from_wide(wide: DataFrame, version: str = "v3",
+                                target_col: str = "VIX_Price", ts: str = "ts",
+                                key_symbols: list[str] | None = None, cross_ratios: bool = False,
+                                ma_windows=MA_WINDOWS, strict_ratios: bool = True,
+                                thresholds_from: DataFrame | None = None) -> FeatureSet:
+    """Feature set of a wide daily table as the reference stores it: one
+    row per date, ``{TICKER}_{Price,Volume,Volatility}`` columns, other
+    numeric series (macro data) and the target's price column.
+
+    Price columns other than the target's are unpivoted to a long frame so
+    returns and moving averages run per series (window partitioned by the
+    column, blocked for long series), then pivoted back as
+    ``{c}_ret_pct`` / ``{c}_ma{n}``.  Every other numeric column except the
+    target's is a feature as it is; key tickers default to all tickers.
+    """
+    _check_version(version)
+    if ts != "ts":
+        wide = wide.withColumnRenamed(ts, "ts")
+    price_cols = columns_by_suffix(wide.columns, "Price", exclude=target_col)
+    parts = [F.struct(F.lit(c).alias("symbol"), F.col(f"`{c}`").cast("double").alias("price"))
+             for c in price_cols]
+    long = wide.select("ts", F.explode(F.array(*parts)).alias("_r")).select(
+        "_r.symbol", "ts", "_r.price")
+    derived = ["ret_pct"] + ([f"ma{n}" for n in ma_windows] if version in ("v2", "v3") else [])
+    long_f = series_features(long, ma_windows=ma_windows)
+    piv = long_f.groupBy("ts").pivot("symbol", price_cols).agg(
+        *[F.first(m, ignorenulls=True).alias(m) for m in derived])
+    renamed = [F.col(f"`{c}_{m}`" if len(derived) > 1 else f"`{c}`").alias(f"{c}_{m}")
+               for c in price_cols for m in derived]
+    full = wide.join(piv.select("ts", *renamed), "ts")
+    tickers = key_symbols or [c[: -len("_Price")] if c.lower().endswith("_price") else c
+                              for c in price_cols]
+    return _select_features(full, version, tickers, target_col, cross_ratios, strict_ratios,
+                            thresholds_from)
+
+
+def _check_version(version: str) -> None:
+    if version not in ("v1", "v2", "v3"):
+        raise ValueError(f"unknown feature version {version!r}")
+
 
+def _select_features(wide: DataFrame, version: str, keys: list[str], target_col: str,
+                     cross_ratios: bool, strict_ratios: bool,
+                     thresholds_from: DataFrame | None) -> FeatureSet:
+    """Name-driven feature selection on a wide frame holding the price
+    columns, their derived columns, other numeric series and the target
+    column (plan time, no job); then ratios, target value and label."""
     cols = wide.columns
-    price_cols = columns_by_suffix(cols, "Price", exclude=TARGET_COL)
+    price_cols = columns_by_suffix(cols, "Price", exclude=target_col)
     ret_feats = [f"{c}_ret_pct" for c in price_cols]
-    forbidden = {"ts", LABEL_COL, TARGET_COL}
+    forbidden = {"ts", LABEL_COL, target_col}
     extra = [c for c in numeric_columns(wide)
              if c not in forbidden and not c.lower().endswith("price")
-             and not c.endswith("_ret_pct") and TARGET_COL.lower() not in c.lower()]
+             and not c.endswith("_ret_pct") and target_col.lower() not in c.lower()]
     feats = sorted(set(ret_feats + extra))
 
     ratio_exprs = []
     if version == "v3":
-        keys = key_symbols or symbols
         vol_cols = columns_by_suffix(cols, "Volume")
         vty_cols = [c for c in cols if c.lower().endswith("volatility")]
         price_key = key_columns(price_cols, keys)
@@ -178,11 +226,11 @@ def build_feature_set(panel: DataFrame, version: str = "v3", symbols: list[str]
             ratio_exprs += cross_ratio_columns(price_key, key_columns(vty_cols, keys),
                                                strict_ratios)
         feats = sorted(set(feats + [name for name, _ in ratio_exprs]))
-    feats = leakage_filter(feats, TARGET_COL)
+    feats = leakage_filter(feats, target_col)
 
     out = wide.select("ts", *[c for c in cols if c != "ts"],
                       *[e.alias(name) for name, e in ratio_exprs])
-    out = out.withColumn(TARGET_VALUE, F.col(TARGET_COL))
-    out = add_sentiment(out, TARGET_COL, LABEL_COL, fit_df=thresholds_from)
+    out = out.withColumn(TARGET_VALUE, F.col(target_col))
+    out = add_sentiment(out, target_col, LABEL_COL, fit_df=thresholds_from)
     final = out.select("ts", *feats, TARGET_VALUE, LABEL_COL)
     return FeatureSet(version=version, df=final, features=feats)
