@@ -132,3 +132,30 @@ def test_feature_names_from_the_reference_wide_table(spark):
     for i, r in enumerate(rows):
         exp = None if i == 0 else (ff[i] / ff[i - 1] - 1) * 100
         assert (exp is None and got[r[0]] is None) or abs(got[r[0]] - exp) < 1e-9
+
+
+def test_best_selection_on_recorded_summary(spark):
+    """T8: the recorded six-run summary; the best run per task is v3 for
+    both (accuracy .9136, R2 .3907), each winner source's share of wins, and
+    the experiment statistics."""
+    from tidewatch.plans.models import RESULT_SCHEMA, experiment_stats, leaderboard
+    # Version, task, winner source, features, test metric (recorded summary).
+    recorded = [("v1", "classification", "sklearn", 20, 0.6454545454545455),
+                ("v1", "regression", "sklearn", 20, 0.20588204500368423),
+                ("v2", "classification", "flaml", 30, 0.8636363636363636),
+                ("v2", "regression", "sklearn", 30, 0.29468369107942005),
+                ("v3", "classification", "sklearn", 50, 0.9136363636363637),
+                ("v3", "regression", "sklearn", 50, 0.3906945031288449)]
+    rows = [(v, t, m, n, 657, None, 220, None, metric,
+             "accuracy" if t == "classification" else "r2", None, "ok", True)
+            for v, t, m, n, metric in recorded]
+    res = spark.createDataFrame(rows, RESULT_SCHEMA)
+    best = {r.task: (r.version, r.test_metric) for r in
+            leaderboard(res).where("rank = 1").collect()}
+    assert best == {"classification": ("v3", 0.9136363636363637),
+                    "regression": ("v3", 0.3906945031288449)}
+    shares = {r.best_model: r.win_share for r in leaderboard(res).collect()}
+    assert abs(shares["sklearn"] - 5 / 6) < 1e-12 and abs(shares["flaml"] - 1 / 6) < 1e-12
+    st = experiment_stats(res).first()
+    assert (st.successful, st.versions, st.tasks, st.automl_available) == (6, 3, 2, True)
+    assert abs(st.max_test_metric - 0.9136363636363637) < 1e-15
