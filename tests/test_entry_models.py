@@ -30,3 +30,33 @@ def test_quick_models_and_leaderboard(spark):
     assert lb == 2
     st = M.experiment_stats(res).first()
     assert st.successful == 2 and st.tasks == 2
+
+
+def test_shuffle_column_is_a_permutation(spark):
+    """J17 permutation importance: the distributed shuffle keeps every row
+    and every value of the column, moves values, and leaves the other
+    columns in place; same seed, same result at any partitioning."""
+    from pyspark.sql import functions as F
+    from tidewatch.plans.models import shuffle_column
+    df = spark.range(500).select(F.col("id").alias("ts"), (F.col("id") * 3).alias("x"),
+                                 (F.col("id") % 7).alias("y"))
+    a = shuffle_column(df, "x", seed=1, n_buckets=4)
+    b = shuffle_column(df.repartition(7), "x", seed=1, n_buckets=4)
+    ra = sorted((r.ts, r.x, r.y) for r in a.collect())
+    rb = sorted((r.ts, r.x, r.y) for r in b.collect())
+    assert ra == rb and len(ra) == 500
+    assert sorted(x for _, x, _ in ra) == [3 * i for i in range(500)]
+    assert all(y == t % 7 for t, _, y in ra)
+    assert sum(x != 3 * t for t, x, _ in ra) > 400
+
+
+def test_permutation_importance_runs_on_a_model(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from tidewatch.operators.features import build_feature_set
+    from tidewatch.plans.models import _pipeline, permutation_importance, prepare
+    from tidewatch.sources.tables import daily_panel
+    p = prepare(build_feature_set(daily_panel(spark, "/root/testdata/sf0.001"), "v1"),
+                "classification")
+    model = _pipeline(p, LogisticRegression(maxIter=20)).fit(p.train)
+    v = permutation_importance(model, p, p.features[0], repeats=2)
+    assert v == v and -1.0 <= v <= 1.0

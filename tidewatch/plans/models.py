@@ -267,25 +267,31 @@ def feature_importance(model: PipelineModel, features: list[str], top: int = 20)
     return pairs[:top]
 
 
+def shuffle_column(df: DataFrame, column: str, seed: int = SEED, key: str = "ts",
+                   n_buckets: int | None = None) -> DataFrame:
+    """``df`` with the values of ``column`` permuted among rows, distributed:
+    rows are numbered inside hash buckets under two different orders and
+    equi-joined on (bucket, position).  Buckets and orders derive from the
+    unique ``key`` column, so the result does not depend on partitioning
+    and survives recomputation."""
+    from pyspark.sql import Window
+    n_buckets = n_buckets or max(1, df.rdd.getNumPartitions())
+    d = df.withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(n_buckets)))
+    w1 = Window.partitionBy("_b").orderBy(key)
+    w2 = Window.partitionBy("_b").orderBy(F.xxhash64(key, F.lit(seed + 1000)), key)
+    left = d.withColumn("_pos", F.row_number().over(w1)).drop(column)
+    right = d.withColumn("_pos", F.row_number().over(w2)).select("_b", "_pos", column)
+    return left.join(right, ["_b", "_pos"]).drop("_b", "_pos")
+
+
 def permutation_importance(model: PipelineModel, p: Prepared, column: str, seed: int = SEED,
-                           repeats: int = 5) -> float:
-    """Mean drop of the validation metric when one column is shuffled.
-    The shuffle is distributed: rows are numbered inside hash buckets under
-    two different hash orders and equi-joined on (bucket, position)."""
+                           repeats: int = 5, key: str = "ts") -> float:
+    """Mean drop of the validation metric when one column is shuffled
+    (:func:`shuffle_column`, a different seed per repeat)."""
     base = _score(p.task, model.transform(p.val))
     drops = []
-    n_buckets = max(1, p.val.rdd.getNumPartitions())
     for r in range(repeats):
-        d = p.val.withColumn("_id", F.monotonically_increasing_id())
-        b = F.pmod(F.xxhash64("_id", F.lit(seed + r)), F.lit(n_buckets))
-        from pyspark.sql import Window
-        w1 = Window.partitionBy("_b").orderBy("_id")
-        w2 = Window.partitionBy("_b").orderBy(F.xxhash64("_id", F.lit(seed + 1000 + r)))
-        left = d.withColumn("_b", b).withColumn("_pos", F.row_number().over(w1)).drop(column)
-        right = d.withColumn("_b", b).withColumn("_pos", F.row_number().over(w2)) \
-            .select("_b", "_pos", column)
-        shuffled = left.join(right, ["_b", "_pos"])
-        s = _score(p.task, model.transform(shuffled))
+        s = _score(p.task, model.transform(shuffle_column(p.val, column, seed + r, key)))
         drops.append(base - s if p.task == "classification" else s - base)
     return float(sum(drops) / len(drops))
 
