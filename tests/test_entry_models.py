@@ -60,3 +60,19 @@ def test_permutation_importance_runs_on_a_model(spark):
     model = _pipeline(p, LogisticRegression(maxIter=20)).fit(p.train)
     v = permutation_importance(model, p, p.features[0], repeats=2)
     assert v == v and -1.0 <= v <= 1.0
+
+
+def test_importance_falls_back_to_permutation(spark):
+    """A model without native importances or coefficients (MLP) gets
+    permutation importances, one per feature, sorted descending."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from tidewatch.operators.features import build_feature_set
+    from tidewatch.plans.models import _pipeline, feature_importance, prepare
+    from tidewatch.sources.tables import daily_panel
+    p = prepare(build_feature_set(daily_panel(spark, "/root/testdata/sf0.001"), "v1"),
+                "classification")
+    mlp = MultilayerPerceptronClassifier(layers=[len(p.features), 4, 3], maxIter=10, seed=42)
+    model = _pipeline(p, mlp).fit(p.train)
+    assert feature_importance(model, p.features) == []
+    rows = feature_importance(model, p.features, top=3, prepared=p, repeats=1)
+    assert len(rows) == 3 and rows[0][1] >= rows[1][1] >= rows[2][1]

@@ -251,8 +251,11 @@ def flatten_candidates(docs: DataFrame) -> DataFrame:
                     .alias("is_best")))
 
 
-def feature_importance(model: PipelineModel, features: list[str], top: int = 20) -> list:
-    """Native importances (trees) or |coefficient| (linear); top-n rows."""
+def feature_importance(model: PipelineModel, features: list[str], top: int = 20,
+                       prepared: "Prepared | None" = None, repeats: int = 5) -> list:
+    """Native importances (trees), else |coefficient| (linear, mean over
+    classes), else permutation importance on the validation rows (needs
+    ``prepared``; ``repeats`` shuffles per feature); top-n rows."""
     est = model.stages[-1]
     if hasattr(est, "featureImportances"):
         vals = est.featureImportances.toArray()
@@ -261,6 +264,8 @@ def feature_importance(model: PipelineModel, features: list[str], top: int = 20)
     elif hasattr(est, "coefficientMatrix"):
         m = est.coefficientMatrix.toArray()
         vals = abs(m).mean(axis=0)
+    elif prepared is not None:
+        vals = [permutation_importance(model, prepared, f, repeats=repeats) for f in features]
     else:
         return []
     pairs = sorted(zip(features, [float(v) for v in vals]), key=lambda t: -t[1])
