@@ -80,10 +80,23 @@ def numeric_drift_stats(long: DataFrame, group: str = "feature",
     return rt.join(moment_stats(long, group), group)
 
 
+def spread_rows(per_group: DataFrame, group: str) -> DataFrame:
+    """Materialize a one-row-per-group frame and spread it over
+    ``min(rows, defaultParallelism)`` partitions, so the Python p-value
+    finishes (exact KS is O(n1 * (n1 + n2)) per feature) run in parallel
+    instead of in the single partition AQE would coalesce the tiny frame
+    into (an explicit partition count is not coalesced)."""
+    from ..session import materialize
+    df = materialize(per_group)
+    n = df.count()
+    parts = max(1, min(n, df.sparkSession.sparkContext.defaultParallelism))
+    return df.repartition(parts, group)
+
+
 def numeric_drift(long: DataFrame, group: str = "feature", alpha: float = ALPHA,
                   min_samples: int = MIN_SAMPLES) -> DataFrame:
     """Per-feature drift report with KS and Mann-Whitney p-values and flag."""
-    st = numeric_drift_stats(long, group, min_samples)
+    st = spread_rows(numeric_drift_stats(long, group, min_samples), group)
     st = st.withColumn("ks_pvalue", ks_pvalue_udf("ks_statistic", "n_ref", "n_cur")) \
            .withColumn("mw_pvalue", normal_pvalue_udf("mw_z"))
     return st.withColumn("drift_detected",
