@@ -335,6 +335,26 @@ def oracle() -> dict[str, str]:
         "least(0.5, abs(e - o)) * sign(e - o) ELSE 0.0 END - e, 2) / e) ELSE 0.0 END + {OFF10}, 10) AS chi2_statistic, " \
         "CAST(max(k) - 1 AS BIGINT) AS dof, (SELECT CAST(R AS BIGINT) FROM tot) AS n_ref, " \
         "(SELECT CAST(C AS BIGINT) FROM tot) AS n_cur FROM ex"
+    q["i12_target_drift"] = "WITH RECURSIVE " + _with(
+        PANEL, MARKET, TH, SIDES, _labels_sides(),
+        "al AS (SELECT lab AS category, count(*) FILTER (WHERE side = 'ref') AS rc, "
+        "count(*) FILTER (WHERE side = 'cur') AS cc FROM labs WHERE lab IS NOT NULL GROUP BY lab)",
+        "tot AS (SELECT sum(rc) AS R, sum(cc) AS C, count(*) AS k FROM al)",
+        "cells AS (SELECT rc AS o, R AS row_n, rc + cc AS col_n, R + C AS n, k FROM al CROSS JOIN tot "
+        "UNION ALL SELECT cc, C, rc + cc, R + C, k FROM al CROSS JOIN tot)",
+        "ex AS (SELECT CAST(o AS DOUBLE) AS o, CAST(row_n * col_n AS DOUBLE) / n AS e, k FROM cells)",
+        "x AS (SELECT CASE WHEN max(k) - 1 > 0 THEN sum(power(o + CASE WHEN k - 1 = 1 THEN "
+        "least(0.5, abs(e - o)) * sign(e - o) ELSE 0.0 END - e, 2) / e) ELSE 0.0 END AS chi2, "
+        "CAST(max(k) - 1 AS BIGINT) AS dof FROM ex)",
+        # upper tail for even dof: exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!
+        "terms AS (SELECT 0 AS i, 1.0::DOUBLE AS t "
+        "UNION ALL SELECT i + 1, t * (SELECT chi2 FROM x) / 2 / (i + 1) FROM terms "
+        "WHERE i + 1 < (SELECT dof FROM x) / 2)",
+        "p AS (SELECT chi2, dof, CASE WHEN dof % 2 = 0 THEN exp(-chi2 / 2) * (SELECT sum(t) FROM terms) "
+        "END AS pv FROM x)")[len("WITH "):] + \
+        "SELECT round(chi2 + {OFF10}, 10) AS chi2_statistic, dof, (SELECT CAST(R AS BIGINT) FROM tot) AS n_ref, " \
+        "(SELECT CAST(C AS BIGINT) FROM tot) AS n_cur, round(pv + {OFF10}, 10) AS chi2_pvalue, " \
+        "pv < 0.05 AS drift_detected FROM p"
     q["i19_ref_cur_comparison"] = _with(PANEL, MARKET, SIDES, LONG, RANKS) + \
         "SELECT feature, round(rm + {OFF5}, 5) AS ref_mean, round(cm + {OFF5}, 5) AS curr_mean, round(rs + {OFF5}, 5) AS ref_std, " \
         "round(cs + {OFF5}, 5) AS curr_std, round((cm - rm) / NULLIF(rm, 0) * 100 + {OFF8}, 8) AS mean_shift_pct FROM mom"
