@@ -68,3 +68,21 @@ def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
     rows = {r.window_start: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert rows[t0] == 6          # the late row for 00:00-01:00 was dropped
     assert dropped == 1
+
+
+def test_stream_scoring_equals_batch_scoring(spark, tmp_path):
+    """Requests scored on a stream give the same label per date as the
+    same instances scored in batch."""
+    from pyspark.sql import functions as F
+    from tidewatch.plans.catalog import _scoring_parts
+    from tidewatch.streaming.monitor import run_request_scoring, score_requests
+    from tidewatch.operators.features import LABEL_COL
+    p, model, path, schema, labels = _scoring_parts(spark, SF001)
+    out = run_request_scoring(spark, path, schema, model, p.features, p.medians, LABEL_COL,
+                              labels, out=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    streamed = {r.ts: r.pred_label for r in spark.read.parquet(out).collect()}
+    inst = spark.read.schema(schema).json(path).select(F.explode("instances").alias("i")) \
+        .select("i.*")
+    batch = {r.ts: r.pred_label for r in
+             score_requests(inst, model, p.features, p.medians, LABEL_COL, labels).collect()}
+    assert streamed == batch and len(batch) == p.test.count()

@@ -400,6 +400,7 @@ def catalog() -> dict[str, Query]:
         **request_catalog(),
         **document_catalog(),
         **ranking_catalog(),
+        **scoring_catalog(),
     }
 
 
@@ -828,3 +829,38 @@ def g2_forecaster_ranking(spark, sf):
 
 def ranking_catalog() -> dict[str, Query]:
     return {"g2_forecaster_ranking": g2_forecaster_ranking}
+
+
+# ---- stream scoring ------------------------------------------------------------
+
+def _scoring_parts(spark, sf):
+    """A v2 classifier (smoke size) and the test dates' feature rows written
+    as request documents, one JSON line per month (bounded groups)."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from ..session import scratch_path
+    from .models import _pipeline, prepare
+    fs = I.feature_set(spark, sf, "v2")
+    p = prepare(fs, "classification")
+    model = _pipeline(p, RandomForestClassifier(numTrees=20, seed=42)).fit(p.train)
+    test_ts = p.test.select("ts")
+    inst = F.struct(F.col("ts"), *[F.col(c) for c in fs.features])
+    docs = (fs.df.join(test_ts, "ts").groupBy(F.date_format("ts", "yyyy-MM").alias("month"))
+            .agg(F.collect_list(inst).alias("instances")))
+    path = scratch_path(spark, "scoring_requests")
+    docs.write.option("ignoreNullFields", False).json(path)
+    labels = list(model.stages[2].labelsArray[0])
+    return p, model, path, docs.schema, labels
+
+
+def m2_stream_scoring(spark, sf):
+    """Request documents scored on a stream by the fitted pipeline;
+    predicted-label counts of every test date."""
+    from ..streaming.monitor import run_request_scoring
+    p, model, path, schema, labels = _scoring_parts(spark, sf)
+    out = run_request_scoring(spark, path, schema, model, p.features, p.medians,
+                              LABEL_COL, labels)
+    return spark.read.parquet(out).groupBy("pred_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scoring_catalog() -> dict[str, Query]:
+    return {"m2_stream_scoring": m2_stream_scoring}

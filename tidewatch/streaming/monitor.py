@@ -114,3 +114,45 @@ def run_live_labels(spark: SparkSession, events_path: str, out: str | None = Non
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
+
+
+def score_requests(requests: DataFrame, model, features: list[str], medians: dict,
+                   label_col: str, labels: list[str] | None = None) -> DataFrame:
+    """Scoring requests (one row per instance) through a fitted pipeline:
+    missing features become NULL, NULLs are filled with the training
+    medians (then 0), the label column the pipeline indexes is added as
+    NULL, and predictions are decoded to label names when ``labels`` are
+    given.  Works on batch and streaming frames alike (row-wise only)."""
+    from pyspark.ml.feature import IndexToString
+    have = set(requests.columns)
+    cols = [F.col(f"`{c}`").cast("double").alias(c) if c in have
+            else F.lit(None).cast("double").alias(c) for c in features]
+    keep = [c for c in requests.columns if c not in features]
+    inst = requests.select(*keep, *cols)
+    inst = inst.na.fill({c: float(v) for c, v in medians.items() if c in features})
+    inst = inst.na.fill(0.0, subset=features)
+    if label_col not in inst.columns:
+        inst = inst.withColumn(label_col, F.lit(None).cast("string"))
+    pred = model.transform(inst)
+    if labels:
+        pred = IndexToString(inputCol="prediction", outputCol="pred_label",
+                             labels=labels).transform(pred)
+    return pred
+
+
+def run_request_scoring(spark: SparkSession, requests_path: str, schema: StructType, model,
+                        features: list[str], medians: dict, label_col: str, labels: list[str],
+                        out: str | None = None, checkpoint: str | None = None) -> str:
+    """M2 scoring: a stream of request documents (JSON lines
+    ``{"instances": [...]}``) -> one row per instance -> fitted pipeline ->
+    ``(ts, pred_label)`` appended to Parquet (checkpointed, exactly-once)."""
+    raw = spark.readStream.schema(schema).json(requests_path)
+    inst = raw.select(F.explode("instances").alias("i")).select("i.*")
+    pred = score_requests(inst, model, features, medians, label_col, labels)
+    out = out or scratch_path(spark, "m2_scores")
+    checkpoint = checkpoint or scratch_path(spark, "m2_scores_checkpoint")
+    q = (pred.select("ts", "pred_label").writeStream.outputMode("append").format("parquet")
+         .option("path", out).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
