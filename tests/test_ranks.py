@@ -86,3 +86,22 @@ def test_features_invariant_to_partitioning(spark):
     many = {(r.symbol, r.ts): (r.ret_pct, r.ma7, r.ma30)
             for r in series_features(df.repartition(8, "ts")).collect()}
     assert one == many
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1024])
+def test_quantiles_hot_value_and_no_group_use_equi_join(spark, buckets, monkeypatch):
+    """A value holding a third of the rows spans many position buckets; the
+    ungrouped lookup is an equi-join (no cartesian or nested-loop join)."""
+    from tidewatch.operators import ranks
+    monkeypatch.setattr(ranks, "QUANTILE_BUCKETS", buckets)
+    rnd = random.Random(3)
+    vals = [5.0 if i % 3 == 0 else float(rnd.randint(0, 60)) for i in range(900)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.0, 0.1, 0.33, 0.5, 0.9, 1.0]
+    q = exact_quantiles(df, [], "v", probs)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    got = {r.p: r.q for r in q.collect()}
+    for p in probs:
+        assert math.isclose(got[p], float(np.quantile(np.array(vals), p)), rel_tol=1e-12,
+                            abs_tol=1e-12)

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCKS = 64
+# Position buckets per group for the quantile lookup join (see exact_quantiles).
+QUANTILE_BUCKETS = 1024
 # Inputs whose optimizer size estimate is below this are ranked with one
 # window per group: a task then holds at most this much (and spills).
 SINGLE_WINDOW_MAX_BYTES = 256 * 1024 * 1024
@@ -59,11 +61,10 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
     ``weights`` maps output names to per-row expressions; default ``n = 1``.
     """
     weights = weights or {"n": F.lit(1)}
-    if not group_cols:
-        # A constant key keeps every join an equi-join (no nested-loop join).
-        out = cumulative_counts(df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
-                                n_blocks, accuracy)
-        return out.drop("_g")
+    # No grouping columns is handled natively: a literal key would be
+    # constant-folded by the optimizer and turn the joins into cartesian
+    # products.  The one-row bounds become a scalar subquery instead, and
+    # the offset join keys on the block alone.
     n_blocks = choose_blocks(df, n_blocks)
     src = df.where(F.col(value_col).isNotNull())
     keyed = src.groupBy(*group_cols, value_col).agg(
@@ -79,12 +80,17 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
                             *[F.sum(n).over(wt).alias(f"{n}_total") for n in names])
 
     probs = [i / n_blocks for i in range(1, n_blocks)]
-    if probs:
+    if probs and group_cols:
         bounds = keyed.groupBy(*group_cols).agg(
             F.percentile_approx(value_col, probs, accuracy).alias("_bounds"))
         # groups x blocks boundary values: small; AQE broadcasts it when the
         # measured size allows, otherwise it is a shuffled equi-join.
         blocked = keyed.join(bounds, group_cols)
+    elif probs:
+        # one row of boundaries: an uncorrelated scalar subquery, no join
+        b = keyed.agg(F.percentile_approx(value_col, probs, accuracy).alias("_bounds")).scalar()
+        blocked = keyed.withColumn("_bounds", b)
+    if probs:
         blocked = blocked.withColumn(
             "_block", F.size(F.filter("_bounds", lambda b: b < F.col(value_col)))).drop("_bounds")
     else:
@@ -128,32 +134,42 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     Returns ``(group..., p, q)``.  For rank h = (n-1)p the two neighbouring
     order statistics are found by range-matching the cumulative counts.
     """
-    if not group_cols:
-        src = df.withColumn("_g", F.lit(0))
-        return exact_quantiles(src, ["_g"], value_col, probs, n_blocks).drop("_g")
     cum = cumulative_counts(df, group_cols, value_col, n_blocks=n_blocks)
     cum = cum.withColumn("_before", F.col("n_cum") - F.col("n"))
+    # Positions 0..n-1 of each group are cut into at most QUANTILE_BUCKETS
+    # buckets of width w.  A cumulative row (positions [_before, n_cum)) is
+    # copied into every bucket it overlaps - at most rows + buckets copies
+    # per group, even for one hot value - and each target position goes to
+    # its one bucket, so the lookup is an equi-join on (group, bucket) plus
+    # a range filter: no cartesian or nested-loop join, no group in one task.
+    width = F.greatest(F.lit(1), F.ceil(F.col("n_total") / F.lit(QUANTILE_BUCKETS))).cast("long")
+    cum = cum.withColumn("_bk", F.explode(F.sequence(
+        F.floor(F.col("_before") / width).cast("long"),
+        F.floor((F.col("n_cum") - 1) / width).cast("long"))))
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    # targets: one row per (group, p): small (groups x probs)
+    # targets: two rows per (group, p) - the neighbouring order statistics
     tot = cum.groupBy(*group_cols).agg(F.max("n_total").alias("_n"))
     tgt = (tot.select(*[F.col(g).alias(f"_t_{g}") for g in group_cols], "_n",
                       F.explode(p_arr).alias("p"))
            .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-           .withColumn("_lo", F.floor("_h").cast("long"))
-           .withColumn("_hi", F.ceil("_h").cast("long"))
-           .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    hit_lo = (F.col("_before") <= F.col("_lo")) & (F.col("_lo") < F.col("n_cum"))
-    hit_hi = (F.col("_before") <= F.col("_hi")) & (F.col("_hi") < F.col("n_cum"))
-    # Equi-join on the group plus a range condition: each cumulative row is
-    # only compared with the few targets (one per probability) of its group.
+           .withColumn("_frac", F.col("_h") - F.floor("_h"))
+           .select("*", F.explode(F.array(
+               F.struct(F.lit("lo").alias("_which"), F.floor("_h").cast("long").alias("_pos")),
+               F.struct(F.lit("hi").alias("_which"), F.ceil("_h").cast("long").alias("_pos"))))
+               .alias("_t"))
+           .select(*[f"_t_{g}" for g in group_cols], "p", "_frac", "_t._which", "_t._pos",
+                   (F.floor(F.col("_t._pos") / F.greatest(F.lit(1), F.ceil(
+                       F.col("_n") / F.lit(QUANTILE_BUCKETS)))).cast("long")).alias("_t_bk")))
     cond = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in group_cols]
+    cond.append(F.col("_bk") == F.col("_t_bk"))
     cond_all = cond[0]
     for c in cond[1:]:
         cond_all = cond_all & c
-    joined = cum.join(tgt, cond_all & (hit_lo | hit_hi))
+    hit = (F.col("_before") <= F.col("_pos")) & (F.col("_pos") < F.col("n_cum"))
+    joined = cum.join(tgt, cond_all & hit)
     agg = joined.groupBy(*group_cols, "p").agg(
-        F.max(F.when(hit_lo, F.col(value_col))).alias("_vlo"),
-        F.max(F.when(hit_hi, F.col(value_col))).alias("_vhi"),
+        F.max(F.when(F.col("_which") == "lo", F.col(value_col))).alias("_vlo"),
+        F.max(F.when(F.col("_which") == "hi", F.col(value_col))).alias("_vhi"),
         F.first("_frac").alias("_frac"))
     return agg.select(*group_cols, "p",
                       (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q"))

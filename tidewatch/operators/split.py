@@ -35,12 +35,16 @@ def three_way_split(df: DataFrame, ts: str = "ts", label: str | None = None,
     chrono = chronological_split(df, ts, 1.0 - test_frac, "dev", "test", "_part")
     dev = chrono.where(F.col("_part") == "dev")
     test = chrono.where(F.col("_part") == "test").withColumn(out, F.lit("test"))
-    strat = label if label else None
     h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    keyed = dev.withColumn("_h", h).withColumn("_cls", F.col(strat) if strat else F.lit("all"))
-    cum = cumulative_counts(keyed.select("_cls", "_h"), ["_cls"], "_h")
+    keyed = dev.withColumn("_h", h)
+    # stratified: one group per class; otherwise no group at all (a literal
+    # group key would be constant-folded into a cartesian join)
+    groups = ["_cls"] if label else []
+    if label:
+        keyed = keyed.withColumn("_cls", F.col(label))
+    cum = cumulative_counts(keyed.select(*groups, "_h"), groups, "_h")
     cut = F.ceil(F.col("n_total") * F.lit(float(val_frac)))
-    pos = cum.select("_cls", "_h", F.when(F.col("n_cum") - F.col("n") < cut, F.lit("val"))
+    pos = cum.select(*groups, "_h", F.when(F.col("n_cum") - F.col("n") < cut, F.lit("val"))
                      .otherwise(F.lit("train")).alias(out))
-    dev = keyed.join(pos, ["_cls", "_h"]).drop("_cls", "_h")
+    dev = keyed.join(pos, [*groups, "_h"]).drop(*groups, "_h")
     return dev.unionByName(test).drop("_part")
