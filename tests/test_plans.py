@@ -83,3 +83,21 @@ def test_size_estimate_drives_the_window_path(spark):
         assert "_blk" in _plan(series_features(small))
     finally:
         ranks.SINGLE_WINDOW_MAX_BYTES = old
+
+
+def test_ungrouped_rank_paths_have_no_cartesian_join(spark):
+    """Blocked prefix sums, dense ranks and the chronological split without
+    a grouping column: boundaries come from a scalar subquery and every join
+    has an equi-key (a literal key would be folded into a cartesian join)."""
+    from tidewatch.operators.ranks import cumulative_counts, dense_rank_of
+    from tidewatch.operators.split import chronological_split, three_way_split
+    df = spark.range(2000).select((F.col("id") % 97).cast("double").alias("v"),
+                                  F.col("id").alias("ts"))
+    for out in (cumulative_counts(df, [], "v", n_blocks=8),
+                dense_rank_of(df, [], "v", n_blocks=8),
+                chronological_split(df, "ts"),
+                three_way_split(df, "ts")):
+        plan = _plan(out)
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    got = {r.v: (r.n_cum, r.n_total) for r in cumulative_counts(df, [], "v", n_blocks=8).collect()}
+    assert got[0.0] == (21, 2000) and got[96.0] == (2000, 2000)

@@ -63,7 +63,7 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
     weights = weights or {"n": F.lit(1)}
     # No grouping columns is handled natively: a literal key would be
     # constant-folded by the optimizer and turn the joins into cartesian
-    # products.  The one-row bounds become a scalar subquery instead, and
+    # products.  The one row of bounds is attached as literals instead, and
     # the offset join keys on the block alone.
     n_blocks = choose_blocks(df, n_blocks)
     src = df.where(F.col(value_col).isNotNull())
@@ -87,9 +87,14 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
         # measured size allows, otherwise it is a shuffled equi-join.
         blocked = keyed.join(bounds, group_cols)
     elif probs:
-        # one row of boundaries: an uncorrelated scalar subquery, no join
-        b = keyed.agg(F.percentile_approx(value_col, probs, accuracy).alias("_bounds")).scalar()
-        blocked = keyed.withColumn("_bounds", b)
+        # One row of n_blocks - 1 boundary values (one small job): attached
+        # as literals, so no join is needed.  They only balance the blocks;
+        # the running sums stay exact whatever they are.
+        row = keyed.agg(F.percentile_approx(value_col, probs, accuracy).alias("_b")).first()
+        bvals = [v for v in (row["_b"] or []) if v is not None]
+        blocked = keyed.withColumn("_bounds", F.array(*[F.lit(v) for v in bvals])) if bvals \
+            else keyed.withColumn("_bounds", F.array(F.col(value_col))).withColumn(
+                "_bounds", F.filter("_bounds", lambda b: F.lit(False)))
     if probs:
         blocked = blocked.withColumn(
             "_block", F.size(F.filter("_bounds", lambda b: b < F.col(value_col)))).drop("_bounds")
