@@ -28,15 +28,20 @@ from tidewatch.llm.common import text_slices
 
 #: Bound of the training sample: labelled documents of each class, in hash
 #: order of their ids.
-MAX_TRAIN_DOCS = 4000
+MAX_TRAIN_DOCS = 3000
 WINDOW_BYTES = 47
-PREFIX = (4, 16)
-MIN_DOCS, MIN_Z, MIN_RATIO = 3, 4.0, 8.0
+#: Bytes of a telling prefix, the space before its word included.  Short ones
+#: match ordinary words by chance; the rest of a longer one adds only chance matches.
+PREFIX = (4, 7)
+MIN_DOCS, MIN_SHARE, MIN_Z, MIN_RATIO = 3, 0.015, 4.0, 8.0
 LOW, HIGH = -6, 18
 
 #: Both dictionaries end in this run, and each window starts with it: the
 #: fixed cost of a compressed block is then the same for all windows.
 _MARK = bytes([1, 2, 3, 4, 5, 6, 7, 11, 12, 14, 15, 16, 17, 18, 19, 20])
+#: zstandard looks for no match in the last bytes of its input; each window
+#: ends in these, which neither dictionary has.
+_TAIL = bytes([21, 22, 23, 24, 25, 26, 27, 28])
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _CUT = re.compile(rb".{1,%d}(?= |$)|.{%d}" % (WINDOW_BYTES, WINDOW_BYTES + 1), re.S)
 
@@ -50,7 +55,7 @@ def windows(text: bytes) -> list[bytes]:
     """The whole text in windows of up to WINDOW_BYTES bytes, cut at spaces
     (inside a word only if it alone is longer)."""
     folded = b" ".join(words(text))
-    return [_MARK + w + b" " for w in _CUT.findall(b" " + folded)] if folded else []
+    return [_MARK + w + b" " + _TAIL for w in _CUT.findall(b" " + folded)] if folded else []
 
 
 @dataclass
@@ -63,7 +68,7 @@ class Model:
     def compressors(self):
         """(ordinary, toxic): compressors with the dictionaries loaded once."""
         params = zstandard.ZstdCompressionParameters.from_level(
-            3, strategy=zstandard.STRATEGY_DFAST, min_match=5, window_log=12, hash_log=10, chain_log=10,
+            5, strategy=zstandard.STRATEGY_GREEDY, min_match=5, window_log=12, hash_log=10, chain_log=10,
             write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         out = []
         for content in (self.ordinary, self.toxic):
@@ -96,7 +101,7 @@ def _telling(own: Counter, other: Counter, n_own: int, n_other: int) -> list[byt
     def apart(prefix: bytes, docs: int) -> bool:
         there = other.get(prefix, 0)
         p, q = docs / n_own, there / max(1, n_other)
-        if docs < MIN_DOCS or p < MIN_RATIO * (there + 0.5) / max(1, n_other):
+        if docs < MIN_DOCS or p < MIN_SHARE or p < MIN_RATIO * (there + 0.5) / max(1, n_other):
             return False
         mean = (docs + there + 1) / (n_own + n_other + 2)
         return p - q >= MIN_Z * math.sqrt(mean * (1 - mean) * (1 / n_own + 1 / max(1, n_other)))
