@@ -21,6 +21,18 @@ f as (select r, page_id, host, path, rh || rp as rule, v,
 select page_id, host, path, rule, coalesce(v, '{DEFAULT_VERDICT}') as verdict from f where n = 1
 """
 
+OP6 = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+e as (select vec_id, unnest(v) as x, unnest(range(len(v))) as j from v),
+s as (select q.vec_id as query_id, c.vec_id, sum(q.x * c.x)::bigint as score
+      from e q join e c on q.j = c.j and q.vec_id <> c.vec_id where q.vec_id % 100 = 0 group by 1, 2),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+             vec_id, score from s)
+select * from r where rank <= 10
+"""
+
 OP7 = """
 with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
                   sha1(coalesce(html, '')) as payload_digest from pages),
@@ -62,4 +74,4 @@ from d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3, "op7_warc": OP7, "op9_mixing": OP9}
+    return {"op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9}

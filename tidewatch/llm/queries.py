@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, toxicity, url_rules, warc
+from tidewatch.llm import hamming_search, maxscore, mixing, toxicity, url_rules, warc
 from tidewatch.llm.common import table
 
 
@@ -24,11 +24,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
