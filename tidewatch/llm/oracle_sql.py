@@ -73,5 +73,23 @@ from d
 """
 
 
+OP10 = r"""
+with recursive w as (select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w from documents),
+s as (select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as s
+      from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.s = b.s and a.doc_id < b.doc_id
+      group by 1, 2),
+l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b
+      where 100 * common >= 80 * (na.n + nb.n - common)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as a, doc_id as b from w union select r.a, e.b from r join e on r.b = e.a)
+select w.doc_id, coalesce(n, 0)::bigint as n_shingles, min(r.b) as component_id, w.doc_id = min(r.b) as kept
+from w left join n using (doc_id) join r on r.a = w.doc_id group by w.doc_id, n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9}
+    return {"op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9,
+            "op10_near_duplicates": OP10}

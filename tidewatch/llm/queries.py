@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import hamming_search, maxscore, mixing, toxicity, url_rules, warc
+from tidewatch.llm import hamming_join, hamming_search, maxscore, mixing, sentence_pieces, toxicity, url_rules, warc
 from tidewatch.llm.common import table
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.tokenise(spark, table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
 
@@ -42,6 +46,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_join.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))
