@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import hamming_join, hamming_search, maxscore, mixing, sentence_pieces, toxicity, url_rules, warc
+from tidewatch.llm import chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, toxicity, url_rules, warc
 from tidewatch.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain_dedup.passages(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
