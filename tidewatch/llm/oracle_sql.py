@@ -7,6 +7,28 @@ from tidewatch.llm.url_rules import DEFAULT_VERDICT, RULES
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 
+OP1 = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i - 1, 400)) as k
+      from (select doc_id, h, unnest(range(1, length(h) // 2 - 198)) as i from d where length(h) >= 400)),
+r as (select k from w group by 1 having count(*) > 1),
+m as (select doc_id, i from w semi join r using (k)),
+g as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 200, true)::int as new from m),
+s as (select doc_id, min(i) as a, max(i) + 200 as b
+      from (select doc_id, i, sum(new) over (partition by doc_id order by i) as run from g) group by doc_id, run),
+p as (select d.doc_id, h, list(struct_pack(a := a, b := b) order by a) filter (a is not null) as spans
+      from d left join s using (doc_id) group by all)
+select doc_id, length(h) // 2 as n_bytes,
+       coalesce(list_sum(list_transform(spans, lambda x: x.b - x.a)), 0)::bigint as n_removed,
+       coalesce(len(spans), 0)::bigint as n_spans,
+       sha256(unhex(case when spans is null then h else
+           list_aggregate(list_transform(range(1, len(spans) + 2), lambda n:
+               substr(h, case when n = 1 then 1 else 2 * spans[n - 1].b - 1 end,
+                      case when n > len(spans) then length(h) else 2 * spans[n].a - 2 end
+                      - case when n = 1 then 0 else 2 * spans[n - 1].b - 2 end)), 'string_agg', '') end)) as kept_sha256
+from p
+"""
+
 OP3 = rf"""
 with rules(v, rh, rp) as (values {_RULES}),
 u as (select page_id, case when strpos(url, '://') > 0
@@ -91,5 +113,5 @@ from w left join n using (doc_id) join r on r.a = w.doc_id group by w.doc_id, n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9,
+    return {"op1_suffix_dedup": OP1, "op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9,
             "op10_near_duplicates": OP10}

@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, toxicity, url_rules, warc
+from tidewatch.llm import chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, suffix_dedup, toxicity, url_rules, warc
 from tidewatch.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.tokenise(spark, table(spark, sf_dir, "documents"), keep=["doc_id"])
 
