@@ -129,9 +129,9 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .withColumn("_nth", F.row_number().over(once)).where("_nth = 1"))
     whole = F.when(F.col("_size") == 0, F.col("_rows")).otherwise(F.floor(F.col("_taken") / F.col("_size")))
     rest = F.when(F.col("_size") == 0, 0).otherwise(F.col("_taken") % F.col("_size"))
-    head = F.regexp_extract(F.col(text_col), F.concat(
+    head = F.regexp_substr(F.col(text_col), F.concat(
         F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"),
-        F.col("_rest").cast("string"), F.lit("}+")), F.lit(0))
+        F.col("_rest").cast("string"), F.lit("}+")))
     copies = joined.withColumn("_whole", whole).withColumn("_rest", rest)
     copies = copies.where("_whole > 0 or _rest > 0").withColumn("_copy", F.explode(F.sequence(
         F.lit(1), (F.col("_whole") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int"))))
