@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidewatch.llm.common import text_slices
 
@@ -334,7 +335,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], _lists([machines.encode(t) for t in texts])], names=[*keep, ids_col])
 
-    return source.mapInArrow(run, docs.select(*keep).schema.add(ids_col, "array<int>"))
+    return source.mapInArrow(run, docs.select(*keep).schema.add(ids_col, ArrayType(IntegerType())))
 
 
 def decode_ids(tokens: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
