@@ -9,10 +9,11 @@ all pairs within that distance meet under a common key.
 
 Keys shared by many documents are never expanded into all pairs.  Documents
 with equal sets are one node; under each key, every node is compared to the
-smallest one first, and confirmed links are folded into components; only
-nodes of one key that are still in different components are compared next,
-signature against signature, and only pairs within reach are emitted.  Links
-are confirmed on the full sets.
+smallest one, and links are confirmed on the full sets.  What hangs together
+by close pairs is a family; the components of a family are compared to each
+other in blocks, set against set, and only links come out.  Nodes that share a
+key but no family are compared signature against signature, and pairs within
+reach are confirmed like the first ones.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CHUNKS, CHUNK_VALUES, ERRORS = 10, 5, 1
 COMPONENTS = CHUNKS * CHUNK_VALUES
 #: Distance up to which every pair meets under a key.
 CERTAIN = CHUNKS * (ERRORS + 1) - 1
+#: Shingles of a block in which a family's sets are compared.
+FAMILY_SHINGLES = 1_000_000
 _rng = np.random.default_rng(20)
 _MULTIPLIERS = _rng.integers(0, 1 << 63, COMPONENTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _rng.integers(0, 1 << 63, COMPONENTS, dtype=np.uint64)
@@ -160,15 +163,16 @@ def _within(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
             .mapInArrow(run, "a binary, b binary, doc_a bigint, doc_b bigint"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int,
-             id_col: str, text_col: str) -> DataFrame:
-    """Pairs that are linked on their full sets."""
-    close = materialize(_within(pairs, nodes, limit))
+def _texts(close: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(fp, text) of every node of some pairs."""
     need = (close.select(F.col("doc_a").alias("need"), F.col("a").alias("fp"))
             .unionByName(close.select(F.col("doc_b").alias("need"), F.col("b").alias("fp"))).distinct())
-    texts = materialize(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
-                        .join(need, F.col("doc") == F.col("need")).select("fp", "text"))
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+            .join(need, F.col("doc") == F.col("need")).select("fp", "text"))
+
 
+def _linked(close: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs that are linked on their full sets."""
     def run(batches):
         last: tuple[bytes, bytes, np.ndarray] = (b"", b"", np.zeros(0, np.uint64))
         for batch in batches:
@@ -189,14 +193,54 @@ def _confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percen
             .select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary").distinct())
 
 
+def _family_links(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between the components of a family, one at least for any
+    two components that a link joins.  ``members``: family, blocks, fp, comp, text.
+
+    A family is dealt to blocks of about FAMILY_SHINGLES shingles, and each
+    pair of blocks is one task, which holds the sets of both and counts the
+    intersections of one set with all others at a time.
+    """
+    dealt = (members.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "fp", "comp", "text"))
+
+    def run(t: pa.Table) -> pa.Table:
+        fps, comps = t.column("fp").to_pylist(), t.column("comp").to_pylist()
+        sets = shingles(*binary_buffers(t.column("text").combine_chunks()), k)
+        own = [i for i, values in enumerate(sets) if len(values) and fingerprint(values) == fps[i]]
+        number = {c: n for n, c in enumerate(sorted({comps[i] for i in own}))}
+        comp = np.array([number[comps[i]] for i in own], dtype=np.int64)
+        found = []
+        if len(number) > 1:
+            size = np.array([len(sets[i]) for i in own])
+            ids = np.unique(np.concatenate([sets[i] for i in own]), return_inverse=True)[1]
+            first = np.append(0, np.cumsum(size))
+            largest = int(np.bincount(comp).argmax())
+            hit = np.zeros(int(ids.max()) + 1, dtype=np.int32)
+            for x in np.flatnonzero(comp != largest):
+                mine = ids[first[x]:first[x + 1]]
+                hit[mine] = 1
+                both = np.add.reduceat(hit[ids], first[:-1])
+                hit[mine] = 0
+                ok = (comp != comp[x]) & (100 * both >= percent * (size + size[x] - both))
+                at = np.flatnonzero(ok)
+                found += [(fps[own[x]], fps[own[y]]) for y in at[np.unique(comp[at], return_index=True)[1]]]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
 def _set_of(column: pa.Array, i: int, k: int) -> tuple[bytes, np.ndarray]:
     values = shingles(*binary_buffers(column.slice(i, 1)), k)[0]
     return fingerprint(values), values
 
 
-def _pairs_of_groups(rows: DataFrame, percent: int, limit: int) -> DataFrame:
-    """(a, b) of nodes under one key in different components, of fitting
-    sizes and within reach.  ``rows``: key, fp, comp, sig, sorted by key."""
+def _pairs_of_keys(rows: DataFrame, percent: int, limit: int) -> DataFrame:
+    """(a, b) of nodes under one key in different families (comp), of fitting
+    sizes and within reach.  ``rows``: key, fp, comp, sig."""
     def pairs(fp, comp, sig):
         size = fp[:, :4].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
         for low in range(0, len(fp), 256):
@@ -269,17 +313,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     heads = filed.groupBy("key").agg(F.min("fp").alias("a"))
     star = materialize(filed.join(heads, "key").where(F.col("fp") != F.col("a"))
                        .select("a", F.col("fp").alias("b")).where(_sizes_allow("a", "b", percent)).distinct())
-    confirm = lambda pairs: _confirm(pairs, docs, nodes, k, percent, limit, id_col, text_col)
-    links = materialize(confirm(star))
-    comps = materialize(connected_components(links))
-    # Nodes that share a key but no component yet.
-    placed = (filed.join(comps, filed.fp == comps.node, "left")
-              .select("key", "fp", F.coalesce("component", "fp").alias("comp")))
+    close = materialize(_within(star, nodes, limit))
+    texts = materialize(_texts(close, docs, id_col, text_col))
+    links = materialize(_linked(close, texts, k, percent))
+    # Families: what hangs together by close pairs, linked or not.
+    families = materialize(connected_components(close).select(F.col("node").alias("fp"), F.col("component").alias("family")))
+    comps = connected_components(links)
+    members = materialize(families.join(comps, families.fp == comps.node, "left")
+                          .select("fp", "family", F.coalesce("component", "fp").alias("comp")))
+    split = (members.groupBy("family")
+             .agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                  F.ceil(F.sum(set_size("fp")) / F.lit(FAMILY_SHINGLES)).cast("int").alias("blocks"))
+             .where("x <> y").select("family", "blocks"))
+    within = _family_links(members.join(split, "family").join(texts, "fp"), k, percent)
+    # Nodes that share a key but no family.
+    placed = (filed.join(families, "fp", "left").select("key", "fp", F.coalesce("family", "fp").alias("comp")))
     open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
     rows = placed.join(open_, "key").join(nodes.select("fp", "sig"), "fp")
-    more = _pairs_of_groups(rows, percent, limit).join(star, ["a", "b"], "left_anti")
-    links = links.unionByName(confirm(more))
-    comps = connected_components(links)
+    far = _pairs_of_keys(rows, percent, limit).join(star, ["a", "b"], "left_anti")
+    far = materialize(_within(far, nodes, limit))
+    across = _linked(far, _texts(far, docs, id_col, text_col), k, percent)
+    comps = connected_components(materialize(links.unionByName(within).unionByName(across)))
     named = nodes.select("fp", "doc").join(comps, nodes.fp == comps.node, "left").select(
         "fp", "doc", F.coalesce("component", "fp").alias("component"))
     lowest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
