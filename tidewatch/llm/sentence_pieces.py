@@ -133,13 +133,17 @@ class Machines:
                 self.final[piece] = i
         self.merged = {p: self.scores[i] for p, i in self.final.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
         for piece in self.final:
+            # Pieces that merges cannot put together are on no path.
+            if self.kind == BPE and self.merge(piece) != [piece]:
+                continue
             node = self.trie
             for ch in piece:
                 node = node.setdefault(ch, {})
             node[""] = piece
-        # Parts are cut where no piece can lie across.
+        # Parts are cut where no piece can lie across: before blanks here, and
+        # between any two characters that no piece has side by side in ids().
+        self.joined = {p[i:i + 2] for p in self.final for i in range(len(p) - 1)}
         self.separable = not any(a != BLANK and b == BLANK for p in self.final for a, b in zip(p, p[1:], strict=False))
         self.cut = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if self.separable else "(?s).+")
         self.memory = _Memory(self)
@@ -172,59 +176,74 @@ class Machines:
         known = self.pairs.get((left, right))
         if known is None:
             known = self.pairs[left, right] = self.merge(left + right) == [left, right]
-            if len(self.pairs) > 4 * MEMORY_PARTS:
+            if len(self.pairs) > 2 * MEMORY_PARTS:
                 self.pairs.clear()
         return known
 
-    def stands(self, piece: str) -> bool:
-        """True if merges put the piece together from its characters."""
-        known = self.whole.get(piece)
-        if known is None:
-            known = self.whole[piece] = self.merge(piece) == [piece]
-        return known
-
     # --- composition and shortest path ---------------------------------------
-    def arcs(self, text: str, at: int):
-        """(end, surface, weight) of the lattice's arcs that leave ``at``."""
-        node, end, single = self.trie, at, False
+    def arcs(self, text: str, at: int) -> list[str]:
+        """Surfaces of the lattice's arcs that leave ``at``, shortest first:
+        pieces, and the bare character where no piece spells it alone."""
+        node, end, out = self.trie, at, []
         while end < len(text) and (node := node.get(text[end])) is not None:
             end += 1
             piece = node.get("")
             if piece is not None:
-                single |= end == at + 1
-                if self.kind == UNIGRAM:
-                    yield end, piece, -self.merged[piece]
-                elif len(piece) == 1 or self.stands(piece):
-                    yield end, piece, 1.0
-        if not single:
-            yield at + 1, text[at], self.fallback_weight if self.kind == UNIGRAM else 1.0
+                out.append(piece)
+        if not out or len(out[0]) > 1:
+            out.insert(0, text[at])
+        return out
 
     def shortest(self, text: str) -> list[str]:
-        """Surfaces along the shortest path.  A state of the composition is a
-        place and, for merges, the piece that led there."""
-        states: list[dict] = [{} for _ in range(len(text) + 1)]
-        states[0][""] = (0.0, None)
+        return self._cheapest(text) if self.kind == UNIGRAM else self._only(text)
+
+    def _cheapest(self, text: str) -> list[str]:
+        """Surfaces along the path of least weight."""
+        cost: list = [0.0] + [np.inf] * len(text)
+        came: list = [""] * (len(text) + 1)
         for at in range(len(text)):
-            if not states[at]:
-                continue
-            for end, piece, weight in self.arcs(text, at):
-                for before, (cost, _) in states[at].items():
-                    if self.kind != UNIGRAM and before and not self.allowed(before, piece):
-                        continue
-                    key = "" if self.kind == UNIGRAM else piece
-                    old = states[end].get(key)
-                    if old is None or cost + weight < old[0]:
-                        states[end][key] = (cost + weight, (at, before, piece))
-        key = min(states[-1], key=lambda k: states[-1][k][0])
+            for piece in self.arcs(text, at):
+                total = cost[at] - self.merged.get(piece, -self.fallback_weight)
+                if total < cost[at + len(piece)]:
+                    cost[at + len(piece)], came[at + len(piece)] = total, piece
         out, at = [], len(text)
         while at:
-            at, key, piece = states[at][key][1]
-            out.append(piece)
+            out.append(came[at])
+            at -= len(came[at])
         return out[::-1]
 
+    def _only(self, text: str) -> list[str]:
+        """Surfaces along the one path whose pairs are all allowed.  A prefix
+        of the text has one such path as well, so a place that leads nowhere
+        is given up for good; longer pieces are tried first."""
+        n, at, path, dead = len(text), 0, [], set()
+        choices = [self.arcs(text, 0)]
+        pairs = self.pairs
+        while at < n:
+            here = choices[-1]
+            if not here:
+                choices.pop()
+                dead.add(at)
+                at -= len(path.pop())
+                continue
+            piece = here.pop()
+            end = at + len(piece)
+            if end in dead:
+                continue
+            if path:
+                pair = (path[-1], piece)
+                ok = pairs.get(pair)
+                if not (self.allowed(*pair) if ok is None else ok):
+                    continue
+            path.append(piece)
+            at = end
+            if at < n:
+                choices.append(self.arcs(text, at))
+        return path
+
     def ids(self, text: str) -> list[int]:
-        """Ids of a part of a normalised text; what is no piece falls back to
-        bytes (without byte pieces: to one unknown for each run)."""
+        """Ids of a part that no piece reaches out of; what is no piece falls
+        back to bytes (without byte pieces: to one unknown for each run)."""
         out: list[int] = []
         for piece in self.shortest(text):
             i = self.final.get(piece)
@@ -236,6 +255,15 @@ class Machines:
                 out.append(self.unknown)
         return out
 
+    def cuts(self, text: str) -> list[str]:
+        """The text, cut wherever two neighbours are in no piece together.
+        Without byte pieces runs of unknowns must stay together."""
+        joined = self.joined
+        at = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in joined]
+        if not at or not self.has_bytes:
+            return [text]
+        return [text[a:b] for a, b in zip([0, *at], [*at, len(text)], strict=True)]
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
         memory = self.memory
@@ -262,7 +290,11 @@ class _Memory(dict):
         self.machines = machines
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.machines.ids(part), dtype="<i4").tobytes()
+        cuts = self.machines.cuts(part)
+        if len(cuts) > 1:
+            ids = b"".join([self[cut] for cut in cuts])
+        else:
+            ids = np.array(self.machines.ids(part), dtype="<i4").tobytes()
         if len(part) <= 64:
             if len(self) >= MEMORY_PARTS:
                 self.clear()
