@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import materialize
+from tidewatch.session import bounded_broadcast
 
 #: Regular expression of a word: a run of characters other than space, tab,
 #: line feed, vertical tab, form feed and carriage return.
@@ -98,7 +99,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            .where((F.col("start") <= F.col("rest")) & (F.col("start") + F.col("words") > F.col("rest")))
            .select(F.col("source").alias("cut_source"), F.col("bucket").alias("cut"),
                    F.col("start").alias("cut_start")))
-    sources = targets.join(cut, F.col("of").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    # One row per source: shipped whole while it is small, so that a source
+    # with a third of all documents is not gathered by a join.
+    sources = bounded_broadcast(materialize(
+        targets.join(cut, F.col("of").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")))
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     plain = placed.where("cut is null or bucket <> cut").withColumn(
         "extra", F.when(F.col("bucket") < F.col("cut"), F.col("size")).otherwise(0))
@@ -136,4 +140,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies = copies.where("_whole > 0 or _rest > 0").withColumn("_copy", F.explode(F.sequence(
         F.lit(1), (F.col("_whole") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int"))))
     text = F.when(F.col("_copy") <= F.col("_whole"), F.col(text_col)).otherwise(head)
+    if "n_chars" in docs.columns:  # a cut text has fewer
+        copies = copies.withColumn("n_chars", F.when(F.col("_copy") <= F.col("_whole"), F.col("n_chars"))
+                                   .otherwise(F.length(head)).cast(docs.schema["n_chars"].dataType))
     return copies.withColumn(text_col, text).select(*docs.columns)
