@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -356,8 +357,8 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the words of recurring passages; the document of
     smallest id keeps its own.  Other rows and columns stay as they are; a
-    document of which nothing is left is dropped.  ``n_chars``, if there is
-    such a column, counts the new text's characters."""
+    document of which nothing is left is dropped.  a column ``n_chars``
+    then counts the new text's characters."""
     spans = (passages(docs, id_col, text_col, **options)
              .select(F.col("doc_id").alias("_doc"), F.struct("passage_start", "passage_end").alias("_span")).distinct()
              .groupBy("_doc").agg(F.sort_array(F.collect_list("_span")).alias("_spans")))
@@ -373,13 +374,14 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 kept = pa.array([not m or bool(n and n.strip()) for m, n in zip(marks, new, strict=True)])
                 columns = list(part.columns[:len(cols)])
                 columns[at] = pa.array(new, pa.binary()).cast(part.column(at).type)
+                if "n_chars" in cols:
+                    n = cols.index("n_chars")
+                    counted = pc.utf8_length(columns[at].cast(pa.string())).cast(part.column(n).type)
+                    columns[n] = pc.if_else(pa.array([bool(m) for m in marks]), counted, part.column(n))
                 yield pa.RecordBatch.from_arrays(columns, names=cols).filter(kept)
 
     joined = docs.join(spans, docs[id_col] == spans["_doc"], "left").select(*cols, "_spans")
-    out = joined.mapInArrow(run, docs.schema)
-    if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)).select(*cols)
-    return out
+    return joined.mapInArrow(run, docs.schema)
 
 
 def _without(text: bytes, spans: list[dict]) -> bytes:
