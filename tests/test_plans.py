@@ -65,24 +65,49 @@ def test_bounded_broadcast_only_below_the_bound(spark):
     assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
 
 
-def test_size_estimate_drives_the_window_path(spark):
-    """The optimizer's size estimate is read (not None), small inputs take
-    the one-window path, and a size beyond the bound takes the blocked one."""
-    from tidewatch.operators import ranks
-    from tidewatch.operators.features import series_features
-    est = ranks.estimated_bytes(spark.read.parquet(f"{SF01}/orders.parquet"))
-    assert isinstance(est, int) and est > 0
-    small = spark.range(100).select((F.col("id") % 3).alias("symbol"),
-                                    F.col("id").alias("ts"), F.col("id").cast("double").alias("price"))
-    assert ranks.choose_blocks(small, None) == 1
-    assert "_blk" not in _plan(series_features(small))
-    old = ranks.SINGLE_WINDOW_MAX_BYTES
-    try:
-        ranks.SINGLE_WINDOW_MAX_BYTES = 0
-        assert ranks.choose_blocks(small, None) == ranks.DEFAULT_BLOCKS
-        assert "_blk" in _plan(series_features(small))
-    finally:
-        ranks.SINGLE_WINDOW_MAX_BYTES = old
+def test_counted_rows_decide_the_blocks(spark, monkeypatch):
+    """Blocks follow from counted rows, and the rows are the same at every
+    block count - NULL groups, NULL time stamps and ties included - on
+    Parquet input and in memory."""
+    import uuid
+    from tidewatch.operators import features, ranks
+    rows = [(s, t, v) for s in ("a", "b", None) for t, v in
+            [(None, 5.0), *((i, None if i % 9 == 4 else float(i * 7 % 13)) for i in range(120))]]
+    df = spark.createDataFrame(rows, "symbol string, ts int, price double")
+    path = f"/tmp/tidewatch-checkpoints/test-{uuid.uuid4().hex}"
+    df.repartition(4).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert ranks.choose_blocks(stored.select("symbol", "price").distinct(), ["symbol"], None) == 1
+    assert ranks.choose_blocks(stored.select("symbol", "ts").distinct(), ["symbol"], None, block_rows=50) == 3
+
+    def same(f):
+        key = lambda r: str([x if not isinstance(x, float) else round(x, 9) for x in r])
+        out = [sorted(map(key, f(stored, n).collect())) for n in (1, 2, 7)]
+        assert out[0] == out[1] == out[2]
+        return out[0]
+
+    cum = same(lambda d, n: ranks.cumulative_counts(d, ["symbol"], "price", n_blocks=n))
+    assert any(c.startswith("[None") for c in cum)
+    same(lambda d, n: ranks.cumulative_counts(d, [], "price", n_blocks=n))
+    same(lambda d, n: ranks.exact_quantiles(d, ["symbol"], "price", [0.25, 0.5, 0.9], n_blocks=n))
+    one = features.series_features(stored)
+    many = features.series_features(stored, block_rows=40)
+    assert "_blk" not in _plan(one) and "_blk" in _plan(many)
+    key = lambda r: str([round(x, 9) if isinstance(x, float) else x for x in r])
+    assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))
+    assert one.count() == len(rows)
+
+
+def test_no_window_gathers_all_rows(spark):
+    """No window of the ungrouped paths stands on a single-partition exchange."""
+    from tidewatch.operators.ranks import cumulative_counts
+    from tidewatch.operators.split import chronological_split
+    df = spark.range(500).select(F.col("id").alias("ts"))
+    for out in (cumulative_counts(df, [], "ts"), chronological_split(df, "ts")):
+        lines = _plan(out).splitlines()
+        for i, line in enumerate(lines):
+            if "Window " in line:
+                assert not any("Exchange SinglePartition" in x for x in lines[i:i + 4]), "\n".join(lines)
 
 
 def test_ungrouped_rank_paths_have_no_cartesian_join(spark):

@@ -41,3 +41,19 @@ def test_chi2_one_dof():
 def test_normal_two_sided():
     assert math.isclose(normal_two_sided(1.959963984540054), 0.05, rel_tol=1e-9)
     assert normal_two_sided(0.0) == 1.0
+
+
+def test_ks_tail_at_every_size():
+    """One step of the ECDF is no drift however long the samples are, the two
+    forms of Kolmogorov's tail meet, and exact and asymptotic values agree."""
+    from tidewatch.functions.pvalues import _kolmogorov_sf
+    for n in (20_000, 100_000, 1_000_000, 10 ** 9):
+        assert ks_2samp_pvalue(1 / n, n, n) == pytest.approx(1.0, abs=1e-12)
+    assert _kolmogorov_sf(1 - 1e-12) == pytest.approx(_kolmogorov_sf(1 + 1e-12), abs=1e-10)
+    for z, p in ((0.5, 0.9639452436648751), (1.0, 0.26999967167735456), (1.5, 0.022217962616525127)):
+        assert _kolmogorov_sf(z) == pytest.approx(p, rel=1e-9)
+    for d in (0.02, 0.03, 0.05):
+        exact, limit = (ks_2samp_pvalue(d, 3000, 3000, m) for m in ("exact", "asymptotic"))
+        assert exact == pytest.approx(limit, abs=0.02)
+    with pytest.raises(ValueError):
+        ks_2samp_pvalue(0.1, 5, 5, "other")

@@ -56,11 +56,11 @@ def test_csv_panel_lenient_dates_and_fallback(spark, tmp_path):
 
 
 def test_feature_groups(spark, tmp_path):
-    meta = spark.createDataFrame([("Price", "A Price ret pct"), (None, "x"), ("Vol", "zzz")],
+    meta = spark.createDataFrame([("Market Data", "A_Price_ret_pct"), ("Market Data", "a_price_ret_pct"), (None, "x"), ("Vol", "zzz")],
                                  "Category string, Feature string")
     g = {r.group: r.features for r in files.feature_groups(
         meta, ["A_Price_ret_pct", "ratio_A_over_B"]).collect()}
-    assert g == {"Price": ["A_Price_ret_pct"], "derived_indicators": ["ratio_A_over_B"]}
+    assert g == {"market_data": ["A_Price_ret_pct"], "derived_indicators": ["ratio_A_over_B"]}
     empty = files.read_feature_metadata(spark, str(tmp_path / "none.csv"))
     assert empty.count() == 0 and empty.columns == ["Category", "Feature"]
 

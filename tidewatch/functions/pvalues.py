@@ -14,18 +14,21 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Above this many observations per side the exact KS distribution is
-# replaced by the asymptotic Kolmogorov distribution (same switch point as
-# common statistics packages).
+# method="auto": observations per side up to which the exact distribution is
+# computed (the usual switch point of statistics packages).
 KS_EXACT_MAX_N = 10000
 
 
-def ks_2samp_pvalue(d: float, n1: int, n2: int) -> float:
+def ks_2samp_pvalue(d: float, n1: int, n2: int, method: str = "auto") -> float:
     """Two-sided p of the two-sample KS statistic ``d``.
 
     Exact: fraction of monotone lattice paths from (0,0) to (n1,n2) that
     leave the band ``|i*n2 - j*n1| < h*g``; computed as a probability
-    recursion along anti-diagonals (values stay in [0,1], no overflow)."""
+    recursion along anti-diagonals (values stay in [0,1], no overflow).
+    ``method``: "exact", "asymptotic" (Kolmogorov's limit) or "auto", which
+    is exact up to KS_EXACT_MAX_N observations per side."""
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"unknown method {method!r}")
     if d is None or n1 is None or n2 is None or n1 <= 0 or n2 <= 0:
         return float("nan")
     n1, n2 = int(n1), int(n2)
@@ -34,7 +37,7 @@ def ks_2samp_pvalue(d: float, n1: int, n2: int) -> float:
     h = int(round(d * lcm))
     if h == 0:
         return 1.0
-    if max(n1, n2) > KS_EXACT_MAX_N:
+    if method == "asymptotic" or method == "auto" and max(n1, n2) > KS_EXACT_MAX_N:
         en = n1 * n2 / (n1 + n2)
         z = (h / lcm) * math.sqrt(en)
         return float(min(1.0, max(0.0, _kolmogorov_sf(z))))
@@ -57,15 +60,15 @@ def ks_2samp_pvalue(d: float, n1: int, n2: int) -> float:
 
 
 def _kolmogorov_sf(z: float) -> float:
+    """Upper tail of Kolmogorov's distribution.  Below z = 1 the alternating
+    series is slow, so its theta-function dual is summed there; either needs
+    a few terms only."""
     if z <= 0:
         return 1.0
-    total = 0.0
-    for k in range(1, 101):
-        term = 2 * (-1) ** (k - 1) * math.exp(-2 * k * k * z * z)
-        total += term
-        if abs(term) < 1e-17:
-            break
-    return total
+    if z < 1.0:
+        terms = (math.exp(-((2 * k - 1) * math.pi / z) ** 2 / 8) for k in range(1, 6))
+        return 1.0 - math.sqrt(2 * math.pi) / z * sum(terms)
+    return 2 * sum((-1) ** (k - 1) * math.exp(-2 * (k * z) ** 2) for k in range(1, 8))
 
 
 def normal_two_sided(z: float) -> float:
@@ -91,12 +94,14 @@ def _gammaincc(a: float, x: float) -> float:
         term = 1.0 / a
         total = term
         ap = a
-        for _ in range(10000):
+        for _ in range(100000):
             ap += 1
             term *= x / ap
             total += term
             if abs(term) < abs(total) * 1e-16:
                 break
+        else:
+            raise ArithmeticError("the incomplete gamma series did not converge")
         return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - lg))
     # continued fraction for Q(a, x) (modified Lentz)
     tiny = 1e-300
@@ -104,7 +109,7 @@ def _gammaincc(a: float, x: float) -> float:
     c = 1 / tiny
     d = 1 / b
     f = d
-    for i in range(1, 10000):
+    for i in range(1, 100000):
         an = -i * (i - a)
         b += 2
         d = an * d + b
@@ -114,8 +119,10 @@ def _gammaincc(a: float, x: float) -> float:
         d = 1 / d
         delta = d * c
         f *= delta
-        if abs(delta - 1) < 1e-16:
+        if abs(delta - 1) < 1e-15:
             break
+    else:
+        raise ArithmeticError("the incomplete gamma fraction did not converge")
     return math.exp(-x + a * math.log(x) - lg) * f
 
 

@@ -9,14 +9,14 @@ pivot and ratios are one generated ``select`` on it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain, combinations, product
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pct_change, safe_ratio
 from ..sources.tables import market_series
-from .panel import (columns_by_suffix, densify, key_columns, leakage_filter, list_symbols,
-                    numeric_columns, to_wide)
+from .panel import column_table, densify, list_symbols, numeric_columns, to_wide
 from .target import add_sentiment
 
 # Fixed values from the reference's parameters.
@@ -32,17 +32,14 @@ def series_features(long_df: DataFrame, value: str = "price", ma_windows=MA_WIND
     """Adds ``ret_pct`` (forward-filled lag-1 percent return) and ``ma{n}``
     (mean of the last n rows, NULLs skipped, at least one value).
 
-    Small inputs (Catalyst size estimate within the single-window bound) use
-    one window partition per series.  Larger inputs, or an explicit
-    ``block_rows``, use :func:`series_features_blocked`, so a long or hot
-    series is never sorted in one task.
+    Rows per series are counted; series that fit ``block_rows`` rows (default
+    ``DEFAULT_BLOCK_ROWS``) are one window each, longer ones are cut into
+    blocks by :func:`series_features_blocked`.  Both give the same rows, NULL
+    symbols and NULL time stamps (first in order) included.
     """
-    from .ranks import SINGLE_WINDOW_MAX_BYTES, estimated_bytes
-    if block_rows is None:
-        est = estimated_bytes(long_df)
-        if est is None or est > SINGLE_WINDOW_MAX_BYTES:
-            block_rows = DEFAULT_BLOCK_ROWS
-    if block_rows is not None:
+    block_rows = block_rows or DEFAULT_BLOCK_ROWS
+    longest = long_df.groupBy(part).count().agg(F.max("count")).first()[0] or 0
+    if longest > block_rows:
         return series_features_blocked(long_df, value, ma_windows, part, order, block_rows)
     w = Window.partitionBy(part).orderBy(order)
     filled = long_df.withColumn(
@@ -66,9 +63,10 @@ def series_features_blocked(long_df: DataFrame, value: str = "price", ma_windows
     """Same result as the single-window path, computed in bounded blocks.
 
     1. Exact position of every row in its series (``dense_rank_of``: a
-       blocked prefix sum, no global sort in one task); ``(part, order)``
-       must be unique, as in a densified panel.  The ranked frame is
-       materialized once.
+       blocked prefix sum, no global sort in one task); rows without a time
+       stamp come first.  ``(part, order)`` should be unique, as in a
+       densified panel: rows that tie have no defined order.  The ranked
+       frame is materialized once.
     2. Block = position // ``block_rows``; the last ``halo`` rows of each
        block (halo = longest moving window - 1, at least 1 for the lag) are
        also copied into the next block.
@@ -78,15 +76,16 @@ def series_features_blocked(long_df: DataFrame, value: str = "price", ma_windows
        own rows are kept.
     """
     from ..session import materialize
-    from .ranks import dense_rank_of
+    from .ranks import _null_safe, dense_rank_of
     halo = max([n - 1 for n in ma_windows] + [1])
     if block_rows <= halo:
         raise ValueError(f"block_rows must exceed the halo of {halo} rows")
     pos = dense_rank_of(long_df.select(part, order), [part], order).select(
-        part, order, (F.col("rank") - 1).alias("_pos"))
+        part, order, F.col("rank").alias("_pos"))
     # written once to the shared checkpoint folder: both the halo copies and
     # the per-block carry read it, and the (large) input runs once
-    ranked = materialize(long_df.join(pos, [part, order]))
+    ranked = materialize(_null_safe(long_df, pos, [part, order], "left")
+                         .withColumn("_pos", F.coalesce("_pos", F.lit(0))))
     blk = F.floor(F.col("_pos") / block_rows).cast("long")
     in_halo_of_next = (F.col("_pos") % block_rows) >= (block_rows - halo)
     copies = F.when(in_halo_of_next, F.array(
@@ -105,25 +104,16 @@ def series_features_blocked(long_df: DataFrame, value: str = "price", ma_windows
 
     w = Window.partitionBy(part, "_blk").orderBy("_pos")
     local_ff = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    filled = (spread.join(carry, [part, "_blk"], "left")
+    filled = (_null_safe(spread, carry, [part, "_blk"], "left")
               .withColumn("_ff", F.coalesce(local_ff, F.col("_carry"))))
     out = filled.select(*long_df.columns, "_halo", *_feature_exprs(value, "_ff", w, ma_windows))
     return out.where(~F.col("_halo")).drop("_halo")
 
 
-def pair_ratio_columns(cols: list[str], strict: bool = True):
-    """``(ratio_{a}_over_{b}, expr)`` for every pair i<j, in list order."""
-    out = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            a, b = cols[i], cols[j]
-            out.append((f"ratio_{a}_over_{b}", safe_ratio(F.col(a), F.col(b), strict)))
-    return out
-
-
-def cross_ratio_columns(left: list[str], right: list[str], strict: bool = True):
-    return [(f"ratio_{a}_over_{b}", safe_ratio(F.col(a), F.col(b), strict))
-            for a in left for b in right]
+def ratio_columns(pairs, strict: bool = True) -> dict:
+    """Ratio expression of each (numerator, denominator) pair, by name."""
+    return {f"ratio_{top}_over_{bottom}": safe_ratio(F.col(top), F.col(bottom), strict)
+            for top, bottom in pairs}
 
 
 @dataclass
@@ -139,7 +129,8 @@ class FeatureSet:
 def build_feature_set(panel: DataFrame, version: str = "v3", symbols: list[str] | None = None,
                       key_symbols: list[str] | None = None, cross_ratios: bool = False,
                       ma_windows=MA_WINDOWS, strict_ratios: bool = True,
-                      thresholds_from: DataFrame | None = None) -> FeatureSet:
+                      thresholds_from: DataFrame | None = None,
+                      leakage: str = "strict") -> FeatureSet:
     """Wide feature set of a daily long panel.
 
     v1: ``{S}_Price_ret_pct`` + raw volume/volatility columns;
@@ -156,14 +147,15 @@ def build_feature_set(panel: DataFrame, version: str = "v3", symbols: list[str]
     wide = to_wide(long_f, symbols, metrics=tuple(metrics))
     wide = wide.join(market_series(panel, TARGET_COL), "ts")
     return _select_features(wide, version, key_symbols or symbols, TARGET_COL, cross_ratios,
-                            strict_ratios, thresholds_from)
+                            strict_ratios, thresholds_from, leakage)
 
 
 def build_feature_set_from_wide(wide: DataFrame, version: str = "v3",
                                 target_col: str = "VIX_Price", ts: str = "ts",
                                 key_symbols: list[str] | None = None, cross_ratios: bool = False,
                                 ma_windows=MA_WINDOWS, strict_ratios: bool = True,
-                                thresholds_from: DataFrame | None = None) -> FeatureSet:
+                                thresholds_from: DataFrame | None = None,
+                                leakage: str = "strict") -> FeatureSet:
     """Feature set of a wide daily table as the reference stores it: one
     row per date, ``{TICKER}_{Price,Volume,Volatility}`` columns, other
     numeric series (macro data) and the target's price column.
@@ -177,7 +169,7 @@ def build_feature_set_from_wide(wide: DataFrame, version: str = "v3",
     _check_version(version)
     if ts != "ts":
         wide = wide.withColumnRenamed(ts, "ts")
-    price_cols = columns_by_suffix(wide.columns, "Price", exclude=target_col)
+    price_cols = [c.name for c in column_table(wide.columns, target_col).raw("price")]
     parts = [F.struct(F.lit(c).alias("symbol"), F.col(f"`{c}`").cast("double").alias("price"))
              for c in price_cols]
     long = wide.select("ts", F.explode(F.array(*parts)).alias("_r")).select(
@@ -192,7 +184,7 @@ def build_feature_set_from_wide(wide: DataFrame, version: str = "v3",
     tickers = key_symbols or [c[: -len("_Price")] if c.lower().endswith("_price") else c
                               for c in price_cols]
     return _select_features(full, version, tickers, target_col, cross_ratios, strict_ratios,
-                            thresholds_from)
+                            thresholds_from, leakage)
 
 
 def _check_version(version: str) -> None:
@@ -202,34 +194,29 @@ def _check_version(version: str) -> None:
 
 def _select_features(wide: DataFrame, version: str, keys: list[str], target_col: str,
                      cross_ratios: bool, strict_ratios: bool,
-                     thresholds_from: DataFrame | None) -> FeatureSet:
-    """Name-driven feature selection on a wide frame holding the price
-    columns, their derived columns, other numeric series and the target
-    column (plan time, no job); then ratios, target value and label."""
+                     thresholds_from: DataFrame | None, leakage: str = "strict") -> FeatureSet:
+    """Features of a wide frame, as queries on its column table (plan time,
+    no job): returns of prices, every other numeric column that is neither a
+    price nor derived from the target, and for v3 ratios; then the target
+    value and the label."""
     cols = wide.columns
-    price_cols = columns_by_suffix(cols, "Price", exclude=target_col)
-    ret_feats = [f"{c}_ret_pct" for c in price_cols]
-    forbidden = {"ts", LABEL_COL, target_col}
-    extra = [c for c in numeric_columns(wide)
-             if c not in forbidden and not c.lower().endswith("price")
-             and not c.endswith("_ret_pct") and target_col.lower() not in c.lower()]
-    feats = sorted(set(ret_feats + extra))
-
-    ratio_exprs = []
+    table = column_table(cols, target_col)
+    numeric = set(numeric_columns(wide)) - {"ts", LABEL_COL, target_col}
+    chosen = {c.name for c in table if c.derived == "ret_pct" and c.metric == "price" and not c.of_target}
+    chosen |= {c.name for c in table
+               if c.name in numeric and not c.is_raw_price and c.derived != "ret_pct" and not c.mentions_target}
+    ratio_exprs = {}
     if version == "v3":
-        vol_cols = columns_by_suffix(cols, "Volume")
-        vty_cols = [c for c in cols if c.lower().endswith("volatility")]
-        price_key = key_columns(price_cols, keys)
-        ratio_exprs = pair_ratio_columns(price_key, strict_ratios)
-        ratio_exprs += pair_ratio_columns(key_columns(vol_cols, keys), strict_ratios)
-        if cross_ratios and vty_cols:
-            ratio_exprs += cross_ratio_columns(price_key, key_columns(vty_cols, keys),
-                                               strict_ratios)
-        feats = sorted(set(feats + [name for name, _ in ratio_exprs]))
-    feats = leakage_filter(feats, target_col)
+        price, volume = table.key("price", keys), table.key("volume", keys)
+        pairs = [combinations(price, 2), combinations(volume, 2)]
+        if cross_ratios and table.raw("volatility"):
+            pairs.append(product(price, table.key("volatility", keys)))
+        ratio_exprs = ratio_columns(chain.from_iterable(pairs), strict_ratios)
+    feats = sorted(c.name for c in column_table(sorted(chosen | set(ratio_exprs)), target_col)
+                   if not c.leaks(leakage))
 
     out = wide.select("ts", *[c for c in cols if c != "ts"],
-                      *[e.alias(name) for name, e in ratio_exprs])
+                      *[e.alias(name) for name, e in ratio_exprs.items()])
     out = out.withColumn(TARGET_VALUE, F.col(target_col))
     out = add_sentiment(out, target_col, LABEL_COL, fit_df=thresholds_from)
     final = out.select("ts", *feats, TARGET_VALUE, LABEL_COL)

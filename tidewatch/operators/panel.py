@@ -9,6 +9,7 @@ and start no job.
 
 from __future__ import annotations
 
+import re
 import re
 from dataclasses import dataclass, field
 
@@ -75,26 +76,65 @@ def densify(panel: DataFrame, symbols: list[str],
     return to_long(to_wide(panel, symbols, metrics), symbols, metrics)
 
 
-# ---- name-driven column rules (plan time, no job) -------------------------
+# ---- the column table: names parsed once, selections are queries on it ------
+
+# Metric endings and the marks of derived columns.
+_METRICS = ("price", "volume", "volatility")
+_NAME = re.compile(rf"(?is)(?P<stem>.*?)(?P<metric>{'|'.join(_METRICS)})?\s*(?P<derived>_ret_pct|_ma\d+)?")
+
+
+@dataclass(frozen=True)
+class NamedColumn:
+    """What a column's name says: metric it ends in (before a derived mark),
+    how it was derived, and its relation to the target column."""
+    name: str
+    metric: str
+    derived: str
+    target: str
+
+    @property
+    def is_raw_price(self) -> bool:
+        return self.metric == "price" and not self.derived
+
+    @property
+    def mentions_target(self) -> bool:
+        return bool(self.target) and self.target in self.name.lower()
+
+    @property
+    def of_target(self) -> bool:
+        """The target itself, or a column whose name ends in the target's."""
+        base = self.name.lower().removesuffix(f"_{self.derived}").strip()
+        return bool(self.target) and base.endswith(self.target)
 
-def columns_by_suffix(cols: list[str], suffix: str, exclude: str | None = None) -> list[str]:
-    """Case-insensitive ``endswith``; optionally drop the target column."""
-    sfx = suffix.lower()
-    out = [c for c in cols if c.lower().endswith(sfx)]
-    if exclude:
-        ex = exclude.lower()
-        out = [c for c in out if not (c.strip().lower() == ex or c.strip().lower().endswith(ex))]
-    return out
+    def leaks(self, mode: str = "strict") -> bool:
+        """strict: the name mentions the target column; loose: it mentions the
+        target's ticker."""
+        if mode not in ("strict", "loose"):
+            raise ValueError(f"unknown leakage mode {mode!r}")
+        word = self.target if mode == "strict" else self.target.partition("_")[0]
+        return bool(word) and word in self.name.lower()
 
 
-def leakage_filter(names: list[str], target: str, mode: str = "strict") -> list[str]:
-    """strict: drop names containing the target column name;
-    loose: drop names containing the target's ticker prefix anywhere."""
-    t = target.lower()
-    if mode == "loose":
-        prefix = t.split("_")[0]
-        return [n for n in names if prefix not in n.lower()]
-    return [n for n in names if t not in n.lower() and n != target]
+class ColumnTable(list):
+    """Rows of :class:`NamedColumn` in column order."""
+
+    def raw(self, metric: str, with_target: bool = False) -> list[NamedColumn]:
+        return [c for c in self if c.metric == metric and not c.derived and (with_target or not c.of_target)]
+
+    def key(self, metric: str, keys: list[str]) -> list[str]:
+        """Names of a metric's columns that mention a key ticker; none that
+        does is an error, since any other choice would be arbitrary."""
+        tickers = re.compile("|".join(map(re.escape, keys)), re.I)
+        names = [c.name for c in self.raw(metric) if tickers.search(c.name)] if keys else []
+        if not names and self.raw(metric):
+            raise ValueError(f"no {metric} column mentions any of {keys}")
+        return names
+
+
+def column_table(cols: list[str], target: str = "") -> ColumnTable:
+    parsed = ((c, _NAME.fullmatch(c)) for c in cols)
+    return ColumnTable(NamedColumn(c, (m["metric"] or "").lower(), (m["derived"] or "").lower().lstrip("_"),
+                                   target.lower()) for c, m in parsed)
 
 
 def numeric_columns(df: DataFrame, int_and_double_only: bool = False) -> list[str]:
@@ -104,17 +144,6 @@ def numeric_columns(df: DataFrame, int_and_double_only: bool = False) -> list[st
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def key_columns(cols: list[str], keys: list[str] | None, exclude_prefix: str | None = None,
-                fallback: int = 3) -> list[str]:
-    """Columns that mention any key ticker; without keys (or no match) the
-    first ``fallback`` columns that do not mention ``exclude_prefix``."""
-    picks = [c for c in cols if keys and any(k.lower() in c.lower() for k in keys)]
-    if picks:
-        return picks
-    ex = (exclude_prefix or "").lower()
-    return [c for c in cols if not ex or ex not in c.lower()][:fallback]
-
-
 @dataclass
 class ColumnRoles:
     """Column mapping used by the quality and model reports."""

@@ -13,12 +13,12 @@ the mid-ranks of the Mann-Whitney test (I6):
    exact offset of each block from a window over the tiny
    ``groups x blocks`` totals frame.
 
-When Catalyst's size estimate of the input is small (see
-``SINGLE_WINDOW_MAX_BYTES``) steps 2-3 collapse into one window per group,
-which saves five shuffle stages; a task then holds a bounded amount.
+The number of blocks follows from the counted distinct values: a block holds
+about ``BLOCK_ROWS`` of the largest group.  A group that fits one block is
+one window; NULL groups are groups like any other at every block count.
 
-No group is ever sorted in one task, the result is exact, and the plan is
-deterministic (boundaries become data, not driver literals).
+No task sorts more than about one block, and the result does not depend on
+the number of blocks.
 """
 
 from __future__ import annotations
@@ -26,29 +26,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCKS = 64
+# Distinct values of a group that one window partition holds.
+BLOCK_ROWS = 1_000_000
+# Without grouping columns the window is partitioned by the block alone, so
+# there are always a few.
+MIN_UNGROUPED_BLOCKS = 8
 # Position buckets per group for the quantile lookup join (see exact_quantiles).
 QUANTILE_BUCKETS = 1024
-# Inputs whose optimizer size estimate is below this are ranked with one
-# window per group: a task then holds at most this much (and spills).
-SINGLE_WINDOW_MAX_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes and projections;
-    conservative after aggregations).  None when unavailable."""
-    try:
-        # py4j returns the Scala BigInt as a Python int; str() covers both
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
-        return None
-
-
-def choose_blocks(df: DataFrame, n_blocks: int | None) -> int:
+def choose_blocks(keyed: DataFrame, group_cols: list[str], n_blocks: int | None,
+                  block_rows: int | None = None) -> int:
+    """Blocks so that the largest group has about ``block_rows`` rows in each
+    (one count over the distinct values)."""
     if n_blocks is not None:
         return n_blocks
-    est = estimated_bytes(df)
-    return 1 if est is not None and est <= SINGLE_WINDOW_MAX_BYTES else DEFAULT_BLOCKS
+    block_rows = block_rows or BLOCK_ROWS
+    largest = keyed.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+    return max(1 if group_cols else MIN_UNGROUPED_BLOCKS, -(-largest // block_rows))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match; the right side's keys are dropped."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = None
+    for c in cols:
+        one = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = one if cond is None else cond & one
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
 def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
@@ -65,13 +70,13 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
     # constant-folded by the optimizer and turn the joins into cartesian
     # products.  The one row of bounds is attached as literals instead, and
     # the offset join keys on the block alone.
-    n_blocks = choose_blocks(df, n_blocks)
     src = df.where(F.col(value_col).isNotNull())
     keyed = src.groupBy(*group_cols, value_col).agg(
         *[F.sum(expr).cast("long").alias(name) for name, expr in weights.items()])
     names = list(weights)
-    if n_blocks <= 1:
-        # size-checked small input: one window partition per group
+    n_blocks = choose_blocks(src.select(*group_cols, value_col).distinct(), group_cols, n_blocks)
+    if n_blocks <= 1 and group_cols:
+        # one block: one window partition per group
         wr = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(
             Window.unboundedPreceding, 0)
         wt = Window.partitionBy(*group_cols)
@@ -85,7 +90,7 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
             F.percentile_approx(value_col, probs, accuracy).alias("_bounds"))
         # groups x blocks boundary values: small; AQE broadcasts it when the
         # measured size allows, otherwise it is a shuffled equi-join.
-        blocked = keyed.join(bounds, group_cols)
+        blocked = _null_safe(keyed, bounds, group_cols)
     elif probs:
         # One row of n_blocks - 1 boundary values (one small job): attached
         # as literals, so no join is needed.  They only balance the blocks;
@@ -103,18 +108,30 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
 
     totals = blocked.groupBy(*group_cols, "_block").agg(
         *[F.sum(n).alias(f"_bt_{n}") for n in names])
-    wb = Window.partitionBy(*group_cols).orderBy("_block")
-    offsets = totals.select(
-        *group_cols, "_block",
-        *[F.coalesce(F.sum(f"_bt_{n}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                     F.lit(0)).alias(f"_off_{n}") for n in names],
-        *[F.sum(f"_bt_{n}").over(Window.partitionBy(*group_cols)).alias(f"{n}_total")
-          for n in names])
+    if group_cols:
+        wb = Window.partitionBy(*group_cols).orderBy("_block")
+        offsets = totals.select(
+            *group_cols, "_block",
+            *[F.coalesce(F.sum(f"_bt_{n}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                         F.lit(0)).alias(f"_off_{n}") for n in names],
+            *[F.sum(f"_bt_{n}").over(Window.partitionBy(*group_cols)).alias(f"{n}_total")
+              for n in names])
+    else:
+        # one short array of n_blocks totals instead of a window over all
+        parts = totals.agg(F.array_sort(F.collect_list(F.struct(
+            "_block", *[f"_bt_{n}" for n in names]))).alias("_all"))
+        running = lambda upto, n: F.aggregate(
+            upto, F.lit(0).cast("long"), lambda acc, x: acc + x[f"_bt_{n}"])
+        before = lambda x: F.filter("_all", lambda y: y["_block"] < x["_block"])
+        offsets = parts.select(F.explode(F.transform("_all", lambda x: F.struct(
+            x["_block"].alias("_block"),
+            *[running(before(x), n).alias(f"_off_{n}") for n in names],
+            *[running(F.col("_all"), n).alias(f"{n}_total") for n in names]))).alias("_o")).select("_o.*")
     wl = Window.partitionBy(*group_cols, "_block").orderBy(value_col).rowsBetween(
         Window.unboundedPreceding, 0)
     local = blocked.select(*group_cols, "_block", value_col, *names,
                            *[F.sum(n).over(wl).alias(f"_loc_{n}") for n in names])
-    out = local.join(offsets, [*group_cols, "_block"])
+    out = _null_safe(local, offsets, [*group_cols, "_block"])
     return out.select(*group_cols, value_col, *names,
                       *[(F.col(f"_loc_{n}") + F.col(f"_off_{n}")).alias(f"{n}_cum") for n in names],
                       *[F.col(f"{n}_total") for n in names])

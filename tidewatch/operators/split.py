@@ -2,7 +2,7 @@
 
 A global ``row_number()`` (window without a partition key) runs in one task.
 Here the position of each time stamp comes from :func:`dense_rank_of`, a
-blocked prefix sum over the distinct time stamps, and is joined back.
+blocked prefix sum over the distinct time stamps.
 """
 
 from __future__ import annotations
@@ -18,12 +18,15 @@ def chronological_split(df: DataFrame, ts: str = "ts", train_frac: float = 0.8,
                         out: str = "split") -> DataFrame:
     """Rows whose time stamp is among the first ``floor(n * train_frac)``
     distinct time stamps get ``first``, the rest ``second`` (the reference's
-    ``iloc`` cut over a one-row-per-date frame)."""
+    ``iloc`` cut over a one-row-per-date frame).  The last such time stamp is
+    found once (ranks over the distinct time stamps); rows are labelled by
+    comparing to it, without a join.  A NULL time stamp has a NULL label."""
     ranks = dense_rank_of(df.select(ts), [], ts)
     cut = F.floor(F.col("n_distinct") * F.lit(float(train_frac)))
-    ranks = ranks.select(ts, "rank", F.when(F.col("rank") <= cut, F.lit(first))
-                         .otherwise(F.lit(second)).alias(out))
-    return df.join(ranks, ts)
+    boundary = ranks.where(F.col("rank") <= cut).agg(F.max(ts)).first()[0]
+    label = F.lit(second) if boundary is None else F.when(
+        F.col(ts) <= F.lit(boundary), F.lit(first)).otherwise(F.lit(second))
+    return df.withColumn(out, F.when(F.col(ts).isNotNull(), label))
 
 
 def three_way_split(df: DataFrame, ts: str = "ts", label: str | None = None,

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.scalar import threshold_label
 from ..session import bounded_broadcast, materialize, scratch_path
+from ..sources.tables import nan_to_null
 
 # Fixed values of the monitoring set-up: hourly windows, drift threshold.
 WINDOW = "1 hour"
@@ -40,14 +41,14 @@ def event_stream(spark: SparkSession, path: str, schema: StructType,
         ev = reader.parquet(path)
     # Watermarks need TIMESTAMP; the tables store TIMESTAMP_NTZ (UTC session).
     return ev.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
-                     "value")
+                     nan_to_null("value").alias("value"))
 
 
 def reference_stats(static_events: DataFrame) -> DataFrame:
     """Per-symbol mean / std / count over the static reference data.  The
     stream jobs materialize it once, so micro-batches never rescan the
     static table."""
-    ev = static_events.select(F.col("event_type").alias("symbol"), "value")
+    ev = static_events.select(F.col("event_type").alias("symbol"), nan_to_null("value").alias("value"))
     return ev.groupBy("symbol").agg(F.avg("value").alias("ref_mean"),
                                     F.stddev_samp("value").alias("ref_std"),
                                     F.count("value").alias("ref_n"))
