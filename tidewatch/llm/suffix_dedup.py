@@ -29,7 +29,7 @@ from tidewatch.llm.induced_sorting import suffix_array
 MATCH, SEED = 200, 64
 SPREAD = MATCH - SEED + 1
 #: Bytes of segments that are suffix-sorted together.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 _PLACE = 22
 
 
@@ -134,7 +134,7 @@ def _all_segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     and, above 16 bits, the minimizer's offset in the first one."""
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, 1 << 20):
                 rows = np.asarray(part.column(0))
                 doc, start, windows, offset, key, content = segments(*binary_buffers(part.column(1)))
                 yield pa.RecordBatch.from_arrays([
