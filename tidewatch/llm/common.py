@@ -3,7 +3,10 @@ vectorised word hashing over Arrow text columns, connected components."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "text_slices", "binary_buffers",
+__all__ = ["materialize", "scratch_path", "ship_code", "table", "text_slices", "binary_buffers",
            "word_spans", "word_hashes", "mix64", "connected_components"]
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory.
@@ -25,7 +28,26 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application, for
+    sessions that were started without it on their workers' path."""
+    package = Path(__file__).resolve().parents[1]
+    application = spark.sparkContext.applicationId
+    if application in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidewatch-code-")) / "tidewatch_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
