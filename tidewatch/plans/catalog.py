@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import SENTIMENT_LABELS
+from ..functions.scalar import SENTIMENT_LABELS, neg_log10, safe_ratio
 from ..operators import drift as D
 from ..operators import stats as S
 from ..operators.features import LABEL_COL, TARGET_VALUE, build_feature_set, series_features
@@ -347,13 +347,45 @@ def b8_dropna_counts(spark, sf):
             F.count_if(F.col(TARGET_VALUE).isNotNull() & F.greatest(
                 *[F.col(c).isNull() for c in fs.features]).eqNullSafe(F.lit(False))
             ).alias("n_complete"),
+            F.count_if(~F.greatest(F.lit(False), *[F.col(c).isNull() for c in df.columns])).alias("n_no_null"),
             F.lit(len(fs.features)).cast("long").alias("n_features"))
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def c3_loose_ratio(spark, sf):
+    """C3: the loose ratio keeps a zero denominator (here: days on which all
+    orders of a symbol cost the same), the strict one makes it NULL."""
+    p = I.panel(spark, sf).withColumn("spread", F.coalesce("volatility", F.lit(0.0)))
+    small = lambda strict: F.log10(safe_ratio("price", "spread", strict))
+    return p.select("symbol", "ts", _r(small(False), 5).alias("loose"), _r(small(True), 5).alias("strict"))
+
+
+def c8_scalar_functions(spark, sf):
+    """C8: absolute value, square root and negative decimal logarithm."""
+    p = I.panel(spark, sf)
+    return p.select("symbol", "ts", _r(F.abs(F.col("price") - 150000.0), 5).alias("distance"),
+                    _r(F.sqrt("price"), 5).alias("root"), _r(neg_log10("price"), 5).alias("neg_log10"))
+
+
+def a4_lenient_timestamps(spark, sf):
+    """A4: order dates as text, those of every odd order key spoiled, parsed
+    leniently: what cannot be read is NULL and counted per symbol of status."""
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit("on "), day)).otherwise(day)
+    parsed = F.try_to_timestamp(text)
+    return o.groupBy("o_orderstatus").agg(
+        F.count_if(parsed.isNull()).alias("unreadable"), F.count(parsed).alias("readable"),
+        F.date_format(F.min(parsed), "yyyy-MM-dd").alias("first_day"),
+        F.date_format(F.max(parsed), "yyyy-MM-dd").alias("last_day"))
+
+
 def catalog() -> dict[str, Query]:
     return {
+        "c3_loose_ratio": c3_loose_ratio,
+        "c8_scalar_functions": c8_scalar_functions,
+        "a4_lenient_timestamps": a4_lenient_timestamps,
         "i1_sentiment_counts": i1_sentiment_counts,
         "i1_target_labels": i1_target_labels,
         "a1_panel_daily": a1_panel_daily,

@@ -394,7 +394,21 @@ def oracle() -> dict[str, str]:
         "SELECT * FROM (" + _with(PANEL, MARKET, TH, cte) +
         f"SELECT '{v}' AS version, count(*) AS n_rows, count(*) FILTER (WHERE Target_Value IS NOT NULL) "
         f"AS n_target, count(*) FILTER (WHERE Target_Value IS NOT NULL AND {cond}) AS n_complete, "
+        f"count(*) FILTER (WHERE {cond} AND ts IS NOT NULL AND Target_Value IS NOT NULL "
+        f"AND Market_Sentiment IS NOT NULL) AS n_no_null, "
         f"CAST({len(feats)} AS BIGINT) AS n_features FROM fs) x_{v}" for v, cte, feats, cond in parts)
+    ratio = "log10(price / ({den} + 1e-9))"
+    q["c3_loose_ratio"] = _with(PANEL) + (
+        "SELECT symbol, ts, round(" + ratio.format(den="coalesce(volatility, 0)") + " + {OFF5}, 5) AS loose, round("
+        + ratio.format(den="nullif(coalesce(volatility, 0), 0)") + " + {OFF5}, 5) AS strict FROM panel")
+    q["c8_scalar_functions"] = _with(PANEL) + (
+        "SELECT symbol, ts, round(abs(price - 150000) + {OFF5}, 5) AS distance, round(sqrt(price) + {OFF5}, 5) AS root, "
+        "round(-log10(price) + {OFF5}, 5) AS neg_log10 FROM panel")
+    q["a4_lenient_timestamps"] = """SELECT o_orderstatus, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS unreadable,
+  count(*) FILTER (WHERE o_orderkey % 2 = 0) AS readable,
+  strftime(min(o_orderdate) FILTER (WHERE o_orderkey % 2 = 0), '%Y-%m-%d') AS first_day,
+  strftime(max(o_orderdate) FILTER (WHERE o_orderkey % 2 = 0), '%Y-%m-%d') AS last_day
+FROM orders GROUP BY o_orderstatus"""
     q["a5_csv_roundtrip"] = q["a1_panel_daily"]
     q["a6_a7_feature_store_roundtrip"] = q["i4_features_v3"]
     q["a9_a11_registry"] = _with(PANEL, MARKET) + " UNION ALL ".join(
