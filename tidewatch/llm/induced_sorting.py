@@ -33,17 +33,15 @@ class DiskQueue:
 
     def __init__(self, folder: str, memory: int = MEMORY_TUPLES):
         self.folder, self.memory = folder, memory
-        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = self.arrived = self.written = 0
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.written = 0
 
     def push(self, chars: np.ndarray, positions: np.ndarray) -> None:
         if not len(chars):
             return
         order = np.argsort(chars, kind="stable")
-        arrival = order + self.arrived
-        self.held.append((chars[order], positions[order], arrival))
-        self.arrived += len(chars)
+        self.held.append((chars[order], positions[order]))
         self.size += len(chars)
         if self.size > self.memory:
             self._write()
@@ -51,9 +49,9 @@ class DiskQueue:
             self.held = [self._merged()]
 
     def _merged(self):
-        chars, positions, arrival = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        chars, positions = (np.concatenate(x) for x in zip(*self.held, strict=True))
         order = np.argsort(chars, kind="stable")
-        return chars[order], positions[order], arrival[order]
+        return chars[order], positions[order]
 
     def _write(self) -> None:
         run = []
@@ -65,23 +63,22 @@ class DiskQueue:
         self.held, self.size = [], 0
         self.written += 1
 
-    def pop(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(characters, positions, arrivals) of all tuples with a character in
-        [low, high]; each run is sorted by character, runs are in order of
-        arrival."""
+    def pop(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """(characters, positions) of all tuples with a character in [low,
+        high]; equal characters are in order of arrival."""
         out = []
-        for chars, positions, arrival in self.runs + self.held:
+        for chars, positions in self.runs + self.held:
             a, b = np.searchsorted(chars, np.array([low, high + 1], dtype=np.int64))
             if a < b:
-                out.append((np.asarray(chars[a:b]), np.asarray(positions[a:b]), np.asarray(arrival[a:b])))
+                out.append((np.asarray(chars[a:b]), np.asarray(positions[a:b])))
         if not out:
             empty = np.zeros(0, dtype=np.int64)
-            return empty, empty, empty
+            return empty, empty
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def count(self, low: int, high: int) -> int:
         return sum(int(np.diff(np.searchsorted(c, np.array([low, high + 1], dtype=np.int64)))[0])
-                   for c, _, _ in self.runs + self.held)
+                   for c, _ in self.runs + self.held)
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -115,7 +112,7 @@ def _names(text: np.ndarray, up: np.ndarray, at: np.ndarray) -> np.ndarray:
         return out
 
     key = word(at, length, 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     rank = np.empty(len(at), dtype=np.int64)
     new = np.append(True, key[order][1:] != key[order][:-1])
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
@@ -203,10 +200,9 @@ def _range(text, wanted, queue, low, high, given):
     this range as well; ties of the last kind are resolved by following
     neighbours at doubling distance.
     """
-    chars, positions, arrival = queue.pop(low, high)
+    chars, positions = queue.pop(low, high)
     m = len(positions)
     nodes, codes = [positions, given], [chars * 2, text[given].astype(np.int64) * 2 + 1]
-    order_key = [arrival, np.arange(len(given))]
     follow = [np.full(m, -1, dtype=np.int64), np.full(len(given), -1, dtype=np.int64)]
     total = m + len(given)
     source, source_id = np.concatenate(nodes), np.arange(total)
@@ -220,16 +216,20 @@ def _range(text, wanted, queue, low, high, given):
             break
         nodes.append(left)
         codes.append(text[left].astype(np.int64) * 2)
-        order_key.append(np.zeros(len(left), dtype=np.int64))
         follow.append(ids)
         source, source_id = left, np.arange(total, total + len(left))
         total += len(left)
-    nodes, code, key, follow = (np.concatenate(x) for x in (nodes, codes, order_key, follow))
+    nodes, code, follow = (np.concatenate(x) for x in (nodes, codes, follow))
     later = follow >= 0
-    order = np.lexsort((key, later, code))
+    # Under one code the queue's suffixes are in order of arrival and the
+    # given ones in their own order, so a stable sort by code keeps it.
+    code = code * 2 + later
+    code -= low * 4
+    if int(code.max(initial=0)) < 1 << 16:
+        code = code.astype(np.uint16)
+    order = np.argsort(code, kind="stable")
     new = np.ones(total, dtype=bool)
-    new[1:] = ((code[order][1:] != code[order][:-1]) | (later[order][1:] != later[order][:-1])
-               | (key[order][1:] != key[order][:-1]))
+    new[1:] = (code[order][1:] != code[order][:-1]) | ~later[order][1:]
     place = np.arange(total)
     rank = np.empty(total, dtype=np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, place, 0))
@@ -244,7 +244,7 @@ def _range(text, wanted, queue, low, high, given):
         if not len(tied):
             break
         key = rank[follow[tied]]
-        by = np.lexsort((key, rank[tied]))
+        by = np.argsort(rank[tied] * total + key)
         tied, key = tied[by], key[by]
         group = rank[tied]
         fresh = np.append(True, group[1:] != group[:-1])

@@ -33,19 +33,20 @@ SHARD_BYTES = 2 << 20
 _PLACE = 22
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def segments(data: np.ndarray, offsets: np.ndarray, contents: bool = True) -> tuple[np.ndarray, ...]:
     """(document, start, windows, offset of the minimizer in the first window,
-    minimizer, content hash) of the segments of some documents' bytes."""
+    minimizer, content hash) of the segments of some documents' bytes; without
+    ``contents``, the hashes are left out (zero)."""
     out = []
     piece = (1 << _PLACE) - MATCH
     for low in range(0, max(0, len(data) - MATCH + 1), piece):
-        out.append(_segments(data, offsets, low, min(low + piece + MATCH - 1, len(data))))
+        out.append(_segments(data, offsets, low, min(low + piece + MATCH - 1, len(data)), contents))
     if not out:
         return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _segments(data, offsets, low, high):
+def _segments(data, offsets, low, high, contents):
     part = data[low:high]
     key, base, width = part.astype(np.uint64) + np.uint64(1), _BASE, 1
     while width < SEED:  # polynomial hashes of SEED bytes, by doubling
@@ -68,12 +69,19 @@ def _segments(data, offsets, low, high):
     ends = np.append(start[1:], len(place))
     counted = np.append(0, np.cumsum(inside))
     windows = counted[ends] - counted[start]
+    content = np.zeros(len(start), dtype=np.uint64)
+    if contents:
+        content = _content(part, start, start + windows + MATCH - 1)
+    return (doc[start], start + low - offsets[doc[start]], windows, place[start] - start, key[place[start]],
+            content)
+
+
+def _content(part: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes, from one prefix sum."""
     total = np.zeros(len(part) + 1, dtype=np.uint64)
     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(part)), out=total[1:])
-    end = start + windows + MATCH - 1
     content = (total[end] - total[start]) * _powers(pow(_BASE, -1, 1 << 64), len(part) + 1)[start]
-    return (doc[start], start + low - offsets[doc[start]], windows, place[start] - start,
-            key[place[start]], mix64(content + windows.astype(np.uint64)))
+    return mix64(content + (end - start).astype(np.uint64))
 
 
 def recurring(texts: list[bytes], windows: list[int]) -> list[np.ndarray]:
@@ -146,6 +154,17 @@ def _all_segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         run, "key bigint, content bigint, row bigint, start int, shape int")
 
 
+def _keys(docs: DataFrame, text_col: str) -> DataFrame:
+    """The minimizer of each segment."""
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, 0, 1 << 20):
+                key = segments(*binary_buffers(part.column(0)), contents=False)[4]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key bigint")
+
+
 def _cut_out(batches):
     """Rows (shard, key, content, base, windows, times, text) of the segments
     that a document stands for; ``base`` counts from the segment's start."""
@@ -201,7 +220,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other columns are not read.
     """
     found = _all_segments(docs, id_col, text_col)
-    shared = found.groupBy("key").count().where("count > 1").select("key")
+    shared = _keys(docs, text_col).groupBy("key").count().where("count > 1").select("key")
     repeated = materialize(found.join(shared, "key"))
     folded = materialize(repeated.groupBy("key", "content").agg(
         F.count("*").alias("times"), F.min("row").alias("row"),
