@@ -86,3 +86,27 @@ def test_stream_scoring_equals_batch_scoring(spark, tmp_path):
     batch = {r.ts: r.pred_label for r in
              score_requests(inst, model, p.features, p.medians, LABEL_COL, labels).collect()}
     assert streamed == batch and len(batch) == p.test.count()
+
+
+def test_nan_is_missing_and_baseline_is_separate(spark, tmp_path):
+    """A NaN event neither spoils its symbol's statistics nor raises an alert;
+    windows are compared with the baseline, not with themselves; label counts
+    are those of the batch frame."""
+    import datetime as dt
+    from tidewatch.streaming.monitor import live_labels, windowed_label_counts
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=5 * i), "a", float("nan") if i == 3 else 10.0 + i % 2) for i in range(60)]
+    rows.append((99, t0 + dt.timedelta(hours=9), "a", 10.0))
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    base = spark.createDataFrame([(i, t0, "a", 20.0 + i % 3) for i in range(9)], schema)
+    run = lambda name, **o: spark.read.parquet(run_windowed_monitoring(
+        spark, str(tmp_path / "in"), out=str(tmp_path / name), checkpoint=str(tmp_path / f"{name}c"), **o)).collect()
+    own, other = run("own"), run("other", baseline=base)
+    assert own and all(r.mean == r.mean and r.mean_shift < 0.05 for r in own)
+    assert all(0.45 < r.mean_shift < 0.55 and r.alert for r in other)
+    events = spark.read.parquet(str(tmp_path / "in")).select(F.col("event_type").alias("symbol"), "ts", F.nanvl(
+        "value", F.lit(None).cast("double")).alias("value"))
+    counts = windowed_label_counts(live_labels(events, reference_stats(base))).collect()
+    assert sum(r.n_greed for r in counts) == 60 and sum(r.n_unlabelled for r in counts) == 1
+    assert sum(r.n_fear + r.n_stable for r in counts) == 0

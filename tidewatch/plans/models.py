@@ -355,9 +355,8 @@ def leaderboard(results: DataFrame) -> DataFrame:
 
 
 def best_per_version(results: DataFrame, task: str) -> DataFrame:
-    """Head 1 per version after sorting RMSE / MAE ascending and R2
-    descending (regression) or the test metric descending (classification);
-    the per-version bests concatenated."""
+    """Head 1 per version by the test metric, descending, ties by name; the
+    per-version bests concatenated."""
     from pyspark.sql import Window
     ok = results.where((F.col("task") == task) & (F.col("best_model") != "FAILED"))
     w = Window.partitionBy("version").orderBy(F.desc("test_metric"), F.asc("best_model"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.scalar import threshold_label
+from ..functions.scalar import LABEL_FEAR, LABEL_GREED, LABEL_STABLE, threshold_label
 from ..session import bounded_broadcast, materialize, scratch_path
 from ..sources.tables import nan_to_null
 
@@ -77,11 +77,14 @@ def with_alerts(windows: DataFrame, ref: DataFrame, threshold: float = DRIFT_THR
 
 
 def run_windowed_monitoring(spark: SparkSession, events_path: str, out: str | None = None,
-                            checkpoint: str | None = None, available_now: bool = True):
+                            checkpoint: str | None = None, available_now: bool = True,
+                            baseline: DataFrame | None = None):
     """Start M1; with ``available_now`` wait for it to finish and return the
-    output path.  Windows are emitted when the watermark passes their end."""
+    output path.  Windows are emitted when the watermark passes their end.
+    They are compared with ``baseline`` (static events, e.g. of the training
+    period); without one, with all events of the folder itself."""
     schema = spark.read.parquet(events_path).schema
-    ref = materialize(reference_stats(spark.read.parquet(events_path)))
+    ref = materialize(reference_stats(spark.read.parquet(events_path) if baseline is None else baseline))
     out = out or scratch_path(spark, "m1_windows")
     checkpoint = checkpoint or scratch_path(spark, "m1_checkpoint")
     wins = windowed_stats(event_stream(spark, events_path, schema))
@@ -104,10 +107,23 @@ def live_labels(stream: DataFrame, ref: DataFrame) -> DataFrame:
                     .alias("label"))
 
 
+def windowed_label_counts(labelled: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """Events of each label per window and symbol (append mode), from the
+    frame of :func:`live_labels`."""
+    timed = labelled.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    of = lambda label: F.count_if(F.col("label") == label)
+    return (timed.groupBy(F.window("ts", window).alias("w"), "symbol")
+            .agg(of(LABEL_FEAR).alias("n_fear"), of(LABEL_GREED).alias("n_greed"),
+                 of(LABEL_STABLE).alias("n_stable"), F.count_if(F.col("label").isNull()).alias("n_unlabelled"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "symbol",
+                    "n_fear", "n_greed", "n_stable", "n_unlabelled"))
+
+
 def run_live_labels(spark: SparkSession, events_path: str, out: str | None = None,
-                    checkpoint: str | None = None) -> str:
+                    checkpoint: str | None = None, baseline: DataFrame | None = None) -> str:
+    """M2 labelling against ``baseline`` (default: the folder's own events)."""
     schema = spark.read.parquet(events_path).schema
-    ref = materialize(reference_stats(spark.read.parquet(events_path)))
+    ref = materialize(reference_stats(spark.read.parquet(events_path) if baseline is None else baseline))
     out = out or scratch_path(spark, "m2_labels")
     checkpoint = checkpoint or scratch_path(spark, "m2_checkpoint")
     q = (live_labels(event_stream(spark, events_path, schema), ref).writeStream
