@@ -330,9 +330,12 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ready = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .where("doc_id is not null and text is not null")
     all_seeds = seeds(ready)
-    heads = (all_seeds.where("first").groupBy("key")
-             .agg(F.min("doc").alias("head"), F.min_by("pos", "doc").alias("there"), F.max("doc").alias("last"))
-             .where("head <> last").drop("last"))
+    # Written first: the join then reads plain exchanges on both sides, whose
+    # hot keys Spark can split.
+    heads = materialize(all_seeds.where("first").groupBy("key")
+                        .agg(F.min("doc").alias("head"), F.min_by("pos", "doc").alias("there"),
+                             F.max("doc").alias("last"))
+                        .where("head <> last").drop("last"))
     links = all_seeds.join(heads, "key").where("doc <> head").select("doc", "head", "pos", "there")
     chained = materialize(chains(links))
     found = materialize(aligned(chained, ready))
