@@ -220,7 +220,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other columns are not read.
     """
     found = _all_segments(docs, id_col, text_col)
-    shared = _keys(docs, text_col).groupBy("key").count().where("count > 1").select("key")
+    # Written first, so that Spark can split a hot minimizer in the join.
+    shared = materialize(_keys(docs, text_col).groupBy("key").count().where("count > 1").select("key"))
     repeated = materialize(found.join(shared, "key"))
     folded = materialize(repeated.groupBy("key", "content").agg(
         F.count("*").alias("times"), F.min("row").alias("row"),
