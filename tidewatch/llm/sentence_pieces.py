@@ -36,8 +36,8 @@ from tidewatch.llm.common import text_slices
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 BLANK = "▁"
-#: Parts whose ids a worker remembers; the memory is emptied when full.
-MEMORY_PARTS = 200_000
+#: Parts (in each of two generations) and pairs that a worker remembers.
+MEMORY_PARTS, MEMORY_PAIRS = 300_000, 400_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -176,7 +176,7 @@ class Machines:
         known = self.pairs.get((left, right))
         if known is None:
             known = self.pairs[left, right] = self.merge(left + right) == [left, right]
-            if len(self.pairs) > 2 * MEMORY_PARTS:
+            if len(self.pairs) > MEMORY_PAIRS:
                 self.pairs.clear()
         return known
 
@@ -285,18 +285,24 @@ class Machines:
 
 
 class _Memory(dict):
+    """Ids of parts, in two generations: when the younger is full it becomes
+    the older one, from which parts in use come back."""
+
     def __init__(self, machines: Machines):
         super().__init__()
-        self.machines = machines
+        self.machines, self.older = machines, {}
 
     def __missing__(self, part: str) -> bytes:
-        cuts = self.machines.cuts(part)
-        if len(cuts) > 1:
-            ids = b"".join([self[cut] for cut in cuts])
-        else:
-            ids = np.array(self.machines.ids(part), dtype="<i4").tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            cuts = self.machines.cuts(part)
+            if len(cuts) > 1:
+                ids = b"".join([self[cut] for cut in cuts])
+            else:
+                ids = np.array(self.machines.ids(part), dtype="<i4").tobytes()
         if len(part) <= 64:
             if len(self) >= MEMORY_PARTS:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids
