@@ -5,7 +5,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tidewatch.llm import chain_dedup, hamming_join, induced_sorting, suffix_dedup
 

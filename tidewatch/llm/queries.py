@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, suffix_dedup, toxicity, url_rules, warc
+from tidewatch.llm import (chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, suffix_dedup,
+                           toxicity, url_rules, warc)
 from tidewatch.llm.common import table
 
 
