@@ -20,7 +20,7 @@ __all__ = ["materialize", "scratch_path", "ship_code", "table", "text_slices", "
            "word_spans", "word_hashes", "mix64", "connected_components"]
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

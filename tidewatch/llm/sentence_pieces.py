@@ -37,7 +37,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 BLANK = "▁"
 #: Parts (in each of two generations) and pairs that a worker remembers.
-MEMORY_PARTS, MEMORY_PAIRS = 300_000, 400_000
+MEMORY_PARTS, MEMORY_PAIRS = 200_000, 200_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -292,6 +292,10 @@ class _Memory(dict):
         super().__init__()
         self.machines, self.older = machines, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
@@ -372,6 +376,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
                 texts = pc.fill_null(part.column(len(keep)), "").to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], _lists([machines.encode(t) for t in texts])], names=[*keep, ids_col])
+        machines.memory.forget()  # workers are used again by other stages
 
     return source.mapInArrow(run, docs.select(*keep).schema.add(ids_col, ArrayType(IntegerType())))
 
