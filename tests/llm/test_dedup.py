@@ -198,6 +198,21 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(spark):
     assert all(r.partner_id < r.doc_id and r.similarity >= 0.8 for r in got)
 
 
+def test_exact_passages_are_found_when_earlier_documents_own_their_seeds(spark):
+    rows = []
+    for n in range(6):
+        passage = words(50, 700 + n)
+        # Shingles, scattered and at other places, and a long part of it come first.
+        rows += [(1000 * n + i, " ".join(words(30, 10_000 + 1000 * n + i) + passage[i:i + 5] + words(30, 20_000 + 1000 * n + i)))
+                 for i in range(46)]
+        rows.append((1000 * n + 60, " ".join(words(40, 800 + n) + passage[6:44] + words(40, 810 + n))))
+        rows.append((1000 * n + 70, " ".join(words(90, 820 + n) + passage[3:20] + words(20, 830 + n) + passage + words(20, 840 + n))))
+        rows.append((1000 * n + 80, " ".join(words(35, 850 + n) + passage + words(60, 860 + n))))
+    spans = covered(chain_dedup.passages(frame(spark, rows)).collect())
+    assert all(set(range(35, 85)) <= spans.get(1000 * n + 80, set()) for n in range(6))
+    assert set(spans) == {1000 * n + 80 for n in range(6)}
+
+
 def test_dropping_passages_keeps_the_first(spark):
     passage = words(60, 1)
     rows = [(1, "a b " + " ".join(passage) + " c"), (2, "d  " + " ".join(passage) + "\n e"), (3, " ".join(passage)),

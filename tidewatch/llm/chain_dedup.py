@@ -1,15 +1,19 @@
 """Passages that recur across documents, by collinear chaining.
 
 Seeds are k-word shingles picked by minimizers (the smallest of every WINDOW
-neighbours), so equal stretches pick equal seeds.  Seeds are joined on their
-hash; every occurrence is matched with the seed's first document only, so a
-seed of many documents makes as many matches and never all pairs.  Per pair
+neighbours), so equal stretches pick equal seeds.  Long seeds, of half a
+passage's words, are picked likewise.  Seeds are joined on their hash; every
+occurrence is matched with the seed's first document only, so a seed of many
+documents makes as many matches and never all pairs.  Per pair
 of documents, matches on one diagonal form segments, and a Fenwick tree over
 the first document's positions chains segments that are ordered in both
 documents, at a cost for the words between them.  Chains are aligned word by
 word and carried on at both ends; what is alike enough is a passage.  As the
 first document may differ from seed to seed, a document's aligned stretches
-are joined where they meet before their length is judged.
+are joined where they meet before their length is judged.  What is not covered
+then is judged by its windows of a passage's length: each that holds a
+recurring long seed is matched, whole, with the first place that has it, so an
+exact passage is found whichever documents its seeds occur in first.
 """
 
 from __future__ import annotations
@@ -32,33 +36,62 @@ GAP_COST = 0.25
 MEET = 4
 
 
-def pick_seeds(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index, key) of the picked shingles of hashed words; a shingle and a
-    window lie within one document."""
+def _short_keys(words: np.ndarray) -> np.ndarray:
     n = len(words) - K + 1
-    if n < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    for j in range(K):
+    key = np.zeros(max(0, n), dtype=np.uint64)
+    for j in range(K if n > 0 else 0):
         key = mix64(key * np.uint64(0xA24BAED4963EE407) + words[j:j + n])
-    picked = []
+    return key
+
+
+def _long_keys(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of k-word shingles, by doubling; the last two parts overlap."""
+    if len(words) < k:
+        return words[:0]
+    key, width = mix64(words + np.uint64(k)), 1
+    while width < k:
+        step = min(width, k - width)
+        key = mix64(key[:-step] * np.uint64(0x9FB21C651E98DF25) + key[step:])
+        width += step
+    return key
+
+
+def _places(key: np.ndarray, doc: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first shingle, picked shingle) of every window of ``window`` shingles
+    of ``k`` words that lies within one document."""
+    starts, picked = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     piece = 1 << 22
-    for low in range(0, n - WINDOW + 1, piece):
-        part = key[low:low + piece + WINDOW - 1]
+    for low in range(0, len(key) - window + 1, piece):
+        part = key[low:low + piece + window - 1]
         ranked = (part >> np.uint64(24) << np.uint64(24)) | np.arange(len(part), dtype=np.uint64)
         best, width = ranked, 1
-        while width < WINDOW:  # running minimum by doubling
-            step = min(width, WINDOW - width)
+        while width < window:  # running minimum by doubling
+            step = min(width, window - width)
             best = np.minimum(best[:-step], best[step:])
             width += step
         at = np.arange(low, low + len(best))
-        inside = doc[at] == doc[at + WINDOW + K - 2]
-        picked.append(np.unique((best[inside] & np.uint64((1 << 24) - 1)).astype(np.int64)) + low)
-    index = np.unique(np.concatenate(picked))
+        inside = doc[at] == doc[at + window + k - 2]
+        starts.append(at[inside])
+        picked.append((best[inside] & np.uint64((1 << 24) - 1)).astype(np.int64) + low)
+    return np.concatenate(starts), np.concatenate(picked)
+
+
+def pick_seeds(words: np.ndarray, doc: np.ndarray, long: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(index, key) of the picked shingles of hashed words; a shingle and a
+    window lie within one document.  With ``long``, shingles of half as many
+    words, one at least of any ``long`` words."""
+    key = _long_keys(words, half(long)) if long else _short_keys(words)
+    k, window = (half(long), long - half(long) + 1) if long else (K, WINDOW)
+    index = np.unique(_places(key, doc, k, window)[1])
     return index, key[index]
 
 
-def seeds(docs: DataFrame) -> DataFrame:
+def half(n: int) -> int:
+    """Words of a long seed of passages of ``n`` words."""
+    return (n + 1) // 2
+
+
+def seeds(docs: DataFrame, long: int = 0) -> DataFrame:
     """(key, doc, pos, first) of the picked seeds of doc_id, text; ``first``
     marks a key's first occurrence in its document."""
     def run(batches):
@@ -68,7 +101,7 @@ def seeds(docs: DataFrame) -> DataFrame:
                 data, offsets = binary_buffers(part.column(1))
                 start, end, doc = word_spans(data, offsets)
                 words = word_hashes(data, start, end)
-                index, key = pick_seeds(words, doc)
+                index, key = pick_seeds(words, doc, long)
                 first_word = np.searchsorted(doc, np.arange(len(ids)))
                 of = doc[index]
                 order = np.lexsort((index, key, of))
@@ -150,16 +183,18 @@ def chain(segments: list[tuple[int, int, int, int, int]]) -> list[list[int]]:
 
 def _segments(t: pa.Table) -> tuple[np.ndarray, ...]:
     """Segments of matches: one pair, one diagonal, no gap over MAX_GAP."""
-    doc, head, pos, there = (np.asarray(t.column(i).combine_chunks()).astype(np.int64) for i in range(4))
+    doc, head, pos, there, size = (np.asarray(t.column(i).combine_chunks()).astype(np.int64) for i in range(5))
     diagonal = pos - there
     order = np.lexsort((pos, diagonal, head, doc))
-    doc, head, pos, there, diagonal = (x[order] for x in (doc, head, pos, there, diagonal))
+    doc, head, pos, there, diagonal, size = (x[order] for x in (doc, head, pos, there, diagonal, size))
     new = np.ones(len(doc), dtype=bool)
     new[1:] = ((doc[1:] != doc[:-1]) | (head[1:] != head[:-1]) | (diagonal[1:] != diagonal[:-1])
                | (pos[1:] - pos[:-1] > MAX_GAP))
     at = np.flatnonzero(new)
-    last = np.append(at[1:], len(doc)) - 1
-    return doc[at], head[at], pos[at], pos[last] + K, there[at], there[last] + K, last - at + 1
+    end = np.maximum.reduceat(pos + size, at) if len(at) else at
+    # A long seed counts as two.
+    n = np.add.reduceat(1 + (size > K), at) if len(at) else at
+    return doc[at], head[at], pos[at], end, there[at], end - diagonal[at], n
 
 
 def _pair_chains(t: pa.Table):
@@ -313,6 +348,87 @@ def aligned(chained: DataFrame, docs: DataFrame) -> DataFrame:
             .mapInArrow(line_up, "doc bigint, start int, end int, head bigint, head_start int, head_end int, words int"))
 
 
+def _first_places(occurrences: DataFrame, *key: str) -> DataFrame:
+    """(key, head, there) of each key that several documents have.  Written
+    first: a join with it then reads plain exchanges on both sides, whose hot
+    keys Spark can split."""
+    return materialize(occurrences.groupBy(*key)
+                       .agg(F.min("doc").alias("head"), F.min_by("pos", F.struct("doc", "pos")).alias("there"),
+                            F.max("doc").alias("last"))
+                       .where("head <> last").drop("last"))
+
+
+def _runs(found: DataFrame, min_words: int) -> DataFrame:
+    """Stretches with the run of meeting stretches that each is part of
+    (passage_start, passage_end), where that has ``min_words``."""
+    by_start = Window.partitionBy("doc").orderBy("start", "end", "head", "head_start").rowsBetween(
+        Window.unboundedPreceding, -1)
+    runs = found.withColumn("new", (F.col("start") > F.coalesce(F.max("end").over(by_start), F.lit(-MEET - 1)) + MEET)
+                            .cast("int"))
+    runs = runs.withColumn("run", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("doc", "run")
+    return (runs.withColumn("passage_start", F.min("start").over(run))
+            .withColumn("passage_end", F.max("end").over(run))
+            .where(F.col("passage_end") - F.col("passage_start") >= min_words))
+
+
+def _whole_windows(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(key, whole, doc, pos) of the windows of ``n`` words whose long seed is
+    one of those ``wanted`` (doc, keys) of their document."""
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, 2):
+                ids = np.asarray(part.column(0))
+                data, offsets = binary_buffers(part.column(2))
+                start, end, doc = word_spans(data, offsets)
+                words = word_hashes(data, start, end)
+                key = _long_keys(words, half(n))
+                at, place = _places(key, doc, half(n), n - half(n) + 1)
+                whole = _long_keys(words, n)
+                first_word = np.searchsorted(doc, np.arange(len(ids) + 1))
+                edge = np.searchsorted(at, first_word)
+                for i in range(len(ids)):
+                    asked = np.asarray(part.column(1)[i].values).view(np.uint64)
+                    own = slice(edge[i], edge[i + 1])
+                    mine = np.isin(key[place[own]], asked)
+                    pos, seed = at[own][mine], place[own][mine]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(key[seed].view(np.int64)), pa.array(whole[pos].view(np.int64)),
+                        pa.array(np.full(len(pos), ids[i])), pa.array((pos - first_word[i]).astype(np.int32))],
+                        names=["key", "whole", "doc", "pos"])
+
+    return (docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("doc_id", "keys", "text")
+            .mapInArrow(run, "key bigint, whole bigint, doc bigint, pos int"))
+
+
+def _exact(docs: DataFrame, longs: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """Stretches, like ``found``, of the windows of ``n`` words that recur in
+    a document of smaller id and that no run of ``found`` covers.  ``longs``:
+    the occurrences (key, doc, head, pos) of recurring long seeds."""
+    covered = materialize(_runs(found, n).select(F.col("doc").alias("of"), "passage_start", "passage_end").distinct())
+
+    def not_covered(rows, start, end):
+        return rows.join(covered, (rows["doc"] == covered["of"]) & (start >= F.col("passage_start"))
+                         & (end <= F.col("passage_end")), "left_anti")
+
+    around = n - half(n)
+    open_ = materialize(not_covered(longs.where("doc <> head"), F.greatest(F.col("pos") - around, F.lit(0)),
+                                    F.col("pos") + n).select("key").distinct())
+    wanted = longs.join(open_, "key").groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    windows = materialize(_whole_windows(docs, wanted, n))
+    heads = _first_places(windows, "key", "whole")
+    same = windows.join(heads, ["key", "whole"]).where("doc <> head").select("doc", "head", "pos", "there")
+    same = not_covered(same, F.col("pos"), F.col("pos") + n).withColumn("diagonal", F.col("pos") - F.col("there"))
+    # Windows one after the other on a diagonal are one stretch.
+    row = F.row_number().over(Window.partitionBy("doc", "head", "diagonal").orderBy("pos"))
+    return (same.distinct().withColumn("island", F.col("pos") - row)
+            .groupBy("doc", "head", "diagonal", "island")
+            .agg(F.min("pos").alias("start"), (F.max("pos") + n).alias("end"), F.min("there").alias("head_start"),
+                 (F.max("there") + n).alias("head_end"))
+            .select("doc", "start", "end", "head", "head_start", "head_end",
+                    (F.col("end") - F.col("start")).alias("words")))
+
+
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              min_words: int = MIN_WORDS) -> DataFrame:
     """Stretches of documents that recur in a document of smaller id: doc_id,
@@ -329,26 +445,18 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     ready = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .where("doc_id is not null and text is not null")
-    all_seeds = seeds(ready)
-    # Written first: the join then reads plain exchanges on both sides, whose
-    # hot keys Spark can split.
-    heads = materialize(all_seeds.where("first").groupBy("key")
-                        .agg(F.min("doc").alias("head"), F.min_by("pos", "doc").alias("there"),
-                             F.max("doc").alias("last"))
-                        .where("head <> last").drop("last"))
-    links = all_seeds.join(heads, "key").where("doc <> head").select("doc", "head", "pos", "there")
+    short = seeds(ready)
+    heads = _first_places(short.where("first"), "key")
+    short = short.join(heads, "key").where("doc <> head")
+    long = seeds(ready, min_words)
+    long = materialize(long.join(_first_places(long.where("first"), "key"), "key").drop("first"))
+    links = (short.select("doc", "head", "pos", "there", F.lit(K).alias("size"))
+             .unionByName(long.where("doc <> head").select("doc", "head", "pos", "there",
+                                                           F.lit(half(min_words)).alias("size"))))
     chained = materialize(chains(links))
     found = materialize(aligned(chained, ready))
     # Stretches of a document that meet make one passage.
-    by_start = Window.partitionBy("doc").orderBy("start", "end", "head", "head_start").rowsBetween(
-        Window.unboundedPreceding, -1)
-    runs = found.withColumn("new", (F.col("start") > F.coalesce(F.max("end").over(by_start), F.lit(-MEET - 1)) + MEET)
-                            .cast("int"))
-    runs = runs.withColumn("run", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    run = Window.partitionBy("doc", "run")
-    runs = (runs.withColumn("passage_start", F.min("start").over(run))
-            .withColumn("passage_end", F.max("end").over(run))
-            .where(F.col("passage_end") - F.col("passage_start") >= min_words))
+    runs = _runs(found.unionByName(_exact(ready, long, found, min_words)), min_words)
     length = F.greatest(F.col("end") - F.col("start"), F.col("head_end") - F.col("head_start"))
     return runs.select(
         F.col("doc").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
