@@ -98,6 +98,22 @@ def test_whole_texts_count_and_odd_rows_have_scores(spark):
     assert toxicity.score_texts(docs.where("false"), model).count() == 0
 
 
+def test_short_stems_and_two_letter_words_give_evidence():
+    rng = random.Random(3)
+    plain = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(400)]
+    for bad in ([f"zqx{end}kv" for end in ("a", "ed", "ing", "er", "ish", "ous")], ["zq"]):
+        samples = []
+        for i in range(600):
+            w = rng.choices(plain, k=rng.randint(20, 80))
+            for _ in range(0 if i % 3 else 3):
+                w.insert(rng.randrange(len(w)), rng.choice(bad))
+            samples.append((" ".join(w).encode(), int(i % 3 == 0)))
+        model = toxicity.fit(samples[:400])
+        pair = model.compressors()
+        assert model.toxic
+        assert sum((model.score(t, pair) >= 0.5) == bool(y) for t, y in samples[400:]) >= 195
+
+
 def test_training_without_one_class(spark):
     assert toxicity.fit([]).score(b"x", toxicity.fit([]).compressors()) == 0.5
     one = toxicity.fit([(b"a b", 0), (b"c", 0)])

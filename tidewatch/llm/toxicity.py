@@ -30,9 +30,12 @@ from tidewatch.llm.common import text_slices
 #: order of their ids.
 MAX_TRAIN_DOCS = 3000
 WINDOW_BYTES = 47
+#: Bytes of the shortest match the compressors look for; a shorter entry of a
+#: dictionary would never be found.
+MIN_MATCH = 5
 #: Bytes of a telling prefix, the space before its word included.  Short ones
 #: match ordinary words by chance; the rest of a longer one adds only chance matches.
-PREFIX = (4, 7)
+PREFIX = (MIN_MATCH, 7)
 MIN_DOCS, MIN_SHARE, MIN_Z, MIN_RATIO = 3, 0.015, 4.0, 8.0
 LOW, HIGH = -6, 18
 
@@ -42,13 +45,15 @@ _MARK = bytes([1, 2, 3, 4, 5, 6, 7, 11, 12, 14, 15, 16, 17, 18, 19, 20])
 #: zstandard looks for no match in the last bytes of its input; each window
 #: ends in these, which neither dictionary has.
 _TAIL = bytes([21, 22, 23, 24, 25, 26, 27, 28])
+_FILL = bytes([29])
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _CUT = re.compile(rb".{1,%d}(?= |$)|.{%d}" % (WINDOW_BYTES, WINDOW_BYTES + 1), re.S)
 
 
 def words(text: bytes) -> list[bytes]:
-    """Letters A-Z lower-cased, other ASCII characters as separators."""
-    return text.translate(_FOLD).split()
+    """Letters A-Z lower-cased, other ASCII characters as separators.  Words
+    are filled up so that each makes a match with the spaces around it."""
+    return [w if len(w) >= MIN_MATCH - 2 else w.ljust(MIN_MATCH - 2, _FILL) for w in text.translate(_FOLD).split()]
 
 
 def windows(text: bytes) -> list[bytes]:
@@ -68,7 +73,7 @@ class Model:
     def compressors(self):
         """(ordinary, toxic): compressors with the dictionaries loaded once."""
         params = zstandard.ZstdCompressionParameters.from_level(
-            5, strategy=zstandard.STRATEGY_GREEDY, min_match=5, window_log=12, hash_log=10, chain_log=10,
+            5, strategy=zstandard.STRATEGY_GREEDY, min_match=MIN_MATCH, window_log=12, hash_log=10, chain_log=10,
             write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         out = []
         for content in (self.ordinary, self.toxic):
