@@ -2,8 +2,10 @@
 import hashlib
 import random
 import re
+import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import chain_dedup, hamming_join, induced_sorting, suffix_dedup
@@ -71,6 +73,26 @@ def test_removal_equals_brute_force(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute_removal(rows)
 
 
+def test_no_shard_grows_with_a_hot_minimizer(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 4000)
+    plain, log = suffix_dedup._sort_shard, str(tmp_path)
+
+    def logged(t: pa.Table) -> pa.Table:
+        # A closure, so that workers get it by value.
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as out:
+            out.write(str(sum(len(x) for x in t.column("text").to_pylist())))
+        return plain(t)
+    monkeypatch.setattr(suffix_dedup, "_sort_shard", logged)
+    line = " ".join(words(60, 3))
+    rows = [(i, " ".join(words(30, 100 + i)) + line[:150] + " ".join(words(60, 500 + i))) for i in range(200)]
+    rows += [(300 + i, " ".join(words(30, 900 + i)) + line[:220] + " ".join(words(60, 950 + i))) for i in range(40)]
+    rows += [rows[0], rows[210]]
+    got = suffix_dedup.remove_repeats(frame(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_removal(rows)
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sizes and max(sizes) < 10 * 4000
+
+
 def test_removal_keeps_text_and_handles_empty_tables(spark):
     line = "x" + " ".join(words(80, 4))
     rows = [(1, line + "tail"), (2, line)]

@@ -6,7 +6,9 @@ segment.  Equal windows have equal minimizers at equal offsets, so segments
 alone decide, wherever they come from.  Segments of equal content are folded
 (a folded segment's windows all recur), and segments whose minimizer occurs
 once cannot recur.  What is left is dealt to shards by minimizer; a hot
-minimizer's segments are cut at fixed offsets and dealt out further.  Each
+minimizer's segments are cut at fixed offsets and dealt out further; where all
+that is filed at one part of the offsets still exceeds a shard, its windows
+are counted one by one by a 128-bit hash instead of sorted together.  Each
 shard is suffix-sorted (``induced_sorting``), and a common prefix of MATCH
 bytes with a neighbour in suffix order marks a window.  Marked windows go back
 to their documents, which remove what they cover.
@@ -179,15 +181,38 @@ def _cut_out(batches):
                 part = (offset - np.arange(windows)) * parts // SPREAD
                 cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist()
                 for a, b in zip(cuts, [*cuts[1:], windows], strict=True):
+                    if part[a] in s["large"]:
+                        continue
                     low = s["start"] + a
                     mine = zlib.crc32(f"{s['key']} {part[a]}".encode()) % s["shards"]
                     rows.append((mine, s["key"], s["content"], a, b - a, s["times"], text[low:low + b - a + MATCH - 1]))
-            columns = zip(*rows, strict=True)
+            columns = zip(*rows, strict=True) if rows else [()] * 7
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[
                 "shard", "key", "content", "base", "windows", "times", "text"])
 
 
+def _single_windows(batches):
+    """Rows (key, content, at, times, digest) of the windows in parts that are
+    too large for a shard; ``at`` counts from the segment's start."""
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            text = unpacker.decompress(batch.column(0)[i].as_py())
+            rows = []
+            for s in batch.column(1)[i].as_py():
+                windows, offset, parts = s["shape"] & 0xFFFF, s["shape"] >> 16, s["parts"]
+                part = (offset - np.arange(windows)) * parts // SPREAD
+                for a in np.flatnonzero(np.isin(part, s["large"])).tolist():
+                    low = s["start"] + a
+                    rows.append((s["key"], s["content"], a, s["times"],
+                                 hashlib.blake2b(text[low:low + MATCH], digest_size=16).digest()))
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[
+                "key", "content", "at", "times", "digest"])
+
+
 def _sort_shard(t: pa.Table) -> pa.Table:
     """(key, content, spans) of a shard; segments of a repeated row come in
     twice and are folded here."""
@@ -232,17 +257,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = several.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_BYTES))
     parts = F.least(F.lit(SPREAD), F.ceil(F.col("bytes") / F.lit(SHARD_BYTES))).cast("int")
-    asked = (folded.join(several.select("key", parts.alias("parts")), "key")
-             .groupBy("row").agg(F.collect_list(F.struct(
-                 "key", "content", "times", "place.start", "place.shape", "parts",
-                 F.lit(shards).alias("shards"))).alias("asked")))
+    several = several.select("key", parts.alias("parts"))
+    # Parts of a hot minimizer that still hold more than a shard.
+    windows, offset = F.col("place.shape").bitwiseAND(0xFFFF), F.shiftright("place.shape", 16)
+    part_of = lambda x: F.floor(x * F.col("parts") / F.lit(SPREAD)).cast("int")
+    longest = F.least(windows, F.ceil(F.lit(SPREAD) / F.col("parts")).cast("int")) + (MATCH - 1)
+    large = materialize(
+        folded.join(several.where("parts > 1"), "key")
+        .select("key", longest.cast("long").alias("bytes"),
+                F.explode(F.sequence(part_of(offset - windows + 1), part_of(offset))).alias("part"))
+        .groupBy("key", "part").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > SHARD_BYTES)
+        .groupBy("key").agg(F.collect_list("part").alias("large")))
+    asked = materialize(
+        folded.join(several, "key").join(large, "key", "left")
+        .groupBy("row").agg(F.collect_list(F.struct(
+            "key", "content", "times", "place.start", "place.shape", "parts", F.lit(shards).alias("shards"),
+            F.coalesce("large", F.array().cast("array<int>")).alias("large"))).alias("asked")))
     sorted_ = (_packed(docs, id_col, text_col).join(asked, "row").select("packed", "asked")
                .mapInArrow(_cut_out, "shard int, key bigint, content bigint, base int, windows int, times bigint, text binary")
                .groupBy("shard").applyInArrow(_sort_shard, "key bigint, content bigint, spans array<int>"))
+    # A repeated row comes in twice.
+    single = materialize(
+        _packed(docs, id_col, text_col)
+        .join(asked.where(F.exists("asked", lambda s: F.size(s["large"]) > 0)), "row").select("packed", "asked")
+        .mapInArrow(_single_windows, "key bigint, content bigint, at int, times bigint, digest binary")
+        .dropDuplicates(["key", "content", "at"]))
+    again = materialize(single.groupBy("key", "digest").agg(F.sum("times").alias("n")).where("n > 1").drop("n"))
+    counted = (single.join(again, ["key", "digest"]).groupBy("key", "content")
+               .agg(F.flatten(F.collect_list(F.array("at", F.col("at") + 1))).alias("spans")))
     # A minimizer with one content: its segments are copies of each other.
     alone = (folded.join(keys.where("contents = 1"), "key")
              .select("key", "content", F.array(F.lit(0), F.col("place.shape").bitwiseAND(0xFFFF)).alias("spans")))
-    marked = materialize(sorted_.unionByName(alone))
+    marked = materialize(sorted_.unionByName(alone).unionByName(counted))
     spans = (repeated.join(marked, ["key", "content"])
              .groupBy("row").agg(F.collect_list(F.struct("start", "spans")).alias("spans")))
 
