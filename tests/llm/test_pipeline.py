@@ -60,6 +60,20 @@ def test_stages(spark, tmp_path):
     assert sorted(map(str, run.collect())) == sorted(map(str, kept["tokens"]))
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rng = random.Random(5)
+    text = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(4)]
+    rows = [(1, text[0]), (2, text[0]), (2, text[1]), (3, text[2]), (3, text[2]), (3, text[2] + " more"),
+            (4, text[2]), (5, text[3]), (6, ""), (6, ""), (6, None), (None, text[0]), (None, text[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(x[0] for x in kept if x[0]) == [1, 2, 3, 5, 6, 6, 6]
+    assert (2, text[1]) in kept and (2, text[0]) not in kept and len([x for x in kept if x[0] is None]) == 2
+
+
 def test_every_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
     assert set(oracle_sql.oracle_sql()) <= set(queries.queries())

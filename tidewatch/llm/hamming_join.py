@@ -98,8 +98,16 @@ def _rows(column: pa.Array, width: int, dtype=np.uint8) -> np.ndarray:
     return binary_buffers(column)[0].reshape(-1, width).view(dtype)
 
 
-def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, fp, sig of each row (fp and sig null without words)."""
+def text_key(text_col: str) -> Column:
+    """Tells apart the texts of a repeated id."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def signatures(docs: DataFrame, k: int, id_col: str, text_col: str, texts: bool = False) -> DataFrame:
+    """doc_id, n_shingles, fp, sig of each row (fp and sig null without words),
+    with ``texts`` also its text_key."""
+    extra, kind = (["text_key"], ", text_key bigint") if texts else ([], "")
+
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, 1):
@@ -107,11 +115,12 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n_shingles", "fp", "sig"])
+                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    *part.columns[2:]], names=["doc_id", "n_shingles", "fp", "sig", *extra])
 
-    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id bigint, n_shingles bigint, fp binary, sig binary"))
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                        *([text_key(text_col).alias("text_key")] if texts else []))
+            .mapInArrow(run, "doc_id bigint, n_shingles bigint, fp binary, sig binary" + kind))
 
 
 def chunk_keys(nodes: DataFrame) -> DataFrame:
@@ -290,7 +299,7 @@ def _pairs_of_keys(rows: DataFrame, percent: int, limit: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Words are runs of characters other than space and 0x09-0x0D, A-Z
@@ -299,10 +308,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     reachable.  Texts without words, null texts among them, are linked with
     nothing.  Rows with a null id take no part and are kept, with a null
     component; repeated ids are one node for each of their texts.  An empty
-    table gives an empty result; other columns are not read.
+    table gives an empty result; other columns are not read.  With
+    ``texts``, each row also has its text_key and its group: null without
+    words or id, else equal for the texts that hang together.
     """
     limit = reach(percent / 100)
-    signed = materialize(signatures(docs, k, id_col, text_col))
+    signed = materialize(signatures(docs, k, id_col, text_col, texts))
     nodes = materialize(signed.where("doc_id is not null and fp is not null")
                         .groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig")))
     # Two different sets this similar have so many shingles in common.
@@ -337,9 +348,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     named = nodes.select("fp", "doc").join(comps, nodes.fp == comps.node, "left").select(
         "fp", "doc", F.coalesce("component", "fp").alias("component"))
     lowest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of_node = named.join(lowest, "component").select("fp", "component_id")
-    return (signed.select("doc_id", "n_shingles", "fp").join(of_node, "fp", "left")
-            .select("doc_id", "n_shingles",
+    of_node = named.join(lowest, "component").select("fp", "component_id", "component")
+    extra = ["text_key", F.expr("if(doc_id is null, null, component)").alias("group")] if texts else []
+    return (signed.join(of_node, "fp", "left")
+            .select("doc_id", "n_shingles", *extra,
                     F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
                     .cast("bigint").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
