@@ -325,8 +325,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     star = materialize(filed.join(heads, "key").where(F.col("fp") != F.col("a"))
                        .select("a", F.col("fp").alias("b")).where(_sizes_allow("a", "b", percent)).distinct())
     close = materialize(_within(star, nodes, limit))
-    texts = materialize(_texts(close, docs, id_col, text_col))
-    links = materialize(_linked(close, texts, k, percent))
+    sources = materialize(_texts(close, docs, id_col, text_col))
+    links = materialize(_linked(close, sources, k, percent))
     # Families: what hangs together by close pairs, linked or not.
     families = materialize(connected_components(close).select(F.col("node").alias("fp"), F.col("component").alias("family")))
     comps = connected_components(links)
@@ -336,7 +336,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
              .agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                   F.ceil(F.sum(set_size("fp")) / F.lit(FAMILY_SHINGLES)).cast("int").alias("blocks"))
              .where("x <> y").select("family", "blocks"))
-    within = _family_links(members.join(split, "family").join(texts, "fp"), k, percent)
+    within = _family_links(members.join(split, "family").join(sources, "fp"), k, percent)
     # Nodes that share a key but no family.
     placed = (filed.join(families, "fp", "left").select("key", "fp", F.coalesce("family", "fp").alias("comp")))
     open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
