@@ -75,6 +75,6 @@ def test_near_duplicates_of_repeated_ids(spark):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
     assert set(oracle_sql.oracle_sql()) <= set(queries.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "passages", "mixing", "tokens"]

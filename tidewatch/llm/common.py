@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidewatch.session import materialize, scratch_path
 
 __all__ = ["materialize", "scratch_path", "ship_code", "table", "text_slices", "binary_buffers",
-           "word_spans", "word_hashes", "mix64", "connected_components"]
+           "white_space", "word_spans", "word_hashes", "mix64", "connected_components"]
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory.
 SLICE_BYTES = 1 << 20
@@ -80,13 +80,20 @@ def binary_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first:int(offsets[-1])] if len(offsets) else data[:0], offsets - first
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def white_space(data: np.ndarray) -> np.ndarray:
+    """True for the bytes 0x20 and 0x09-0x0D."""
+    return _WS[data]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               blank: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document) of each run of bytes other than white space
-    (0x20, 0x09-0x0D); runs end with their document."""
+    (0x20, 0x09-0x0D, or the bytes that ``blank`` marks); runs end with their
+    document."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    solid = ~_WS[data]
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = solid.copy()
@@ -122,18 +129,18 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
-                lower: bool = True) -> np.ndarray:
+                lower: bool = True, base: int = _BASE) -> np.ndarray:
     """64-bit hash of each word: a polynomial over its bytes taken from one
     prefix sum, then mixed.  Words are handled in runs of about SLICE_BYTES."""
     out = np.empty(len(start), dtype=np.uint64)
-    inverse = pow(_BASE, -1, 1 << 64)
+    inverse = pow(base, -1, 1 << 64)
     at = 0
     while at < len(start):
         low = int(start[at])
         to = max(at + 1, int(np.searchsorted(end, low + SLICE_BYTES, side="right")))
         part = data[low:int(end[to - 1])]
         part = (_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)
-        part *= _powers(_BASE, len(part))
+        part *= _powers(base, len(part))
         total = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(part, out=total[1:])
         s, e = start[at:to] - low, end[at:to] - low

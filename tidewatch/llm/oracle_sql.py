@@ -112,6 +112,53 @@ from w left join n using (doc_id) join r on r.a = w.doc_id group by w.doc_id, n
 """
 
 
+OP11 = r"""
+with p as (select lang, regexp_extract_all(x, '[^\x20\x09]+') as w from (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as x from documents)),
+g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f
+      from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+            from p, (values (1), (2), (3)) as sizes(k) where len(w) >= k) group by all),
+n as (select lang, sum(f)::bigint as n from g where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from g where k > 1 and f >= 10),
+s as (select c.*, cut, array_to_string(w[:cut], ' ') as x, array_to_string(w[cut + 1:], ' ') as y
+      from (select *, unnest(range(1, k)) as cut from c) c),
+v as (select s.*, gl.f as l, gr.f as r, (1000000::hugeint * a * a // (gl.f::hugeint * gr.f)) as score
+      from s join g gl on gl.lang = s.lang and gl.k = cut and gl.phrase = x
+             join g gr on gr.lang = s.lang and gr.k = s.k - cut and gr.phrase = y),
+b as (select lang, k, phrase, a, arg_min({'l': l, 'r': r}, score * 10 + cut) as cut, min(score) as score
+      from v group by all),
+i as (select lang, array_to_string(w[j:j + 1], ' ') as phrase, max(a) as longer
+      from (select lang, w, a, unnest([1, 2]) as j from c where k = 3) group by all)
+select * from (
+    select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank,
+           phrase, a, cut.l as l, cut.r as r, n, score::bigint as score
+    from b left join i using (lang, phrase) join n using (lang)
+    where k = 3 or longer is null or 100 * longer < 50 * a)
+where rank <= 2000
+"""
+
+OP12 = r"""
+with d as (select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(doc_id::varchar, '')) as h from documents),
+t as (select *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as w,
+             ('0x' || substr(h, 1, 8))::ubigint as h1, ('0x' || substr(h, 9, 8))::ubigint as h2,
+             ('0x' || substr(h, 17, 8))::ubigint as h3, ('0x' || substr(h, 25, 8))::ubigint as h4 from d),
+c as (select *, len(w) as n, least(h1 % (len(w) + 1), h2 % (len(w) + 1))::bigint as low,
+             greatest(h1 % (len(w) + 1), h2 % (len(w) + 1))::bigint as high from t),
+f as (select *, case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                     or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+             array_to_string(w[:low], '') as prefix, array_to_string(w[low + 1:high], '') as middle,
+             array_to_string(w[high + 1:], '') as suffix from c)
+select doc_id, n::bigint as n, form,
+       case when form <> 'plain' then length(prefix) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_suffix_dedup": OP1, "op3_url_filters": OP3, "op6_top_k": OP6, "op7_warc": OP7, "op9_mixing": OP9,
-            "op10_near_duplicates": OP10}
+            "op10_near_duplicates": OP10, "op11_collocations": OP11, "op12_fill_in_middle": OP12}

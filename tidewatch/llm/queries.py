@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import (chain_dedup, hamming_join, hamming_search, maxscore, mixing, sentence_pieces, suffix_dedup,
-                           toxicity, url_rules, warc)
+from tidewatch.llm import (chain_dedup, collocations, hamming_join, hamming_search, maxscore, mixing, paragraph_sketch,
+                           sentence_pieces, skip_fim, suffix_dedup, toxicity, url_rules, warc)
 from tidewatch.llm.common import table
 
 
@@ -59,6 +59,24 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_join.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = skip_fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(skip_fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", F.length("text").cast("long").alias("n_chars"),
+                       F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))
