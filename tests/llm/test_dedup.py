@@ -235,6 +235,60 @@ def test_exact_passages_are_found_when_earlier_documents_own_their_seeds(spark):
     assert set(spans) == {1000 * n + 80 for n in range(6)}
 
 
+def fuzzy_recall(spark, share, owned, n=30):
+    """Share of 60-word passages with random edits that are found, of those
+    that are alike enough, if a share of their shingles occurs before."""
+    rng, rows, wanted = random.Random(int(100 * share)), [], []
+    for f in range(n):
+        passage, base = words(60, 1000 + f), 1000 * f
+        rows += [(base + i, " ".join(words(12, 50_000 + base + i) + passage[i:i + 5] + words(12, 90_000 + base + i)))
+                 for i in range(56) if rng.random() < owned]
+        copy = [w if rng.random() > share else f"q{rng.randrange(10 ** 6)}" for w in passage]
+        if sum(a == b for a, b in zip(passage, copy)) >= 0.8 * 60:
+            wanted.append(base + 600)
+        rows.append((base + 500, " ".join(words(40, 200_000 + f) + passage + words(40, 210_000 + f))))
+        rows.append((base + 600, " ".join(words(33, 220_000 + f) + copy + words(45, 230_000 + f))))
+    spans = covered(chain_dedup.passages(frame(spark, rows)).collect())
+    assert all(d % 1000 == 600 for d in spans)  # clean documents are left alone
+    return sum(len(spans.get(d, set()) & set(range(33, 93))) >= 45 for d in wanted) / len(wanted)
+
+
+@pytest.mark.parametrize("share,owned,least", [(0.05, 0.6, 0.95), (0.1, 0.6, 0.9), (0.15, 0.0, 0.9), (0.2, 0.6, 0.5)])
+def test_fuzzy_passages_whose_seeds_occur_before(spark, share, owned, least):
+    assert fuzzy_recall(spark, share, owned) >= least
+
+
+def test_chain_takes_a_near_predecessor_if_the_best_is_too_far():
+    near = [(405, 450, 358, 398, 3), (470, 500, 462, 492, 3)]
+    assert [0, 1] in chain_dedup.chain(near)
+    assert [1, 2] in chain_dedup.chain([(0, 400, 0, 400, 20), *near])
+
+
+def brute_chain(parts):
+    """Best score of a chain that ends with each part."""
+    score = {}
+    for i in sorted(range(len(parts)), key=lambda i: parts[i][0]):
+        s, e, t, _, _ = parts[i]
+        gains = [score[j] - chain_dedup.GAP_COST * (s - parts[j][1] + t - parts[j][3]) for j in score
+                 if 0 <= s - parts[j][1] <= chain_dedup.LIMIT and 0 <= t - parts[j][3] <= chain_dedup.LIMIT]
+        score[i] = e - s + max([0.0, *gains])
+    return score
+
+
+def test_chain_scores_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 40)):
+            s, t, n = rng.randrange(400), rng.randrange(400), rng.randint(5, 40)
+            parts.append((s, s + n, t, t + n, 1))
+        best = chain_dedup.chain(parts)
+        total = lambda path: sum(parts[i][1] - parts[i][0] for i in path) - chain_dedup.GAP_COST * sum(
+            parts[j][0] - parts[i][1] + parts[j][2] - parts[i][3] for i, j in zip(path, path[1:]))
+        assert max(map(total, best)) == pytest.approx(max(brute_chain(parts).values()))
+        assert sorted(i for path in best for i in path) == list(range(len(parts)))
+
+
 def test_dropping_passages_keeps_the_first(spark):
     passage = words(60, 1)
     rows = [(1, "a b " + " ".join(passage) + " c"), (2, "d  " + " ".join(passage) + "\n e"), (3, " ".join(passage)),

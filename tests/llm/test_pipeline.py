@@ -74,6 +74,56 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert (2, text[1]) in kept and (2, text[0]) not in kept and len([x for x in kept if x[0] is None]) == 2
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def odd_rows():
+    rng = random.Random(7)
+    plain = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    passage = " ".join(rng.choices(plain, k=60))
+    text = [" ".join(rng.choices(plain, k=120)) for _ in range(4)]
+    return passage, text, [
+        (1, text[0] + " " + passage), (2, text[1] + " " + passage), (2, text[2]), (3, text[3]), (3, text[3]), (4, None),
+        (5, ""), (None, text[0] + " " + passage), (6, " \n"), (7, " ".join(rng.choices(plain, k=60_000)))]
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    base, _ = small_corpus(spark, tmp_path)
+    extra = ["row", "text_key", "key", "_key", "_rest", "_copy", "_whole", "_nth", "_size", "_taken", "_rows", "_row_key",
+             "_spans", "_doc", "_id", "_toxicity", "_text", "score", "group", "kept", "id", "cut", "doc", "size", "copy", "span"]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or ""), *[f"mine{i}"] * len(extra))
+                                  for i, (d, t) in enumerate(odd_rows()[2][:7])],
+                                 ODD + "".join(f", {c} string" for c in extra))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, base)
+        assert got.columns == docs.columns
+        assert all({r[c] for c in extra} <= {f"mine{i}" for i in range(7)} and len({r[c] for c in extra}) == 1 for r in got.collect())
+
+
+def test_stages_with_odd_rows_and_empty_tables(spark, tmp_path):
+    base, _ = small_corpus(spark, tmp_path)
+    _, _, rows = odd_rows()
+    docs = spark.createDataFrame([(d, t, "en", None, len(t or "")) for d, t in rows], ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), base).count() == 0
+        got = stage(spark, docs, base)
+        if name == "toxicity":
+            assert got.count() == len(rows)
+        if name == "tokens":
+            assert sorted(r.decoded for r in got.collect()) == sorted(t or "" for _, t in rows)
+
+
+def test_passages_of_repeated_ids_are_cut_by_row(spark):
+    passage, text, rows = odd_rows()
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], ODD)
+    got = [(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.drop_passages(spark, docs, "").collect()]
+    assert (2, text[2], len(text[2])) in got  # the clean text under an id whose other text has a passage
+    assert (1, text[0] + " " + passage, len(text[0]) + 1 + len(passage)) in got and (None, rows[7][1], len(rows[7][1])) in got
+    (cut,) = [t for d, t, _ in got if d == 2 and t != text[2]]
+    assert cut.strip() == text[1] and got.count((3, text[3], len(text[3]))) == 2
+    assert len(got) == len(rows)
+
+
 def test_every_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
     assert set(oracle_sql.oracle_sql()) <= set(queries.queries())

@@ -5,33 +5,43 @@ neighbours), so equal stretches pick equal seeds.  Long seeds, of half a
 passage's words, are picked likewise.  Seeds are joined on their hash; every
 occurrence is matched with the seed's first document only, so a seed of many
 documents makes as many matches and never all pairs.  Per pair
-of documents, matches on one diagonal form segments, and a Fenwick tree over
-the first document's positions chains segments that are ordered in both
+of documents, matches on one diagonal form segments, and Fenwick trees over
+the first document's positions chain segments that are ordered in both
 documents, at a cost for the words between them.  Chains are aligned word by
 word and carried on at both ends; what is alike enough is a passage.  As the
 first document may differ from seed to seed, a document's aligned stretches
-are joined where they meet before their length is judged.  What is not covered
-then is judged by its windows of a passage's length: each that holds a
-recurring long seed is matched, whole, with the first place that has it, so an
-exact passage is found whichever documents its seeds occur in first.
+are joined where they meet before their length is judged.
+
+What is not covered then is matched again, by pairs of neighbouring seeds and
+with the document before it that has the same pair, so that single seeds that
+other documents have first do not hide a passage.  Last, windows of a passage's
+length that are still not covered and hold a recurring long seed are matched,
+whole, with the first place that has them: exact passages are found whichever
+documents their seeds occur in.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import binary_buffers, materialize, mix64, text_slices, word_hashes, word_spans
+from tidewatch.llm.common import (binary_buffers, materialize, mix64, ship_code, text_key, text_slices, tidy, whole_row,
+                                  word_hashes, word_spans)
+from tidewatch.operators.ranks import dense_rank_of
 
 K, WINDOW = 5, 12
 MIN_WORDS, MIN_SIMILARITY = 50, 0.8
 #: Shortest aligned stretch, longest gap between segments, and how far ends
 #: are carried on, in words.
 MIN_STRETCH, MAX_GAP, CARRY = 16, 32, 48
-GAP_COST = 0.25
+GAP_COST, MISS = 0.25, 1
+#: Most words between two segments of a chain, in either document.
+LIMIT = 2 * MAX_GAP
 #: Stretches of a document that are no more than so many words apart meet.
 MEET = 4
 
@@ -114,26 +124,36 @@ def seeds(docs: DataFrame, long: int = 0) -> DataFrame:
                     pa.array((index - first_word[of]).astype(np.int32)), pa.array(first)],
                     names=["key", "doc", "pos", "first"])
 
-    return docs.mapInArrow(run, "key bigint, doc bigint, pos int, first boolean")
+    return docs.mapInArrow(tidy(run), "key bigint, doc bigint, pos int, first boolean")
 
 
 class Fenwick:
-    """Largest value over a prefix of positions."""
+    """Largest value over a prefix of positions, among those put in at a place
+    that has not been left behind.  Places of puts and of queries ascend, so
+    each node keeps only values that a later one does not exceed."""
 
     def __init__(self, n: int):
-        self.best = [(-1e18, -1)] * (n + 1)
+        self.best = [deque() for _ in range(n + 1)]
 
-    def raise_to(self, at: int, value: tuple[float, int]) -> None:
+    def put(self, at: int, value: float, place: int, item: int) -> None:
         at += 1
         while at < len(self.best):
-            if value > self.best[at]:
-                self.best[at] = value
+            held = self.best[at]
+            while held and held[-1][0] <= value:
+                held.pop()
+            held.append((value, place, item))
             at += at & -at
 
-    def upto(self, at: int) -> tuple[float, int]:
-        out = (-1e18, -1)
+    def upto(self, at: int, since: int) -> tuple[float, int]:
+        """(value, item) of the largest at positions up to ``at`` that was put
+        in at place ``since`` or later."""
+        out, at = (-1e18, -1), at + 1
         while at > 0:
-            out = max(out, self.best[at])
+            held = self.best[at]
+            while held and held[0][1] < since:
+                held.popleft()
+            if held and held[0][0] > out[0]:
+                out = (held[0][0], held[0][2])
             at -= at & -at
         return out
 
@@ -142,31 +162,41 @@ def chain(segments: list[tuple[int, int, int, int, int]]) -> list[list[int]]:
     """Chains of segments (start, end, start there, end there, seeds), as
     lists of indexes; every segment is in one chain.
 
-    A segment may follow another that ends before it in both documents; its
-    score is its own words, plus the other's score, less GAP_COST for each
-    word between them in either document.  With a cost linear in both
-    positions the best predecessor is a prefix maximum of score + cost *
-    (end + end there) over the ends there, kept in a Fenwick tree.
+    A segment may follow another that ends before it in both documents, by
+    LIMIT words at most; its score is its own words, plus the other's score,
+    less GAP_COST for each word between them in either document.  With a cost
+    linear in both positions the best predecessor has the largest score + cost *
+    (end + end there) among those within the limit.  The other document is
+    cut into blocks of LIMIT words with a Fenwick tree over prefixes and one
+    over suffixes each: a query takes a prefix of its own block and a suffix of
+    the block before, of what ended within the limit in the first document.
     """
     n = len(segments)
     if n == 1:
         return [[0]]
-    places = sorted({s[3] for s in segments})
-    place = {p: i for i, p in enumerate(places)}
-    tree, score, back = Fenwick(len(places)), [0.0] * n, [-1] * n
+    trees: dict[int, tuple[Fenwick, Fenwick]] = {}
+    score, back = [0.0] * n, [-1] * n
     ends = sorted(range(n), key=lambda i: segments[i][1])
     done = 0
     for i in sorted(range(n), key=lambda i: segments[i][0]):
-        start, end, there, end_there, _ = segments[i]
+        start, end, there, _, _ = segments[i]
         while done < n and segments[ends[done]][1] <= start:  # all that end before this one begins
             j = ends[done]
-            tree.raise_to(place[segments[j][3]], (score[j] + GAP_COST * (segments[j][1] + segments[j][3]), j))
+            _, end_j, _, end_there, _ = segments[j]
+            block, at = divmod(end_there, LIMIT)
+            if block not in trees:
+                trees[block] = (Fenwick(LIMIT), Fenwick(LIMIT))
+            value = score[j] + GAP_COST * (end_j + end_there)
+            trees[block][0].put(at, value, end_j, j)
+            trees[block][1].put(LIMIT - 1 - at, value, end_j, j)
             done += 1
-        low = int(np.searchsorted(places, there, side="right"))
-        best, j = tree.upto(low)
+        block, at = divmod(there, LIMIT)
+        best, j = trees[block][0].upto(at, start - LIMIT) if block in trees else (-1e18, -1)
+        if block - 1 in trees:
+            best, j = max((best, j), trees[block - 1][1].upto(LIMIT - 1 - at, start - LIMIT))
         score[i] = float(end - start)
         gain = best - GAP_COST * (start + there)
-        if j >= 0 and gain > 0 and max(start - segments[j][1], there - segments[j][3]) <= 2 * MAX_GAP:
+        if j >= 0 and gain > 0:
             score[i] += gain
             back[i] = j
     out, used = [], [False] * n
@@ -202,12 +232,9 @@ def _pair_chains(t: pa.Table):
     new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (head[1:] != head[:-1])))
     out = []
     for a, b in zip(new, np.append(new[1:], len(doc)), strict=True):
-        if b - a == 1 and n[a] == 1:
-            continue  # one shared shingle
         rows = list(zip(*(x[a:b].tolist() for x in (start, end, there, end_there, n)), strict=True))
         for path in chain(rows):
-            if sum(rows[i][4] for i in path) > 1:
-                out.append((int(doc[a]), int(head[a]), [v for i in path for v in rows[i][:4]]))
+            out.append((int(doc[a]), int(head[a]), [v for i in path for v in rows[i][:4]]))
     return out
 
 
@@ -231,7 +258,7 @@ def chains(links: DataFrame) -> DataFrame:
             yield _chain_batch(_pair_chains(pa.concat_tables(held)))
 
     return (links.repartition("doc", "head").sortWithinPartitions("doc")
-            .mapInArrow(run, "doc bigint, head bigint, parts array<int>"))
+            .mapInArrow(tidy(run), "doc bigint, head bigint, parts array<int>"))
 
 
 def _chain_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -242,11 +269,11 @@ def _chain_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _carry_on(a: np.ndarray, b: np.ndarray) -> int:
     """Words by which a stretch goes on: the best-scoring prefix, a match
-    counting 1 and a difference -3."""
+    counting 1 and a difference -MISS."""
     n = min(len(a), len(b), CARRY)
     if not n:
         return 0
-    total = np.cumsum(np.where(a[:n] == b[:n], 1, -3))
+    total = np.cumsum(np.where(a[:n] == b[:n], 1, -MISS))
     best = int(np.argmax(total))
     return best + 1 if total[best] > 0 else 0
 
@@ -292,60 +319,151 @@ def align(a: np.ndarray, b: np.ndarray, parts: list[int]) -> list[tuple[int, int
     return [x for i in range(len(segments)) if len(segments) > 1 and alike(x := stretch(i, i))]
 
 
-def _hashed(column: pa.Array, i: int) -> np.ndarray:
-    data, offsets = binary_buffers(column.slice(i, 1))
-    start, end, _ = word_spans(data, offsets)
-    return (word_hashes(data, start, end) >> np.uint64(32)).astype(np.uint32)
+def _beside_text(batches):
+    """From batches sorted by k and kind, with a text (kind 0) before the rows
+    (kind 1) of each k: (rows, words, first, last) per batch, the hashed words
+    of the texts that have rows and where each row's text lies among them."""
+    held: tuple[int | None, pa.Array | None] = (None, None)
+    for batch in batches:
+        k, kind = np.asarray(batch.column("k")), np.asarray(batch.column("kind"))
+        text = batch.column("text")
+        texts, rows = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+        if len(rows):
+            at = np.searchsorted(texts, rows) - 1  # -1: in a batch before
+            own = np.append(k[texts], 0 if held[0] is None else held[0])[at]
+            known = (own == k[rows]) & ((at >= 0) | (held[0] is not None))
+            rows, at = rows[known], at[known]
+        if len(rows):
+            used, which = np.unique(at, return_inverse=True)
+            parts = text.take(pa.array(texts[used[used >= 0]])).cast(pa.large_binary())
+            if used[0] < 0:
+                parts = pa.concat_arrays([held[1], parts])
+            data, offsets = binary_buffers(parts)
+            start, end, doc = word_spans(data, offsets)
+            words = (word_hashes(data, start, end) >> np.uint64(32)).astype(np.uint32)
+            edge = np.searchsorted(doc, np.arange(len(used) + 1))
+            yield batch.take(pa.array(rows)), words, edge[which], edge[which + 1]
+        if len(texts):
+            held = (int(k[texts[-1]]), pa.array([text[int(texts[-1])].as_py()], pa.large_binary()))
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of ranges, one range after the other."""
+    total = np.cumsum(size)
+    return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - size - start, size)
+
+
+def _carried(a, b, at_a, at_b, room, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, equal words) by which each stretch goes on from at_a and at_b,
+    for ``room`` words at most, forwards or backwards: :func:`_carry_on` of many."""
+    words, equal = np.zeros(len(at_a), np.int64), np.zeros(len(at_a), np.int64)
+    for low in range(0, len(at_a), 4096):
+        part = slice(low, low + 4096)
+        j = np.arange(CARRY)
+        inside = j[None, :] < room[part, None]
+        i_a = np.where(inside, at_a[part, None] + step * j, 0)
+        i_b = np.where(inside, at_b[part, None] + step * j, 0)
+        same = inside & (a[i_a] == b[i_b])
+        total = np.cumsum(np.where(inside, np.where(same, 1, -MISS), -1000), axis=1)
+        best = total.argmax(axis=1)
+        row = np.arange(len(best))
+        n = np.where(total[row, best] > 0, best + 1, 0)
+        words[part], equal[part] = n, np.where(n > 0, np.cumsum(same, axis=1)[row, best], 0)
+    return words, equal
+
+
+def align_single(a, b, first_a, last_a, first_b, last_b, part) -> tuple[np.ndarray, ...]:
+    """:func:`align` of many chains of one segment each: (start, end, start
+    there, end there, words aligned, alike).  The words of chain i are
+    a[first_a[i]:last_a[i]] and b[first_b[i]:last_b[i]]; ``part`` has four
+    positions a row, relative to these."""
+    s, e, t, u = (part[:, i] for i in range(4))
+    size = e - s
+    same = a[_spread(first_a + s, size)] == b[_spread(first_b + t, size)]
+    filled = size > 0
+    words = np.zeros(len(s), np.int64)
+    words[filled] = np.add.reduceat(same, (np.cumsum(size) - size)[filled], dtype=np.int64) if filled.any() else 0
+    n, equal = _carried(a, b, first_a + s - 1, first_b + t - 1, np.minimum(np.minimum(s, t), CARRY), -1)
+    s, t, words = s - n, t - n, words + equal
+    room = np.minimum(np.minimum(last_a - first_a - e, last_b - first_b - u), CARRY)
+    n, equal = _carried(a, b, first_a + e, first_b + u, room, 1)
+    e, u, words = e + n, u + n, words + equal
+    return s, e, t, u, words, (words >= MIN_SIMILARITY * np.maximum(e - s, u - t)) & (e - s >= MIN_STRETCH)
+
+
+#: Chains that one task aligns with the same first document.
+HEAD_CHAINS = 20_000
+_CHAIN = "k bigint, kind int, doc bigint, head bigint, parts array<int>, base int, words binary"
 
 
 def aligned(chained: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, start, end, head, head_start, head_end, words) of all stretches.
+
+    Each side's texts travel once, sorted before the chains that need them.
     The document's side is cut out first, so that only the chained stretch
-    travels to the other document."""
+    travels to the other document.  The text of a first document of very many
+    chains travels to as many tasks as it has HEAD_CHAINS of them."""
     def cut_out(batches):
-        known: tuple[int | None, np.ndarray | None] = (None, None)
-        for batch in batches:
-            parts, words, base = [], [], []
-            for i in range(batch.num_rows):
-                doc = batch.column(0)[i].as_py()
-                if doc != known[0]:
-                    known = (doc, _hashed(batch.column(3), i))
-                p = batch.column(2)[i].as_py()
-                low = max(0, p[0] - CARRY)
-                base.append(low)
-                words.append(known[1][low:p[-3] + CARRY].tobytes())
+        for rows, words, first, last in _beside_text(batches):
+            parts = rows.column("parts")
+            values, edge = np.asarray(parts.flatten()).astype(np.int64), np.append(0, np.cumsum(np.asarray(pc.list_value_length(parts))))
+            low = np.maximum(0, values[edge[:-1]] - CARRY)
+            size = np.maximum(np.minimum(last - first, values[edge[1:] - 3] + CARRY) - low, 0)
+            cut = words[_spread(first + low, size)]
+            binary = pa.Array.from_buffers(pa.large_binary(), len(size), [
+                None, pa.py_buffer(np.append(0, np.cumsum(4 * size))), pa.py_buffer(np.ascontiguousarray(cut))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(base, pa.int32()), pa.array(words, pa.binary())],
-                names=["doc", "head", "parts", "base", "words"])
+                [rows.column("head"), pa.array(np.ones(rows.num_rows, np.int32)), rows.column("doc"), rows.column("head"),
+                 parts, pa.array(low.astype(np.int32)), binary], names=["k", "kind", "doc", "head", "parts", "base", "words"])
 
     def line_up(batches):
-        known: tuple[int | None, np.ndarray | None] = (None, None)
-        for batch in batches:
-            rows = []
-            for i in range(batch.num_rows):
-                head = batch.column(1)[i].as_py()
-                if head != known[0]:
-                    known = (head, _hashed(batch.column(5), i))
-                doc, base = batch.column(0)[i].as_py(), batch.column(3)[i].as_py()
-                own = np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.uint32)
-                parts = batch.column(2)[i].as_py()
-                if parts[-1] > len(known[1]) or parts[-3] - base > len(own):
-                    continue  # another text under a repeated id
-                shifted = [v - base if n % 4 < 2 else v for n, v in enumerate(parts)]
-                rows += [(doc, s + base, e + base, head, t, u, w) for s, e, t, u, w in align(own, known[1], shifted)]
-            yield _rows(rows)
-
-    def _rows(rows):
-        columns = zip(*rows, strict=True) if rows else [()] * 7
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                          names=["doc", "start", "end", "head", "head_start", "head_end", "words"])
-
-    side = lambda name: docs.select(F.col("doc_id").alias(name), "text")
-    own = (chained.join(side("doc"), "doc").select("doc", "head", "parts", "text")
-           .mapInArrow(cut_out, "doc bigint, head bigint, parts array<int>, base int, words binary"))
-    return (own.join(side("head"), "head").select("doc", "head", "parts", "base", "words", "text")
-            .mapInArrow(line_up, "doc bigint, start int, end int, head bigint, head_start int, head_end int, words int"))
+        for rows, b, first_b, last_b in _beside_text(batches):
+            data, offsets = binary_buffers(rows.column("words"))
+            a, edge_a = np.frombuffer(data.tobytes(), dtype=np.uint32), offsets // 4
+            parts, base = rows.column("parts"), np.asarray(rows.column("base")).astype(np.int64)
+            length = np.asarray(pc.list_value_length(parts))
+            doc, head = np.asarray(rows.column("doc")), np.asarray(rows.column("head"))
+            values, edge = np.asarray(parts.flatten()).astype(np.int64), np.append(0, np.cumsum(length))
+            one = np.flatnonzero(length == 4)
+            part = values[edge[one][:, None] + np.arange(4)] if len(one) else np.zeros((0, 4), np.int64)
+            part[:, :2] -= base[one][:, None]
+            s, e, t, u, n, alike = align_single(a, b, edge_a[one], edge_a[one + 1], first_b[one], last_b[one], part)
+            one = one[alike]
+            found = [(doc[one], s[alike] + base[one], e[alike] + base[one], head[one], t[alike], u[alike], n[alike])]
+            for i in np.flatnonzero(length > 4):
+                own, there = a[edge_a[i]:edge_a[i + 1]], b[first_b[i]:last_b[i]]
+                p = values[edge[i]:edge[i + 1]].copy()
+                for j in (0, 1):
+                    p[j::4] -= base[i]
+                got = align(own, there, p.tolist())
+                if got:
+                    s, e, t, u, n = np.array(got).T
+                    found.append((np.full(len(s), doc[i]), s + base[i], e + base[i], np.full(len(s), head[i]), t, u, n))
+            columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+            kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.astype(kind)) for c, kind in zip(columns, kinds, strict=True)],
+                names=["doc", "start", "end", "head", "head_start", "head_end", "words"])
+
+    def beside(texts, rows, *by):
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in (
+            ("doc", "bigint"), ("head", "bigint"), ("parts", "array<int>"), ("base", "int"), ("words", "binary"))]
+        texts = texts.select("k", F.lit(0).alias("kind"), *none, "text", *by)
+        rows = rows.select("k", "kind", "doc", "head", "parts", "base", "words", F.lit(None).cast("string").alias("text"), *by)
+        return texts.unionByName(rows).repartition("k", *by).sortWithinPartitions("k", *by, "kind")
+
+    texts = docs.select(F.col("doc_id").alias("k"), "text")
+    rows = chained.select(F.col("doc").alias("k"), F.lit(1).alias("kind"), "doc", "head", "parts",
+                          F.lit(None).cast("int").alias("base"), F.lit(None).cast("binary").alias("words"))
+    own = beside(texts, rows).mapInArrow(tidy(cut_out), _CHAIN)
+    shares = materialize(chained.groupBy(F.col("head").alias("of")).count().where(F.col("count") > HEAD_CHAINS)
+                         .select("of", F.ceil(F.col("count") / HEAD_CHAINS).cast("int").alias("shares")))
+    own = (own.join(shares, F.col("k") == F.col("of"), "left")
+           .withColumn("share", F.pmod(F.xxhash64("doc"), F.coalesce("shares", F.lit(1))).cast("int")).drop("of", "shares"))
+    texts = (texts.join(shares, F.col("k") == F.col("of"), "left")
+             .withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))))
+    return beside(texts, own, "share").mapInArrow(
+        tidy(line_up), "doc bigint, start int, end int, head bigint, head_start int, head_end int, words int")
 
 
 def _first_places(occurrences: DataFrame, *key: str) -> DataFrame:
@@ -372,6 +490,50 @@ def _runs(found: DataFrame, min_words: int) -> DataFrame:
             .where(F.col("passage_end") - F.col("passage_start") >= min_words))
 
 
+def _uncovered(rows: DataFrame, covered: DataFrame, start, end) -> DataFrame:
+    """Rows of ``doc`` from ``start`` to ``end`` that no passage covers."""
+    return rows.join(covered, (rows["doc"] == covered["of"]) & (start >= F.col("passage_start"))
+                     & (end <= F.col("passage_end")), "left_anti")
+
+
+def _previous(places: DataFrame, blocks: int = 256) -> DataFrame:
+    """(pair, doc, head, there): for each (pair, doc, pos) the document before
+    it with the same pair, and the place there.  Documents are cut into blocks
+    of their range, so a pair of very many documents is many windows."""
+    known = places.agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).first()
+    if known["lo"] is None:
+        known = {"lo": 0, "hi": 0}
+    low, width = float(known["lo"]), (float(known["hi"]) - float(known["lo"])) / blocks + 1.0
+    placed = places.withColumn("block", F.floor((F.col("doc").cast("double") - low) / width).cast("int"))
+    inside = Window.partitionBy("pair", "block").orderBy("doc")
+    near = placed.select("pair", "doc", "block", F.lag("doc").over(inside).alias("head"), F.lag("pos").over(inside).alias("there"))
+    # The last document of each block, for the first one of the next.
+    last = placed.groupBy("pair", "block").agg(F.max("doc").alias("top"), F.max_by("pos", "doc").alias("top_pos"))
+    over = Window.partitionBy("pair").orderBy("block")
+    before = last.select("pair", "block", F.lag("top").over(over).alias("top"), F.lag("top_pos").over(over).alias("top_pos"))
+    return (near.join(before, ["pair", "block"])
+            .select("pair", "doc", F.coalesce("head", "top").alias("head"), F.coalesce("there", "top_pos").alias("there"))
+            .where("head is not null"))
+
+
+def _pair_links(recurring: DataFrame, covered: DataFrame) -> DataFrame:
+    """(doc, head, pos, there, size): seeds of a document that no passage
+    covers, matched where the document before it that has the same two seeds
+    in a row has them.  ``recurring``: (doc, pos, key) of all seeds that
+    several documents have."""
+    order = Window.partitionBy("doc").orderBy("pos", "key")
+    rows = (_uncovered(recurring, covered, F.col("pos"), F.col("pos") + K)
+            .select("doc", "pos", "key", F.lead("pos").over(order).alias("next"), F.lead("key").over(order).alias("next_key"))
+            .where(F.col("next") - F.col("pos") <= 2 * WINDOW)
+            .select("doc", "pos", "next", F.xxhash64("key", "next_key", F.col("next") - F.col("pos")).alias("pair")))
+    rows = materialize(rows)
+    before = _previous(rows.groupBy("pair", "doc").agg(F.min("pos").alias("pos")))
+    both = F.explode(F.array(F.lit(0), F.col("next") - F.col("pos"))).alias("step")
+    return (rows.join(before, ["pair", "doc"]).select("doc", "head", "pos", "there", both)
+            .select("doc", "head", (F.col("pos") + F.col("step")).alias("pos"), (F.col("there") + F.col("step")).alias("there"),
+                    F.lit(K).alias("size")).distinct())
+
+
 def _whole_windows(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(key, whole, doc, pos) of the windows of ``n`` words whose long seed is
     one of those ``wanted`` (doc, keys) of their document."""
@@ -398,27 +560,21 @@ def _whole_windows(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         names=["key", "whole", "doc", "pos"])
 
     return (docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("doc_id", "keys", "text")
-            .mapInArrow(run, "key bigint, whole bigint, doc bigint, pos int"))
-
+            .mapInArrow(tidy(run), "key bigint, whole bigint, doc bigint, pos int"))
 
-def _exact(docs: DataFrame, longs: DataFrame, found: DataFrame, n: int) -> DataFrame:
-    """Stretches, like ``found``, of the windows of ``n`` words that recur in
-    a document of smaller id and that no run of ``found`` covers.  ``longs``:
-    the occurrences (key, doc, head, pos) of recurring long seeds."""
-    covered = materialize(_runs(found, n).select(F.col("doc").alias("of"), "passage_start", "passage_end").distinct())
-
-    def not_covered(rows, start, end):
-        return rows.join(covered, (rows["doc"] == covered["of"]) & (start >= F.col("passage_start"))
-                         & (end <= F.col("passage_end")), "left_anti")
 
+def _exact(docs: DataFrame, longs: DataFrame, covered: DataFrame, n: int) -> DataFrame:
+    """Stretches of the windows of ``n`` words that recur in a document of
+    smaller id and that no passage covers.  ``longs``: the occurrences (key,
+    doc, head, pos) of recurring long seeds."""
     around = n - half(n)
-    open_ = materialize(not_covered(longs.where("doc <> head"), F.greatest(F.col("pos") - around, F.lit(0)),
-                                    F.col("pos") + n).select("key").distinct())
+    open_ = materialize(_uncovered(longs.where("doc <> head"), covered, F.greatest(F.col("pos") - around, F.lit(0)),
+                                   F.col("pos") + n).select("key").distinct())
     wanted = longs.join(open_, "key").groupBy("doc").agg(F.collect_set("key").alias("keys"))
     windows = materialize(_whole_windows(docs, wanted, n))
     heads = _first_places(windows, "key", "whole")
     same = windows.join(heads, ["key", "whole"]).where("doc <> head").select("doc", "head", "pos", "there")
-    same = not_covered(same, F.col("pos"), F.col("pos") + n).withColumn("diagonal", F.col("pos") - F.col("there"))
+    same = _uncovered(same, covered, F.col("pos"), F.col("pos") + n).withColumn("diagonal", F.col("pos") - F.col("there"))
     # Windows one after the other on a diagonal are one stretch.
     row = F.row_number().over(Window.partitionBy("doc", "head", "diagonal").orderBy("pos"))
     return (same.distinct().withColumn("island", F.col("pos") - row)
@@ -429,6 +585,47 @@ def _exact(docs: DataFrame, longs: DataFrame, found: DataFrame, n: int) -> DataF
                     (F.col("end") - F.col("start")).alias("words")))
 
 
+def _covered(found: DataFrame, n: int) -> DataFrame:
+    return materialize(_runs(found, n).select(F.col("doc").alias("of"), "passage_start", "passage_end").distinct())
+
+
+def _find(ready: DataFrame, min_words: int) -> DataFrame:
+    """The stretches of all passages of (doc_id, text), see :func:`_runs`;
+    doc_id is a number of its own for each text."""
+    short = seeds(ready)
+    heads = _first_places(short.where("first"), "key")
+    short = materialize(short.drop("first").join(heads, "key"))
+    long = seeds(ready, min_words)
+    long = materialize(long.join(_first_places(long.where("first"), "key"), "key").drop("first"))
+    links = (short.where("doc <> head").select("doc", "head", "pos", "there", F.lit(K).alias("size"))
+             .unionByName(long.where("doc <> head").select("doc", "head", "pos", "there",
+                                                           F.lit(half(min_words)).alias("size"))))
+    found = materialize(aligned(materialize(chains(links)), ready))
+    again = materialize(chains(_pair_links(short.select("doc", "pos", "key"), _covered(found, min_words))))
+    found = found.unionByName(materialize(aligned(again, ready)))
+    # Stretches of a document that meet make one passage.
+    return _runs(found.unionByName(_exact(ready, long, _covered(found, min_words), min_words)), min_words)
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, text) of the rows that take part, with a number of its own for
+    each text; where ids repeat, also what the numbers stand for (number,
+    doc_id, text_key), in the order of ids."""
+    ready = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
+        .where("doc_id is not null and text is not null")
+    if not ready.groupBy("doc_id").count().where("count > 1").head(1):
+        return ready, None
+    keyed = ready.withColumn("text_key", text_key("text"))
+    names = keyed.select("doc_id", "text_key").distinct()
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text_key"))
+    names = materialize(names.join(dense_rank_of(names.select("doc_id"), [], "doc_id").select("doc_id", "rank"), "doc_id")
+                        .withColumn("nth", nth))
+    most = names.agg(F.max("nth")).first()[0]
+    names = names.select("doc_id", "text_key", (F.col("rank") * (most + 1) + F.col("nth")).alias("number"))
+    rows = keyed.join(names, ["doc_id", "text_key"]).select(F.col("number").alias("doc_id"), "text")
+    return rows.dropDuplicates(["doc_id"]), names
+
+
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              min_words: int = MIN_WORDS) -> DataFrame:
     """Stretches of documents that recur in a document of smaller id: doc_id,
@@ -439,24 +636,18 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     0x09-0x0D), ends excluded; A-Z and a-z are alike.  A passage is the run of
     a document's stretches that meet, with ``min_words`` words at least; each
     stretch aligns with its partner at MIN_SIMILARITY or more.  Rows with a
-    null id or text and texts without words take no part; documents that
-    share an id are one document to each other.  An empty table gives an
-    empty result; other columns are not read.
+    null id or text and texts without words take no part.  Different texts of
+    one id are different documents, in the order of a hash; rows of the same
+    id and text are one.  An empty table gives an empty result; other columns
+    are not read.
     """
-    ready = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .where("doc_id is not null and text is not null")
-    short = seeds(ready)
-    heads = _first_places(short.where("first"), "key")
-    short = short.join(heads, "key").where("doc <> head")
-    long = seeds(ready, min_words)
-    long = materialize(long.join(_first_places(long.where("first"), "key"), "key").drop("first"))
-    links = (short.select("doc", "head", "pos", "there", F.lit(K).alias("size"))
-             .unionByName(long.where("doc <> head").select("doc", "head", "pos", "there",
-                                                           F.lit(half(min_words)).alias("size"))))
-    chained = materialize(chains(links))
-    found = materialize(aligned(chained, ready))
-    # Stretches of a document that meet make one passage.
-    runs = _runs(found.unionByName(_exact(ready, long, found, min_words)), min_words)
+    ship_code(docs.sparkSession)
+    ready, names = _numbered(docs, id_col, text_col)
+    runs = _find(ready, min_words)
+    if names is not None:
+        for side in ("doc", "head"):
+            runs = (runs.join(names.select(F.col("number").alias(side), F.col("doc_id").alias(f"{side}_id")), side)
+                    .drop(side).withColumnRenamed(f"{side}_id", side))
     length = F.greatest(F.col("end") - F.col("start"), F.col("head_end") - F.col("head_start"))
     return runs.select(
         F.col("doc").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
@@ -465,34 +656,50 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.round(F.col("words") / length, 6).alias("similarity"))
 
 
-def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the words of recurring passages; the document of
-    smallest id keeps its own.  Other rows and columns stay as they are; a
-    document of which nothing is left is dropped.  a column ``n_chars``
-    then counts the new text's characters."""
-    spans = (passages(docs, id_col, text_col, **options)
-             .select(F.col("doc_id").alias("_doc"), F.struct("passage_start", "passage_end").alias("_span")).distinct()
-             .groupBy("_doc").agg(F.sort_array(F.collect_list("_span")).alias("_spans")))
-    cols = docs.columns
-    at = cols.index(text_col)
+    smallest id keeps its own.  A row of which no word is left is dropped; a
+    column ``n_chars`` then counts the new text's characters.
+
+    Other rows and columns stay as they are, whatever their names.  Null ids,
+    null and empty texts, repeated ids and rows and empty tables: see
+    :func:`passages`; rows of one id and text are cut alike.
+    """
+    ship_code(docs.sparkSession)
+    ready, names = _numbered(docs, id_col, text_col)
+    spans = (_find(ready, min_words).select("doc", F.struct("passage_start", "passage_end").alias("span")).distinct()
+             .groupBy("doc").agg(F.sort_array(F.collect_list("span")).alias("spans")))
+    rows = docs.select(whole_row(docs, but=text_col).alias("row"), F.col(text_col).alias("text"),
+                       F.col(id_col).cast("bigint").alias("id"), *([text_key(text_col).alias("key")] if names is not None else []))
+    if names is None:
+        joined = rows.join(spans, F.col("id") == F.col("doc"), "left")
+    else:
+        spans = spans.join(names.select(F.col("number").alias("doc"), "doc_id", "text_key"), "doc").drop("doc")
+        joined = rows.join(spans, (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, at):
-                marks = part.column(len(cols)).to_pylist()
-                text = part.column(at).cast(pa.large_binary())
+            for part in text_slices(batch, 1):
+                marks = part.column(2).to_pylist()
+                text = part.column(1).cast(pa.large_binary())
                 new = [_without(text[i].as_py(), marks[i]) if marks[i] else text[i].as_py() for i in range(len(text))]
                 kept = pa.array([not m or bool(n and n.strip()) for m, n in zip(marks, new, strict=True)])
-                columns = list(part.columns[:len(cols)])
-                columns[at] = pa.array(new, pa.binary()).cast(part.column(at).type)
-                if "n_chars" in cols:
-                    n = cols.index("n_chars")
-                    counted = pc.utf8_length(columns[at].cast(pa.string())).cast(part.column(n).type)
-                    columns[n] = pc.if_else(pa.array([bool(m) for m in marks]), counted, part.column(n))
-                yield pa.RecordBatch.from_arrays(columns, names=cols).filter(kept)
-
-    joined = docs.join(spans, docs[id_col] == spans["_doc"], "left").select(*cols, "_spans")
-    return joined.mapInArrow(run, docs.schema)
+                columns = [part.column(0), pa.array(new, pa.binary()).cast(part.column(1).type), pa.array([bool(m) for m in marks])]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "cut"]).filter(kept)
+
+    joined = joined.select("row", "text", "spans")
+    cut = joined.mapInArrow(tidy(run), joined.drop("spans").schema.add("cut", "boolean"))
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.col("text").alias(name)
+        own = F.col("row").getField(name)
+        if name == "n_chars":
+            own = F.when(F.col("cut"), F.length("text").cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+
+    return cut.select(*[column(c) for c in docs.columns])
 
 
 def _without(text: bytes, spans: list[dict]) -> bytes:

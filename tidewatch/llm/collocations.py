@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import binary_buffers, materialize, mix64, ship_code, text_slices, word_hashes, word_spans
+from tidewatch.llm.common import binary_buffers, materialize, mix64, ship_code, text_slices, tidy, word_hashes, word_spans
 from tidewatch.llm.quotient_filter import CountingQuotientFilter, fold, merge, permute, restore
 
 MIN_COUNT, MAX_WORDS, TOP, COVERED = 10, 3, 2000, 50
@@ -89,7 +89,7 @@ def count_words(docs: DataFrame, attempt: int = 0) -> DataFrame:
                      pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.diff(np.append(at, len(order))))],
                     names=["id", "lang", "word", "n"])
 
-    rows = docs.select("lang", "text").mapInArrow(run, "id bigint, lang string, word string, n bigint")
+    rows = docs.select("lang", "text").mapInArrow(tidy(run), "id bigint, lang string, word string, n bigint")
     return rows.repartition("id").groupBy("id", "lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -125,7 +125,7 @@ def bloom_filter(frequent: DataFrame, n: int) -> np.ndarray:
         parts = [np.frombuffer(b, dtype=np.uint8) for b in t.column("bits").to_pylist()]
         return pa.table({"at": t.column("at")[:1], "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()])})
 
-    rows = (frequent.select("ids").coalesce(64).mapInArrow(run, "at bigint, bits binary")
+    rows = (frequent.select("ids").coalesce(64).mapInArrow(tidy(run), "at bigint, bits binary")
             .groupBy("at").applyInArrow(either, "at bigint, bits binary").collect())
     out = np.zeros(bits // 8, dtype=np.uint8)
     for r in rows:
@@ -179,7 +179,7 @@ def file_phrases(docs: DataFrame, n: int, shorter: np.ndarray, shard_bits: int,
         if size:
             yield from filed(held)
 
-    return docs.select("lang", "text").mapInArrow(run, "shard bigint, filter binary")
+    return docs.select("lang", "text").mapInArrow(tidy(run), "shard bigint, filter binary")
 
 
 def merged(filters: DataFrame, min_count: int) -> DataFrame:

@@ -3,24 +3,28 @@ vectorised word hashing over Arrow text columns, connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "ship_code", "table", "text_slices", "binary_buffers",
+__all__ = ["materialize", "scratch_path", "ship_code", "table", "text_key", "tidy", "text_slices",
+           "whole_row", "binary_buffers",
            "white_space", "word_spans", "word_hashes", "mix64", "connected_components"]
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory.
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that travel to a Python worker at a time.
+BATCH_BYTES = 4 << 20
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -33,7 +37,13 @@ _shipped: set[str] = set()
 
 def ship_code(spark: SparkSession) -> None:
     """Send this package's source to the executors, once per application, for
-    sessions that were started without it on their workers' path."""
+    sessions that were started without it on their workers' path; and see that
+    batches for Python workers hold BATCH_BYTES at most (a row of more comes
+    alone), whatever number of rows the session allows them."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(limit).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     package = Path(__file__).resolve().parents[1]
     application = spark.sparkContext.applicationId
     if application in _shipped or not package.is_dir():
@@ -51,6 +61,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key(text_col: str) -> Column:
+    """Tells apart the texts of a repeated id."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def whole_row(docs: DataFrame, but: str | None = None) -> Column:
+    """All columns of ``docs`` (without one) as one struct, so that no name of
+    theirs can clash with those of an operator's own columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != but])
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` over a task's batches, which gives the memory that it no longer
+    uses back at the end: workers live on and other tasks use them."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return tidied
+
+
 def text_slices(batch: pa.RecordBatch, text_col: int | str,
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes
@@ -172,10 +207,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .unionByName(down.select(F.col("k").alias("u"), F.col("m").alias("v")))
                  .distinct())
         new = materialize(small)
-        same = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first() == \
-            e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first()
+        # Settled when no edge is new; then none is gone either, as each node
+        # keeps one edge, to the smallest node of its component.
+        settled = new.count() == e.count() and not new.join(e, ["u", "v"], "left_anti").head(1)
         e = new
-        if same:
+        if settled:
             break
     else:
         raise RuntimeError("connected components did not settle")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (binary_buffers, connected_components, materialize, mix64, text_slices,
+from tidewatch.llm.common import (binary_buffers, connected_components, materialize, mix64, text_key, text_slices, tidy,
                                   word_hashes, word_spans)
 
 CHUNKS, CHUNK_VALUES, ERRORS = 10, 5, 1
@@ -98,11 +98,6 @@ def _rows(column: pa.Array, width: int, dtype=np.uint8) -> np.ndarray:
     return binary_buffers(column)[0].reshape(-1, width).view(dtype)
 
 
-def text_key(text_col: str) -> Column:
-    """Tells apart the texts of a repeated id."""
-    return F.xxhash64(F.col(text_col).cast("string"))
-
-
 def signatures(docs: DataFrame, k: int, id_col: str, text_col: str, texts: bool = False) -> DataFrame:
     """doc_id, n_shingles, fp, sig of each row (fp and sig null without words),
     with ``texts`` also its text_key."""
@@ -120,7 +115,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str, texts: bool
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         *([text_key(text_col).alias("text_key")] if texts else []))
-            .mapInArrow(run, "doc_id bigint, n_shingles bigint, fp binary, sig binary" + kind))
+            .mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, fp binary, sig binary" + kind))
 
 
 def chunk_keys(nodes: DataFrame) -> DataFrame:
@@ -144,7 +139,7 @@ def chunk_keys(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.reshape(-1).view(np.int64)), _fixed(fp, 16)], names=["key", "fp"])
 
-    return nodes.select("fp", "sig").mapInArrow(run, "key bigint, fp binary")
+    return nodes.select("fp", "sig").mapInArrow(tidy(run), "key bigint, fp binary")
 
 
 def set_size(fp: str) -> Column:
@@ -169,7 +164,7 @@ def _within(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     side = lambda x: nodes.select(F.col("fp").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("doc").alias(f"doc_{x}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .select("a", "b", "sig_a", "sig_b", "doc_a", "doc_b")
-            .mapInArrow(run, "a binary, b binary, doc_a bigint, doc_b bigint"))
+            .mapInArrow(tidy(run), "a binary, b binary, doc_a bigint, doc_b bigint"))
 
 
 def _texts(close: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -199,7 +194,7 @@ def _linked(close: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
     text = lambda x: texts.select(F.col("fp").alias(x), F.col("text").alias(f"text_{x}"))
     return (close.select("a", "b").join(text("b"), "b").join(text("a"), "a")
-            .select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary").distinct())
+            .select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a binary, b binary").distinct())
 
 
 def _family_links(members: DataFrame, k: int, percent: int) -> DataFrame:
@@ -294,7 +289,7 @@ def _pairs_of_keys(rows: DataFrame, percent: int, limit: int) -> DataFrame:
             yield from out(pa.concat_tables(held))
 
     pairs_ = (rows.repartition("key").sortWithinPartitions("key").select("key", "fp", "comp", "sig")
-              .mapInArrow(run, "a binary, b binary"))
+              .mapInArrow(tidy(run), "a binary, b binary"))
     return pairs_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -9,10 +9,10 @@ the exact word.  Budgets above the source's size repeat whole epochs first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import materialize
+from tidewatch.llm.common import materialize, whole_row
 from tidewatch.session import bounded_broadcast
 
 #: Regular expression of a word: a run of characters other than space, tab,
@@ -122,25 +122,35 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The mix itself, with the columns of ``docs``: each document once per
     whole epoch, and once more cut after its first words where the last pass
     ends inside it.  Documents without words are kept once.  Rows that agree
-    in id, source and text share the words the plan gives to them."""
+    in id, source and text share the words the plan gives to them.
+
+    Other columns come along, whatever their names; ``n_chars`` counts the
+    characters of a cut text.  Null sources, texts and ids, repeated rows and
+    empty tables: see :func:`mix_plan`."""
     plan = (mix_plan(docs, id_col, text_col, source_col, row_key=True, **options)
-            .groupBy(F.col("row_key").alias("_row_key"), F.col("size").alias("_size"))
-            .agg(F.sum("taken").alias("_taken"), F.count("*").alias("_rows")))
+            .groupBy("row_key", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows")))
     # Repeated rows fold into one; its copies are then all of theirs.
-    once = Window.partitionBy("_key").orderBy("_key")
-    joined = (docs.withColumn("_key", _row_key(id_col, text_col, source_col))
-              .join(plan, F.col("_key") == F.col("_row_key"))
-              .withColumn("_nth", F.row_number().over(once)).where("_nth = 1"))
-    whole = F.when(F.col("_size") == 0, F.col("_rows")).otherwise(F.floor(F.col("_taken") / F.col("_size")))
-    rest = F.when(F.col("_size") == 0, 0).otherwise(F.col("_taken") % F.col("_size"))
-    head = F.regexp_substr(F.col(text_col), F.concat(
+    once = Window.partitionBy("key").orderBy("key")
+    joined = (docs.select(whole_row(docs, but=text_col).alias("row"), F.col(text_col).alias("text"),
+                          _row_key(id_col, text_col, source_col).alias("key"))
+              .join(plan, F.col("key") == F.col("row_key"))
+              .withColumn("nth", F.row_number().over(once)).where("nth = 1"))
+    whole = F.when(F.col("size") == 0, F.col("rows")).otherwise(F.floor(F.col("taken") / F.col("size")))
+    rest = F.when(F.col("size") == 0, 0).otherwise(F.col("taken") % F.col("size"))
+    head = F.regexp_substr(F.col("text"), F.concat(
         F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"),
-        F.col("_rest").cast("string"), F.lit("}+")))
-    copies = joined.withColumn("_whole", whole).withColumn("_rest", rest)
-    copies = copies.where("_whole > 0 or _rest > 0").withColumn("_copy", F.explode(F.sequence(
-        F.lit(1), (F.col("_whole") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int"))))
-    text = F.when(F.col("_copy") <= F.col("_whole"), F.col(text_col)).otherwise(head)
-    if "n_chars" in docs.columns:  # a cut text has fewer
-        copies = copies.withColumn("n_chars", F.when(F.col("_copy") <= F.col("_whole"), F.col("n_chars"))
-                                   .otherwise(F.length(head)).cast(docs.schema["n_chars"].dataType))
-    return copies.withColumn(text_col, text).select(*docs.columns)
+        F.col("rest").cast("string"), F.lit("}+")))
+    copies = joined.withColumn("whole", whole).withColumn("rest", rest).where("whole > 0 or rest > 0")
+    copies = copies.withColumn("copy", F.explode(F.sequence(
+        F.lit(1), (F.col("whole") + F.when(F.col("rest") > 0, 1).otherwise(0)).cast("int"))))
+    is_whole = F.col("copy") <= F.col("whole")
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.when(is_whole, F.col("text")).otherwise(head).alias(name)
+        own = F.col("row").getField(name)
+        if name == "n_chars":  # a cut text has fewer
+            own = F.when(is_whole, own).otherwise(F.length(head)).cast(docs.schema[name].dataType)
+        return own.alias(name)
+
+    return copies.select(*[column(c) for c in docs.columns])

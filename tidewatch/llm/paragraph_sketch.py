@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import binary_buffers, mix64, ship_code, text_slices, word_hashes, word_spans
+from tidewatch.llm.common import binary_buffers, mix64, ship_code, text_slices, tidy, word_hashes, word_spans
 
 #: Cells of each of a fingerprint's three tables, and how much larger a retry is.
 CELLS, GROWTH = 8, 4
@@ -237,7 +237,7 @@ def with_fingerprints(pairs: DataFrame, text_col: str, others: dict[str, str], o
                 yield pa.RecordBatch.from_arrays(columns, names=cols)
 
     texts = [F.col(c).cast("string").alias(f"_text{i}") for i, c in enumerate([text_col, *others.values()])]
-    return pairs.select(*(keep or []), *texts).mapInArrow(run, spark_schema)
+    return pairs.select(*(keep or []), *texts).mapInArrow(tidy(run), spark_schema)
 
 
 def _bucket(key: Column, bounds: list[int]) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from tidewatch.llm.common import text_slices
+from tidewatch.llm.common import text_slices, tidy
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
@@ -366,19 +366,20 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     whole text.  Null and empty texts have no ids.  Rows are encoded one by
     one, so repeats and ties change nothing; an empty table stays empty."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != ids_col]
-    source = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         machines = _machines(shared.value)
         for batch in batches:
-            for part in text_slices(batch, len(keep)):
-                texts = pc.fill_null(part.column(len(keep)), "").to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(keep)], _lists([machines.encode(t) for t in texts])], names=[*keep, ids_col])
+            for part in text_slices(batch, 1):
+                texts = pc.fill_null(part.column(1), "").to_pylist()
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists([machines.encode(t) for t in texts])],
+                                                 names=["row", "ids"])
         machines.memory.forget()  # workers are used again by other stages
 
-    return source.mapInArrow(run, docs.select(*keep).schema.add(ids_col, ArrayType(IntegerType())))
+    encoded = source.mapInArrow(tidy(run), source.select("row").schema.add("ids", ArrayType(IntegerType())))
+    return encoded.select(*[F.col("row").getField(c).alias(c) for c in keep], F.col("ids").alias(ids_col))
 
 
 def decode_ids(tokens: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -398,11 +399,16 @@ def decode_ids(tokens: DataFrame, model: bytes, ids_col: str = "ids", text_col:
                           for x in part.column(at))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*keep, text_col])
 
-    return tokens.select(*keep).mapInArrow(run, tokens.select(*keep).schema.add(text_col, "string"))
+    return tokens.select(*keep).mapInArrow(tidy(run), tokens.select(*keep).schema.add(text_col, "string"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, path: str = MODEL_PATH, keep: list[str] | None = None,
              text_col: str = "text") -> DataFrame:
-    """``keep``, ids, n_tokens and decoded of each document."""
+    """``keep`` (default: all columns), ids, n_tokens and decoded of each
+    document; columns of these three names are replaced, all others kept.
+
+    Null and empty texts have no ids, 0 tokens and an empty decoded text.  Rows
+    are encoded one by one: repeated rows, ids and ties change nothing, and an
+    empty table stays empty."""
     model = load_model(path)
     return decode_ids(encode_texts(docs, model, text_col, keep), model).withColumn("n_tokens", F.size("ids"))

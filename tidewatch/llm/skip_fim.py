@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import binary_buffers, mix64, text_slices, white_space
+from tidewatch.llm.common import binary_buffers, mix64, text_slices, tidy, white_space
 
 #: Fixed values of the format: markers of prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -138,7 +138,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     names=["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output string")
+        tidy(run), "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output string")
 
 
 def restored(output: Column, form: Column) -> Column:

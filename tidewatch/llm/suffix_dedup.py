@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import _BASE, _powers, binary_buffers, materialize, mix64, text_slices
+from tidewatch.llm.common import _BASE, _powers, binary_buffers, materialize, mix64, text_slices, tidy
 from tidewatch.llm.induced_sorting import suffix_array
 
 MATCH, SEED = 200, 64
@@ -130,7 +130,7 @@ def _packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [*part.columns[:2], pa.array([packer.compress(t.as_buffer() if t.is_valid else b"") for t in text],
                                                  pa.binary())], names=["row", "doc_id", "packed"])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, "row bigint, doc_id bigint, packed binary")
+    return _rows(docs, id_col, text_col).mapInArrow(tidy(run), "row bigint, doc_id bigint, packed binary")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -153,7 +153,7 @@ def _all_segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     names=["key", "content", "row", "start", "shape"])
 
     return _rows(docs, id_col, text_col).select("row", "text").mapInArrow(
-        run, "key bigint, content bigint, row bigint, start int, shape int")
+        tidy(run), "key bigint, content bigint, row bigint, start int, shape int")
 
 
 def _keys(docs: DataFrame, text_col: str) -> DataFrame:
@@ -164,7 +164,7 @@ def _keys(docs: DataFrame, text_col: str) -> DataFrame:
                 key = segments(*binary_buffers(part.column(0)), contents=False)[4]
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key bigint")
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), "key bigint")
 
 
 def _cut_out(batches):
@@ -274,13 +274,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "key", "content", "times", "place.start", "place.shape", "parts", F.lit(shards).alias("shards"),
             F.coalesce("large", F.array().cast("array<int>")).alias("large"))).alias("asked")))
     sorted_ = (_packed(docs, id_col, text_col).join(asked, "row").select("packed", "asked")
-               .mapInArrow(_cut_out, "shard int, key bigint, content bigint, base int, windows int, times bigint, text binary")
+               .mapInArrow(tidy(_cut_out), "shard int, key bigint, content bigint, base int, windows int, times bigint, text binary")
                .groupBy("shard").applyInArrow(_sort_shard, "key bigint, content bigint, spans array<int>"))
     # A repeated row comes in twice.
     single = materialize(
         _packed(docs, id_col, text_col)
         .join(asked.where(F.exists("asked", lambda s: F.size(s["large"]) > 0)), "row").select("packed", "asked")
-        .mapInArrow(_single_windows, "key bigint, content bigint, at int, times bigint, digest binary")
+        .mapInArrow(tidy(_single_windows), "key bigint, content bigint, at int, times bigint, digest binary")
         .dropDuplicates(["key", "content", "at"]))
     again = materialize(single.groupBy("key", "digest").agg(F.sum("times").alias("n")).where("n > 1").drop("n"))
     counted = (single.join(again, ["key", "digest"]).groupBy("key", "content")
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     out = (_packed(docs, id_col, text_col).join(spans, "row", "left").select("doc_id", "packed", "spans")
-           .mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"))
+           .mapInArrow(tidy(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"))
     return out if keep_text else out.drop("kept")
 
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import text_slices
+from tidewatch.llm.common import text_slices, tidy
 
 #: Bound of the training sample: labelled documents of each class, in hash
 #: order of their ids.
@@ -229,4 +229,4 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(cols)], pa.array(scores, pa.float64())], names=[*cols, score_col])
 
-    return source.mapInArrow(run, schema.add(score_col, "double"))
+    return source.mapInArrow(tidy(run), schema.add(score_col, "double"))

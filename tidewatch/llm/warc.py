@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import scratch_path
+from tidewatch.llm.common import scratch_path, tidy
 
 REVISIT_MIN_BYTES = 1000
 #: Fixed values of the format.
@@ -194,7 +194,7 @@ def normalise_archives(spark: SparkSession, monolithic: str, folder: str) -> Dat
                     names=["file", "offset", "length", "n"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(monolithic)
-    return files.select("path", "content").mapInArrow(run, INDEX_SCHEMA)
+    return files.select("path", "content").mapInArrow(tidy(run), INDEX_SCHEMA)
 
 
 def parse_record(raw: bytes) -> tuple:
@@ -239,7 +239,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                     yield _batch(rows)
 
     sidecars = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(folder)
-    return sidecars.select("path").mapInArrow(run, RECORD_SCHEMA)
+    return sidecars.select("path").mapInArrow(tidy(run), RECORD_SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
