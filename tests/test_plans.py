@@ -77,8 +77,8 @@ def test_counted_rows_decide_the_blocks(spark, monkeypatch):
     path = f"/tmp/tidewatch-checkpoints/test-{uuid.uuid4().hex}"
     df.repartition(4).write.parquet(path)
     stored = spark.read.parquet(path)
-    assert ranks.choose_blocks(stored.select("symbol", "price").distinct(), ["symbol"], None) == 1
-    assert ranks.choose_blocks(stored.select("symbol", "ts").distinct(), ["symbol"], None, block_rows=50) == 3
+    assert ranks.choose_blocks(stored, ["symbol"], "price", None) == 1
+    assert ranks.choose_blocks(stored, ["symbol"], "ts", None, block_rows=50) == 3
 
     def same(f):
         key = lambda r: str([x if not isinstance(x, float) else round(x, 9) for x in r])

@@ -1,8 +1,9 @@
 """p-value finishes for the drift tests.
 
-These run on one row per tested feature (a tiny frame): the heavy part -
-counting, ranking, ECDF differences - is done by Spark beforehand.  Only
-``math``/``numpy`` are used (no scipy in the runtime).
+The normal tail and Kolmogorov's limit distribution are Spark expressions, so
+the drift report is one plan without Python.  The exact distribution of the KS
+statistic (an explicit method) and the chi-square tail run on one row per
+feature; only ``math``/``numpy`` are used (no scipy in the runtime).
 """
 
 from __future__ import annotations
@@ -11,9 +12,39 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# Terms of the positive series of the error function, enough for any z that
+# is cut off at NORMAL_MAX (beyond it the tail is below 1e-16).
+ERF_TERMS, NORMAL_MAX = 160, 8.3
+
+
+def normal_pvalue(z: Column) -> Column:
+    """Two-sided tail of the standard normal distribution beyond ``z`` >= 0,
+    clipped to [0, 1]: 1 - erf(x), x = z / sqrt(2), with erf(x) = 2 / sqrt(pi)
+    exp(-x^2) sum 2^n x^(2n+1) / (2n+1)!!, whose terms are all positive."""
+    x = F.least(F.greatest(z, F.lit(0.0)), F.lit(NORMAL_MAX)) / F.lit(math.sqrt(2.0))
+    start = F.struct(x.alias("term"), x.alias("total"))
+    step = lambda a, n: F.struct((a["term"] * 2 * x * x / (2 * n + 1)).alias("term"),
+                                 (a["total"] + a["term"] * 2 * x * x / (2 * n + 1)).alias("total"))
+    erf = F.aggregate(F.sequence(F.lit(1), F.lit(ERF_TERMS)), start, step,
+                      lambda a: a["total"] * F.exp(-x * x) * F.lit(2.0 / math.sqrt(math.pi)))
+    return F.when(z >= NORMAL_MAX, F.lit(0.0)).when(z.isNotNull(), F.least(F.greatest(1.0 - erf, F.lit(0.0)), F.lit(1.0)))
+
+
+def kolmogorov_pvalue(d: Column, n1: Column, n2: Column) -> Column:
+    """Two-sided p of the two-sample KS statistic in Kolmogorov's limit: below
+    z = 1 by the theta-function dual of the alternating series."""
+    n1, n2 = n1.cast("double"), n2.cast("double")
+    z = d * F.sqrt(F.try_divide(n1 * n2, n1 + n2))
+    low = sum((F.exp(-F.pow(F.lit((2 * k - 1) * math.pi) / z, 2) / 8) for k in range(1, 6)), F.lit(0.0))
+    high = sum((F.lit((-1.0) ** (k - 1)) * F.exp(-2 * F.pow(k * z, 2)) for k in range(1, 8)), F.lit(0.0))
+    p = F.when(z <= 0, F.lit(1.0)).when(z < 1, 1.0 - F.lit(math.sqrt(2 * math.pi)) / z * low).otherwise(2 * high)
+    return F.when(z.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+
+
 # method="auto": observations per side up to which the exact distribution is
 # computed (the usual switch point of statistics packages).
 KS_EXACT_MAX_N = 10000
@@ -126,15 +157,13 @@ def _gammaincc(a: float, x: float) -> float:
     return math.exp(-x + a * math.log(x) - lg) * f
 
 
-@F.pandas_udf(DoubleType())
-def ks_pvalue_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([ks_2samp_pvalue(a, b, c) if pd.notna(a) else None
-                      for a, b, c in zip(d, n1, n2)], dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def normal_pvalue_udf(z: pd.Series) -> pd.Series:
-    return pd.Series([normal_two_sided(v) if pd.notna(v) else None for v in z], dtype="float64")
+def ks_pvalue_udf(method: str):
+    """Arrow UDF (statistic, n1, n2) -> p by :func:`ks_2samp_pvalue`."""
+    @F.pandas_udf(DoubleType())
+    def ks_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+        return pd.Series([ks_2samp_pvalue(a, b, c, method) if pd.notna(a) else None
+                          for a, b, c in zip(d, n1, n2)], dtype="float64")
+    return ks_pvalue
 
 
 @F.pandas_udf(DoubleType())

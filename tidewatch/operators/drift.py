@@ -2,8 +2,9 @@
 
 Input is one long frame ``(feature, side, value)`` with side ``ref``/``cur``
 (one shuffle by feature, not a loop over features).  The shared ECDF frame
-(:func:`ecdf_frame`) gives both the KS distance and the Mann-Whitney rank
-sums; only the p-value finishes run in Python, on one row per feature.
+(:func:`ecdf_frame`) gives the KS distance, the Mann-Whitney rank sums and the
+moments in one grouped pass; p-values are Spark expressions on one row per
+feature.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pvalues import chi2_pvalue_udf, ks_pvalue_udf, normal_pvalue_udf
+from ..functions.pvalues import chi2_pvalue_udf, kolmogorov_pvalue, ks_pvalue_udf, normal_pvalue
 from ..functions.scalar import pct_shift
 from .ranks import cumulative_counts
 
@@ -30,17 +31,15 @@ def ecdf_frame(long: DataFrame, group: str = "feature", value: str = "value",
     return cumulative_counts(long.select(group, side, value), [group], value, weights)
 
 
-def rank_tests(ecdf: DataFrame, group: str = "feature") -> DataFrame:
-    """KS distance and Mann-Whitney U1, tie term and z per feature."""
+def _rank_aggregates() -> list:
     t = F.col("r") + F.col("c")
-    before = F.col("r_cum") + F.col("c_cum") - t
-    midrank = before + (t + F.lit(1)) / F.lit(2.0)
+    midrank = F.col("r_cum") + F.col("c_cum") - t + (t + F.lit(1)) / F.lit(2.0)
     diff = F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
-    agg = ecdf.groupBy(group).agg(
-        F.max("r_total").alias("n_ref"), F.max("c_total").alias("n_cur"),
-        F.max(diff).alias("ks_statistic"),
-        F.sum(F.col("r") * midrank).alias("_r1"),
-        F.sum(t.cast("double") * t * t - t).alias("tie_term"))
+    return [F.max("r_total").alias("n_ref"), F.max("c_total").alias("n_cur"), F.max(diff).alias("ks_statistic"),
+            F.sum(F.col("r") * midrank).alias("_r1"), F.sum(t.cast("double") * t * t - t).alias("tie_term")]
+
+
+def _with_rank_statistics(agg: DataFrame) -> DataFrame:
     n1 = F.col("n_ref").cast("double")
     n2 = F.col("n_cur").cast("double")
     n = n1 + n2
@@ -52,6 +51,11 @@ def rank_tests(ecdf: DataFrame, group: str = "feature") -> DataFrame:
             .drop("_r1"))
 
 
+def rank_tests(ecdf: DataFrame, group: str = "feature") -> DataFrame:
+    """KS distance and Mann-Whitney U1, tie term and z per feature."""
+    return _with_rank_statistics(ecdf.groupBy(group).agg(*_rank_aggregates()))
+
+
 def moment_stats(long: DataFrame, group: str = "feature", value: str = "value",
                  side: str = "side") -> DataFrame:
     """Means, sample std, mean shift % and Cohen's d (pooled, n-1 weights)."""
@@ -62,45 +66,53 @@ def moment_stats(long: DataFrame, group: str = "feature", value: str = "value",
         F.avg(F.when(is_ref, v)).alias("ref_mean"), F.avg(F.when(is_cur, v)).alias("curr_mean"),
         F.stddev_samp(F.when(is_ref, v)).alias("ref_std"),
         F.stddev_samp(F.when(is_cur, v)).alias("curr_std"),
-        F.count(F.when(is_ref, v)).alias("_n1"), F.count(F.when(is_cur, v)).alias("_n2"))
-    n1, n2 = F.col("_n1"), F.col("_n2")
+        F.count(F.when(is_ref, v)).alias("n_ref"), F.count(F.when(is_cur, v)).alias("n_cur"))
+    return agg.select(group, *_effect_columns())
+
+
+def _effect_columns() -> list:
+    """Means, deviations, Cohen's d and mean shift from n_ref, n_cur, ref_mean ..."""
+    n1, n2 = F.col("n_ref"), F.col("n_cur")
     pooled = F.sqrt(F.try_divide((n1 - 1) * F.col("ref_std") ** 2 + (n2 - 1) * F.col("curr_std") ** 2,
                                  n1 + n2 - 2))
     d = F.when(pooled > 0, (F.col("curr_mean") - F.col("ref_mean")) / pooled).otherwise(F.lit(0.0))
-    return agg.select(group, "ref_mean", "curr_mean", "ref_std", "curr_std",
-                      d.alias("cohens_d"),
-                      pct_shift("curr_mean", "ref_mean").alias("mean_shift_pct"))
+    return [F.col("ref_mean"), F.col("curr_mean"), F.col("ref_std"), F.col("curr_std"), d.alias("cohens_d"),
+            pct_shift("curr_mean", "ref_mean").alias("mean_shift_pct")]
 
 
 def numeric_drift_stats(long: DataFrame, group: str = "feature",
-                        min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """Statistics (no p-values) for features with both samples > min."""
-    rt = rank_tests(ecdf_frame(long, group), group)
-    rt = rt.where((F.col("n_ref") > min_samples) & (F.col("n_cur") > min_samples))
-    return rt.join(moment_stats(long, group), group)
-
-
-def spread_rows(per_group: DataFrame, group: str) -> DataFrame:
-    """Materialize a one-row-per-group frame and spread it over
-    ``min(rows, defaultParallelism)`` partitions, so the Python p-value
-    finishes (exact KS is O(n1 * (n1 + n2)) per feature) run in parallel
-    instead of in the single partition AQE would coalesce the tiny frame
-    into (an explicit partition count is not coalesced)."""
-    from ..session import materialize
-    df = materialize(per_group)
-    n = df.count()
-    parts = max(1, min(n, df.sparkSession.sparkContext.defaultParallelism))
-    return df.repartition(parts, group)
+                        min_samples: int = MIN_SAMPLES, value: str = "value") -> DataFrame:
+    """Statistics (no p-values) for features with both samples > min, all from
+    one pass over the distinct values: moments are weighted by their counts,
+    about the middle of the range so that no digits cancel."""
+    ecdf = ecdf_frame(long, group, value)
+    x = F.col(value).cast("double") - F.col("_mid")
+    of = lambda side: [F.sum(F.col(side) * x).alias(f"_{side}_sum"), F.sum(F.col(side) * x * x).alias(f"_{side}_squares")]
+    mid = (long.where(F.col(value).isNotNull()).groupBy(group)
+           .agg(((F.min(value).cast("double") + F.max(value).cast("double")) / 2).alias("_mid")))
+    agg = (ecdf.join(mid, group).groupBy(group)
+           .agg(*_rank_aggregates(), F.first("_mid").alias("_mid"), *of("r"), *of("c")))
+    st = _with_rank_statistics(agg).where((F.col("n_ref") > min_samples) & (F.col("n_cur") > min_samples))
+    for side, n, name in (("r", "n_ref", "ref"), ("c", "n_cur", "curr")):
+        mean = F.col(f"_{side}_sum") / F.col(n)
+        left = F.greatest(F.col(f"_{side}_squares") - F.col(f"_{side}_sum") * mean, F.lit(0.0))
+        st = st.withColumn(f"{name}_mean", mean + F.col("_mid")).withColumn(
+            f"{name}_std", F.sqrt(left / (F.col(n) - 1)))
+    return st.select(group, "n_ref", "n_cur", "ks_statistic", "tie_term", "mw_statistic", "mw_z", *_effect_columns())
 
 
 def numeric_drift(long: DataFrame, group: str = "feature", alpha: float = ALPHA,
-                  min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """Per-feature drift report with KS and Mann-Whitney p-values and flag."""
-    st = spread_rows(numeric_drift_stats(long, group, min_samples), group)
-    st = st.withColumn("ks_pvalue", ks_pvalue_udf("ks_statistic", "n_ref", "n_cur")) \
-           .withColumn("mw_pvalue", normal_pvalue_udf("mw_z"))
-    return st.withColumn("drift_detected",
-                         (F.col("ks_pvalue") < alpha) | (F.col("mw_pvalue") < alpha))
+                  min_samples: int = MIN_SAMPLES, ks_method: str = "asymptotic") -> DataFrame:
+    """Per-feature drift report with KS and Mann-Whitney p-values and flag.
+
+    The KS p-value is that of Kolmogorov's limit at every size.  ``ks_method``
+    "exact" (O(n1 * (n1 + n2)) per feature, an Arrow UDF) or "auto" (exact up
+    to KS_EXACT_MAX_N rows a side) are there for small samples."""
+    st = numeric_drift_stats(long, group, min_samples)
+    ks = (kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")) if ks_method == "asymptotic"
+          else ks_pvalue_udf(ks_method)("ks_statistic", "n_ref", "n_cur"))
+    return (st.withColumn("ks_pvalue", ks).withColumn("mw_pvalue", normal_pvalue(F.col("mw_z")))
+            .withColumn("drift_detected", (F.col("ks_pvalue") < alpha) | (F.col("mw_pvalue") < alpha)))
 
 
 def category_alignment(labels: DataFrame, label: str, side: str = "side") -> DataFrame:

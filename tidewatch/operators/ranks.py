@@ -35,15 +35,20 @@ MIN_UNGROUPED_BLOCKS = 8
 QUANTILE_BUCKETS = 1024
 
 
-def choose_blocks(keyed: DataFrame, group_cols: list[str], n_blocks: int | None,
+def choose_blocks(df: DataFrame, group_cols: list[str], value_col: str, n_blocks: int | None,
                   block_rows: int | None = None) -> int:
-    """Blocks so that the largest group has about ``block_rows`` rows in each
-    (one count over the distinct values)."""
+    """Blocks so that the largest group has about ``block_rows`` distinct
+    values in each.  Rows are counted first (for a written table, from its
+    file footers); distinct values only if the rows exceed a block."""
     if n_blocks is not None:
         return n_blocks
     block_rows = block_rows or BLOCK_ROWS
+    least = 1 if group_cols else MIN_UNGROUPED_BLOCKS
+    if df.count() <= block_rows:
+        return least
+    keyed = df.select(*group_cols, value_col).distinct()
     largest = keyed.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-    return max(1 if group_cols else MIN_UNGROUPED_BLOCKS, -(-largest // block_rows))
+    return max(least, -(-largest // block_rows))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
@@ -74,7 +79,7 @@ def cumulative_counts(df: DataFrame, group_cols: list[str], value_col: str,
     keyed = src.groupBy(*group_cols, value_col).agg(
         *[F.sum(expr).cast("long").alias(name) for name, expr in weights.items()])
     names = list(weights)
-    n_blocks = choose_blocks(src.select(*group_cols, value_col).distinct(), group_cols, n_blocks)
+    n_blocks = choose_blocks(df, group_cols, value_col, n_blocks)
     if n_blocks <= 1 and group_cols:
         # one block: one window partition per group
         wr = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(

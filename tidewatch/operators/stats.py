@@ -267,7 +267,9 @@ def shape_and_range(df: DataFrame, ts: str, by: list[str] | None = None) -> Data
 
 def unique_counts(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """Distinct non-null values per column and a constant-column flag."""
+    # Unpivoted to one narrow row per value, distinct values are counted in
+    # two phases (per column and value, then per column); several distinct
+    # counts in one aggregate would copy every whole row once per column.
     fn = F.count_distinct if exact else F.approx_count_distinct
-    one = df.agg(*[fn(F.col(f"`{c}`")).alias(f"{c}__n_unique") for c in cols])
-    out = _unpivot_struct(one, cols, ["n_unique"])
+    out = long_values(df, cols).groupBy("column").agg(fn("value").alias("n_unique"))
     return out.withColumn("is_constant", F.col("n_unique") <= 1)

@@ -265,13 +265,15 @@ def i19_ref_cur_comparison(spark, sf):
 
 def i8_drift_report(spark, sf):
     return _numeric_drift(spark, sf).select(
-        "feature", "ks_statistic", "ks_pvalue", "mw_pvalue", "cohens_d", "drift_detected")
+        "feature", _r("ks_statistic", 10).alias("ks_statistic"), _r("ks_pvalue", 8).alias("ks_pvalue"),
+        _r("mw_pvalue", 8).alias("mw_pvalue"), _r("cohens_d", 8).alias("cohens_d"), "drift_detected")
 
 
 def i10_drift_summary(spark, sf):
     feats = _numeric_drift(spark, sf)
     tgt = _target_drift(spark, sf)
-    return D.drift_summary(feats, tgt)
+    s = D.drift_summary(feats, tgt)
+    return s.withColumns({c: _r(c, 8) for c in ("drift_percentage", "data_quality_score")})
 
 
 def i12_target_drift(spark, sf):
@@ -527,21 +529,27 @@ def _monitoring_parts(spark, sf):
     return wide_s, cols, feats, tgt, f"{syms[0]}_Price"
 
 
+# The market level that the suite holds to be sound.
+MARKET_RANGE = (100_000.0, 200_000.0)
+
+
 def i16_test_suite(spark, sf):
     from .monitoring import test_suite
     wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
-    return test_suite(wide_s, cols, feats, tgt, key, "Target_Price")
+    suite = test_suite(wide_s, cols, feats, tgt, key, "Target_Price", value_range=MARKET_RANGE)
+    return suite.withColumns({c: _r(c, 5) for c in ("observed", "threshold")})
 
 
 def i17_alerts(spark, sf):
     from .monitoring import alerts, test_suite
     wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
-    suite = test_suite(wide_s, cols, feats, tgt, key, "Target_Price")
+    suite = test_suite(wide_s, cols, feats, tgt, key, "Target_Price", value_range=MARKET_RANGE)
     return alerts(D.drift_summary(feats, tgt), D.dataset_drift(feats), suite)
 
 
 def i11_dataset_drift(spark, sf):
-    return D.dataset_drift(_numeric_drift(spark, sf))
+    d = D.dataset_drift(_numeric_drift(spark, sf))
+    return d.withColumn("share_drifted", _r("share_drifted", 8))
 
 
 # ---- models -------------------------------------------------------------------
@@ -574,14 +582,50 @@ def j18_model_sweep(spark, sf):
     return _sweep(spark, sf)
 
 
+def _candidates(spark, sf):
+    """Candidates of the deterministic forecasters (see ``runs``)."""
+    from ..session import cached
+    from .runs import market_candidates
+    return cached(spark, ("run_candidates", sf), lambda: market_candidates(I.market(spark, sf)))
+
+
+def _runs(spark, sf):
+    from .runs import HORIZONS, runs
+    return runs(_candidates(spark, sf), list(HORIZONS))
+
+
+_METRIC_COLUMNS = ("val_metric", "test_metric", "rmse", "mae", "r2")
+
+
+def j14_winner_selection(spark, sf):
+    """The winner of every version and task on the validation dates, with its
+    metrics on the test dates; FAILED where there is no candidate."""
+    return _runs(spark, sf).withColumns({c: _r(c, 5) for c in _METRIC_COLUMNS})
+
+
+def j15_candidate_metrics(spark, sf):
+    """Every candidate's metrics on the validation and the test dates."""
+    return _candidates(spark, sf).withColumns(
+        {c: _r(c, 5) for c in ("val_metric", "rmse", "mae", "r2", "accuracy", "macro_f1")})
+
+
 def j19_leaderboard(spark, sf):
+    """Successful runs ranked per task, with each winner's share of wins."""
     from .models import leaderboard
-    return leaderboard(_sweep(spark, sf))
+    board = leaderboard(_runs(spark, sf))
+    return board.select("best_model", "version", "task", F.col("rank").cast("long").alias("rank"), "wins",
+                        _r("win_share", 8).alias("win_share"), _r("test_metric", 5).alias("test_metric"))
+
+
+def j19_leaderboard_rollup(spark, sf):
+    """Runs by version and task with subtotals (grouping sets)."""
+    from .runs import summary
+    return summary(_runs(spark, sf)).withColumns({c: _r(c, 5) for c in ("best_accuracy", "best_r2")})
 
 
 def e20_experiment_stats(spark, sf):
     from .models import experiment_stats
-    return experiment_stats(_sweep(spark, sf))
+    return experiment_stats(_runs(spark, sf)).withColumn("max_test_metric", _r("max_test_metric", 5))
 
 
 def j17_feature_importance(spark, sf):
@@ -606,6 +650,9 @@ def more_catalog() -> dict[str, Query]:
         "i16_test_suite": i16_test_suite,
         "i17_alerts": i17_alerts,
         "j18_model_sweep": j18_model_sweep,
+        "j14_winner_selection": j14_winner_selection,
+        "j15_candidate_metrics": j15_candidate_metrics,
+        "j19_leaderboard_rollup": j19_leaderboard_rollup,
         "j19_leaderboard": j19_leaderboard,
         "e20_experiment_stats": e20_experiment_stats,
         "j17_feature_importance": j17_feature_importance,
@@ -662,7 +709,7 @@ def i21_monitoring_run(spark, sf):
     from ..sources.files import write_results
     from .monitoring import alerts, stamp, suite_summary, test_suite
     wide_s, cols, feats, tgt, key = _monitoring_parts(spark, sf)
-    suite = materialize(test_suite(wide_s, cols, feats, tgt, key, "Target_Price"))
+    suite = materialize(test_suite(wide_s, cols, feats, tgt, key, "Target_Price", value_range=MARKET_RANGE))
     summary = materialize(D.drift_summary(feats, tgt))
     al = alerts(summary, D.dataset_drift(feats), suite)
     root = scratch_path(spark, "monitoring")
@@ -670,7 +717,7 @@ def i21_monitoring_run(spark, sf):
         write_results(stamp(df), f"{root}/{name}")
     ss = suite_summary(suite)
     n_alerts = spark.read.json(f"{root}/alerts").count()
-    return summary.select("features_tested", "features_with_drift", "drift_percentage",
+    return summary.select("features_tested", "features_with_drift", _r("drift_percentage", 8).alias("drift_percentage"),
                           "overall_drift_detected",
                           ss.select("passed").scalar().alias("tests_passed"),
                           ss.select("total").scalar().alias("tests_total"),
@@ -738,9 +785,11 @@ def h4_cross_ratios(spark, sf):
 
 
 def g3_best_of_version(spark, sf):
-    from .models import best_per_version
-    res = _sweep(spark, sf)
-    return best_per_version(res, "classification").unionByName(best_per_version(res, "regression"))
+    """Best candidate of each version by RMSE, MAE and R2, ranked alike."""
+    from .runs import best_of_version
+    best = best_of_version(_candidates(spark, sf))
+    return best.select("version", "model", F.col("rank").cast("long").alias("rank"),
+                       *[_r(c, 5).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 def j13_budgeted_search(spark, sf, budget_sec: float = 30.0):
@@ -813,7 +862,8 @@ def _documents_path(spark, sf):
     from ..session import scratch_path
     from ..sources.files import write_results
     from .models import result_documents
-    docs = result_documents(*_sweep_parts(spark, sf))
+    docs = result_documents(_runs(spark, sf), _candidates(spark, sf).select(
+        "version", "task", "position", "model", "val_metric", "status"))
     path = scratch_path(spark, "run_documents")
     write_results(docs, path, mode="overwrite")
     return path, docs.schema
@@ -831,7 +881,8 @@ def h6_flatten_candidates(spark, sf):
     """Nested run documents flattened to one row per candidate."""
     from .models import flatten_candidates
     path, schema = _documents_path(spark, sf)
-    return flatten_candidates(spark.read.schema(schema).json(path))
+    flat = flatten_candidates(spark.read.schema(schema).json(path))
+    return flat.withColumn("val_metric", _r("val_metric", 5))
 
 
 def document_catalog() -> dict[str, Query]:

@@ -233,7 +233,7 @@ def result_documents(results: DataFrame, trials: DataFrame) -> DataFrame:
     """One nested document per run: the run's fields plus
     ``candidates: array<struct>`` in candidate order.  A run has a handful
     of candidates, so each collected group is bounded."""
-    cand = F.struct("position", "model", "val_metric", "duration_sec", "status")
+    cand = F.struct("position", *[c for c in ("model", "val_metric", "duration_sec", "status") if c in trials.columns])
     docs = trials.groupBy("version", "task").agg(
         F.array_sort(F.collect_list(cand)).alias("candidates"))
     return results.join(docs, ["version", "task"], "left")

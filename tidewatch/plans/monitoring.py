@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 from ..operators import drift as D
+from ..operators import stats as S
 from ..operators.features import LABEL_COL
 
 # Documented defaults (the reference delegates these to a library).
@@ -24,6 +25,8 @@ N_SIGMA = 2.0
 DATASET_DRIFT_SHARE = 0.5
 HIGH_DRIFT_PCT = 20.0
 EXPECTED_LABELS = 3
+# Fixed values of the range check: the target's lowest and highest sound value.
+VALUE_RANGE = (5.0, 80.0)
 
 
 def _side_profile(wide: DataFrame, cols: list[str]) -> DataFrame:
@@ -32,35 +35,34 @@ def _side_profile(wide: DataFrame, cols: list[str]) -> DataFrame:
     any_null = F.lit(False)
     for c in cols:
         any_null = any_null | F.col(f"`{c}`").isNull()
-    agg = wide.groupBy("side").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(any_null).alias("rows_with_missing"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m__{c}") for c in cols],
-        *[F.count_distinct(F.col(f"`{c}`")).alias(f"u__{c}") for c in cols])
-    cols_missing = sum(F.when(F.col(f"`m__{c}`") > 0, 1).otherwise(0) for c in cols)
-    constant = sum(F.when(F.col(f"`u__{c}`") <= 1, 1).otherwise(0) for c in cols)
-    cells = sum(F.col(f"`m__{c}`") for c in cols)
-    return agg.select("side", "rows", "rows_with_missing",
-                      cols_missing.alias("columns_with_missing"), constant.alias("constant_columns"),
-                      (cells / (F.col("rows") * F.lit(len(cols)))).alias("missing_share"))
+    rows = wide.groupBy("side").agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("rows_with_missing"))
+    # Unpivoted, so that distinct values are counted in two phases.
+    per_column = S.long_values(wide, cols, ["side"]).groupBy("side", "column").agg(
+        F.count_if(F.col("value").isNull()).alias("missing"), F.count_distinct("value").alias("n_unique"))
+    totals = per_column.groupBy("side").agg(
+        F.count_if(F.col("missing") > 0).alias("columns_with_missing"),
+        F.count_if(F.col("n_unique") <= 1).alias("constant_columns"), F.sum("missing").alias("cells"))
+    return rows.join(totals, "side").select(
+        "side", "rows", "rows_with_missing", "columns_with_missing", "constant_columns",
+        (F.col("cells") / (F.col("rows") * F.lit(len(cols)))).alias("missing_share"))
 
 
 def test_suite(wide: DataFrame, cols: list[str], feature_drift: DataFrame,
                target_drift: DataFrame, key_feature: str, target_col: str,
-               label_col: str = LABEL_COL) -> DataFrame:
+               label_col: str = LABEL_COL, value_range: tuple[float, float] = VALUE_RANGE) -> DataFrame:
     """Rows ``(check, observed, threshold, passed)``.
 
     Dataset checks compare the current side with the reference side (not
-    worse); drift checks use the per-feature flags; mean-in-sigma and value
-    range use the reference statistics of the key feature / target."""
+    worse); drift checks use the per-feature flags; mean-in-sigma uses the
+    reference statistics of the key feature; the current side's target must
+    lie in ``value_range`` (left, right; both ends count)."""
     # two rows (ref, cur); eight scalar subqueries read it, so write it once
     prof = materialize(_side_profile(wide, cols))
     r = prof.where(F.col("side") == "ref").select(*[F.col(c).alias(f"r_{c}") for c in prof.columns])
     c = prof.where(F.col("side") == "cur").select(*[F.col(x).alias(f"c_{x}") for x in prof.columns])
     ref = wide.where(F.col("side") == "ref")
     cur = wide.where(F.col("side") == "cur")
-    kstats = ref.agg(F.avg(key_feature).alias("mu"), F.stddev_samp(key_feature).alias("sd"),
-                     F.min(target_col).alias("lo"), F.max(target_col).alias("hi"))
+    kstats = ref.agg(F.avg(key_feature).alias("mu"), F.stddev_samp(key_feature).alias("sd"))
     cstats = cur.agg(F.avg(key_feature).alias("cmu"), F.min(target_col).alias("clo"),
                      F.max(target_col).alias("chi"),
                      F.count_distinct(label_col).alias("n_labels"))
@@ -81,7 +83,7 @@ def test_suite(wide: DataFrame, cols: list[str], feature_drift: DataFrame,
         s(dd, "n_drifted").alias("n_drifted"), s(dd, "n_columns").alias("n_columns"),
         s(flag, "key_drift").alias("key_drift"), s(flag, "target_drift_f").alias("tdrift"),
         s(td, "label_drift").alias("ldrift"),
-        "mu", "sd", "lo", "hi",
+        "mu", "sd",
         s(cstats, "cmu").alias("cmu"), s(cstats, "clo").alias("clo"), s(cstats, "chi").alias("chi"),
         s(cstats, "n_labels").alias("n_labels"))
     d = lambda x: F.col(x).cast("double")
@@ -100,8 +102,8 @@ def test_suite(wide: DataFrame, cols: list[str], feature_drift: DataFrame,
          ~F.coalesce(F.col("ldrift"), F.lit(False))),
         (f"mean_in_{N_SIGMA:g}_sigmas:{key_feature}", d("cmu"), F.col("sd") * N_SIGMA,
          F.abs(F.col("cmu") - F.col("mu")) <= F.col("sd") * N_SIGMA),
-        (f"value_range:{target_col}", d("clo"), d("lo"),
-         (F.col("clo") >= F.col("lo")) & (F.col("chi") <= F.col("hi"))),
+        (f"value_range:{target_col}", d("clo"), F.lit(float(value_range[0])),
+         (F.col("clo") >= value_range[0]) & (F.col("chi") <= value_range[1])),
         (f"unique_values:{label_col}", d("n_labels"), F.lit(float(EXPECTED_LABELS)),
          F.col("n_labels") == EXPECTED_LABELS),
     ]

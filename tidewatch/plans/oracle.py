@@ -183,6 +183,172 @@ def _labels_sides() -> str:
   FROM market m JOIN sides s ON m.ts = s.ts CROSS JOIN th)"""
 
 
+# Two-sided normal tail of z by the positive series of the error function,
+# Kolmogorov's limit by either of its two series, as the library documents.
+TAILS = """zs AS (
+  SELECT rt.*, CASE WHEN pooled > 0 THEN (cm - rm) / pooled ELSE 0.0 END AS cohens_d,
+         (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5) / NULLIF(sg, 0) AS z,
+         ks * sqrt(n1 * n2 / (n1 + n2)) AS zk
+  FROM rt JOIN mom2 ON rt.feature = mom2.feature),
+xs AS (SELECT *, least(greatest(z, 0.0), 8.3) / sqrt(2.0) AS x FROM zs),
+erfs AS (
+  SELECT feature, 2 / sqrt(pi()) * exp(-max(x) * max(x)) * sum(exp(
+           n * ln(2.0) + (2 * n + 1) * ln(x) - (lgamma(2 * n + 2) - n * ln(2.0) - lgamma(n + 1)))) AS erf
+  FROM xs CROSS JOIN range(0, 161) t(n) WHERE x > 0 GROUP BY feature),
+drift AS (
+  SELECT xs.feature, ks, cohens_d,
+         CASE WHEN z >= 8.3 THEN 0.0 ELSE least(greatest(1.0 - coalesce(erf, 0.0), 0.0), 1.0) END AS mw_p,
+         least(greatest(CASE WHEN zk <= 0 THEN 1.0 WHEN zk < 1 THEN 1.0 - sqrt(2 * pi()) / zk * (""" + " + ".join(
+    f"exp(-power({2 * k - 1} * pi() / zk, 2) / 8)" for k in range(1, 6)) + """)
+           ELSE 2 * (""" + " + ".join(f"({(-1) ** (k - 1)}) * exp(-2 * power({k} * zk, 2))" for k in range(1, 8)) + """) END,
+           0.0), 1.0) AS ks_p
+  FROM xs LEFT JOIN erfs ON xs.feature = erfs.feature),
+flags AS (SELECT *, ks_p < 0.05 OR mw_p < 0.05 AS drifted FROM drift),
+al AS (SELECT lab AS category, count(*) FILTER (WHERE side = 'ref') AS rc,
+              count(*) FILTER (WHERE side = 'cur') AS cc FROM labs WHERE lab IS NOT NULL GROUP BY lab),
+tot AS (SELECT sum(rc) AS R, sum(cc) AS C, count(*) AS k FROM al),
+cells AS (SELECT rc AS o, R * (rc + cc) / CAST(R + C AS DOUBLE) AS e, k FROM al CROSS JOIN tot
+          UNION ALL SELECT cc, C * (rc + cc) / CAST(R + C AS DOUBLE), k FROM al CROSS JOIN tot),
+-- three labels: two degrees of freedom, whose tail is exp(-x / 2)
+target AS (SELECT CASE WHEN max(k) = 3 THEN exp(-sum(power(o - e, 2) / e) / 2) END < 0.05 AS drifted FROM cells),
+summary AS (
+  SELECT count(*) AS tested, count(*) FILTER (WHERE drifted) AS found, (SELECT drifted FROM target) AS on_target
+  FROM flags)"""
+
+_CHECKED = WIDE_COLS + ["Target_Price"]
+SUITE = """mw AS (
+  SELECT w.*, m.Target_Price, s.side, """ + label_sql("m.Target_Price") + """ AS lab
+  FROM wide w JOIN market m ON w.ts = m.ts JOIN sides s ON w.ts = s.ts CROSS JOIN th),
+prof AS (
+  SELECT side, count(*) FILTER (WHERE """ + " OR ".join(f'"{c}" IS NULL' for c in _CHECKED) + """) AS rows_missing,
+         """ + " + ".join(f'CASE WHEN count("{c}") < count(*) THEN 1 ELSE 0 END' for c in _CHECKED) + """ AS cols_missing,
+         """ + " + ".join(f'CASE WHEN count(DISTINCT "{c}") <= 1 THEN 1 ELSE 0 END' for c in _CHECKED) + """ AS constant,
+         (""" + " + ".join(f'count(*) - count("{c}")' for c in _CHECKED) + f""") / CAST(count(*) * {len(_CHECKED)} AS DOUBLE) AS share,
+         avg("{SYMBOLS[0]}_Price") AS mean, stddev_samp("{SYMBOLS[0]}_Price") AS sd, min(Target_Price) AS low,
+         max(Target_Price) AS high, count(DISTINCT lab) AS n_labels
+  FROM mw GROUP BY side),
+r AS (SELECT * FROM prof WHERE side = 'ref'), c AS (SELECT * FROM prof WHERE side = 'cur'),
+suite("check", observed, threshold, passed) AS (
+  SELECT 'columns_with_missing_values', CAST(c.cols_missing AS DOUBLE), CAST(r.cols_missing AS DOUBLE),
+         c.cols_missing <= r.cols_missing FROM r, c
+  UNION ALL SELECT 'rows_with_missing_values', c.rows_missing, r.rows_missing, c.rows_missing <= r.rows_missing FROM r, c
+  UNION ALL SELECT 'constant_columns', c.constant, r.constant, c.constant <= r.constant FROM r, c
+  UNION ALL SELECT 'drifted_columns', found, tested * 0.5, found < tested * 0.5 FROM summary
+  UNION ALL SELECT 'share_of_missing_values', c.share, r.share, c.share <= r.share FROM r, c
+  UNION ALL SELECT 'column_drift:' || f, NULL, NULL, NOT coalesce((SELECT drifted FROM flags WHERE feature = f), false)
+            FROM (VALUES ('""" + SYMBOLS[0] + """_Price'), ('Target_Price')) v(f)
+  UNION ALL SELECT 'column_drift:Market_Sentiment', NULL, NULL, NOT on_target FROM summary
+  UNION ALL SELECT 'mean_in_2_sigmas:""" + SYMBOLS[0] + """_Price', c.mean, 2 * r.sd, abs(c.mean - r.mean) <= 2 * r.sd FROM r, c
+  UNION ALL SELECT 'value_range:Target_Price', c.low, 100000, c.low >= 100000 AND c.high <= 200000 FROM c
+  UNION ALL SELECT 'unique_values:Market_Sentiment', c.n_labels, 3, c.n_labels = 3 FROM c),
+alerts(alert, severity) AS (
+  SELECT 'data drift detected', 'critical' FROM summary WHERE found > 0 OR on_target
+  UNION ALL SELECT 'target distribution drift detected', 'critical' FROM summary WHERE on_target
+  UNION ALL SELECT printf('high drift percentage: %.1f%%', found * 100.0 / tested), 'warning' FROM summary
+            WHERE found * 100.0 / tested > 20
+  UNION ALL SELECT 'dataset drift detected', 'critical' FROM summary WHERE found / CAST(tested AS DOUBLE) >= 0.5
+  UNION ALL SELECT printf('%d tests failed', count(*)), 'warning' FROM suite WHERE NOT passed HAVING count(*) > 0)"""
+
+
+def _drift_reports() -> dict[str, str]:
+    base = _with(PANEL, MARKET, TH, SIDES, LONG, RANKS, _labels_sides(), TAILS)
+    suite = base.rstrip() + ",\n" + WIDE + ",\n" + SUITE + "\n"
+    return {
+        "i8_drift_report": base + "SELECT feature, round(ks + {OFF10}, 10) AS ks_statistic, round(ks_p + {OFF8}, 8) AS ks_pvalue, "
+        "round(mw_p + {OFF8}, 8) AS mw_pvalue, round(cohens_d + {OFF8}, 8) AS cohens_d, drifted AS drift_detected FROM flags",
+        "i10_drift_summary": base + "SELECT tested AS features_tested, found AS features_with_drift, "
+        "round(found * 100.0 / tested + {OFF8}, 8) AS drift_percentage, "
+        "round(100.0 - found / CAST(greatest(tested, 1) AS DOUBLE) * 100.0 + {OFF8}, 8) AS data_quality_score, "
+        "on_target AS target_drift_detected, found > 0 OR on_target AS overall_drift_detected FROM summary",
+        "i11_dataset_drift": base + "SELECT tested AS n_columns, found AS n_drifted, "
+        "round(found / CAST(tested AS DOUBLE) + {OFF8}, 8) AS share_drifted, found / CAST(tested AS DOUBLE) >= 0.5 AS dataset_drift "
+        "FROM summary",
+        "i16_test_suite": suite + 'SELECT "check", round(observed + {OFF5}, 5) AS observed, round(threshold + {OFF5}, 5) AS threshold, '
+        "passed FROM suite",
+        "i17_alerts": suite + "SELECT alert, severity FROM alerts",
+        "i21_monitoring_run": suite + "SELECT tested AS features_tested, found AS features_with_drift, "
+        "round(found * 100.0 / tested + {OFF8}, 8) AS drift_percentage, found > 0 OR on_target AS overall_drift_detected, "
+        "(SELECT count(*) FROM suite WHERE passed) AS tests_passed, (SELECT count(*) FROM suite) AS tests_total, "
+        "(SELECT count(*) FROM alerts) AS alerts FROM summary",
+    }
+
+
+RUNS = """mk AS (
+  SELECT ts, Target_Price AS y, row_number() OVER (ORDER BY ts) AS rk, count(*) OVER () AS nd,
+         avg(Target_Price) OVER (ORDER BY ts ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7,
+         avg(Target_Price) OVER (ORDER BY ts ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS ma30 FROM market),
+cut AS (SELECT floor(max(nd) * 0.8) AS t, floor(floor(max(nd) * 0.8) * 0.7) AS v FROM mk),
+hz(version, h) AS (VALUES ('v1', 1), ('v2', 7), ('v3', 30), ('v4', 1000000)),
+seen AS (
+  SELECT rk + h AS rk, version, u.model, u.predicted
+  FROM mk CROSS JOIN hz CROSS JOIN LATERAL (VALUES ('persistence', y), ('ma7', ma7), ('ma30', ma30)) u(model, predicted)),
+fo AS (
+  SELECT s.version, s.model, CASE WHEN m.rk > t THEN 'test' ELSE 'val' END AS split, m.y AS actual, s.predicted,
+         """ + label_sql("m.y") + " AS label, " + label_sql("s.predicted") + """ AS guess
+  FROM mk m JOIN seen s ON s.rk = m.rk CROSS JOIN cut CROSS JOIN th WHERE m.rk > cut.v),
+ba AS (
+  SELECT version, model, count(*) FILTER (WHERE split = 'val') AS n_val, count(*) FILTER (WHERE split = 'test') AS n_test,
+         sqrt(avg(power(predicted - actual, 2)) FILTER (WHERE split = 'val')) AS val_rmse,
+         avg(CASE WHEN label = guess THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'val') AS val_accuracy,
+         sqrt(avg(power(predicted - actual, 2)) FILTER (WHERE split = 'test')) AS rmse,
+         avg(abs(predicted - actual)) FILTER (WHERE split = 'test') AS mae,
+         1.0 - sum(power(predicted - actual, 2)) FILTER (WHERE split = 'test')
+           / (var_pop(actual) FILTER (WHERE split = 'test') * count(*) FILTER (WHERE split = 'test')) AS r2,
+         avg(CASE WHEN label = guess THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'test') AS accuracy
+  FROM fo GROUP BY 1, 2),
+pl AS (
+  SELECT version, model, l, sum(tr) AS tr, sum(sa) AS sa, sum(hit) AS hits FROM (
+    SELECT version, model, label AS l, 1 AS tr, 0 AS sa, CASE WHEN label = guess THEN 1 ELSE 0 END AS hit FROM fo WHERE split = 'test'
+    UNION ALL SELECT version, model, guess, 0, 1, 0 FROM fo WHERE split = 'test') x GROUP BY 1, 2, 3),
+f1 AS (SELECT version, model, avg(2.0 * hits / (tr + sa)) AS macro_f1 FROM pl GROUP BY 1, 2),
+cand AS (
+  SELECT ba.version, task, CASE ba.model WHEN 'persistence' THEN 1 WHEN 'ma7' THEN 2 ELSE 3 END AS position, ba.model,
+         CASE WHEN task = 'regression' THEN val_rmse ELSE val_accuracy END AS val_metric, rmse, mae, r2, accuracy, macro_f1,
+         n_val, n_test
+  FROM ba JOIN f1 ON f1.version = ba.version AND f1.model = ba.model
+  CROSS JOIN (VALUES ('classification'), ('regression')) t(task)),
+win AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY version, task ORDER BY
+           CASE WHEN task = 'regression' THEN val_metric ELSE -val_metric END, position) AS nth FROM cand) x WHERE nth = 1),
+runs AS (
+  SELECT hz.version, t.task, coalesce(model, 'FAILED') AS best_model, val_metric,
+         CASE WHEN t.task = 'regression' THEN r2 ELSE accuracy END AS test_metric,
+         CASE WHEN t.task = 'regression' THEN 'r2' ELSE 'accuracy' END AS metric_name, rmse, mae, r2,
+         CASE WHEN model IS NULL THEN 'FAILED' ELSE 'ok' END AS status
+  FROM hz CROSS JOIN (VALUES ('classification'), ('regression')) t(task)
+  LEFT JOIN win ON win.version = hz.version AND win.task = t.task)"""
+
+
+def _run_reports() -> dict[str, str]:
+    base = _with(PANEL, MARKET, TH, RUNS)
+    r5 = lambda *cols: ", ".join(f"round({c} + {{OFF5}}, 5) AS {c}" for c in cols)
+    return {
+        "j14_winner_selection": base + "SELECT version, task, best_model, metric_name, status, false AS automl_available, "
+        + r5("val_metric", "test_metric", "rmse", "mae", "r2") + " FROM runs",
+        "j15_candidate_metrics": base + "SELECT version, task, CAST(position AS BIGINT) AS position, model, n_val, n_test, 'ok' AS status, "
+        + r5("val_metric", "rmse", "mae", "r2", "accuracy", "macro_f1") + " FROM cand",
+        "j19_leaderboard": base + "SELECT best_model, version, task, row_number() OVER (PARTITION BY task ORDER BY test_metric DESC, "
+        "version) AS rank, count(*) OVER (PARTITION BY best_model) AS wins, round(count(*) OVER (PARTITION BY best_model) "
+        "/ CAST(count(*) OVER () AS DOUBLE) + {OFF8}, 8) AS win_share, " + r5("test_metric") + " FROM runs WHERE best_model <> 'FAILED'",
+        "j19_leaderboard_rollup": base + "SELECT version, task, grouping(version) * 2 + grouping(task) AS level, count(*) AS runs, "
+        "count(*) FILTER (WHERE best_model <> 'FAILED') AS successful, "
+        "round(max(test_metric) FILTER (WHERE metric_name = 'accuracy') + {OFF5}, 5) AS best_accuracy, "
+        "round(max(test_metric) FILTER (WHERE metric_name = 'r2') + {OFF5}, 5) AS best_r2 FROM runs GROUP BY ROLLUP (version, task)",
+        "e20_experiment_stats": base + "SELECT count(*) FILTER (WHERE best_model <> 'FAILED') AS successful, "
+        "count(DISTINCT version) AS versions, count(DISTINCT task) AS tasks, false AS automl_available, "
+        "round(max(test_metric) + {OFF5}, 5) AS max_test_metric FROM runs",
+        "g3_best_of_version": base + ", b AS (SELECT *, row_number() OVER (PARTITION BY version ORDER BY rmse, mae, r2 DESC, model) "
+        "AS own FROM cand WHERE task = 'regression') SELECT version, model, row_number() OVER (ORDER BY rmse, mae, r2 DESC, model) "
+        "AS rank, " + r5("rmse", "mae", "r2") + " FROM b WHERE own = 1",
+        "a14_result_documents": base + "SELECT r.version, r.task, r.best_model, r.status, CASE WHEN count(c.model) > 0 THEN "
+        "CAST(count(c.model) AS INTEGER) END AS n_candidates FROM runs r LEFT JOIN cand c ON c.version = r.version AND c.task = r.task "
+        "GROUP BY 1, 2, 3, 4",
+        "h6_flatten_candidates": base + "SELECT r.version, r.task, CAST(c.position AS BIGINT) AS position, c.model, "
+        "round(c.val_metric + {OFF5}, 5) AS val_metric, CASE WHEN c.model IS NOT NULL THEN 'ok' END AS status, "
+        "coalesce(c.model = r.best_model, false) AS is_best FROM runs r LEFT JOIN cand c ON c.version = r.version AND c.task = r.task",
+    }
+
+
 def oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     q["i1_sentiment_counts"] = _with(
@@ -483,6 +649,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY rmse, mae, r2 DE
              AS rk FROM m)
 SELECT symbol, forecaster, n, round(mae + {OFF5}, 5) AS mae, round(rmse + {OFF5}, 5) AS rmse,
        round(r2 + {OFF8}, 8) AS r2, rk AS rank FROM r"""
+    q.update(_drift_reports())
+    q.update(_run_reports())
     for k, v in q.items():
         q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q
