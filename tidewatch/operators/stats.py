@@ -86,14 +86,9 @@ def mean_std(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation for every pair i<=j, clipped to
-    [-1, 1]; one aggregate job."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
-                   .alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    parts = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                      clip(F.col(f"c{i}"), -1.0, 1.0).alias("corr"))
-             for i, (a, b) in enumerate(pairs)]
-    return one.select(F.explode(F.array(*parts)).alias("_r")).select("_r.*")
+    [-1, 1], from blocked Gram matrices."""
+    from .gram import correlations
+    return correlations(df, cols)
 
 
 # ---- E5/E6 value counts and shares ---------------------------------------

@@ -582,6 +582,42 @@ def j18_model_sweep(spark, sf):
     return _sweep(spark, sf)
 
 
+_VERSIONS = ("v1", "v2", "v3")
+
+
+def j5_train_val_split(spark, sf):
+    """Rows and dates of the chronological 70/30 split of each version, over
+    complete rows of the first 80 % of dates."""
+    from .regression import train_val
+    out = None
+    for v in _VERSIONS:
+        part = train_val(I.model_features(spark, sf, v)).groupBy("part").agg(
+            F.lit(v).alias("version"), F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def j2_scaled_features(spark, sf):
+    """v1 features divided by the population deviation of the training part,
+    without centring."""
+    from .regression import PopulationScaler, scaled_names, train_val
+    fs = I.model_features(spark, sf, "v1")
+    rows = materialize(train_val(fs))
+    scaler = PopulationScaler(inputCols=fs.features, outputCols=scaled_names(fs.features))
+    scaled = scaler.fit(rows.where("part = 'train'")).transform(rows)
+    return scaled.select("ts", "part", *[_r(f"{c}__scaled", 6).alias(c) for c in fs.features])
+
+
+def j7_regression_candidates(spark, sf):
+    """Ridge, a forest of 400 trees and 500 rounds of boosting on the 70/30
+    split of v1, with RMSE, MAE, R2 and the metrics of the label that one pair
+    of thresholds gives to both sides."""
+    from .regression import fit_candidates
+    fs = I.model_features(spark, sf, "v1")
+    mu, sigma = threshold_stats(fs.df, TARGET_VALUE)
+    return fit_candidates(fs, mu, sigma)[0].drop("seconds")
+
+
 def _candidates(spark, sf):
     """Candidates of the deterministic forecasters (see ``runs``)."""
     from ..session import cached
@@ -650,6 +686,9 @@ def more_catalog() -> dict[str, Query]:
         "i16_test_suite": i16_test_suite,
         "i17_alerts": i17_alerts,
         "j18_model_sweep": j18_model_sweep,
+        "j2_scaled_features": j2_scaled_features,
+        "j5_train_val_split": j5_train_val_split,
+        "j7_regression_candidates": j7_regression_candidates,
         "j14_winner_selection": j14_winner_selection,
         "j15_candidate_metrics": j15_candidate_metrics,
         "j19_leaderboard_rollup": j19_leaderboard_rollup,

@@ -46,6 +46,22 @@ def feature_set(spark: SparkSession, sf: str, version: str):
     return FeatureSet(version=version, df=df, features=feats)
 
 
+def model_features(spark: SparkSession, sf: str, version: str):
+    """Feature sets that models are trained on: weekly, since few days have an
+    observation of every series, and models take complete rows only."""
+    from ..operators.features import FeatureSet, build_feature_set
+    names = {}
+
+    def build():
+        weekly = cached(spark, ("weekly_panel", sf), lambda: daily_panel(spark, sf, "week"))
+        fs = build_feature_set(weekly, version)
+        names[version] = fs.features
+        return fs.df
+    df = cached(spark, ("model_features", sf, version), build)
+    features = names.get(version) or [c for c in df.columns if c not in ("ts", "Target_Value", "Market_Sentiment")]
+    return FeatureSet(version=version, df=df, features=features)
+
+
 def dense_panel(spark: SparkSession, sf: str) -> DataFrame:
     p = panel(spark, sf)
     return densify(p, list_symbols(p))

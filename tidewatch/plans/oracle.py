@@ -94,7 +94,7 @@ def _off(n: int) -> str:
     return f"CAST('{1.2345678912 * 10 ** -(n + 3)!r}' AS DOUBLE)"
 
 
-OFF3, OFF5, OFF8, OFF10 = _off(3), _off(5), _off(8), _off(10)
+OFF3, OFF5, OFF6, OFF8, OFF10 = _off(3), _off(5), _off(6), _off(8), _off(10)
 
 
 def label_sql(v: str, mu: str = "mu", sigma: str = "sigma") -> str:
@@ -319,6 +319,29 @@ runs AS (
   LEFT JOIN win ON win.version = hz.version AND win.task = t.task)"""
 
 
+WEEKLY = PANEL.replace("CAST(o.o_orderdate AS DATE)", "CAST(date_trunc('week', o.o_orderdate) AS DATE)")
+
+
+def _split_cte(version: str) -> tuple[str, list[str]]:
+    """CTE ``tv``: complete weekly rows of the first 80 % of dates, split 70/30."""
+    cte, feats = _feature_cte(version)
+    complete = " AND ".join(f'"{c}" IS NOT NULL' for c in [*feats, "Target_Value"])
+    return _with(WEEKLY, MARKET, TH, cte,
+                 "early AS (SELECT * FROM (SELECT fs.*, row_number() OVER (ORDER BY ts) AS rk, count(*) OVER () AS nd FROM fs) x "
+                 "WHERE rk <= floor(nd * 0.8))",
+                 "tv AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY ts) <= floor(count(*) OVER () * 0.7) THEN 'train' "
+                 f"ELSE 'val' END AS part FROM early WHERE {complete})"), feats
+
+
+def _split_reports() -> dict[str, str]:
+    counts = [f"SELECT * FROM ({_split_cte(v)[0]} SELECT part, '{v}' AS version, count(*) AS n, min(ts) AS first, "
+              f"max(ts) AS last FROM tv GROUP BY part) x_{v}" for v in ("v1", "v2", "v3")]
+    base, feats = _split_cte("v1")
+    scaled = ", ".join(f'round("{c}" / coalesce(nullif((SELECT stddev_pop("{c}") FROM tv WHERE part = \'train\'), 0), 1) '
+                       f'+ {{OFF6}}, 6) AS "{c}"' for c in feats)
+    return {"j5_train_val_split": " UNION ALL ".join(counts), "j2_scaled_features": base + f"SELECT ts, part, {scaled} FROM tv"}
+
+
 def _run_reports() -> dict[str, str]:
     base = _with(PANEL, MARKET, TH, RUNS)
     r5 = lambda *cols: ", ".join(f"round({c} + {{OFF5}}, 5) AS {c}" for c in cols)
@@ -651,6 +674,7 @@ SELECT symbol, forecaster, n, round(mae + {OFF5}, 5) AS mae, round(rmse + {OFF5}
        round(r2 + {OFF8}, 8) AS r2, rk AS rank FROM r"""
     q.update(_drift_reports())
     q.update(_run_reports())
+    q.update(_split_reports())
     for k, v in q.items():
-        q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
+        q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF6}", OFF6).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q

@@ -34,8 +34,9 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)
 
 
-def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily long panel from orders joined to customer.
+def daily_panel(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
+    """Daily (or, with ``grain`` week, weekly from Monday) long panel from
+    orders joined to customer.
 
     symbol = market segment, ts = order day, price = mean order value,
     volume = number of orders, volatility = sample std of order values
@@ -48,7 +49,7 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = orders.join(cust, orders.o_custkey == cust.c_custkey)
     amount = nan_to_null("o_totalprice")
     return (joined.groupBy(F.col("c_mktsegment").alias("symbol"),
-                           F.to_date("o_orderdate").alias("ts"))
+                           F.to_date(F.date_trunc(grain, "o_orderdate")).alias("ts"))
             .agg(F.avg(amount).alias("price"),
                  F.count(F.lit(1)).alias("volume"),
                  F.stddev_samp(amount).alias("volatility")))
