@@ -19,7 +19,7 @@ def test_queries_have_oracles_or_are_rows_only():
 
 def test_quick_models_and_leaderboard(spark):
     fs = build_feature_set(daily_panel(spark, SF001), "v1")
-    res = M.sweep(spark, [fs], quick=True)
+    res = M.sweep(spark, [fs], quick=True, missing="median")
     rows = res.collect()
     assert {r.task for r in rows} == {"classification", "regression"}
     for r in rows:
@@ -56,7 +56,7 @@ def test_permutation_importance_runs_on_a_model(spark):
     from tidewatch.plans.models import _pipeline, permutation_importance, prepare
     from tidewatch.sources.tables import daily_panel
     p = prepare(build_feature_set(daily_panel(spark, "/root/testdata/sf0.001"), "v1"),
-                "classification")
+                "classification", missing="median")
     model = _pipeline(p, LogisticRegression(maxIter=20)).fit(p.train)
     v = permutation_importance(model, p, p.features[0], repeats=2)
     assert v == v and -1.0 <= v <= 1.0
@@ -70,7 +70,7 @@ def test_importance_falls_back_to_permutation(spark):
     from tidewatch.plans.models import _pipeline, feature_importance, prepare
     from tidewatch.sources.tables import daily_panel
     p = prepare(build_feature_set(daily_panel(spark, "/root/testdata/sf0.001"), "v1"),
-                "classification")
+                "classification", missing="median")
     mlp = MultilayerPerceptronClassifier(layers=[len(p.features), 4, 3], maxIter=10, seed=42)
     model = _pipeline(p, mlp).fit(p.train)
     assert feature_importance(model, p.features) == []

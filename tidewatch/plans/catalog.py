@@ -555,21 +555,29 @@ def i11_dataset_drift(spark, sf):
 # ---- models -------------------------------------------------------------------
 
 def _sweep_parts(spark, sf):
-    """Smoke-run sweep (seeded, small tree and iteration counts; the library
-    defaults are the reference's 100 trees / 1000 / 500 iterations): the run
-    rows and the candidate rows, both materialized once per application."""
-    from ..session import cached
-    from .models import sweep
+    """The sweep at full size: the run rows, the candidate rows and a registry
+    (version, task, path, created_at) of the saved winners, materialized once
+    per application.  Each winner is registered twice, so that a lookup has
+    an older entry to pass over."""
+    from datetime import datetime, timedelta
+    from ..session import cached, scratch_path
+    from .models import save_model, sweep
     holder = {}
 
     def build():
-        sets = [I.feature_set(spark, sf, v) for v in ("v1", "v2", "v3")]
-        res, trials = sweep(spark, sets, quick=True, with_trials=True)
-        holder["trials"] = trials
+        models = {}
+        res, trials = sweep(spark, [I.model_features(spark, sf, v) for v in _VERSIONS], with_trials=True, models=models)
+        now, entries = datetime.now(), []
+        for (version, task), model in models.items():
+            path = scratch_path(spark, f"model_{version}_{task}")
+            save_model(model, path)
+            entries += [(version, task, f"{path}-older", now - timedelta(days=1)), (version, task, path, now)]
+        holder["trials"], holder["registry"] = trials, spark.createDataFrame(
+            entries, "version string, task string, path string, created_at timestamp")
         return res
     res = cached(spark, ("model_sweep", sf), build)
-    trials = cached(spark, ("model_trials", sf), lambda: holder["trials"])
-    return res, trials
+    return (res, cached(spark, ("model_trials", sf), lambda: holder["trials"]),
+            cached(spark, ("model_registry", sf), lambda: holder["registry"]))
 
 
 def _sweep(spark, sf):
@@ -666,11 +674,9 @@ def e20_experiment_stats(spark, sf):
 
 def j17_feature_importance(spark, sf):
     """Top-20 native importances of a random forest on v3 (classification)."""
-    from .models import _pipeline, feature_importance, prepare
-    from pyspark.ml.classification import RandomForestClassifier
-    fs = I.feature_set(spark, sf, "v3")
-    p = prepare(fs, "classification")
-    model = _pipeline(p, RandomForestClassifier(numTrees=100, seed=42)).fit(p.train)
+    from .models import _pipeline, feature_importance, forest, prepare
+    p = prepare(I.model_features(spark, sf, "v3"), "classification")
+    model = _pipeline(p, forest("classification")).fit(p.train)
     rows = [(i + 1, f, v) for i, (f, v) in enumerate(feature_importance(model, p.features))]
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
 
@@ -764,40 +770,41 @@ def i21_monitoring_run(spark, sf):
 
 
 def j20_batch_scoring(spark, sf):
-    """Train (smoke size), save the pipeline, look up the latest model for
-    (version, task) in a model registry, score the test dates with the
-    whole pipeline and decode labels; classification report of the result.
-    The regression model's output is labelled by the same thresholds (J16)."""
-    from datetime import datetime
-    from pyspark.ml.classification import RandomForestClassifier
+    """Every version's and task's newest registered model, loaded and applied
+    to the test dates with the whole pipeline; predicted values are labelled by
+    the pair of thresholds that labelled the rows, and both tasks are judged
+    by accuracy and macro F1 (regression also by RMSE, MAE and R2)."""
     from pyspark.ml.feature import IndexToString
-    from ..session import scratch_path
-    from .models import _pipeline, load_latest_model, prepare, save_model
-    fs = I.feature_set(spark, sf, "v1")
-    p = prepare(fs, "classification")
-    model = _pipeline(p, RandomForestClassifier(numTrees=20, seed=42)).fit(p.train)
-    path = scratch_path(spark, "model_v1_classification")
-    save_model(model, path)
-    reg = spark.createDataFrame([("v1", "classification", path, datetime.now())],
-                                "version string, task string, path string, created_at timestamp")
-    loaded = load_latest_model(reg, "v1", "classification")
-    pred = loaded.transform(p.test)
-    labels = list(loaded.stages[2].labelsArray[0])
-    pred = IndexToString(inputCol="prediction", outputCol="pred_label", labels=labels).transform(pred)
-    return S.classification_report(S.confusion(pred, LABEL_COL, "pred_label"))
+    from ..functions.scalar import threshold_label
+    from .models import load_latest_model, prepare
+    _, _, registry = _sweep_parts(spark, sf)
+    out = None
+    for version, task in sorted(tuple(r) for r in registry.select("version", "task").distinct().collect()):
+        fs = I.model_features(spark, sf, version)
+        pred = load_latest_model(registry, version, task).transform(prepare(fs, task).test)
+        if task == "classification":
+            pred = IndexToString(inputCol="prediction", outputCol="guess", labels=sorted(SENTIMENT_LABELS)).transform(pred)
+            errors = spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in ("rmse", "mae", "r2")])
+        else:
+            mu, sigma = threshold_stats(fs.df, TARGET_VALUE)
+            pred = pred.withColumn("guess", threshold_label(F.col("prediction"), mu, sigma))
+            errors = S.regression_metrics(pred, TARGET_VALUE, "prediction").select("rmse", "mae", "r2")
+        judged = S.classification_summary(materialize(S.confusion(pred, LABEL_COL, "guess")))
+        row = errors.select(F.lit(version).alias("version"), F.lit(task).alias("task"), "rmse", "mae", "r2",
+                            *[judged.select(c).scalar().alias(c) for c in ("accuracy", "macro_f1", "n")])
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def j16_regression_as_sentiment(spark, sf):
-    """Regression predictions labelled fear/stable/greed with the training
-    thresholds and compared with the true labels (classification report)."""
-    from pyspark.ml.regression import RandomForestRegressor
-    from .models import _pipeline, prepare
-    fs = I.feature_set(spark, sf, "v1")
-    p = prepare(fs, "regression")
-    model = _pipeline(p, RandomForestRegressor(numTrees=20, seed=42)).fit(p.train)
-    pred = model.transform(p.test)
-    mu, sigma = threshold_stats(p.train, TARGET_VALUE)
+    """Regression predictions labelled fear/stable/greed by the pair of
+    thresholds that labelled the rows (classification report)."""
     from ..functions.scalar import threshold_label
+    from .models import _pipeline, forest, prepare
+    fs = I.model_features(spark, sf, "v1")
+    p = prepare(fs, "regression")
+    pred = _pipeline(p, forest("regression")).fit(p.train).transform(p.test)
+    mu, sigma = threshold_stats(fs.df, TARGET_VALUE)
     pred = pred.withColumn("pred_label", threshold_label(F.col("prediction"), mu, sigma))
     return S.classification_report(S.confusion(pred, LABEL_COL, "pred_label"))
 
@@ -831,24 +838,65 @@ def g3_best_of_version(spark, sf):
                        *[_r(c, 5).alias(c) for c in ("rmse", "mae", "r2")])
 
 
-def j13_budgeted_search(spark, sf, budget_sec: float = 30.0):
-    """Seeded random search over forests until the time budget is spent."""
-    from .models import budgeted_search, prepare
-    p = prepare(I.feature_set(spark, sf, "v2"), "classification")
-    return budgeted_search(p, budget_sec=budget_sec, max_trials=6)
+def j13_budgeted_search(spark, sf):
+    """Successive halving over forests and boosting on v2 (regression)."""
+    from .models import halving_search, prepare
+    return halving_search(prepare(I.model_features(spark, sf, "v2"), "regression"))
+
+
+def j13_nested_samples(spark, sf):
+    """Rows of the halving search's nested samples of complete v2 rows."""
+    from .models import nested_sample, sample_share
+    from .regression import complete_rows
+    rows = complete_rows(I.model_features(spark, sf, "v2"))
+    out = None
+    for rung in range(3):
+        part = nested_sample(rows, sample_share(rung, 3, 3)).agg(F.lit(rung).alias("rung"), F.count(F.lit(1)).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def j21_cross_validation(spark, sf):
-    """5-fold cross-validated accuracy of a forest on v1."""
+    """Time-ordered 5-fold cross-validation of the full forest on v1."""
     from .models import cross_validate, prepare
-    p = prepare(I.feature_set(spark, sf, "v1"), "classification")
-    return spark.createDataFrame([("v1", "classification", 5, cross_validate(p, 5))],
-                                 "version string, task string, folds int, cv_accuracy double")
+    return cross_validate(prepare(I.model_features(spark, sf, "v1"), "classification"), 5)
+
+
+def j21_fold_sizes(spark, sf):
+    """Rows and dates of the expanding folds over complete v1 rows."""
+    from .models import expanding_folds
+    from .regression import complete_rows
+    return expanding_folds(complete_rows(I.model_features(spark, sf, "v1"))).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+
+
+def i12_prediction_drift(spark, sf):
+    """Drift of a forecast between the reference and the current dates."""
+    pf = I.persistence_forecast(spark, sf)
+    long = I.sides(pf.select(F.lit("Predicted").alias("feature"), "ts", F.col("predicted").alias("value")))
+    return D.numeric_drift(long).select(
+        "feature", "n_ref", "n_cur", _r("ks_statistic", 10).alias("ks_statistic"), _r("ks_pvalue", 8).alias("ks_pvalue"),
+        _r("mw_pvalue", 8).alias("mw_pvalue"), _r("cohens_d", 8).alias("cohens_d"), "drift_detected")
+
+
+def i15_quality_by_side(spark, sf):
+    """Both sides of the quality report: missing values and exact 5 % / 95 %
+    quantiles of each v1 column, reference and current."""
+    df = I.sides(I.feature_set(spark, sf, "v1").df)
+    cols = [c for c in numeric_columns(df) if c != "side"]
+    long = materialize(S.long_values(df, cols, ["side"]))
+    q = exact_quantiles(long, ["side", "column"], "value", [0.05, 0.95]).groupBy("side", "column").agg(
+        F.max(F.when(F.col("p") == 0.05, F.col("q"))).alias("q05"), F.max(F.when(F.col("p") == 0.95, F.col("q"))).alias("q95"))
+    counts = long.groupBy("side", "column").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("missing_count"))
+    return counts.join(q, ["side", "column"], "left").select(
+        "side", "column", "n_rows", "missing_count", _r("q05", 5).alias("q05"), _r("q95", 5).alias("q95"))
 
 
 def last_catalog() -> dict[str, Query]:
     return {"h4_cross_ratios": h4_cross_ratios, "g3_best_of_version": g3_best_of_version,
             "j13_budgeted_search": j13_budgeted_search,
+            "j13_nested_samples": j13_nested_samples, "j21_fold_sizes": j21_fold_sizes,
+            "i12_prediction_drift": i12_prediction_drift, "i15_quality_by_side": i15_quality_by_side,
             "j21_cross_validation": j21_cross_validation}
 
 
@@ -956,14 +1004,14 @@ def ranking_catalog() -> dict[str, Query]:
 # ---- stream scoring ------------------------------------------------------------
 
 def _scoring_parts(spark, sf):
-    """A v2 classifier (smoke size) and the test dates' feature rows written
-    as request documents, one JSON line per month (bounded groups)."""
-    from pyspark.ml.classification import RandomForestClassifier
+    """A v2 forest and the test dates' feature rows written as request
+    documents, one JSON line per month (bounded groups).  Requests may lack
+    features, so its rows are filled with medians like theirs."""
     from ..session import scratch_path
-    from .models import _pipeline, prepare
-    fs = I.feature_set(spark, sf, "v2")
-    p = prepare(fs, "classification")
-    model = _pipeline(p, RandomForestClassifier(numTrees=20, seed=42)).fit(p.train)
+    from .models import _pipeline, forest, prepare
+    fs = I.model_features(spark, sf, "v2")
+    p = prepare(fs, "classification", missing="median")
+    model = _pipeline(p, forest("classification")).fit(p.train)
     test_ts = p.test.select("ts")
     inst = F.struct(F.col("ts"), *[F.col(c) for c in fs.features])
     docs = (fs.df.join(test_ts, "ts").groupBy(F.date_format("ts", "yyyy-MM").alias("month"))

@@ -1,8 +1,8 @@
 """Model training and evaluation with MLlib.
 
-Feature frame -> chronological test cut (last 20 % of dates) -> seeded,
-stratified hash split of the rest into train / validation -> exact-median
-imputation -> ``VectorAssembler`` -> ``StandardScaler`` -> candidate
+Feature frame -> complete rows -> chronological test cut (last 20 % of dates)
+-> seeded, stratified hash split of the rest into train / validation
+-> ``VectorAssembler`` -> ``StandardScaler`` -> candidate
 estimators -> selection on the validation metric -> test metrics.  Every
 fit and score is a distributed MLlib job; only the small result rows are
 assembled on the driver.
@@ -17,14 +17,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
+from ..functions.scalar import SENTIMENT_LABELS
 from ..operators import stats as S
 from ..operators.features import LABEL_COL, TARGET_VALUE, FeatureSet
 from ..operators.ranks import exact_quantiles
@@ -35,6 +35,9 @@ from ..session import materialize
 SEED = 42
 TEST_FRAC = 0.2
 VAL_FRAC = 0.25
+FOREST_TREES = 100
+#: Trees of unlimited depth: the deepest that MLlib grows.
+FOREST_DEPTH = 30
 
 RESULT_SCHEMA = StructType([
     StructField("version", StringType(), False), StructField("task", StringType(), False),
@@ -52,16 +55,22 @@ TRIAL_SCHEMA = StructType([
     StructField("status", StringType(), True)])
 
 
+def forest(task: str, quick: bool = False, **options):
+    """The random forest of a task, at the reference's size."""
+    kind = RandomForestClassifier if task == "classification" else RandomForestRegressor
+    size = {"numTrees": 20} if quick else {"numTrees": FOREST_TREES, "maxDepth": FOREST_DEPTH}
+    return kind(seed=SEED, **{**size, **options})
+
+
 def classification_candidates(n_features: int, n_classes: int, quick: bool = False,
                               include_svm: bool = False):
-    trees = 20 if quick else 100
     extra = {}
     if include_svm:
         # The reference's RBF SVC has no MLlib counterpart: linear one-vs-rest.
         from pyspark.ml.classification import LinearSVC, OneVsRest
         extra["svm"] = OneVsRest(classifier=LinearSVC(maxIter=100 if quick else 1000))
-    return {**extra, 
-        "random_forest": RandomForestClassifier(numTrees=trees, seed=SEED),
+    return {**extra,
+        "random_forest": forest("classification", quick),
         "logistic_regression": LogisticRegression(maxIter=100 if quick else 1000,
                                                   family="multinomial"),
         "mlp": MultilayerPerceptronClassifier(layers=[n_features, 100, 50, n_classes],
@@ -74,12 +83,10 @@ def regression_candidates(n_train: int, y_std: float, quick: bool = False, alpha
     objective is 1/(2n) * SSE + regParam/2 * ||w||^2 scaled by std(y), so
     regParam = alpha / n * std(y) (l-bfgs uses the sample std)."""
     reg = alpha / max(n_train, 1) * (y_std or 1.0)
-    trees = 20 if quick else 100
     return {
-        "random_forest": RandomForestRegressor(numTrees=trees, seed=SEED),
+        "random_forest": forest("regression", quick),
         "ridge": LinearRegression(regParam=reg, elasticNetParam=0.0, standardization=False,
                                   solver="l-bfgs"),
-        "gbt": GBTRegressor(stepSize=0.05, maxIter=20 if quick else 100, seed=SEED),
     }
 
 
@@ -100,22 +107,24 @@ class Prepared:
     medians: dict = field(default_factory=dict)
 
 
-def prepare(fs: FeatureSet, task: str) -> Prepared:
-    """Split and impute (medians fitted on the training rows only)."""
+def prepare(fs: FeatureSet, task: str, missing: str = "drop") -> Prepared:
+    """Split the rows.  Rows with a NULL in a feature or the label are dropped;
+    with ``missing`` "median", features are filled with the training rows'
+    medians instead (0 without any).  The medians also fill scoring requests."""
+    if missing not in ("drop", "median"):
+        raise ValueError(f"unknown treatment of missing values {missing!r}")
     label = LABEL_COL if task == "classification" else TARGET_VALUE
     # The feature frame (one row per date) is written once; the split's rank
     # and hash passes then read the table instead of re-running the features.
-    base = materialize(fs.df.where(F.col(label).isNotNull()))
+    needed = [label, *(fs.features if missing == "drop" else [])]
+    base = materialize(fs.df.na.drop(how="any", subset=needed))
     split = materialize(three_way_split(base, "ts", LABEL_COL if task == "classification" else None,
                                         TEST_FRAC, VAL_FRAC, SEED))
-    train = split.where(F.col("split") == "train")
-    med = exact_medians(train, fs.features)
-    fill = {c: float(v) for c, v in med.items()}
-
-    def imp(d):
-        return d.na.fill(fill).na.fill(0.0, subset=fs.features)
-    return Prepared(imp(train), imp(split.where(F.col("split") == "val")),
-                    imp(split.where(F.col("split") == "test")), fs.features, label, task, med)
+    med = exact_medians(split.where(F.col("split") == "train"), fs.features)
+    if missing == "median":
+        split = split.na.fill({c: float(v) for c, v in med.items()}).na.fill(0.0, subset=fs.features)
+    part = lambda name: split.where(F.col("split") == name)
+    return Prepared(part("train"), part("val"), part("test"), fs.features, label, task, med)
 
 
 def _pipeline(p: Prepared, estimator, with_mean: bool = True) -> Pipeline:
@@ -123,8 +132,9 @@ def _pipeline(p: Prepared, estimator, with_mean: bool = True) -> Pipeline:
               StandardScaler(inputCol="raw_features", outputCol="features", withMean=with_mean,
                              withStd=True)]
     if p.task == "classification":
-        stages.append(StringIndexer(inputCol=p.label_col, outputCol="label",
-                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
+        # All three labels, in alphabetical order, whichever occur in the rows.
+        stages.append(StringIndexerModel.from_labels(sorted(SENTIMENT_LABELS), inputCol=p.label_col,
+                                                     outputCol="label", handleInvalid="error"))
     else:
         stages.append(_copy_label(p.label_col))
     stages.append(estimator.setFeaturesCol("features").setLabelCol("label"))
@@ -194,9 +204,9 @@ def evaluate(p: Prepared, model: PipelineModel) -> DataFrame:
     return S.regression_metrics(pred, "label", "prediction")
 
 
-def run_experiment(fs: FeatureSet, task: str, quick: bool = False) -> tuple:
+def run_experiment(fs: FeatureSet, task: str, quick: bool = False, missing: str = "drop") -> tuple:
     t0 = time.perf_counter()
-    p = prepare(fs, task)
+    p = prepare(fs, task, missing)
     (name, val, model), trials = train_and_select(p, quick)
     n_tr, n_va, n_te = (p.train.count(), p.val.count(), p.test.count())
     if model is None:
@@ -210,14 +220,17 @@ def run_experiment(fs: FeatureSet, task: str, quick: bool = False) -> tuple:
 
 
 def sweep(spark, feature_sets: list[FeatureSet], tasks=("classification", "regression"),
-          quick: bool = False, with_trials: bool = False):
+          quick: bool = False, with_trials: bool = False, missing: str = "drop", models: dict | None = None):
     """Versions x tasks; each run recorded (failures as ``FAILED`` rows).
-    With ``with_trials`` also every candidate of every run (``TRIAL_SCHEMA``)."""
+    With ``with_trials`` also every candidate of every run (``TRIAL_SCHEMA``);
+    ``models`` takes the winners' pipelines by (version, task)."""
     rows, trial_rows = [], []
     for fs in feature_sets:
         for task in tasks:
             try:
-                row, trials, _ = run_experiment(fs, task, quick)
+                row, trials, model = run_experiment(fs, task, quick, missing)
+                if models is not None and model is not None:
+                    models[fs.version, task] = model
             except Exception:  # noqa: BLE001
                 row, trials = (fs.version, task, "FAILED", len(fs.features), None, None, None,
                                None, None, None, None, "FAILED", False), []
@@ -301,45 +314,97 @@ def permutation_importance(model: PipelineModel, p: Prepared, column: str, seed:
     return float(sum(drops) / len(drops))
 
 
-def budgeted_search(p: Prepared, budget_sec: float = 180.0, seed: int = SEED,
-                    max_trials: int = 50) -> DataFrame:
-    """Time-budgeted random search over tree ensembles: seeded parameter
-    samples are fitted until the budget is spent; one row per trial."""
+def trial_plan(task: str, n: int = 9, seed: int = SEED) -> list[dict]:
+    """``n`` seeded configurations over forests and, for regression, boosting:
+    the same list whenever and wherever it is drawn."""
     import random
-    rng = random.Random(seed)
-    spark = p.train.sparkSession
-    t0 = time.perf_counter()
-    rows = []
-    for i in range(max_trials):
-        if time.perf_counter() - t0 > budget_sec:
-            break
-        depth = rng.choice([3, 5, 8, 12])
-        trees = rng.choice([20, 50, 100])
-        if p.task == "classification":
-            est = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed + i)
+    rng = random.Random(f"{task}/{seed}")
+    plan = []
+    for trial in range(n):
+        if task == "regression" and trial % 2:
+            plan.append({"trial": trial, "learner": "gbt", "maxIter": rng.choice([50, 100, 200]),
+                         "maxDepth": rng.choice([3, 5]), "stepSize": rng.choice([0.05, 0.1])})
         else:
-            est = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed + i)
-        ts = time.perf_counter()
-        model = _pipeline(p, est).fit(p.train)
-        val = _score(p.task, model.transform(p.val))
-        loss = 1 - val if p.task == "classification" else val
-        rows.append((i, "rf", f"numTrees={trees},maxDepth={depth}", float(loss),
-                     time.perf_counter() - ts, time.perf_counter() - t0))
-    return spark.createDataFrame(rows, "trial long, learner string, config string, val_loss double, "
-                                       "fit_sec double, elapsed_sec double")
-
-
-def cross_validate(p: Prepared, folds: int = 5) -> float:
-    """k-fold cross-validation of the random forest (random folds)."""
-    est = RandomForestClassifier(seed=SEED) if p.task == "classification" else \
-        RandomForestRegressor(seed=SEED)
-    pipe = _pipeline(p, est)
-    grid = ParamGridBuilder().addGrid(est.numTrees, [20]).build()
-    ev = MulticlassClassificationEvaluator(metricName="accuracy") if p.task == "classification" \
-        else RegressionEvaluator(metricName="rmse")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        seed=SEED, parallelism=2)
-    return float(cv.fit(p.train).avgMetrics[0])
+            plan.append({"trial": trial, "learner": "rf", "numTrees": rng.choice([50, 100, 200]),
+                         "maxDepth": rng.choice([5, 10, 20])})
+    return plan
+
+
+def sample_share(rung: int, rungs: int, eta: int) -> float:
+    return float(eta) ** (rung - rungs + 1)
+
+
+def nested_sample(df: DataFrame, share: float, key: str = "ts") -> DataFrame:
+    """Rows whose key's hash lies below ``share``: a smaller share's rows are
+    among a larger one's, on any cluster."""
+    if share >= 1.0:
+        return df
+    h = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("double")
+    return df.where(h < F.lit(share * 2.0 ** 32))
+
+
+def halving_search(p: Prepared, n: int = 9, eta: int = 3, seed: int = SEED) -> DataFrame:
+    """Successive halving: all trials of :func:`trial_plan` are fitted on a
+    nested sample, the best 1/eta of them on eta times as many rows, and so on
+    until the survivors are fitted on all rows.  One row per trial and rung.
+    Nothing depends on the clock."""
+    rungs = 1
+    while eta ** rungs <= n:
+        rungs += 1
+    spark, alive, rows = p.train.sparkSession, trial_plan(p.task, n, seed), []
+    for rung in range(rungs):
+        share = sample_share(rung, rungs, eta)
+        train = nested_sample(p.train, share).persist()
+
+        def fit(trial, train=train):
+            options = {k: v for k, v in trial.items() if k not in ("trial", "learner")}
+            est = GBTRegressor(seed=seed, **options) if trial["learner"] == "gbt" else forest(p.task, **options)
+            try:
+                val = _score(p.task, _pipeline(p, est).fit(train).transform(p.val))
+            except Exception:  # noqa: BLE001 - too few rows for a fit: the trial comes last
+                return float("inf")
+            return 1.0 - val if p.task == "classification" else val
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            losses = list(pool.map(fit, alive))
+        train.unpersist()
+        order = sorted(range(len(alive)), key=lambda i: (losses[i], alive[i]["trial"]))
+        keep = max(1, len(alive) // eta)
+        for place, i in enumerate(order):
+            config = ",".join(f"{k}={v}" for k, v in alive[i].items() if k not in ("trial", "learner"))
+            rows.append((alive[i]["trial"], alive[i]["learner"], config, rung, float(share), float(losses[i]),
+                         place < keep or rung == rungs - 1))
+        alive = [alive[i] for i in order[:keep]]
+    return spark.createDataFrame(rows, "trial long, learner string, config string, rung int, share double, "
+                                       "val_loss double, survived boolean")
+
+
+def expanding_folds(df: DataFrame, folds: int = 5, ts: str = "ts") -> DataFrame:
+    """``df`` with ``fold``: the dates are cut into folds + 1 runs of equal
+    length by their distributed rank (0 is only ever trained on); fold k is
+    judged by a model of all earlier runs."""
+    from ..operators.ranks import dense_rank_of
+    ranks = dense_rank_of(df.select(ts), [], ts)
+    fold = F.floor((F.col("rank") - 1) * F.lit(folds + 1) / F.col("n_distinct")).cast("int")
+    return df.join(ranks.select(F.col(ts).alias("_of"), fold.alias("fold")), F.col(ts) == F.col("_of")).drop("_of")
+
+
+def cross_validate(p: Prepared, folds: int = 5, estimator=None) -> DataFrame:
+    """Time-ordered cross-validation over training and validation rows: one
+    row per fold with its sizes and metric (accuracy or RMSE).  The folds are
+    one written frame; their fits run side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+    spark = p.train.sparkSession
+    rows = materialize(expanding_folds(p.train.unionByName(p.val), folds)).persist()
+
+    def fit(fold):
+        train, test = rows.where(F.col("fold") < fold), rows.where(F.col("fold") == fold)
+        model = _pipeline(p, estimator.copy() if estimator is not None else forest(p.task)).fit(train)
+        return (fold, train.count(), test.count(), float(_score(p.task, model.transform(test))))
+    with ThreadPoolExecutor(max_workers=folds) as pool:
+        done = list(pool.map(fit, range(1, folds + 1)))
+    rows.unpersist()
+    return spark.createDataFrame(done, "fold int, n_train long, n_test long, metric double")
 
 
 def leaderboard(results: DataFrame) -> DataFrame:

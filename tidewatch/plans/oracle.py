@@ -339,7 +339,28 @@ def _split_reports() -> dict[str, str]:
     base, feats = _split_cte("v1")
     scaled = ", ".join(f'round("{c}" / coalesce(nullif((SELECT stddev_pop("{c}") FROM tv WHERE part = \'train\'), 0), 1) '
                        f'+ {{OFF6}}, 6) AS "{c}"' for c in feats)
-    return {"j5_train_val_split": " UNION ALL ".join(counts), "j2_scaled_features": base + f"SELECT ts, part, {scaled} FROM tv"}
+    def complete(version):
+        cte, names = _feature_cte(version)
+        return _with(WEEKLY, MARKET, TH, cte, "ok AS (SELECT ts FROM fs WHERE " + " AND ".join(
+            f'"{c}" IS NOT NULL' for c in [*names, "Target_Value"]) + ")")
+    limit = " OR ".join(f"r = {r} AND h < {(3.0 ** (r - 2)) * 2 ** 32!r}" for r in range(2))
+    q15 = " UNION ALL ".join(
+        f"SELECT side, '{c}' AS \"column\", count(*) AS n_rows, CAST(count(*) - count(\"{c}\") AS BIGINT) AS missing_count, "
+        f"round(quantile_cont(\"{c}\", 0.05) + {{OFF5}}, 5) AS q05, round(quantile_cont(\"{c}\", 0.95) + {{OFF5}}, 5) AS q95 "
+        "FROM fs JOIN sides ON fs.ts = sides.ts GROUP BY side" for c in [*feats, "Target_Value"])
+    predicted = "ls AS (SELECT 'Predicted' AS feature, s.side, p.predicted AS value FROM pf p JOIN sides s ON p.ts = s.ts)"
+    return {"j13_nested_samples": complete("v2") + "SELECT CAST(r AS INTEGER) AS rung, count(*) AS n FROM (SELECT "
+            "CAST('0x' || substr(md5(CAST(ts AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM ok) x CROSS JOIN range(0, 3) t(r) "
+            f"WHERE r = 2 OR {limit} GROUP BY r",
+            "j21_fold_sizes": complete("v1") + "SELECT CAST(floor((rk - 1) * 6 / CAST(nd AS DOUBLE)) AS INTEGER) AS fold, count(*) AS n, "
+            "min(ts) AS first, max(ts) AS last FROM (SELECT ts, row_number() OVER (ORDER BY ts) AS rk, count(*) OVER () AS nd "
+            "FROM ok) x GROUP BY 1",
+            "i12_prediction_drift": _with(PANEL, MARKET, TH, SIDES, _pf(), predicted, RANKS, _labels_sides(), TAILS)
+            + "SELECT f.feature, CAST(n1 AS BIGINT) AS n_ref, CAST(n2 AS BIGINT) AS n_cur, round(f.ks + {OFF10}, 10) AS ks_statistic, "
+            "round(ks_p + {OFF8}, 8) AS ks_pvalue, round(mw_p + {OFF8}, 8) AS mw_pvalue, round(cohens_d + {OFF8}, 8) AS cohens_d, "
+            "drifted AS drift_detected FROM flags f JOIN rt ON f.feature = rt.feature",
+            "i15_quality_by_side": _with(PANEL, MARKET, TH, SIDES, _feature_cte("v1")[0]) + q15,
+            "j5_train_val_split": " UNION ALL ".join(counts), "j2_scaled_features": base + f"SELECT ts, part, {scaled} FROM tv"}
 
 
 def _run_reports() -> dict[str, str]:

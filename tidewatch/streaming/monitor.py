@@ -150,6 +150,10 @@ def score_requests(requests: DataFrame, model, features: list[str], medians: dic
     inst = inst.na.fill(0.0, subset=features)
     if label_col not in inst.columns:
         inst = inst.withColumn(label_col, F.lit(None).cast("string"))
+    model = model.copy()
+    for stage in model.stages:  # requests have no label
+        if hasattr(stage, "labelsArray"):
+            stage.setHandleInvalid("keep")
     pred = model.transform(inst)
     if labels:
         pred = IndexToString(inputCol="prediction", outputCol="pred_label",
