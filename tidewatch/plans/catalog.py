@@ -504,6 +504,14 @@ def m1_windowed_monitoring(spark, sf):
                     _r("std", 8).alias("std"), _r("mean_shift", 8).alias("mean_shift"), "alert")
 
 
+def m1_hourly_skew(spark, sf):
+    """Hourly distance of each event type's bin shares from the training
+    shares, with the window's label counts."""
+    from ..streaming.skew import run_hourly_skew
+    w = spark.read.parquet(run_hourly_skew(spark, f"{sf.rstrip('/')}/events.parquet"))
+    return w.withColumn("skew", _r("skew", 8))
+
+
 def m2_live_labels(spark, sf):
     """Events labelled on the stream by per-type mean +- std of the
     reference; counts per type and label."""
@@ -687,6 +695,7 @@ def more_catalog() -> dict[str, Query]:
         "a6_a7_feature_store_roundtrip": a6_a7_feature_store_roundtrip,
         "a9_a11_registry": a9_a11_registry,
         "m1_windowed_monitoring": m1_windowed_monitoring,
+        "m1_hourly_skew": m1_hourly_skew,
         "m2_live_labels": m2_live_labels,
         "i11_dataset_drift": i11_dataset_drift,
         "i16_test_suite": i16_test_suite,

@@ -638,6 +638,27 @@ SELECT window_start, window_end, w.symbol, n, round(mean + {OFF8}, 8) AS mean,
        round(abs((mean - ref_mean) / NULLIF(ref_mean, 0)) + {OFF8}, 8) AS mean_shift,
        coalesce(abs((mean - ref_mean) / NULLIF(ref_mean, 0)) > 0.01, false) AS alert
 FROM w LEFT JOIN ref ON w.symbol = ref.symbol CROSS JOIN wm WHERE window_end <= wm.wm"""
+    q["m1_hourly_skew"] = """WITH ev AS (
+  SELECT event_type AS symbol, date_trunc('hour', ts) AS h, CASE WHEN isnan(value) THEN NULL ELSE value END AS v
+  FROM events WHERE ts IS NOT NULL),
+pr AS (SELECT symbol, min(v) AS lo, max(v) AS hi, avg(v) AS mu, stddev_samp(v) AS sigma FROM ev WHERE v IS NOT NULL GROUP BY symbol),
+b AS (SELECT ev.symbol, h, v, CASE WHEN v IS NULL THEN NULL WHEN hi > lo THEN
+        least(greatest(CAST(floor(10 * (v - lo) / (hi - lo)) AS BIGINT) + 1, 1), 10) ELSE 1 END AS bin,
+        """ + label_sql("v") + """ AS lab FROM ev LEFT JOIN pr ON ev.symbol = pr.symbol),
+bins AS (SELECT CAST(range AS BIGINT) AS k FROM range(1, 11)),
+tr AS (SELECT symbol, k, count(*) FILTER (WHERE bin = k) / CAST(count(*) AS DOUBLE) AS share
+       FROM b CROSS JOIN bins WHERE bin IS NOT NULL GROUP BY symbol, k),
+wn AS (SELECT h, b.symbol, k, count(*) FILTER (WHERE bin = k) / CAST(nullif(count(bin), 0) AS DOUBLE) AS share
+       FROM b CROSS JOIN bins GROUP BY h, b.symbol, k),
+g AS (SELECT h, wn.symbol, max(abs(wn.share - tr.share)) AS skew
+      FROM wn LEFT JOIN tr ON tr.symbol = wn.symbol AND tr.k = wn.k GROUP BY 1, 2),
+c AS (SELECT h, symbol, count(*) AS n, count(*) FILTER (WHERE lab = 'fear') AS n_fear, count(*) FILTER (WHERE lab = 'greed') AS n_greed,
+             count(*) FILTER (WHERE lab = 'stable') AS n_stable, count(*) FILTER (WHERE lab IS NULL) AS n_unlabelled
+      FROM b GROUP BY 1, 2)
+SELECT c.h AS window_start, c.symbol, n, round(skew + {OFF8}, 8) AS skew, n_fear, n_greed, n_stable, n_unlabelled,
+       coalesce(skew > 0.01, false) AS alert
+FROM c JOIN g ON c.h = g.h AND c.symbol = g.symbol
+WHERE c.h + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
     q["m2_live_labels"] = """WITH ref AS (
   SELECT event_type AS symbol, avg(value) AS mu, stddev_samp(value) AS sigma FROM events
   GROUP BY event_type)
