@@ -34,6 +34,26 @@ def normal_pvalue(z: Column) -> Column:
     return F.when(z >= NORMAL_MAX, F.lit(0.0)).when(z.isNotNull(), F.least(F.greatest(1.0 - erf, F.lit(0.0)), F.lit(1.0)))
 
 
+def chi2_pvalue(x: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution with a whole number of degrees
+    of freedom, as its finite series: with h = x / 2, exp(-h) sum h^i / i! over
+    i < dof / 2 if that is even, else the normal tail of sqrt(x) plus exp(-h)
+    sum h^(i - 1/2) / Gamma(i + 1/2) over 1 <= i <= (dof - 1) / 2.  1 without
+    degrees of freedom."""
+    h, odd = x / 2.0, dof % 2 == 1
+    first = F.when(odd, F.sqrt(h) / F.lit(math.gamma(1.5))).otherwise(F.lit(1.0))
+    terms = F.floor(dof / 2).cast("int")
+    step = lambda a, i: F.struct((a["term"] * h / (i + F.when(odd, 0.5).otherwise(0.0))).alias("term"),
+                                 (a["total"] + a["term"]).alias("total"))
+    # Each step adds the term of the one before and makes the next.
+    series = F.aggregate(F.when(terms > 0, F.sequence(F.lit(1), terms)).otherwise(F.array().cast("array<int>")),
+                         F.struct(first.alias("term"), F.lit(0.0).alias("total")),
+                         step, lambda a: a["total"])
+    tail = F.exp(-h) * series + F.when(odd, normal_pvalue(F.sqrt(x))).otherwise(0.0)
+    return F.when(x.isNotNull() & dof.isNotNull(), F.when((dof <= 0) | (x <= 0), F.lit(1.0)).otherwise(
+        F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0))))
+
+
 def kolmogorov_pvalue(d: Column, n1: Column, n2: Column) -> Column:
     """Two-sided p of the two-sample KS statistic in Kolmogorov's limit: below
     z = 1 by the theta-function dual of the alternating series."""
@@ -164,9 +184,3 @@ def ks_pvalue_udf(method: str):
         return pd.Series([ks_2samp_pvalue(a, b, c, method) if pd.notna(a) else None
                           for a, b, c in zip(d, n1, n2)], dtype="float64")
     return ks_pvalue
-
-
-@F.pandas_udf(DoubleType())
-def chi2_pvalue_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(a, int(b)) if pd.notna(a) and pd.notna(b) else None
-                      for a, b in zip(x, dof)], dtype="float64")

@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pvalues import chi2_pvalue_udf, kolmogorov_pvalue, ks_pvalue_udf, normal_pvalue
+from ..functions.pvalues import chi2_pvalue, kolmogorov_pvalue, ks_pvalue_udf, normal_pvalue
 from ..functions.scalar import pct_shift
+from ..session import ship_package
 from .ranks import cumulative_counts
 
 # Fixed values of the reference's drift rules.
@@ -109,6 +110,8 @@ def numeric_drift(long: DataFrame, group: str = "feature", alpha: float = ALPHA,
     "exact" (O(n1 * (n1 + n2)) per feature, an Arrow UDF) or "auto" (exact up
     to KS_EXACT_MAX_N rows a side) are there for small samples."""
     st = numeric_drift_stats(long, group, min_samples)
+    if ks_method != "asymptotic":
+        ship_package(long.sparkSession)
     ks = (kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")) if ks_method == "asymptotic"
           else ks_pvalue_udf(ks_method)("ks_statistic", "n_ref", "n_cur"))
     return (st.withColumn("ks_pvalue", ks).withColumn("mw_pvalue", normal_pvalue(F.col("mw_z")))
@@ -154,7 +157,7 @@ def chi_square_stats(aligned: DataFrame) -> DataFrame:
 def target_drift(labels: DataFrame, label: str, side: str = "side",
                  alpha: float = ALPHA) -> DataFrame:
     st = chi_square_stats(category_alignment(labels, label, side))
-    st = st.withColumn("chi2_pvalue", chi2_pvalue_udf("chi2_statistic", "dof"))
+    st = st.withColumn("chi2_pvalue", chi2_pvalue(F.col("chi2_statistic"), F.col("dof")))
     return st.withColumn("drift_detected", F.col("chi2_pvalue") < alpha)
 
 

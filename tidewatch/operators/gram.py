@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip
+from ..session import ship_package
 
 #: Columns of a block, and pairs of blocks that one pass holds in a task.
 BLOCK, PAIRS = 128, 64
@@ -58,6 +59,7 @@ def pair_sums(df: DataFrame, cols: list[str], block: int = BLOCK) -> tuple[DataF
     """((col_a, col_b, n, sum_a, sum_b, sum_aa, sum_bb, sum_ab), shifts) of all
     pairs a <= b in the order of ``cols``.  Values are taken relative to the
     column's shift, its mean, so that no digits cancel.  NaN counts as NULL."""
+    ship_package(df.sparkSession)
     value = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
     row = df.agg(*[F.avg(value(c)) for c in cols]).first()
     shift = {c: 0.0 if v is None or np.isinf(v) else float(v) for c, v in zip(cols, row, strict=True)}

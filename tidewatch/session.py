@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +82,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application, for
+    sessions that were started without it on their workers' path."""
+    package = Path(__file__).resolve().parent
+    application = spark.sparkContext.applicationId
+    if application in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidewatch-code-")) / "tidewatch_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 _MATERIALIZED: dict[tuple, object] = {}
 
 
