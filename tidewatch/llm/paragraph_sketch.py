@@ -34,7 +34,7 @@ TABLES = 3
 CUT_BITS = 2
 #: Bytes of text that one bucket of neighbouring documents holds, and the most
 #: buckets; the texts of a bucket are sorted in one task.
-BUCKET_BYTES, MAX_BUCKETS = 32 << 20, 10_000
+BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 10_000
 #: A cell of a published fingerprint.
 _CELL = np.dtype([("count", "<i4"), ("digests", "<u8"), ("checks", "<u4")])
 
