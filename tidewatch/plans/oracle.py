@@ -644,7 +644,7 @@ FROM w LEFT JOIN ref ON w.symbol = ref.symbol CROSS JOIN wm WHERE window_end <=
 pr AS (SELECT symbol, min(v) AS lo, max(v) AS hi, avg(v) AS mu, stddev_samp(v) AS sigma FROM ev WHERE v IS NOT NULL GROUP BY symbol),
 b AS (SELECT ev.symbol, h, v, CASE WHEN v IS NULL THEN NULL WHEN hi > lo THEN
         least(greatest(CAST(floor(10 * (v - lo) / (hi - lo)) AS BIGINT) + 1, 1), 10) ELSE 1 END AS bin,
-        """ + label_sql("v") + """ AS lab FROM ev LEFT JOIN pr ON ev.symbol = pr.symbol),
+        CASE WHEN mu IS NOT NULL THEN """ + label_sql("v") + """ END AS lab FROM ev LEFT JOIN pr ON ev.symbol = pr.symbol),
 bins AS (SELECT CAST(range AS BIGINT) AS k FROM range(1, 11)),
 tr AS (SELECT symbol, k, count(*) FILTER (WHERE bin = k) / CAST(count(*) AS DOUBLE) AS share
        FROM b CROSS JOIN bins WHERE bin IS NOT NULL GROUP BY symbol, k),

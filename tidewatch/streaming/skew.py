@@ -45,7 +45,7 @@ def binned_windows(stream: DataFrame, profile: DataFrame, n_bins: int = N_BINS,
     placed = (stream.withWatermark("ts", watermark).join(known, "symbol", "left")
               .withColumn("bin", F.when(F.col("lo").isNotNull() & F.col("value").isNotNull(),
                                         width_bin(F.col("value"), F.col("lo"), F.col("hi"), n_bins)))
-              .withColumn("label", threshold_label(F.col("value"), F.col("mu"), F.col("sigma"))))
+              .withColumn("label", F.when(F.col("mu").isNotNull(), threshold_label(F.col("value"), F.col("mu"), F.col("sigma")))))
     first = placed.groupBy(F.window("ts", window).alias("w"), "symbol", "bin").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("label") == label).alias(name) for name, label in _LABELS.items()],
         F.count_if(F.col("label").isNull()).alias("n_unlabelled"))
