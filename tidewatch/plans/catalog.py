@@ -879,6 +879,14 @@ def j21_fold_sizes(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
 
 
+def h3_long_features(spark, sf):
+    """v3 in long form: rows (ts, name, value) instead of columns."""
+    from ..operators.long_features import long_feature_set
+    f = long_feature_set(I.panel(spark, sf), "v3")
+    fine = F.col("name").startswith("ratio_") | F.col("name").endswith("_ret_pct")
+    return f.select("ts", "name", F.when(fine, _r("value", 8)).otherwise(_r("value", 5)).alias("value"))
+
+
 def i12_prediction_drift(spark, sf):
     """Drift of a forecast between the reference and the current dates."""
     pf = I.persistence_forecast(spark, sf)
@@ -905,7 +913,7 @@ def last_catalog() -> dict[str, Query]:
     return {"h4_cross_ratios": h4_cross_ratios, "g3_best_of_version": g3_best_of_version,
             "j13_budgeted_search": j13_budgeted_search,
             "j13_nested_samples": j13_nested_samples, "j21_fold_sizes": j21_fold_sizes,
-            "i12_prediction_drift": i12_prediction_drift, "i15_quality_by_side": i15_quality_by_side,
+            "h3_long_features": h3_long_features, "i12_prediction_drift": i12_prediction_drift, "i15_quality_by_side": i15_quality_by_side,
             "j21_cross_validation": j21_cross_validation}
 
 

@@ -349,7 +349,12 @@ def _split_reports() -> dict[str, str]:
         f"round(quantile_cont(\"{c}\", 0.05) + {{OFF5}}, 5) AS q05, round(quantile_cont(\"{c}\", 0.95) + {{OFF5}}, 5) AS q95 "
         "FROM fs JOIN sides ON fs.ts = sides.ts GROUP BY side" for c in [*feats, "Target_Value"])
     predicted = "ls AS (SELECT 'Predicted' AS feature, s.side, p.predicted AS value FROM pf p JOIN sides s ON p.ts = s.ts)"
-    return {"j13_nested_samples": complete("v2") + "SELECT CAST(r AS INTEGER) AS rung, count(*) AS n FROM (SELECT "
+    cte3, feats3 = _feature_cte("v3")
+    digits = lambda c: 8 if c.startswith("ratio_") or c.endswith("_ret_pct") else 5
+    long3 = " UNION ALL ".join(f"SELECT ts, '{c}' AS name, round(CAST(\"{c}\" AS DOUBLE) + {{OFF{digits(c)}}}, {digits(c)}) AS value "
+                               f'FROM fs WHERE "{c}" IS NOT NULL' for c in feats3)
+    return {"h3_long_features": _with(PANEL, MARKET, TH, cte3) + long3,
+            "j13_nested_samples": complete("v2") + "SELECT CAST(r AS INTEGER) AS rung, count(*) AS n FROM (SELECT "
             "CAST('0x' || substr(md5(CAST(ts AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM ok) x CROSS JOIN range(0, 3) t(r) "
             f"WHERE r = 2 OR {limit} GROUP BY r",
             "j21_fold_sizes": complete("v1") + "SELECT CAST(floor((rk - 1) * 6 / CAST(nd AS DOUBLE)) AS INTEGER) AS fold, count(*) AS n, "
