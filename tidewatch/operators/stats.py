@@ -251,6 +251,12 @@ def classification_summary(conf: DataFrame) -> DataFrame:
         F.max(F.when(F.col("row") == "accuracy", F.col("support"))).alias("n"))
 
 
+def sample_head(df: DataFrame, n: int = 5, order: str = "ts") -> DataFrame:
+    """The first ``n`` rows in an order, as a display of a frame (top-n: no
+    task sorts more than ``n`` rows of its partition)."""
+    return df.orderBy(order).limit(n)
+
+
 # ---- E16/E17 shape and uniqueness ----------------------------------------
 
 def shape_and_range(df: DataFrame, ts: str, by: list[str] | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators.target import add_sentiment, threshold_stats
 from ..session import materialize
 from ..sources.tables import read_table
 from . import inputs as I
+from .source_queries import source_catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -370,24 +371,10 @@ def c8_scalar_functions(spark, sf):
                     _r(F.sqrt("price"), 5).alias("root"), _r(neg_log10("price"), 5).alias("neg_log10"))
 
 
-def a4_lenient_timestamps(spark, sf):
-    """A4: order dates as text, those of every odd order key spoiled, parsed
-    leniently: what cannot be read is NULL and counted per symbol of status."""
-    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    text = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit("on "), day)).otherwise(day)
-    parsed = F.try_to_timestamp(text)
-    return o.groupBy("o_orderstatus").agg(
-        F.count_if(parsed.isNull()).alias("unreadable"), F.count(parsed).alias("readable"),
-        F.date_format(F.min(parsed), "yyyy-MM-dd").alias("first_day"),
-        F.date_format(F.max(parsed), "yyyy-MM-dd").alias("last_day"))
-
-
 def catalog() -> dict[str, Query]:
     return {
         "c3_loose_ratio": c3_loose_ratio,
         "c8_scalar_functions": c8_scalar_functions,
-        "a4_lenient_timestamps": a4_lenient_timestamps,
         "i1_sentiment_counts": i1_sentiment_counts,
         "i1_target_labels": i1_target_labels,
         "a1_panel_daily": a1_panel_daily,
@@ -435,6 +422,7 @@ def catalog() -> dict[str, Query]:
         **document_catalog(),
         **ranking_catalog(),
         **scoring_catalog(),
+        **source_catalog(),
     }
 
 

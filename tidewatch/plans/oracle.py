@@ -368,6 +368,42 @@ def _split_reports() -> dict[str, str]:
             "j5_train_val_split": " UNION ALL ".join(counts), "j2_scaled_features": base + f"SELECT ts, part, {scaled} FROM tv"}
 
 
+def _source_reports() -> dict[str, str]:
+    first, others = SYMBOLS[0], SYMBOLS[1:]
+    kept = {"strict": [f"{s}_{m}" for s in SYMBOLS for m in ("Volume", "Volatility")],
+            "loose": [f"{s}_{m}" for s in others for m in ("Volume", "Volatility")]}
+    leak = [f"SELECT '{mode}' AS mode, '{c}' AS feature, count(*) - count(\"{c}\") AS missing_count FROM wide"
+            for mode, cols in kept.items() for c in cols]
+    leak += [f"SELECT '{mode}' AS mode, '{s}_Price_ret_pct' AS feature, count(*) - count(ret_pct) AS missing_count "
+             f"FROM feat WHERE symbol = '{s}'" for mode in kept for s in others]
+    cte3, feats3 = _feature_cte("v3")
+    group = lambda c: ("'derived_indicators'" if c.startswith("ratio_") else "'traded_volume'" if c.endswith("_Volume")
+                       else "'daily_returns'" if c.endswith("_ret_pct") else "NULL")
+    known = " UNION ALL ".join(f'SELECT {group(c)} AS "group", count("{c}") AS known FROM fs' for c in feats3)
+    cells = " + ".join(f'count(*) - count("{c}")' for c in ["ts", *WIDE_COLS])
+    columns = " + ".join(f'CASE WHEN count("{c}") < count(*) THEN 1 ELSE 0 END' for c in ["ts", *WIDE_COLS])
+    n = len(WIDE_COLS) + 1
+    return {
+        "a3_date_column": _with(PANEL) + " UNION ALL ".join(
+            f"SELECT '{c}' AS found, count(*) AS n, min(ts) AS first, max(ts) AS last FROM panel" for c in ("Trade_Date", "observed")),
+        "a8_metadata": _with(PANEL, MARKET) + " UNION ALL ".join(
+            f"SELECT 'sentiment_{v}' AS feature_set_name, '{v}' AS version, CAST({k} AS BIGINT) AS num_features, count(*) AS num_samples, "
+            f"CAST(min(ts) AS VARCHAR) AS first, CAST(max(ts) AS VARCHAR) AS last, CAST({k} AS BIGINT) AS listed FROM market"
+            for v, k in (("v1", 15), ("v2", 25), ("v3", 45))),
+        "a12_dual_location": _with(PANEL, MARKET) + " UNION ALL ".join(
+            f"SELECT '{name}' AS name, CAST({k} AS BIGINT) AS features, count(*) AS n FROM market"
+            for name, k in (("in_both", 15), ("in_second", 25))),
+        "a16_feature_groups": _with(PANEL, MARKET, TH, cte3) + 'SELECT "group", count(*) AS features, CAST(sum(known) AS BIGINT) AS known '
+        f'FROM ({known}) x WHERE "group" IS NOT NULL GROUP BY 1',
+        "b2_leakage_modes": _with(PANEL, WIDE, DENSE) + " UNION ALL ".join(leak),
+        "e1_missing_summary": _with(PANEL, WIDE) + f"SELECT count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "
+        f"CAST({cells} AS BIGINT) AS missing_cells, CAST({columns} AS BIGINT) AS columns_with_missing, "
+        f"round(({cells}) / CAST(count(*) * {n} AS DOUBLE) + {{OFF8}}, 8) AS missing_share FROM wide",
+        "g7_sample_head": _with(PANEL, WIDE) + "SELECT ts, " + ", ".join(f'"{s}_Volume"' for s in SYMBOLS)
+        + " FROM wide ORDER BY ts LIMIT 5",
+    }
+
+
 def _run_reports() -> dict[str, str]:
     base = _with(PANEL, MARKET, TH, RUNS)
     r5 = lambda *cols: ", ".join(f"round({c} + {{OFF5}}, 5) AS {c}" for c in cols)
@@ -722,6 +758,7 @@ SELECT symbol, forecaster, n, round(mae + {OFF5}, 5) AS mae, round(rmse + {OFF5}
     q.update(_drift_reports())
     q.update(_run_reports())
     q.update(_split_reports())
+    q.update(_source_reports())
     for k, v in q.items():
         q[k] = v.replace("{OFF3}", OFF3).replace("{OFF5}", OFF5).replace("{OFF6}", OFF6).replace("{OFF8}", OFF8).replace("{OFF10}", OFF10)
     return q

@@ -54,8 +54,12 @@ class FeatureStore:
     def _registry(self, root: str) -> str:
         return f"{root}/registry"
 
+    def _order(self) -> list[str]:
+        return [self.roots[self.prefer]] + [r for i, r in enumerate(self.roots) if i != self.prefer]
+
     def _read_root(self) -> str:
-        order = [self.roots[self.prefer]] + [r for i, r in enumerate(self.roots) if i != self.prefer]
+        """Where listings are read: the first location with a registry."""
+        order = self._order()
         for r in order:
             if _exists(self.spark, self._registry(r)):
                 return r
@@ -120,17 +124,21 @@ class FeatureStore:
     def load(self, name: str) -> FeatureSet:
         """Both the registry row and the data must exist, else an error.
         The filter on the partition columns prunes all other sets."""
-        reg = self.registry().where(F.col("feature_set_name") == name) \
-            .orderBy(F.desc("created_at")).limit(1).collect()
-        if not reg:
-            raise FileNotFoundError(f"feature set {name!r} is not registered")
-        meta = json.loads(reg[0]["features_json"])
-        root = self._read_root()
-        # Read only this set's partition folder: sets of different versions
-        # have different columns, and listing/merging every set's schema
-        # would grow with the store.
-        part = f"{self._data(root)}/version={reg[0]['version']}/set_name={name}"
-        df = self.spark.read.option("basePath", self._data(root)).parquet(part)
-        feats = meta["features"]
-        return FeatureSet(version=reg[0]["version"], df=df.select("ts", *feats, TARGET_VALUE, LABEL_COL),
-                          features=feats)
+        for root in self._order():
+            if not _exists(self.spark, self._registry(root)):
+                continue
+            reg = (self.spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry(root))
+                   .where(F.col("feature_set_name") == name).orderBy(F.desc("created_at")).limit(1).collect())
+            # Read only this set's partition folder: sets of different versions
+            # have different columns, and listing/merging every set's schema
+            # would grow with the store.
+            part = f"{self._data(root)}/version={reg[0]['version']}/set_name={name}" if reg else ""
+            if not reg or not _exists(self.spark, part):
+                continue
+            meta = json.loads(reg[0]["features_json"])
+            feats, (target, label) = meta["features"], meta["target_columns"]
+            df = self.spark.read.option("basePath", self._data(root)).parquet(part)
+            ts = next(c for c in df.columns if c not in (*feats, target, label, "version", "set_name"))
+            return FeatureSet(version=reg[0]["version"], df=df.select(ts, *feats, target, label), features=feats,
+                              target_value=target, label=label, ts=ts)
+        raise FileNotFoundError(f"feature set {name!r} is not registered with its data in any location")
