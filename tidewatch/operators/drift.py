@@ -128,28 +128,22 @@ def category_alignment(labels: DataFrame, label: str, side: str = "side") -> Dat
 
 def chi_square_stats(aligned: DataFrame) -> DataFrame:
     """Chi-square statistic of the 2 x k table (Yates' correction only for
-    k = 2) and its degrees of freedom."""
+    k = 2) and its degrees of freedom: one pass over the categories, beside the
+    totals as a scalar subquery."""
     tot = aligned.agg(F.sum("ref_count").alias("R"), F.sum("cur_count").alias("C"),
                       F.count(F.lit(1)).alias("k"))
-    cells = aligned.select(
-        F.explode(F.array(F.struct(F.lit(REF).alias("row"), F.col("category"),
-                                   F.col("ref_count").alias("o")),
-                          F.struct(F.lit(CUR).alias("row"), F.col("category"),
-                                   F.col("cur_count").alias("o")))).alias("x")).select("x.*")
-    cat_tot = aligned.select("category", (F.col("ref_count") + F.col("cur_count")).alias("col_n"))
     t = tot.select(F.struct("R", "C", "k").alias("t")).scalar()
     r, c, k = t.getField("R"), t.getField("C"), t.getField("k")
-    cells = cells.join(cat_tot, "category")
-    n = r + c
-    row_n = F.when(F.col("row") == REF, r).otherwise(c)
-    e = row_n * F.col("col_n") / n
-    o = F.col("o").cast("double")
     dof = k - 1
-    diff = e - o
-    yates = F.when(dof == 1, F.least(F.lit(0.5), F.abs(diff)) * F.signum(diff)).otherwise(0.0)
-    term = F.pow(o + yates - e, 2) / e
-    return cells.agg(F.sum(term).alias("chi2_statistic"), F.first(dof).alias("dof"),
-                     F.first(r).alias("n_ref"), F.first(c).alias("n_cur")) \
+
+    def cell(count: str, row_n):
+        o = F.col(count).cast("double")
+        e = F.try_divide(row_n * (F.col("ref_count") + F.col("cur_count")), r + c)
+        diff = e - o
+        yates = F.when(dof == 1, F.least(F.lit(0.5), F.abs(diff)) * F.signum(diff)).otherwise(0.0)
+        return F.coalesce(F.try_divide(F.pow(o + yates - e, 2), e), F.lit(0.0))
+    return aligned.agg(F.sum(cell("ref_count", r) + cell("cur_count", c)).alias("chi2_statistic"), F.first(dof).alias("dof"),
+                       F.first(r).alias("n_ref"), F.first(c).alias("n_cur")) \
         .withColumn("chi2_statistic", F.when(F.col("dof") > 0, F.col("chi2_statistic"))
                     .otherwise(F.lit(0.0)))
 
