@@ -257,3 +257,17 @@ def test_word_count_equals_contract(spark):
     got = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
     assert mixing.mix_plan(got).first().size == 4
     assert got.select(F.regexp_count("text", F.lit(mixing.WORD))).first()[0] == 4
+
+
+def test_training_holds_the_words_of_one_text_at_a_time():
+    import tracemalloc
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(a + b + c for a in letters for b in letters for c in letters[:3]).encode()
+    samples = [(text + b" " + letters[i % 26].encode() * (4 + i // 26), i % 2) for i in range(150)]
+    tracemalloc.start()
+    try:
+        toxicity.fit(samples)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20  # the words of all texts at once: over 30 MB

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "ship_code", "table", "text_key", "tidy", "text_slices",
+__all__ = ["materialize", "scratch_path", "ship_code", "table", "text_key", "tidy", "give_back", "text_slices",
            "whole_row", "binary_buffers",
            "white_space", "word_spans", "word_hashes", "mix64", "connected_components"]
 
@@ -72,6 +72,14 @@ def whole_row(docs: DataFrame, but: str | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != but])
 
 
+def give_back() -> None:
+    """Give memory that this process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable) -> Callable:
     """``run`` over a task's batches, which gives the memory that it no longer
     uses back at the end: workers live on and other tasks use them."""
@@ -79,10 +87,7 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
     return tidied
 
 

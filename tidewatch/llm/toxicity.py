@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import text_slices, tidy
+from tidewatch.llm.common import give_back, text_slices, tidy
 
 #: Bound of the training sample: labelled documents of each class, in hash
 #: order of their ids.
@@ -127,8 +127,8 @@ def fit(samples: list[tuple[bytes, int]]) -> Model:
     """Train from (text, label) pairs; without both classes, every score is
     the share of label 1 (one half without any sample)."""
     docs, counts, seen = [0, 0], [Counter(), Counter()], set()
-    split = [set(words(text)) for text, _ in samples]
-    for distinct, (_, label) in zip(split, samples, strict=True):
+    for text, label in samples:
+        distinct = set(words(text))  # of one text at a time: all of them take many times the texts' own bytes
         if not distinct:
             continue
         # Near copies count once: they share the smallest hashes of their words.
@@ -203,7 +203,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
             .select("_text", "_label").where("_text is not null").limit(4 * max_docs).collect())
     samples = sorted((r["_text"].encode(), r["_label"]) for r in rows)
-    return fit(samples)
+    del rows
+    try:
+        return fit(samples)
+    finally:
+        del samples
+        give_back()
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score",
