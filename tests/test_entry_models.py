@@ -76,3 +76,19 @@ def test_importance_falls_back_to_permutation(spark):
     assert feature_importance(model, p.features) == []
     rows = feature_importance(model, p.features, top=3, prepared=p, repeats=1)
     assert len(rows) == 3 and rows[0][1] >= rows[1][1] >= rows[2][1]
+
+
+def test_runs_of_a_sweep_go_side_by_side(spark, monkeypatch):
+    import threading
+    from types import SimpleNamespace
+    both = threading.Barrier(2, timeout=20)
+
+    def run(fs, task, *_):
+        both.wait()  # passes only while another run waits as well
+        return (fs.version, task, "m", 0, 1, 1, 1, 0.0, 0.0, "r2", 0.0, "ok", False), [("m", 0.0, 0.0, "ok")], f"{fs.version}/{task}"
+    monkeypatch.setattr(M, "run_experiment", run)
+    models = {}
+    sets = [SimpleNamespace(version=v, features=[]) for v in ("v1", "v2")]
+    rows = M.sweep(spark, sets, tasks=("regression",), models=models).collect()
+    assert [(r.version, r.status) for r in rows] == [("v1", "ok"), ("v2", "ok")]
+    assert models == {("v1", "regression"): "v1/regression", ("v2", "regression"): "v2/regression"}

@@ -30,6 +30,7 @@ from ..operators.features import LABEL_COL, TARGET_VALUE, FeatureSet
 from ..operators.ranks import exact_quantiles
 from ..operators.split import three_way_split
 from ..session import materialize
+from .regression import compact
 
 # Fixed values of the reference's experiment set-up.
 SEED = 42
@@ -38,6 +39,8 @@ VAL_FRAC = 0.25
 FOREST_TREES = 100
 #: Trees of unlimited depth: the deepest that MLlib grows.
 FOREST_DEPTH = 30
+#: Runs of a sweep that are fitted side by side.
+MAX_RUNS = 6
 
 RESULT_SCHEMA = StructType([
     StructField("version", StringType(), False), StructField("task", StringType(), False),
@@ -167,7 +170,7 @@ def train_and_select(p: Prepared, quick: bool = False):
     else:
         stats = p.train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(p.label_col).alias("s")).first()
         cands = regression_candidates(stats["n"], stats["s"], quick)
-    train = p.train.persist()
+    train = compact(p.train).persist()
 
     def fit(item):
         name, est = item
@@ -204,9 +207,12 @@ def evaluate(p: Prepared, model: PipelineModel) -> DataFrame:
     return S.regression_metrics(pred, "label", "prediction")
 
 
-def run_experiment(fs: FeatureSet, task: str, quick: bool = False, missing: str = "drop") -> tuple:
+def run_experiment(fs: FeatureSet, task: str, quick: bool = False, missing: str = "drop",
+                   prepared: dict | None = None) -> tuple:
     t0 = time.perf_counter()
     p = prepare(fs, task, missing)
+    if prepared is not None:
+        prepared[fs.version, task] = p
     (name, val, model), trials = train_and_select(p, quick)
     n_tr, n_va, n_te = (p.train.count(), p.val.count(), p.test.count())
     if model is None:
@@ -220,22 +226,31 @@ def run_experiment(fs: FeatureSet, task: str, quick: bool = False, missing: str
 
 
 def sweep(spark, feature_sets: list[FeatureSet], tasks=("classification", "regression"),
-          quick: bool = False, with_trials: bool = False, missing: str = "drop", models: dict | None = None):
+          quick: bool = False, with_trials: bool = False, missing: str = "drop", models: dict | None = None,
+          prepared: dict | None = None):
     """Versions x tasks; each run recorded (failures as ``FAILED`` rows).
     With ``with_trials`` also every candidate of every run (``TRIAL_SCHEMA``);
-    ``models`` takes the winners' pipelines by (version, task)."""
-    rows, trial_rows = [], []
-    for fs in feature_sets:
-        for task in tasks:
-            try:
-                row, trials, model = run_experiment(fs, task, quick, missing)
-                if models is not None and model is not None:
-                    models[fs.version, task] = model
-            except Exception:  # noqa: BLE001
-                row, trials = (fs.version, task, "FAILED", len(fs.features), None, None, None,
-                               None, None, None, None, "FAILED", False), []
-            rows.append(row)
-            trial_rows += [(fs.version, task, i, *t) for i, t in enumerate(trials)]
+    ``models`` takes the winners' pipelines by (version, task), ``prepared``
+    the rows that they were fitted and tested on."""
+    def run(item):
+        fs, task = item
+        try:
+            return run_experiment(fs, task, quick, missing, prepared)
+        except Exception:  # noqa: BLE001
+            return (fs.version, task, "FAILED", len(fs.features), None, None, None,
+                    None, None, None, None, "FAILED", False), [], None
+
+    # Runs are independent, and an iterative fit on few rows keeps one core
+    # busy: they go side by side, and are recorded in their order.
+    from concurrent.futures import ThreadPoolExecutor
+    rows, trial_rows, items = [], [], [(fs, task) for fs in feature_sets for task in tasks]
+    with ThreadPoolExecutor(max_workers=max(1, min(MAX_RUNS, len(items)))) as pool:
+        done = list(pool.map(run, items))
+    for (fs, task), (row, trials, model) in zip(items, done, strict=True):
+        if models is not None and model is not None:
+            models[fs.version, task] = model
+        rows.append(row)
+        trial_rows += [(fs.version, task, i, *t) for i, t in enumerate(trials)]
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
     if with_trials:
         return results, spark.createDataFrame(trial_rows, TRIAL_SCHEMA)
