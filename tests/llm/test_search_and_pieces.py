@@ -198,3 +198,11 @@ def test_character_map_equals_the_library():
     ours = sentence_pieces.CharacterMap(spec[2])
     for text in ["ﬁ é ①②", "Ａｂｃ　x\tz\n", "é ½ é", "日本 ㌔ ", "plain", "​zero", "ｶﾞ"]:
         assert ours.apply(text).replace(" ", "▁") == library.normalize(text).replace(" ", "▁")
+
+
+@needs_model
+def test_decoding_compiles_only_what_ids_spell(model):
+    inverse, machines = sentence_pieces.compile_inverse(model), sentence_pieces.compile_model(model)
+    assert not {"trie", "final", "merged", "pairs", "memory"} & set(vars(inverse))
+    for text in ("Hello world", "日本語 text", "don't,stop"):
+        assert inverse.decode(np.frombuffer(machines.encode(text), "<i4").tolist()) == text

@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import re
 import struct
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -147,7 +149,6 @@ class Machines:
         self.separable = not any(a != BLANK and b == BLANK for p in self.final for a, b in zip(p, p[1:], strict=False))
         self.cut = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if self.separable else "(?s).+")
         self.memory = _Memory(self)
-        self.spelled = [self._spelling(i) for i in range(len(self.pieces))]
 
     # --- normaliser -------------------------------------------------------
     def normalise(self, text: str) -> str:
@@ -269,14 +270,29 @@ class Machines:
         memory = self.memory
         return b"".join([memory[part] for part in self.cut.findall(self.normalise(text))])
 
-    # --- the inverse transducer -------------------------------------------------
-    def _spelling(self, i: int) -> bytes:
-        kind = self.types[i]
+    @cached_property
+    def inverse(self) -> "Inverse":
+        return Inverse(self.pieces, self.types, self.leading_blank)
+
+    def decode(self, ids) -> str:
+        return self.inverse.decode(ids)
+
+
+class Inverse:
+    """The inverse transducer: what each id spells.  It needs neither the trie
+    nor the pairs nor the memory of the machines above, and has none of them."""
+
+    def __init__(self, pieces: list[str], types: list[int], leading_blank: bool = True):
+        self.spelled = [self._spelling(piece, kind) for piece, kind in zip(pieces, types, strict=True)]
+        self.leading_blank = leading_blank
+
+    @staticmethod
+    def _spelling(piece: str, kind: int) -> bytes:
         if kind == BYTE:
-            return bytes([int(self.pieces[i][1:-1], 16)])
+            return bytes([int(piece[1:-1], 16)])
         if kind == CONTROL:
             return b""
-        return (UNKNOWN_TEXT if kind == UNKNOWN else self.pieces[i].replace(BLANK, " ")).encode()
+        return (UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(BLANK, " ")).encode()
 
     def decode(self, ids) -> str:
         spelled = self.spelled
@@ -312,8 +328,8 @@ class _Memory(dict):
         return ids
 
 
-def compile_model(data: bytes) -> Machines:
-    """Compile the machines from a serialised model."""
+def _read_model(data: bytes) -> tuple[int, list[str], list[float], list[int], dict]:
+    """(kind, pieces, scores, types, options of the normaliser) of a serialised model."""
     pieces, scores, types, kind = [], [], [], UNIGRAM
     options = {"character_map": CharacterMap(b""), "leading_blank": True, "squeeze": True}
     for number, value in _fields(data):
@@ -332,19 +348,30 @@ def compile_model(data: bytes) -> Machines:
                 raise ValueError("models that keep blanks as they are are not supported")
     if kind not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
+    return kind, pieces, scores, types, options
+
+
+def compile_model(data: bytes) -> Machines:
+    """Compile the machines that encode from a serialised model."""
+    kind, pieces, scores, types, options = _read_model(data)
     return Machines(kind, pieces, scores, types, **options)
 
 
-_compiled: dict[int, Machines] = {}
+def compile_inverse(data: bytes) -> Inverse:
+    """Compile the inverse transducer from a serialised model."""
+    _, pieces, _, types, options = _read_model(data)
+    return Inverse(pieces, types, options["leading_blank"])
+
+
+_compiled: dict[Callable, tuple[int, object]] = {}
 
 
-def _machines(data: bytes) -> Machines:
+def _once(compile_: Callable, data: bytes):
     """Compiled once per worker process."""
     key = hash(data)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = compile_model(data)
-    return _compiled[key]
+    if _compiled.get(compile_, (None,))[0] != key:
+        _compiled[compile_] = (key, compile_(data))
+    return _compiled[compile_][1]
 
 
 def load_model(path: str = MODEL_PATH) -> bytes:
@@ -370,7 +397,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        machines = _machines(shared.value)
+        machines = _once(compile_model, shared.value)
         for batch in batches:
             for part in text_slices(batch, 1):
                 texts = pc.fill_null(part.column(1), "").to_pylist()
@@ -390,11 +417,11 @@ def decode_ids(tokens: DataFrame, model: bytes, ids_col: str = "ids", text_col:
     shared = tokens.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        machines = _machines(shared.value)
+        inverse = _once(compile_inverse, shared.value)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                texts = [None if ids is None else machines.decode(ids) for ids in
+                texts = [None if ids is None else inverse.decode(ids) for ids in
                          (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else None
                           for x in part.column(at))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*keep, text_col])
